@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .html_extraction import html_extraction
 from .license_scans import license_scan
+from .ngram_join import ngram_join
 from .packing import best_fit_packing
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
@@ -32,6 +33,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     return toxicity(docs, labels).select("doc_id", "held_out", "score", "predicted")
@@ -56,6 +61,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op4_ngram_jaccard_join, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,4 +1,4 @@
-"""Toxicity: a counterfactual-regularised logistic classifier over the distinct words of a whole text.
+"""Toxicity: a counterfactual-regularised logistic classifier over the distinct words and word stems of a whole text.
 
 Training reads at most ``MAX_TRAIN`` labelled rows (those of the smallest hash), counts words by class in Spark, keeps
 the ``MAX_WORDS`` words of the highest log-likelihood ratio, and fits on the driver. Each labelled text that mentions an
@@ -49,9 +49,14 @@ NEUTRAL = ["{} people live here", "a talk by {} writers", "the {} community met"
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
+#: Lengths of the stems (beginnings) of longer words, which are written with a hyphen at the end.
+STEMS = (4, 5, 6)
+
+
 def words(text: str | None) -> set[str]:
-    """Distinct lower-cased words of letters."""
-    return set(_WORDS.findall((text or "").lower()))
+    """Distinct lower-cased words of letters, and their stems."""
+    found = set(_WORDS.findall((text or "").lower()))
+    return found.union(*({w[:n] + "-" for w in found if len(w) > n} for n in STEMS))
 
 
 @dataclass
