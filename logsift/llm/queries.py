@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import ann_search
 from .common import table
 from .html_extraction import html_extraction
 from .license_scans import license_scan
@@ -33,6 +34,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -61,6 +66,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op4_ngram_jaccard_join, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_nearest_neighbours, op4_ngram_jaccard_join, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
