@@ -13,6 +13,7 @@ from .ngram_join import ngram_join
 from .packing import best_fit_packing
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
+from .sentencepieces import decode, encode, piece_rows
 from .toxicity import toxicity
 from .url_filters import url_filter
 
@@ -24,6 +25,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def model_path() -> str:
+    """The public SentencePiece model's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -42,6 +50,14 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    pieces = piece_rows(model_path())
+    both = decode(encode(turns, pieces), pieces)
+    whole = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
+    return both.select("conv_id", "turn", F.size("ids").cast("long").alias("n_ids"), F.array_join("ids", " ").alias("ids"), whole.alias("round_trip"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     return toxicity(docs, labels).select("doc_id", "held_out", "score", "predicted")
@@ -66,6 +82,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_nearest_neighbours, op4_ngram_jaccard_join, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_nearest_neighbours, op4_ngram_jaccard_join, op5_sentencepiece, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
