@@ -11,7 +11,9 @@ Documents with 100 · |∩| >= 80 · |∪| of their shingle sets link; the resul
    frequent L - 1 can be left out: a linked pair still shares one of the others. Each node lengthens this prefix by l - 1
    further shingles and asks for min(l of both) matches; l is what makes its estimated cost least: the nodes met under
    the prefix's shingles, and the pairs that reach l matches, which are verified.
-5. Pairs across components with enough matches, in the prefix and then in the whole region, are verified on whole sets.
+5. A node whose prefix has a shingle of more than ``HOT`` nodes is dense: much of its text is shared by many. For pairs of
+   dense nodes the order goes over all shingles of both, so that the most frequent four fifths of each are left out.
+6. Pairs across components with enough matches, in the prefix and then in the whole region, are verified on whole sets.
 
 Pairs inside a component need no verification: they are connected already. No cap is set on postings or candidates.
 
@@ -39,6 +41,8 @@ WORDS = 5
 STAR = 8
 #: Longest multi-match prefix, in matches asked for.
 MOST_MATCHES = 6
+#: Nodes of a shingle from which on it is met between dense nodes only.
+HOT = 64
 #: Cost of verifying a pair, in postings read.
 VERIFY = 200.0
 #: Rows up to which a table of ids is broadcast (16 bytes each); beyond that it is joined by a shuffle.
@@ -108,14 +112,14 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     return both.mapInPandas(checked, "a long, b long")
 
 
-def regions(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """s, k, c, n: the region of each node, c its component."""
+def regions(docs: DataFrame, words: int, percent: int, whole: bool = False) -> DataFrame:
+    """s, k, c, n: the region of each node, c its component; whole: all its shingles."""
 
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             rows = [s for s, _ in shingle_sets(x["t"], words)]
             n = np.array([len(s) for s in rows], dtype=np.int64)
-            take = np.where(n > 0, region_size(n, percent), 0)
+            take = n if whole else np.where(n > 0, region_size(n, percent), 0)
             s = np.concatenate([r[:t] for r, t in zip(rows, take)]) if len(rows) else np.zeros(0, np.uint64)
             for i in range(0, len(s), 1 << 18):
                 part = slice(i, i + (1 << 18))
@@ -140,24 +144,27 @@ def _matches_for(n: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), F.least(F.floor((n - low) / 2) + 1, low))
 
 
-def prefixes(rows: DataFrame, percent: int) -> DataFrame:
-    """rows of ``shared``: those of each node's adaptive prefix, with l, the matches that the node asks for."""
+def prefixes(rows: DataFrame, percent: int, whole: bool = False) -> DataFrame:
+    """rows of ``shared``: those of each node's adaptive prefix, with l, the matches that the node asks for, and top, the
+    largest f among them. whole: the rows are of whole sets, not regions."""
     n = F.col("n")
-    size = n - _least_overlap(n, percent) + _matches_for(n, percent)
-    least = _matches_for(_least_overlap(n, percent), percent)  # L of the smallest partner
+    low = _least_overlap(n, percent)
+    size = n if whole else n - low + _matches_for(n, percent)
+    least = low if whole else _matches_for(low, percent)  # what it shares of these rows with any partner, at least
     own, order = Window.partitionBy("k"), Window.partitionBy("k").orderBy("f", "s")
-    # shingles of the region that no other component has come first in the order
+    # shingles that no other component has come first in the order
     x = rows.select("*", F.row_number().over(order).alias("r"), (size - F.count(F.lit(1)).over(own)).alias("alone"), size.alias("size"), least.alias("least"))
     upto = lambda l: F.col("size") - F.col("least") + l - F.col("alone")
     met = {l: F.coalesce(F.sum(F.when(F.col("r") <= upto(l), F.col("f") - 1)).over(own), F.lit(0)) for l in range(1, MOST_MATCHES + 1)}
     cost = {l: F.when(F.col("least") >= l, met[l] * (1 + VERIFY / l**2)) for l in met}
-    x = x.select("s", "k", "c", "n", "r", "alone", "size", "least", F.array(*[F.struct(c.alias("cost"), F.lit(l).alias("l")) for l, c in cost.items()]).alias("costs"))
+    x = x.select("s", "k", "c", "n", "f", "r", "alone", "size", "least", F.array(*[F.struct(c.alias("cost"), F.lit(l).alias("l")) for l, c in cost.items()]).alias("costs"))
     best = F.array_min(F.filter("costs", lambda v: v.cost.isNotNull())).l
-    return x.withColumn("l", best).where(F.col("r") <= upto(F.col("l"))).select("s", "k", "c", "n", "l")
+    x = x.withColumn("l", best).where(F.col("r") <= upto(F.col("l")))
+    return x.select("s", "k", "c", "n", "l", "f", F.max("f").over(own).alias("top"))
 
 
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """a, b, na, nb: pairs of nodes of different components and fitting sizes with enough matches in their prefixes."""
+    """a, b, n (the smaller size): pairs of nodes of different components and fitting sizes with enough matches."""
     x = rows.select("s", F.col("k").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("l").alias("la"))
     y = rows.select("s", F.col("k").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("l").alias("lb"))
     fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
@@ -184,8 +191,14 @@ def ngram_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key:
     own = cut(own.select("k", F.coalesce("c", "k").alias("c")))
     found = regions(_checked_join(source, own, "k", "inner"), words, percent)
     rows = cut(shared(found.distinct() if _repeats(every) else found))
-    chosen = prefixes(rows, percent)
-    pairs = cut(filtered(candidates(chosen, percent), rows, percent))
+    chosen = cut(prefixes(rows, percent))
+    dense = cut(chosen.where(F.col("top") > HOT).select("k").distinct())
+    pairs = filtered(candidates(chosen.where(F.col("f") <= HOT), percent), rows, percent)
+    if dense.limit(1).count():
+        sets = regions(_checked_join(source, own.join(dense, "k"), "k", "inner"), words, percent, whole=True)
+        sets = cut(shared(sets.distinct() if _repeats(every) else sets))
+        pairs = pairs.union(candidates(prefixes(sets, percent, whole=True), percent).select("a", "b")).distinct()
+    pairs = cut(pairs)
     more = cut(verified(pairs, source, words, percent))
     final = connected_components(links.union(more))
     named = classes.join(final.select("node", "component"), "node", "left").select("digest", F.coalesce("component", "node").alias("component"))

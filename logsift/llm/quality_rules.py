@@ -137,4 +137,7 @@ def quality_rules(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE
         sample = source.sample(min(1.0, 2 * sample_rows / total), 11).limit(2 * sample_rows)
         ordered = plan_cascade(base_counts(sample, text), ordered, sample_rows)
     counted = base_counts(source, text)
-    return counted.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(cascade(ordered).isNull()))
+    # a filter on kept must not be pushed below the counts, where each mention of one would compute it anew: Catalyst
+    # leaves filters above columns that it can't take for deterministic
+    here = F.monotonically_increasing_id() >= 0
+    return counted.withColumn("kept", here & F.when(F.col("base_failed"), F.lit(False)).otherwise(cascade(ordered).isNull()))
