@@ -160,16 +160,25 @@ def prefixes(rows: DataFrame, percent: int, whole: bool = False) -> DataFrame:
     x = x.select("s", "k", "c", "n", "f", "r", "alone", "size", "least", F.array(*[F.struct(c.alias("cost"), F.lit(l).alias("l")) for l, c in cost.items()]).alias("costs"))
     best = F.array_min(F.filter("costs", lambda v: v.cost.isNotNull())).l
     x = x.withColumn("l", best).where(F.col("r") <= upto(F.col("l")))
-    return x.select("s", "k", "c", "n", "l", "f", F.max("f").over(own).alias("top"))
+    place = F.greatest(F.col("alone"), F.lit(0)) + F.col("r") - 1
+    return x.select("s", "k", "c", "n", "l", "f", F.max("f").over(own).alias("top"), place.alias("at"))
 
 
-def candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """a, b, n (the smaller size): pairs of nodes of different components and fitting sizes with enough matches."""
-    x = rows.select("s", F.col("k").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("l").alias("la"))
-    y = rows.select("s", F.col("k").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("l").alias("lb"))
+def candidates(rows: DataFrame, percent: int, whole: bool = False) -> DataFrame:
+    """a, b, n (the smaller size): pairs of nodes of different components and fitting sizes with enough matches.
+
+    whole: places are those in the whole sets, so that what follows the first match bounds the overlap.
+    """
+    x = rows.select("s", F.col("k").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("l").alias("la"), F.col("at").alias("ia"))
+    y = rows.select("s", F.col("k").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("l").alias("lb"), F.col("at").alias("ib"))
     fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    found = x.join(y, "s").where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("got"), F.first(F.least("la", "lb")).alias("need"), F.first(F.least("na", "nb")).alias("n"))
-    return found.where("got >= need").select("a", "b", "n")
+    found = x.join(y, "s").where(fits).groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("got"), F.first(F.least("la", "lb")).alias("need"), F.first("na").alias("na"), F.first("nb").alias("nb"), F.min("ia").alias("ia"), F.min("ib").alias("ib"),
+    ).where("got >= need")
+    if whole:
+        most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+        found = found.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb")))
+    return found.select("a", "b", F.least("na", "nb").alias("n"))
 
 
 def filtered(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -197,7 +206,7 @@ def ngram_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key:
     if dense.limit(1).count():
         sets = regions(_checked_join(source, own.join(dense, "k"), "k", "inner"), words, percent, whole=True)
         sets = cut(shared(sets.distinct() if _repeats(every) else sets))
-        pairs = pairs.union(candidates(prefixes(sets, percent, whole=True), percent).select("a", "b")).distinct()
+        pairs = pairs.union(candidates(prefixes(sets, percent, whole=True), percent, whole=True).select("a", "b")).distinct()
     pairs = cut(pairs)
     more = cut(verified(pairs, source, words, percent))
     final = connected_components(links.union(more))
