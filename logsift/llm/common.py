@@ -33,6 +33,11 @@ def crc_mod(col: str, mod: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % mod
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> None:
+    """From now on the session hands Python at most so many rows at once: texts are long, and workers have little memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Rows written to the checkpoint folder that all executors share, with the lineage cut there.
 

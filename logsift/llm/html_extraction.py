@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Elements whose text is never article text.
 SKIPPED = frozenset("nav footer aside form script style noscript template head title button select option textarea iframe svg math canvas object audio video dialog menu datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -147,6 +149,7 @@ def main_text(html: str | None) -> str:
 
 def html_extraction(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages (without the html) with text and n_chars."""
+    small_batches(pages)
 
     @F.pandas_udf("string")
     def extracted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Every known sentence holds one of these; a text without any is not cut.
 ANCHORS = ("licen", "warrant", "redistribut", "permission", "copyright", "public domain")
 #: Identifier: normalised sentences. {v} runs over VERSIONS of the identifier.
@@ -112,6 +114,7 @@ def recognised(ids: list[tuple[str, str]]) -> list[str]:
 
 def license_scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs (without the text) with licenses (array of names in order), sentence_ids (array) and n_licenses."""
+    small_batches(docs)
     kind = "struct<licenses: array<string>, sentence_ids: array<string>>"
 
     @F.pandas_udf(kind)

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small_batches
 from .components import connected_components
 from .shingling import shingle_sets
 
@@ -190,6 +190,7 @@ def filtered(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 
 def ngram_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, component_id for every row."""
+    small_batches(docs)
     source = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     every = cut(profiles(source, words))
     classes = cut(every.where("n > 0").groupBy("digest").agg(F.min("k").alias("node"), F.first("least").alias("least")))

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 END = 2
 LENGTH = 1024
 #: Documents that are packed together; what a group wastes is a few sequences.
@@ -127,5 +129,6 @@ def pack(cut: DataFrame, length: int = LENGTH, groups: int = 1, key: str = "doc_
 
 def best_fit_packing(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, group: int = GROUP, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a piece: key, piece, start, length, ids_crc32, sequence_id, offset."""
+    small_batches(docs)
     groups = max(1, -(-docs.count() // group))
     return pack(pieces(docs, path, length, end, key, text), length, groups, key)

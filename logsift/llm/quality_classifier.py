@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, ratio, words_of
+from .common import crc_mod, ratio, small_batches, words_of
 from .toxicity import labelled
 
 MAX_TRAIN = 20_000
@@ -104,6 +104,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int = 2, threshold: float = 0.7, key: str = "doc_id") -> DataFrame:
     """docs with held_out, score and predicted (0 or 1)."""
+    small_batches(docs)
     source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("held_out", "score", "predicted")])
     model = train(labelled(source, labels, "quality", mod, held, MAX_TRAIN, key))
     out = score(source.withColumn("held_out", crc_mod(key, mod) == held), model)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, small_batches
 
 SPACE = "▁"
 LONG = 60
@@ -94,15 +94,18 @@ def pieces_of(word: str, scores: dict[str, float], model: str, longest: int) ->
 def _merges(n: Column, edges: Column) -> Column:
     """Mask of the cuts (bit i: before character i) after all merges; edges: (score, start, len, id), best first."""
     bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i)
-    joins = F.filter(edges, lambda e: e.len > 1)
+    # of each edge that joins parts: the cuts at its ends, and those between, of which there must be one
+    masks = lambda e: F.struct((bit(e.start).bitwiseOR(bit(e.start + e.len))).alias("ends"), (bit(e.start + e.len) - bit(e.start + 1)).alias("inner"))
+    joins = F.transform(F.filter(edges, lambda e: e.len > 1), masks)
 
-    def step(mask: Column, _: Column) -> Column:
-        inner = lambda e: mask.bitwiseAND((bit(e.start + e.len) - 1) - (bit(e.start + 1) - 1))
-        ends = lambda e: (mask.bitwiseAND(bit(e.start)) != 0) & (mask.bitwiseAND(bit(e.start + e.len)) != 0)
-        first = F.get(F.filter(joins, lambda e: (F.bit_count(inner(e)) == 1) & ends(e)), F.lit(0))
-        return let(first, lambda e: F.when(e.isNull(), mask).otherwise(mask - inner(e)))
+    def folded(js: Column) -> Column:
+        def step(mask: Column, _: Column) -> Column:
+            first = F.get(F.filter(js, lambda j: (F.bit_count(mask.bitwiseAND(j.inner)) == 1) & (mask.bitwiseAND(j.ends) == j.ends)), F.lit(0))
+            return let(first, lambda j: F.when(j.isNull(), mask).otherwise(mask - mask.bitwiseAND(j.inner)))
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1)), bit(n + 1) - 1, step)
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1)), bit(n + 1) - 1, step)
+
+    return let(joins, folded)
 
 
 def _viterbi(n: Column, edges: Column, unknown: float) -> Column:
@@ -122,6 +125,7 @@ def _viterbi(n: Column, edges: Column, unknown: float) -> Column:
 
 def encode(df: DataFrame, pieces: list[tuple[int, str, float, str]], model: str = "merges", text: str = "text", out: str = "ids") -> DataFrame:
     """df with ``out``: array<int>, the ids of the text."""
+    small_batches(df)
     spark = df.sparkSession
     table = piece_table(spark, pieces)
     normal = {p: (i, s) for i, p, s, k in pieces if k == "normal"}
@@ -176,6 +180,7 @@ def encode(df: DataFrame, pieces: list[tuple[int, str, float, str]], model: str
 
 def decode(df: DataFrame, pieces: list[tuple[int, str, float, str]], ids: str = "ids", out: str = "decoded") -> DataFrame:
     """df with ``out``, the text of the ids; the table of the pieces' bytes, a vocabulary, is broadcast."""
+    small_batches(df)
     spelt = {i: bytes.fromhex(p[3:5]) if k == "byte" else p.replace(SPACE, " ").encode("utf-8") for i, p, _, k in pieces if k != "other"}
     shared = df.sparkSession.sparkContext.broadcast(spelt)
 

@@ -18,10 +18,10 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Bytes that are hashed at once; longer texts are hashed alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """_ODD to the powers 0 to n, and to their negatives, modulo 2**64."""
     up, down = np.full(n + 1, _ODD, dtype=np.uint64), np.full(n + 1, pow(_ODD, -1, 1 << 64), dtype=np.uint64)
@@ -41,7 +41,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACE[buf]
     start = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     end = np.flatnonzero(~space[:-1] & space[1:]) + 1
-    up, down = _powers(1 << max(21, int(len(buf)).bit_length()))
+    up, down = _powers(1 << max(20, int(len(buf)).bit_length()))
     total = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[: len(buf)], out=total[1:])
     h = mixed((total[end] - total[start]) * down[start])

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, small_batches
 
 MAX_TRAIN = 16_000
 MAX_WORDS = 2_000
@@ -157,6 +157,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
 
 def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0, threshold: float = 0.5, key: str = "doc_id") -> DataFrame:
     """docs with held_out, score and predicted (0 or 1)."""
+    small_batches(docs)
     source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("held_out", "score", "predicted")])
     model = train(labelled(source, labels, "toxic", mod, held, MAX_TRAIN, key))
     out = score(source.withColumn("held_out", crc_mod(key, mod) == held), model)
