@@ -156,7 +156,8 @@ def prefixes(rows: DataFrame, percent: int, whole: bool = False) -> DataFrame:
     x = rows.select("*", F.row_number().over(order).alias("r"), (size - F.count(F.lit(1)).over(own)).alias("alone"), size.alias("size"), least.alias("least"))
     upto = lambda l: F.col("size") - F.col("least") + l - F.col("alone")
     met = {l: F.coalesce(F.sum(F.when(F.col("r") <= upto(l), F.col("f") - 1)).over(own), F.lit(0)) for l in range(1, MOST_MATCHES + 1)}
-    cost = {l: F.when(F.col("least") >= l, met[l] * (1 + VERIFY / l**2)) for l in met}
+    # of whole sets the places of the first match rule out what would be verified in vain
+    cost = {l: F.when(F.col("least") >= l, met[l] * (1 + (0 if whole else VERIFY / l**2))) for l in met}
     x = x.select("s", "k", "c", "n", "f", "r", "alone", "size", "least", F.array(*[F.struct(c.alias("cost"), F.lit(l).alias("l")) for l, c in cost.items()]).alias("costs"))
     best = F.array_min(F.filter("costs", lambda v: v.cost.isNotNull())).l
     x = x.withColumn("l", best).where(F.col("r") <= upto(F.col("l")))
