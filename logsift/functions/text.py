@@ -39,11 +39,8 @@ def route_key(token: Column) -> Column:
 
 
 def hits(text: Column, words) -> Column:
-    """How many of the words the text contains."""
-    out = F.lit(0)
-    for w in words:
-        out = out + F.contains(text, F.lit(w)).cast("int")
-    return out
+    """How many of the words the text contains; a fold over a constant list keeps the generated code small."""
+    return F.size(F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(text, w))) if words else F.lit(0)
 
 
 def word_tokens(text: Column) -> Column:
@@ -61,6 +58,14 @@ def sigmoid(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))
 
 
+def once(c: Column) -> Column:
+    """c, as a column that Catalyst neither copies into what uses it nor pushes filters through.
+
+    Wide chains of derived columns grow exponentially otherwise. It holds for columns of a projection.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def noul(p: Column) -> Column:
     """p held within 0.01 and 0.99."""
     return F.least(F.greatest(p, F.lit(0.01)), F.lit(0.99))
@@ -68,10 +73,20 @@ def noul(p: Column) -> Column:
 
 def softmax(scores: list[tuple[str, Column]], temperature: float = 1.0) -> Column:
     """array<struct<name, p>>, p rounded to 6 digits, in the order of the scores."""
-    values = [s for _, s in scores]
-    top = F.greatest(*values) if len(values) > 1 else values[0]
-    z = sum((F.exp((v - top) / temperature) for v in values), F.lit(0.0))
-    return F.array(*[F.struct(F.lit(k).alias("name"), F.round(F.exp((v - top) / temperature) / z, 6).alias("p")) for k, v in scores])
+    names = F.array(*[F.lit(k) for k, _ in scores])
+    values = F.array(*[v.cast("double") for _, v in scores])
+    raised = _let(values, lambda v: _let(F.array_max(v), lambda m: F.transform(v, lambda x: F.exp((x - m) / temperature))))
+
+    def shares(e: Column) -> Column:
+        total = F.aggregate(e, F.lit(0.0), lambda s, x: s + x)
+        return _let(total, lambda z: F.zip_with(names, e, lambda k, x: F.struct(k.alias("name"), F.round(x / z, 6).alias("p"))))
+
+    return _let(raised, shares)
+
+
+def _let(value: Column, body) -> Column:
+    """body(v) with v computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def best_option(dist: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.levels import level_rank
 from ..functions.scrub import is_dirty
-from ..functions.text import best_option, confidence, expected_level, hits, iso, noul, sigmoid, softmax, word_tokens
+from ..functions.text import best_option, confidence, expected_level, hits, iso, noul, once, sigmoid, softmax, word_tokens
 
 MODEL = "keywords-1"
 
@@ -67,11 +67,11 @@ def state_json(examples: int = 3, template: Column | None = None) -> Column:
 
 def features(clusters: DataFrame) -> DataFrame:
     """clusters with state, rank and the counts noise, err, rc, sym, usr, weird of keywords in the lower-cased state."""
-    x = clusters.withColumn("state", state_json())
-    x = x.withColumn("_low", F.lower("state"))
+    x = clusters.withColumn("state", once(state_json()))
+    x = x.withColumn("_low", once(F.lower("state")))
     low = F.col("_low")
     counts = {"noise": NOISE, "err": ERROR, "rc": ROOT_CAUSE, "sym": SYMPTOM, "usr": USER, "weird": WEIRD}
-    return x.withColumns({"rank": level_rank(F.col("level"))} | {k: hits(low, w) for k, w in counts.items()})
+    return x.withColumns({"rank": once(level_rank(F.col("level")))} | {k: once(hits(low, w)) for k, w in counts.items()})
 
 
 def _levels(n: int, centre: Column) -> Column:
@@ -101,11 +101,12 @@ def judge(clusters: DataFrame) -> DataFrame:
     base = F.element_at(F.array(*map(F.lit, SEVERITY_BASE)), c("rank") + 1)
     severity = base + 0.4 * cap("rc", 2) - 0.8 * cap("noise", 2) + F.when(c("count") > 500, 0.4).otherwise(0.0)
     impact = 0.8 * over(2) + 0.6 * cap("usr", 2) - 0.8 * cap("noise", 2)
-    x = x.withColumns({f"q_{k}": noul(v) for k, v in q.items()})
+    x = x.withColumns({"_severity": once(severity), "_impact": once(impact)})
+    x = x.withColumns({f"q_{k}": once(noul(v)) for k, v in q.items()})
     return x.withColumns(
         {f"p_{k}": F.round(f"q_{k}", 4) for k in q}
-        | {"d_category": softmax(category), "d_component": softmax(component), "d_severity": _levels(SEVERITIES, severity), "d_user_impact": _levels(IMPACTS, impact)}
-    ).drop("_low")
+        | {"d_category": once(softmax(category)), "d_component": once(softmax(component)), "d_severity": once(_levels(SEVERITIES, c("_severity"))), "d_user_impact": once(_levels(IMPACTS, c("_impact")))}
+    ).drop("_low", "_severity", "_impact")
 
 
 def judgments(judged: DataFrame) -> DataFrame:
@@ -128,8 +129,8 @@ def judgments(judged: DataFrame) -> DataFrame:
 def answers(judged: DataFrame) -> DataFrame:
     """judged with category, component, expected_severity, expected_user_impact and fallback (false)."""
     return judged.withColumns({
-        "category": best_option(F.col("d_category")), "component": best_option(F.col("d_component")),
-        "expected_severity": expected_level(F.col("d_severity")), "expected_user_impact": expected_level(F.col("d_user_impact")),
+        "category": once(best_option(F.col("d_category"))), "component": once(best_option(F.col("d_component"))),
+        "expected_severity": once(expected_level(F.col("d_severity"))), "expected_user_impact": once(expected_level(F.col("d_user_impact"))),
         "p_severe": F.aggregate(F.filter("d_severity", lambda e: e["name"].cast("int") >= 3), F.lit(0.0), lambda s, e: s + e.p),
         "fallback": F.lit(False),
     })

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.levels import level_rank
 from ..functions.scrub import HIGH_RISK
+from ..functions.text import once
 
 SURFACED = ["escalate", "triage", "review"]
 
@@ -56,7 +57,7 @@ def route(judged: DataFrame, cfg: RouterConfig | None = None) -> DataFrame:
     has = F.col("fallback")
     sensitive = F.coalesce(sens >= cfg.sensitive_flag_min, F.lit(False))
     flags = F.array_compact(F.array(F.when(has, "fallback_answers"), F.when(sensitive, "sensitive_data"), F.when(F.size("sensitive_hits") > 0, "scrubbed")))
-    x = judged.withColumns({"flags": flags, "priority": priority(a, sev, nov, F.col("count")), "_rules": rules_check(cfg)})
+    x = judged.withColumns({"flags": once(flags), "priority": once(priority(a, sev, nov, F.col("count"))), "_rules": once(rules_check(cfg))})
     if cfg.known_issues:
         rows = [(k, v) for k, v in cfg.known_issues.items() if v]
         known = judged.sparkSession.createDataFrame(rows, "template_id string, _ticket string")
@@ -93,7 +94,7 @@ def route(judged: DataFrame, cfg: RouterConfig | None = None) -> DataFrame:
     early = missing | known | by_book | leak
     guard = F.when(early | ~quiet | suppress, F.lit(None)).when(has, "would suppress, but answers came from the fallback judge").when(sensitive, "would suppress, but the cluster may contain sensitive data").otherwise("would suppress, but the rules check did not pass")
     first = F.when(sensitive, F.concat(F.lit("P(sensitive)="), _two(sens), F.lit(": keep examples out of L4 and fix the scrubber")))
-    x = x.withColumns({"decision": decision, "reasons": F.array_compact(F.array(first, guard.cast("string"), last))})
+    x = x.withColumns({"decision": once(decision), "reasons": once(F.array_compact(F.array(first, guard.cast("string"), last)))})
     return x.drop("_rules", "_ticket")
 
 
