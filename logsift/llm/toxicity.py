@@ -73,25 +73,38 @@ class Model:
         return float(1 / (1 + np.exp(-z)))
 
 
-def fit(rows: list[set[str]], y: np.ndarray, vocabulary: list[str], l2: float = 1.0, swap: float = 20.0, rounds: int = 400) -> Model:
-    """Minimises log loss + l2 |w|² + swap · mean squared score change under identity swaps, by accelerated descent."""
+def numbered(vocabulary: list[str]) -> dict[str, int]:
+    """Columns of the model: the vocabulary and all identity terms."""
+    return {w: i for i, w in enumerate(dict.fromkeys([*vocabulary, *(t for group in IDENTITY for t in group)]))}
+
+
+def fit(rows: list[set[str]], y: np.ndarray, vocabulary: list[str], **how) -> Model:
+    """The model of texts given as sets of words."""
+    at = numbered(vocabulary)
+    return fit_columns([np.array(sorted(at[w] for w in x if w in at), dtype=np.int32) for x in rows], y, at, **how)
+
+
+def fit_columns(rows: list[np.ndarray], y: np.ndarray, at: dict[str, int], l2: float = 1.0, swap: float = 20.0, rounds: int = 400) -> Model:
+    """Minimises log loss + l2 |w|² + swap · mean squared score change under identity swaps, by accelerated descent.
+
+    rows: the columns that each text has.
+    """
     if len(rows) == 0 or y.min() == y.max():
         return Model(prior=float(y.mean()) if len(rows) else 0.0)
-    kinds = {t: group for group in IDENTITY for t in group}
-    at = {w: i for i, w in enumerate(dict.fromkeys([*vocabulary, *kinds]))}
-    extra = [words(s.format(t)) for t in kinds for s in NEUTRAL]
+    kinds = {at[t]: [at[u] for u in group if u != t] for group in IDENTITY for t in group}
+    extra = [np.array(sorted(at[w] for w in words(s.format(t)) if w in at), dtype=np.int32) for group in IDENTITY for t in group for s in NEUTRAL]
+    mark = np.concatenate([np.ones(len(rows)), np.full(len(extra), 0.1)])
     rows, y = [*rows, *extra], np.concatenate([y, np.zeros(len(extra))])
-    mark = np.concatenate([np.ones(len(rows) - len(extra)), np.full(len(extra), 0.1)])
-    pairs = [(i, at[w]) for i, x in enumerate(rows) for w in x if w in at]
-    r, c = (np.array(x, dtype=np.int64) for x in zip(*pairs))
+    r, c = np.repeat(np.arange(len(rows)), [len(x) for x in rows]), np.concatenate(rows).astype(np.int64)
     # a row with term t has, for every other term u of its kind, the counterfactual whose score differs by w[u] - w[t]
     change: dict[tuple[int, int], float] = {}
-    for x, m in zip(rows, mark):
-        for t in x & kinds.keys():
-            for u in kinds[t]:
-                if u != t and u not in x:
-                    change[at[t], at[u]] = change.get((at[t], at[u]), 0) + m / (len(kinds[t]) - 1)
-    a, b, k = (np.array(x) for x in zip(*((i, j, v) for (i, j), v in change.items()))) if change else (np.zeros(0, int),) * 3
+    named = np.isin(c, list(kinds))
+    held = set(zip(r[named].tolist(), c[named].tolist()))
+    for i, t in held:
+        for u in kinds[t]:
+            if (i, u) not in held:
+                change[t, u] = change.get((t, u), 0) + mark[i] / len(kinds[t])
+    a, b, k = (np.array(x) for x in zip(*((i, j, v) for (i, j), v in sorted(change.items())))) if change else (np.zeros(0, int),) * 3
     w, bias, n = np.zeros(len(at)), float(np.log(y.mean() / (1 - y.mean()))), len(rows)
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, rounds + 1):
@@ -133,14 +146,18 @@ def train(rows: DataFrame) -> Model:
         c, one = F.col("c").cast("double"), F.col("one").cast("double")
         counts = found.select("y", F.explode("w").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("one"))
         g2 = 2 * (ll(one, c * k / n) + ll(c - one, c * (n - k) / n) + ll(k - one, (n - c) * k / n) + ll(n - c - k + one, (n - c) * (n - k) / n))
-        terms = [t for group in IDENTITY for t in group]
         best = counts.where(F.col("c") >= 2).select("w", g2.alias("g")).where(F.col("g") >= MIN_G2).orderBy(F.desc("g"), "w").limit(MAX_WORDS)
         vocabulary = [x["w"] for x in best.collect()]
-        wanted = F.array(*[F.lit(t) for t in [*vocabulary, *terms]])
-        x = found.select("y", F.array_intersect("w", wanted).alias("w")).collect()
+        at = numbered(vocabulary)
+
+        def columns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for x in batches:
+                yield pd.DataFrame({"y": x["y"], "c": [sorted(at[w] for w in ws if w in at) for ws in x["w"]]})
+
+        x = found.mapInPandas(columns, "y int, c array<int>").toPandas()
     finally:
         found.unpersist()
-    return fit([set(r["w"]) for r in x], np.array([r["y"] for r in x], float), vocabulary)
+    return fit_columns([np.asarray(c, dtype=np.int32) for c in x["c"]], x["y"].to_numpy(float), at)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
