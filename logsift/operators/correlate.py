@@ -59,11 +59,11 @@ def scored_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def incident_members(found: DataFrame, pairs: DataFrame, threshold: float = SAME_ISSUE) -> DataFrame:
-    """found with component and incident_id (from the sorted ids of all members)."""
+    """found with group_id (the smallest id of the group) and incident_id (from the sorted ids of all members)."""
     edges = pairs.where(F.col("p_same") >= threshold).select(F.col("a_template_id").alias("a"), F.col("b_template_id").alias("b"))
     comp = components(found.select(F.col("template_id").alias("node")), edges)
     ids = comp.groupBy("component").agg(F.concat(F.lit("inc-"), F.substring(F.sha1(F.array_join(F.array_sort(F.collect_list("node")), "")), 1, 10)).alias("incident_id"))
-    named = comp.join(ids, "component").select(F.col("node").alias("template_id"), "component", "incident_id")
+    named = comp.join(ids, "component").select(F.col("node").alias("template_id"), F.col("component").alias("group_id"), "incident_id")
     return found.join(named, "template_id")
 
 

@@ -425,7 +425,7 @@ def same_issue_score(spark, d):
 
 
 def incident_components(spark, d):
-    return members(spark, d).select("template_id", "component")
+    return members(spark, d).select("template_id", "group_id")
 
 
 def incident_rollup(spark, d):
