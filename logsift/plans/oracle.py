@@ -200,7 +200,7 @@ ORACLE: dict[str, str] = {
     "triage_console": JUDGED + "SELECT decision, service, level, count, category, template FROM routed WHERE decision <> 'suppress' ORDER BY priority DESC, tid LIMIT 20",
     "template_labels": DEC + "SELECT template_id, arg_max(service, window_start) AS service, arg_max(decision, window_start) AS decision, arg_max(category, window_start) AS category, arg_max(component, window_start) AS component, max(window_start) AS last_judged FROM dec GROUP BY 1",
     "triage_view": DEC + "SELECT decision, service, category, CAST(sum(count) AS BIGINT) AS lines, round(max(p_actionable), 3) AS p_act, template_id FROM dec WHERE window_start > TIMESTAMP '2024-01-10' AND decision IN ('escalate', 'triage', 'review') GROUP BY decision, service, category, template_id",
-    "reduction_per_day": DEC + "SELECT CAST(window_start AS DATE) AS day, round(count(*) / CAST(greatest(count(*) FILTER (decision IN ('escalate', 'triage')), 1) AS DOUBLE), 6) AS clusters_per_surfaced FROM dec GROUP BY 1",
+    "reduction_per_day": DEC + "SELECT CAST(CAST(window_start AS DATE) AS VARCHAR) AS day, round(count(*) / CAST(greatest(count(*) FILTER (decision IN ('escalate', 'triage')), 1) AS DOUBLE), 6) AS clusters_per_surfaced FROM dec GROUP BY 1",
     "fallback_share": JUDGED + f"SELECT '{MODEL}' AS model_version, round(avg(CAST(ascii(tid) % 2 = 0 AS DOUBLE)), 6) AS fallback_share, count(*) * {len(PACK)} AS answers FROM judged",
     "fallback_rate": JUDGED + "SELECT round(avg(CAST(ascii(tid) % 2 = 0 AS DOUBLE)), 6) AS rate FROM judged",
     "drillback_traces": WITH + ", k AS (SELECT trace_id FROM (SELECT trace_id, row_number() OVER (ORDER BY min(seq)) AS r FROM lines WHERE template_id = (SELECT min(template_id) FROM lines) GROUP BY 1) WHERE r <= 5) SELECT ts, service, body FROM logs WHERE trace_id IN (SELECT trace_id FROM k) ORDER BY ts, seq LIMIT 200",

@@ -568,7 +568,7 @@ def triage_view(spark, d):
 
 
 def reduction_per_day(spark, d):
-    return views.analytics(spark, "reduction_per_day", decisions=_decisions(spark, d)).withColumn("clusters_per_surfaced", F.round("clusters_per_surfaced", 6))
+    return views.analytics(spark, "reduction_per_day", decisions=_decisions(spark, d)).withColumns({"day": F.col("day").cast("string"), "clusters_per_surfaced": F.round("clusters_per_surfaced", 6)})
 
 
 def fallback_share(spark, d):

@@ -64,9 +64,9 @@ def synthetic_logs(spark: SparkSession, minutes: int = 120, scale: float = 1.0,
         at = F.lit(float(lo * 60)) + F.rand(s) * ((hi - lo) * 60)
         shared = F.md5(F.concat_ws("-", F.floor(at / 60).cast("string"), F.floor(F.rand(s + 1) * 8).cast("string")))
         own = F.md5(F.concat_ws("-", F.lit(str(k)), F.col("id").cast("string")))
-        x = spark.range(n).withColumn("at", at).select(
+        x = spark.range(0, n, 1, 1 + n // 500_000).withColumn("at", at).select(
             F.timestamp_micros((F.unix_micros(F.lit(start).cast("timestamp")) + F.floor(F.col("at") * 1_000_000)).cast("long")).alias("ts"),
-            F.lit(service).alias("service"), F.lit(level).alias("level"), _body(template, s + 2).alias("body"), (shared if only else own).alias("trace_id"), (F.col("id") * len(KINDS) + k).alias("seq"),
+            F.lit(service).alias("service"), F.lit(level).alias("level"), _body(template, s + 2).alias("body"), (shared if only else own).alias("trace_id"), (F.floor(F.col("at") * 1_000_000).cast("long") * 32 + k).alias("seq"),  # in the order of time
         )
         out = x if out is None else out.unionByName(x)
     return out

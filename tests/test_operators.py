@@ -161,7 +161,7 @@ def test_rate_limit():
 @pytest.fixture(scope="module")
 def scenario(spark):
     cfg = triage.Config(topology={"api-gateway": ["checkout"], "checkout": ["payments", "inventory"]})
-    return triage.run(synthetic_logs(spark, minutes=90, scale=0.2), synthetic_changes(spark), cfg, "r1")
+    return triage.run(synthetic_logs(spark, minutes=90), synthetic_changes(spark), cfg, "r1")
 
 
 def test_scenario(spark, scenario):
