@@ -155,9 +155,9 @@ def prefixes(rows: DataFrame, percent: int, whole: bool = False) -> DataFrame:
     # shingles that no other component has come first in the order
     x = rows.select("*", F.row_number().over(order).alias("r"), (size - F.count(F.lit(1)).over(own)).alias("alone"), size.alias("size"), least.alias("least"))
     upto = lambda l: F.col("size") - F.col("least") + l - F.col("alone")
-    met = {l: F.coalesce(F.sum(F.when(F.col("r") <= upto(l), F.col("f") - 1)).over(own), F.lit(0)) for l in range(1, MOST_MATCHES + 1)}
-    # of whole sets the places of the first match rule out what would be verified in vain
-    cost = {l: F.when(F.col("least") >= l, met[l] * (1 + (0 if whole else VERIFY / l**2))) for l in met}
+    met = {l: F.coalesce(F.sum(F.when(F.col("r") <= upto(l), F.col("f") - 1)).over(own), F.lit(0)) for l in range(1, 2 if whole else MOST_MATCHES + 1)}
+    # of whole sets the place of the first match rules out what more matches would
+    cost = {l: F.when(F.col("least") >= l, met[l] * (1 + VERIFY / l**2)) for l in met}
     x = x.select("s", "k", "c", "n", "f", "r", "alone", "size", "least", F.array(*[F.struct(c.alias("cost"), F.lit(l).alias("l")) for l, c in cost.items()]).alias("costs"))
     best = F.array_min(F.filter("costs", lambda v: v.cost.isNotNull())).l
     x = x.withColumn("l", best).where(F.col("r") <= upto(F.col("l")))
@@ -168,18 +168,17 @@ def prefixes(rows: DataFrame, percent: int, whole: bool = False) -> DataFrame:
 def candidates(rows: DataFrame, percent: int, whole: bool = False) -> DataFrame:
     """a, b, n (the smaller size): pairs of nodes of different components and fitting sizes with enough matches.
 
-    whole: places are those in the whole sets, so that what follows the first match bounds the overlap.
+    whole: places are those in the whole sets, so that what follows a pair's first match bounds its overlap. Matches
+    after which too little is left are no rows of the join: a linked pair keeps its first one, and one is asked for.
     """
     x = rows.select("s", F.col("k").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("l").alias("la"), F.col("at").alias("ia"))
     y = rows.select("s", F.col("k").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("l").alias("lb"), F.col("at").alias("ib"))
     fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    found = x.join(y, "s").where(fits).groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("got"), F.first(F.least("la", "lb")).alias("need"), F.first("na").alias("na"), F.first("nb").alias("nb"), F.min("ia").alias("ia"), F.min("ib").alias("ib"),
-    ).where("got >= need")
     if whole:
         most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
-        found = found.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb")))
-    return found.select("a", "b", F.least("na", "nb").alias("n"))
+        fits = fits & ((100 + percent) * most >= percent * (F.col("na") + F.col("nb")))
+    found = x.join(y, "s").where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("got"), F.first(F.least("la", "lb")).alias("need"), F.first(F.least("na", "nb")).alias("n"))
+    return found.where("got >= need").select("a", "b", "n")
 
 
 def filtered(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
