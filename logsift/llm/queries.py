@@ -84,4 +84,31 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_nearest_neighbours, op4_ngram_jaccard_join, op5_sentencepiece, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing)}
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
+_COUNT = lambda p: f"len(regexp_extract_all(t, '{p}'))"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, {_WORDS} AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+win AS (SELECT rid, i, list_slice(ws, i, i + 7) AS k FROM w, unnest(range(1, len(ws) - 6)) u(i)),
+dup AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, k) > 1),
+cov AS (SELECT rid, count(DISTINCT i + j) AS n FROM dup, range(8) r(j) GROUP BY rid),
+b AS (SELECT doc_id, t, len(ws) AS n_words, CAST(length(t) - {_COUNT(r'[\x20\x09-\x0D]')} AS BIGINT) AS word_chars, CAST({_COUNT('[#*$%&|<>]')} AS BIGINT) AS n_symbols,
+  len(ls) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words FROM w LEFT JOIN cov USING (rid)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 14 * n_words
+    OR 2 * {_COUNT(r'\p{Lu}')} > {_COUNT(r'\p{L}')} OR 5 * {_COUNT('!')} > n_words OR 3 * {_COUNT(r'\p{L}')} < word_chars
+    OR 10 * {_COUNT(r'(?:\.\.\.|…)[ \t]*(?:\n|\z)')} > 3 * n_lines OR 10 * {_COUNT(r'(?:\A|\n)[ \t]*[•*-][ \t]')} > 9 * n_lines) AS kept FROM f""",
+    "op4_ngram_jaccard_join": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace('(t,', "(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),")} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, list_slice(ws, i, i + 4) AS k FROM d, unnest(range(1, greatest(len(ws) - 3, CASE WHEN len(ws) > 0 THEN 2 ELSE 1 END))) u(i)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT doc_id AS v, doc_id AS root FROM documents UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.v),
+c AS (SELECT v, min(root) AS component_id FROM r GROUP BY v)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents JOIN c ON v = doc_id LEFT JOIN n USING (doc_id)""",
+}
