@@ -134,8 +134,11 @@ def train(rows: DataFrame) -> Model:
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            yield pd.DataFrame({"y": x["y"], "w": [sorted(words(t)) for t in x["text"]]})
+            for i in range(0, len(x), 50):  # word lists are several times as large as their texts
+                part = x.iloc[i : i + 50]
+                yield pd.DataFrame({"y": part["y"], "w": [sorted(words(t)) for t in part["text"]]})
 
+    small_batches(rows, 200)
     found = rows.select("y", "text").mapInPandas(listed, "y int, w array<string>").persist()
     try:
         total = found.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("k")).first()
@@ -151,7 +154,7 @@ def train(rows: DataFrame) -> Model:
         at = numbered(vocabulary)
 
         def columns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for x in batches:
+            for x in batches:  # small ones, as they were made
                 yield pd.DataFrame({"y": x["y"], "c": [sorted(at[w] for w in ws if w in at) for ws in x["w"]]})
 
         x = found.mapInPandas(columns, "y int, c array<int>").toPandas()
@@ -177,5 +180,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0, th
     small_batches(docs)
     source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("held_out", "score", "predicted")])
     model = train(labelled(source, labels, "toxic", mod, held, MAX_TRAIN, key))
+    small_batches(docs)
     out = score(source.withColumn("held_out", crc_mod(key, mod) == held), model)
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
