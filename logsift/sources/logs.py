@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.levels import guess_level, normalize_level
+from ..functions.text import once
 
 # Spellings of each field, the first that is neither null nor empty counts.
 KEYS = {
@@ -21,15 +22,20 @@ KEYS = {
 
 def field(line: Column, name: str) -> Column:
     """The field of a JSON object line, by any of its spellings; null if there is none."""
-    return F.coalesce(*[F.nullif(F.get_json_object(line, f"$['{k}']"), F.lit("")) for k in KEYS[name]])
+    return of_map(F.from_json(line, "map<string,string>"), name)
+
+
+def of_map(fields: Column, name: str) -> Column:
+    """The field among those of a line that was read once."""
+    return F.coalesce(*[F.nullif(F.element_at(fields, F.lit(k)), F.lit("")) for k in KEYS[name]])
 
 
 def parse_ts(value: Column) -> Column:
     """A timestamp from epoch seconds, milli-, micro- or nanoseconds, or from ISO text (a space for T, Z, no zone: UTC)."""
     x = F.when(F.regexp_like(value, F.lit(r"^[-+]?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$")), value).try_cast("double")
-    for _ in range(4):
-        x = F.when(x > 1e11, x / 1000).otherwise(x)
-    number = F.timestamp_micros(F.round(x * 1_000_000).cast("long"))
+    # as often as it takes to come to 1e11 at most
+    unit = F.when(x <= 1e11, F.lit(1e6)).when(x <= 1e14, F.lit(1e3)).when(x <= 1e17, F.lit(1.0)).when(x <= 1e20, F.lit(1e-3)).otherwise(F.lit(1e-6))
+    number = F.timestamp_micros(F.round(x * unit).cast("long"))
     text = F.when(F.contains(value, F.lit(".")), F.substring(value, 1, 32)).otherwise(value)
     return F.coalesce(number, text.try_cast("timestamp"))
 
@@ -43,16 +49,22 @@ def parse_lines(lines: DataFrame, line: str = "value", now: Column | None = None
     now = F.current_timestamp() if now is None else now
     v = F.col(line)
     x = lines.where(F.regexp_like(v, F.lit(r"\S")))
-    is_json = F.regexp_like(v, F.lit(r"^\s*\{")) & F.try_parse_json(v).isNotNull()
-    attrs = F.coalesce(F.get_json_object(v, "$.attrs"), F.get_json_object(v, "$.LogAttributes"))
-    return x.withColumn("_json", is_json).select(
-        *[F.col(f"`{c}`") for c in lines.columns if c != line],
-        F.when(F.col("_json"), F.coalesce(parse_ts(field(v, "ts")), now)).otherwise(now).alias("ts"),
-        F.when(F.col("_json"), F.coalesce(field(v, "service"), F.lit("unknown"))).otherwise("unknown").alias("service"),
-        F.when(F.col("_json"), normalize_level(field(v, "level"))).otherwise(guess_level(v)).alias("level"),
-        F.when(F.col("_json"), F.coalesce(field(v, "body"), F.lit(""))).otherwise(v).alias("body"),
-        F.when(F.col("_json"), field(v, "trace_id")).alias("trace_id"),
-        F.when(F.col("_json"), F.from_json(attrs, "map<string,string>")).alias("attrs"),
+    # one reading of the line gives all its fields; what is no object gives null
+    m = F.when(F.regexp_like(v, F.lit(r"^\s*\{")), F.from_json(v, "map<string,string>"))
+    x = x.withColumn("_m", once(m))
+    names = [F.col(f"`{c}`") for c in lines.columns if c != line]
+    f = {k: of_map(F.col("_m"), k) for k in KEYS}
+    x = x.select(*names, v.alias("_v"), "_m", *[once(c).alias(f"_{k}") for k, c in f.items()])
+    is_json = F.col("_m").isNotNull()
+    attrs = F.coalesce(F.element_at("_m", F.lit("attrs")), F.element_at("_m", F.lit("LogAttributes")))
+    return x.select(
+        *names,
+        F.when(is_json, F.coalesce(parse_ts(F.col("_ts")), now)).otherwise(now).alias("ts"),
+        F.when(is_json, F.coalesce("_service", F.lit("unknown"))).otherwise("unknown").alias("service"),
+        F.when(is_json, normalize_level(F.col("_level"))).otherwise(guess_level(F.col("_v"))).alias("level"),
+        F.when(is_json, F.coalesce("_body", F.lit(""))).otherwise(F.col("_v")).alias("body"),
+        F.when(is_json, F.col("_trace_id")).alias("trace_id"),
+        F.when(is_json, F.from_json(attrs, "map<string,string>")).alias("attrs"),
     )
 
 
