@@ -99,6 +99,15 @@ def test_components(spark):
     assert got == {**{i: 1 for i in range(1, 41)}, 90: 90, 95: 90, 100: 90}
 
 
+def test_components_of_long_paths(spark):
+    rng, n = random.Random(5), 3000
+    ids = rng.sample(range(10**6), n)
+    path = list(zip(ids, ids[1:]))  # a chain in random order of ids
+    turned = [10**7, *range(10**7 + n, 10**7, -1)]  # the root lies at the far end of a region
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(path + list(zip(turned, turned[1:])), "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(ids, min(ids)), **dict.fromkeys(turned, 10**7)}
+
+
 def test_nearest_neighbours_recall(spark):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(12, 16))
