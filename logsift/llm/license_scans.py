@@ -1,9 +1,10 @@
 """License scans by sentence rules.
 
-A text is cut into sentences; each is normalised and looked up among known licence sentences. The identifiers, in order,
-are matched against ordered licence rules: a rule is a sequence of identifiers that must stand one after another (other
-sentences may stand between, other known ones may not). Of rules that match at a place the longest wins, and its
-sentences are used up.
+A text is cut into pieces at line ends and sentence marks; runs of normalised pieces within a paragraph are looked up
+among known licence sentences, the longest first, so that wrapped lines and marks inside a sentence (``;``, ``v. 2.0``)
+don't hide one. The identifiers, in order, are matched against ordered licence rules: a rule is a sequence of identifiers
+that must stand one after another (other sentences may stand between, other known ones may not). Of rules that match at a
+place the longest wins, and its sentences are used up.
 
 Defined results. Null or empty text: no licence. Texts are read whole. Rows with equal or null keys are scanned one by
 one. Empty table: no rows. Clashing columns are replaced.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 #: Every known sentence holds one of these; a text without any is not cut.
-ANCHORS = ("licen", "warrant", "redistribut", "permission", "copyright", "public domain")
+ANCHORS = ("licen", "warrant", "redistribut", "permission", "copyright", "domain")
 #: Identifier: normalised sentences. {v} runs over VERSIONS of the identifier.
 SENTENCES = {
     "mit.name": ["released under the mit license", "licensed under the mit license", "this work is licensed under the mit license", "this software is released under the mit license"],
@@ -61,6 +62,7 @@ RULES = [
 ]
 
 _CUT = re.compile(r"(?<=[.!?;:])[\"')\]]*\s+|[\r\n]+")
+_LINE_END = re.compile(r"\r\n|\r|\n")
 _OTHER = re.compile(r"[\W_]+")
 
 
@@ -81,6 +83,24 @@ def known() -> dict[str, tuple[str, str]]:
 
 
 _KNOWN = known()
+#: First words of the known sentences, by which a run of pieces may go on.
+_STARTS = {s[:i] for s in _KNOWN for i, c in enumerate(s) if c == " "}
+
+
+def paragraphs(text: str) -> list[list[str]]:
+    """Normalised pieces by paragraph, which ends at a blank line or one of marks only."""
+    out, at = [[]], 0
+    for m in [*_CUT.finditer(text), None]:
+        # a licence sentence may also stand after a bullet or a comment mark, which normalising drops
+        if piece := normalised(text[at : m.start() if m else len(text)]):
+            out[-1].append(piece)
+        elif out[-1]:
+            out.append([])
+        if m:
+            at = m.end()
+            if len(_LINE_END.findall(m[0])) > 1 and out[-1]:
+                out.append([])
+    return out
 
 
 def identifiers(text: str | None) -> list[tuple[str, str]]:
@@ -89,10 +109,19 @@ def identifiers(text: str | None) -> list[tuple[str, str]]:
     if not any(a in low for a in ANCHORS):
         return []
     found = []
-    for s in _CUT.split(text):
-        # a licence sentence may also stand after a bullet or a comment mark, which normalising drops
-        if hit := _KNOWN.get(normalised(s)):
-            found.append(hit)
+    for part in paragraphs(text):
+        i = 0
+        while i < len(part):
+            run, hit, end = part[i], _KNOWN.get(part[i]), i + 1
+            for j in range(i + 1, len(part)):
+                if run not in _STARTS:
+                    break
+                run = f"{run} {part[j]}"
+                if run in _KNOWN:
+                    hit, end = _KNOWN[run], j + 1
+            if hit:
+                found.append(hit)
+            i = end
     return found
 
 

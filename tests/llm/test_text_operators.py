@@ -163,6 +163,52 @@ def test_license_rules_take_the_longest():
     assert all(any(a in s for a in ls.ANCHORS) or k in ("apache.name",) for s, (k, _) in ls.known().items() if not s.startswith(("licensed", "released")))
 
 
+GPL = """This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation{1} either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+MIT = """Copyright (c) 2020 A. Writer
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+NOTICES = [
+    (GPL.format(":", ","), ["GPL-3"], ["gpl.free", "gpl.hope"]), (GPL.format(";", ";"), ["GPL-3"], ["gpl.free", "gpl.hope"]), (MPL, ["MPL-2.0"], ["mpl.name"]),
+    (MIT, ["MIT"], ["mit.grant", "mit.condition", "as_is"]), (BSD, ["BSD"], ["bsd.grant", "bsd.source", "bsd.binary"]), (APACHE, ["Apache-2.0"], ["apache.name", "apache.comply", "apache.basis"]),
+    ("This work is dedicated to the public domain", ["CC0"], ["cc0.name"]),
+]
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+@pytest.mark.parametrize("width", [None, 24, 72, 80])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_whole_notices_are_recognised(mark, width, end):
+    import textwrap
+
+    for text, licenses, sentences in NOTICES:
+        lines = [x for line in text.split("\n") for x in ((textwrap.wrap(line, width) if width else [line]) or [""])]
+        ids = ls.identifiers("Some prose" + end + end + end.join(mark + x for x in lines) + end)
+        assert [k for k, _ in ids] == sentences and ls.recognised(ids) == licenses
+
+
+def test_license_sentences_start_and_end_at_cuts():
+    for text in ("It is not released\nunder the MIT License.", "Released under the MIT\n\nLicense.", "Released under the\nMIT License of old."):
+        assert ls.identifiers(text) == []
+    assert ls.recognised(ls.identifiers("prose without a mark\nReleased under the MIT License\nmore prose")) == ["MIT"]
+
+
 def test_license_frame(spark):
     out = {r["doc_id"]: r for r in ls.license_scan(frame(spark, [None, "Released under the MIT License.", "x"])).collect()}
     assert [out[i]["n_licenses"] for i in range(3)] == [0, 1, 0]
