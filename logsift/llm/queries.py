@@ -51,11 +51,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = piece_rows(model_path())
-    both = decode(encode(turns, pieces), pieces)
+    both = decode(encode(docs, pieces), pieces)
     whole = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
-    return both.select("conv_id", "turn", F.size("ids").cast("long").alias("n_ids"), F.array_join("ids", " ").alias("ids"), whole.alias("round_trip"))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.array_join("ids", " ").alias("ids"), whole.alias("round_trip"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

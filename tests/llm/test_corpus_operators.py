@@ -218,6 +218,18 @@ def test_sentencepiece_equals_the_library(spark):
     assert sp.encode(spark.createDataFrame([], "k int, text string"), pieces).count() == 0
 
 
+def test_sentencepiece_query_covers_the_documents(spark):
+    import sentencepiece
+
+    source = "/root/testdata/sf0.001"
+    if not os.path.isdir(source):
+        pytest.skip("no tables")
+    lib = sentencepiece.SentencePieceProcessor(model_file=queries.model_path())
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{source}/documents.parquet").collect()}
+    out = queries.op5_sentencepiece(spark, source).collect()
+    assert len(out) == len(texts) and {r["doc_id"]: r["ids"] for r in out} == {i: " ".join(map(str, lib.encode(t))) for i, t in texts.items()}
+
+
 def test_viterbi_equals_all_segmentations(spark):
     rng = random.Random(4)
     names = ["▁", "a", "b", "c", "ab", "bc", "abc", "▁a", "▁ab", "cab", "ca"]
