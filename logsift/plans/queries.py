@@ -157,7 +157,7 @@ def window_scan(spark, d):
     day = F.expr("TIMESTAMP_NTZ'2024-01-02 00:00:00'"), F.expr("TIMESTAMP_NTZ'2024-01-09 00:00:00'")
     x = table(spark, d, "events")
     found = x.where((F.col("ts") >= day[0]) & (F.col("ts") < day[1]))
-    return found.orderBy("ts", "event_id").limit(2000).select("event_id", "ts", "event_type")
+    return found.orderBy("ts", "event_id").select("event_id", "ts", "event_type")
 
 
 def synth_logs(spark, d):
@@ -247,7 +247,7 @@ def sensitive_hits(spark, d):
 
 
 def cluster_order(spark, d):
-    x = reduce.ordered(reduce.cluster_agg(lines(spark, d))).select("template_id", "level", "count", "first_seq").limit(10)
+    x = reduce.ordered(reduce.cluster_agg(lines(spark, d))).select("template_id", "level", "count", "first_seq")
     return x
 
 

@@ -30,6 +30,18 @@ def test_query_equals_duckdb(spark, name):
     assert row(a) == row(b)
 
 
+def test_window_scan_and_cluster_order_keep_all_rows(spark):
+    source = "/root/testdata/sf0.01"
+    if not os.path.isdir(source):
+        pytest.skip("no tables")
+    week = spark.read.parquet(f"{source}/events.parquet").where("ts >= TIMESTAMP_NTZ'2024-01-02 00:00:00' AND ts < TIMESTAMP_NTZ'2024-01-09 00:00:00'")
+    want = sorted((r["ts"], r["event_id"]) for r in week.collect())
+    assert len(want) > 2000 and [(r["ts"], r["event_id"]) for r in QUERIES["window_scan"](spark, source).collect()] == want
+    ids = {r["template_id"] for r in QUERIES["cluster_agg"](spark, source).select("template_id").collect()}
+    found = [r["template_id"] for r in QUERIES["cluster_order"](spark, source).collect()]
+    assert len(found) == len(ids) > 10 and set(found) == ids
+
+
 def test_entry(spark):
     if os.path.isdir(TABLES):
         assert entry.entry(spark).limit(1).count() == 1
