@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,17 +36,43 @@ def crc_mod(col: str, mod: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % mod
 
 
-def small_batches(df: DataFrame, rows: int = 1000) -> None:
-    """From now on the session hands Python at most so many rows at once: texts are long, and workers have little memory."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+#: Rows that Python gets at once, at most: texts are long, and workers have little memory.
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> None:
+    """Holds the session's Arrow batches at ``BATCH_ROWS`` rows, or at fewer if it asks for fewer.
+
+    Spark reads this setting when a plan runs, after an operator has returned its frame, so it stays set. All operators
+    ask for the same number, and none raises it.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, BATCH_ROWS)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """At most ``limit`` labelled rows (those of the smallest hashes) outside the held-out fold: key, text, y.
+
+    Labels are bounded before the join, and the rows that they find after it: a key may come again in ``docs``.
+    """
+    few = labels.where(F.col(label).isNotNull() & (crc_mod(key, mod) != held)).groupBy(key).agg(F.max(label).alias("y"))
+    few = few.orderBy(F.xxhash64(key), key).limit(limit)
+    found = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(few), key)
+    return found.orderBy(F.xxhash64(key), key, F.xxhash64("text")).limit(limit)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Rows written to the checkpoint folder that all executors share, with the lineage cut there.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (as in tests) a local one is taken.
+    The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a local folder does for a local master
+    only, as in tests; on a cluster its absence is an error, since executors don't share their disks.
     """
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
+        shared = spark.conf.get("spark.checkpoint.dir", "")
+        if not shared and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)

@@ -5,7 +5,7 @@ diagonal; scores are the logistic of the difference of the classes' Gaussian log
 Mahalanobis distances by Cholesky factors that are inverted once and kept in the model.
 
 Training reads at most ``MAX_TRAIN`` labelled rows (of the smallest hashes). Defined results. Null text counts as empty,
-whose statistics are all 0. Rows with equal or null keys are scored one by one. Without labelled rows of both classes
+whose statistics are 0, but for the spread of its words, which is 1 for texts of one word or none. Rows with equal or null keys are scored one by one. Without labelled rows of both classes
 every score is the share of label 1 (0 if there are none). Empty table: no rows. Clashing columns are replaced.
 """
 
@@ -19,8 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, ratio, small_batches, words_of
-from .toxicity import labelled
+from .common import crc_mod, labelled, ratio, small_batches, words_of
 
 MAX_TRAIN = 20_000
 STATISTICS = ["log_words", "word_length", "symbols", "capitals", "exclamations", "letters", "repeated_lines", "distinct_words", "line_length", "digits", "commas"]

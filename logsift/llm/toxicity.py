@@ -2,8 +2,9 @@
 
 Training reads at most ``MAX_TRAIN`` labelled rows (those of the smallest hash), counts words by class in Spark, keeps
 the ``MAX_WORDS`` words of the highest log-likelihood ratio, and fits on the driver. Each labelled text that mentions an
-identity term has a counterfactual in which the term is swapped for others of its kind; the squared change of the score
-is penalised, as are changes over a few neutral sentences about groups. Scoring is one pass over Arrow batches.
+identity term has counterfactuals, in which the term is swapped for each other one of its kind and all features (words
+and stems) are made anew; the squared change of the score's logit is penalised, as it is over a few neutral sentences
+about groups. Scoring is one pass over Arrow batches.
 
 Defined results. Null text counts as empty; the empty text has the model's bias as its score. Texts are read whole.
 Rows with equal or null keys are scored one by one; a null key is held in as if it were the empty text. Without labelled
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, small_batches
+from .common import crc_mod, labelled, small_batches
 
 MAX_TRAIN = 16_000
 MAX_WORDS = 2_000
@@ -47,16 +48,39 @@ IDENTITY = [
 NEUTRAL = ["{} people live here", "a talk by {} writers", "the {} community met"]
 
 _WORDS = re.compile(r"[^\W\d_]+")
+_KINDS = {t: [u for u in group if u != t] for group in IDENTITY for t in group}
 
 
 #: Lengths of the stems (beginnings) of longer words, which are written with a hyphen at the end.
 STEMS = (4, 5, 6)
 
 
+def whole_words(text: str | None) -> set[str]:
+    """Distinct lower-cased words of letters."""
+    return set(_WORDS.findall((text or "").lower()))
+
+
+def stemmed(whole: set[str]) -> set[str]:
+    """The words with their stems: all features of a text that has these words."""
+    return whole.union(*({w[:n] + "-" for w in whole if len(w) > n} for n in STEMS))
+
+
 def words(text: str | None) -> set[str]:
-    """Distinct lower-cased words of letters, and their stems."""
-    found = set(_WORDS.findall((text or "").lower()))
-    return found.union(*({w[:n] + "-" for w in found if len(w) > n} for n in STEMS))
+    """Features of a text: its words and their stems."""
+    return stemmed(whole_words(text))
+
+
+def swaps(whole: set[str]) -> Iterator[tuple[list[str], list[str], float]]:
+    """(features gained, features lost, weight) of each counterfactual of a text with these words.
+
+    Each identity term gives way to every other one of its kind; the counterfactuals of one term weigh 1 in all.
+    """
+    before = None
+    for term in sorted(whole & _KINDS.keys()):
+        before = before or stemmed(whole)
+        for other in _KINDS[term]:
+            after = stemmed(whole - {term} | {other})
+            yield sorted(after - before), sorted(before - after), 1 / len(_KINDS[term])
 
 
 @dataclass
@@ -75,45 +99,72 @@ class Model:
 
 def numbered(vocabulary: list[str]) -> dict[str, int]:
     """Columns of the model: the vocabulary and all identity terms."""
-    return {w: i for i, w in enumerate(dict.fromkeys([*vocabulary, *(t for group in IDENTITY for t in group)]))}
+    return {w: i for i, w in enumerate(dict.fromkeys([*vocabulary, *_KINDS]))}
+
+
+@dataclass
+class Sparse:
+    """Rows of a matrix: row, column and value of each entry, and a weight of each row."""
+
+    row: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+    weight: np.ndarray
+
+    @staticmethod
+    def of(rows: list[tuple[np.ndarray, np.ndarray]], weight) -> Sparse:
+        """rows: (columns that hold 1, columns that hold -1)."""
+        size = [len(a) + len(b) for a, b in rows]
+        both = [x for r in rows for x in r]
+        sign = np.repeat(np.tile([1.0, -1.0], len(rows)), [len(x) for x in both])
+        column = np.concatenate(both).astype(np.int64) if both else np.zeros(0, np.int64)
+        return Sparse(np.repeat(np.arange(len(rows)), size), column, sign, np.asarray(weight, dtype=float))
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * w[self.column], len(self.weight))
+
+    def back(self, v: np.ndarray, columns: int) -> np.ndarray:
+        return np.bincount(self.column, self.value * v[self.row], columns)
+
+
+def loss_and_gradient(w: np.ndarray, bias: float, x: Sparse, y: np.ndarray, changes: Sparse, l2: float, swap: float) -> tuple[float, np.ndarray, float]:
+    """Log loss + l2/2 |w|² + swap/2 · the weighted squares of the score changes; its gradient by w and by the bias."""
+    z = x.times(w) + bias
+    e = x.weight * (1 / (1 + np.exp(-z)) - y)
+    d = changes.times(w)
+    loss = (x.weight * (np.logaddexp(0, z) - y * z)).sum() + l2 / 2 * (w @ w) + swap / 2 * (changes.weight * d * d).sum()
+    return float(loss), x.back(e, len(w)) + l2 * w + swap * changes.back(changes.weight * d, len(w)), float(e.sum())
+
+
+def _columns(found, at: dict[str, int]) -> np.ndarray:
+    return np.array(sorted(at[w] for w in found if w in at), dtype=np.int32)
 
 
 def fit(rows: list[set[str]], y: np.ndarray, vocabulary: list[str], **how) -> Model:
-    """The model of texts given as sets of words."""
+    """The model of texts given as sets of whole words."""
     at = numbered(vocabulary)
-    return fit_columns([np.array(sorted(at[w] for w in x if w in at), dtype=np.int32) for x in rows], y, at, **how)
+    changes = [(_columns(a, at), _columns(b, at), k) for x in rows for a, b, k in swaps(x)]
+    return fit_columns([_columns(stemmed(x), at) for x in rows], y, changes, at, **how)
 
 
-def fit_columns(rows: list[np.ndarray], y: np.ndarray, at: dict[str, int], l2: float = 1.0, swap: float = 20.0, rounds: int = 400) -> Model:
-    """Minimises log loss + l2 |w|² + swap · mean squared score change under identity swaps, by accelerated descent.
+def fit_columns(rows: list[np.ndarray], y: np.ndarray, changes: list[tuple[np.ndarray, np.ndarray, float]], at: dict[str, int], l2: float = 1.0, swap: float = 20.0, rounds: int = 400) -> Model:
+    """Minimises ``loss_and_gradient`` by accelerated descent.
 
-    rows: the columns that each text has.
+    rows: the columns that each text has; changes: columns gained and lost, and weight, of each counterfactual. Neutral
+    sentences with every identity term come in as texts of label 0 and, like all texts, with their counterfactuals.
     """
     if len(rows) == 0 or y.min() == y.max():
         return Model(prior=float(y.mean()) if len(rows) else 0.0)
-    kinds = {at[t]: [at[u] for u in group if u != t] for group in IDENTITY for t in group}
-    extra = [np.array(sorted(at[w] for w in words(s.format(t)) if w in at), dtype=np.int32) for group in IDENTITY for t in group for s in NEUTRAL]
-    mark = np.concatenate([np.ones(len(rows)), np.full(len(extra), 0.1)])
-    rows, y = [*rows, *extra], np.concatenate([y, np.zeros(len(extra))])
-    r, c = np.repeat(np.arange(len(rows)), [len(x) for x in rows]), np.concatenate(rows).astype(np.int64)
-    # a row with term t has, for every other term u of its kind, the counterfactual whose score differs by w[u] - w[t]
-    change: dict[tuple[int, int], float] = {}
-    named = np.isin(c, list(kinds))
-    held = set(zip(r[named].tolist(), c[named].tolist()))
-    for i, t in held:
-        for u in kinds[t]:
-            if (i, u) not in held:
-                change[t, u] = change.get((t, u), 0) + mark[i] / len(kinds[t])
-    a, b, k = (np.array(x) for x in zip(*((i, j, v) for (i, j), v in sorted(change.items())))) if change else (np.zeros(0, int),) * 3
-    w, bias, n = np.zeros(len(at)), float(np.log(y.mean() / (1 - y.mean()))), len(rows)
+    neutral = [whole_words(s.format(t)) for t in _KINDS for s in NEUTRAL]
+    none = np.zeros(0, dtype=np.int32)
+    x = Sparse.of([(r, none) for r in [*rows, *(_columns(stemmed(n), at) for n in neutral)]], [*np.ones(len(rows)), *np.full(len(neutral), 0.1)])
+    y = np.concatenate([y, np.zeros(len(neutral))])
+    pairs = [*changes, *((_columns(a, at), _columns(b, at), k) for n in neutral for a, b, k in swaps(n))]
+    swapped = Sparse.of([(a, b) for a, b, _ in pairs], [k for _, _, k in pairs])
+    w, bias = np.zeros(len(at)), float(np.log(y.mean() / (1 - y.mean())))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-(np.bincount(r, w[c], n) + bias)))
-        e = mark * (p - y)
-        g = np.bincount(c, e[r], len(w)) + l2 * w
-        d = swap * k * (w[b] - w[a])
-        g += np.bincount(b, d, len(w)) - np.bincount(a, d, len(w)) if len(a) else 0
-        gb = e.sum()
+        _, g, gb = loss_and_gradient(w, bias, x, y, swapped, l2, swap)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         rate = 0.1 / (1 + step / 100)
@@ -122,13 +173,6 @@ def fit_columns(rows: list[np.ndarray], y: np.ndarray, at: dict[str, int], l2: f
     return Model(float(bias), {t: float(w[i]) for t, i in at.items() if w[i]})
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """At most ``limit`` labelled rows (of the smallest hashes) outside the held-out fold: key, text, y."""
-    few = labels.where(F.col(label).isNotNull() & (crc_mod(key, mod) != held)).groupBy(key).agg(F.max(label).alias("y"))
-    few = few.orderBy(F.xxhash64(key), key).limit(limit)
-    return docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(few), key)
-
-
 def train(rows: DataFrame) -> Model:
     """rows: text, y; a bounded frame (see ``labelled``)."""
 
@@ -138,7 +182,7 @@ def train(rows: DataFrame) -> Model:
                 part = x.iloc[i : i + 50]
                 yield pd.DataFrame({"y": part["y"], "w": [sorted(words(t)) for t in part["text"]]})
 
-    small_batches(rows, 200)
+    small_batches(rows)
     found = rows.select("y", "text").mapInPandas(listed, "y int, w array<string>").persist()
     try:
         total = found.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("k")).first()
@@ -153,14 +197,19 @@ def train(rows: DataFrame) -> Model:
         vocabulary = [x["w"] for x in best.collect()]
         at = numbered(vocabulary)
 
+        kind = "y int, c array<int>, changes array<struct<gained:array<int>,lost:array<int>,weight:double>>"
+
         def columns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for x in batches:  # small ones, as they were made
-                yield pd.DataFrame({"y": x["y"], "c": [sorted(at[w] for w in ws if w in at) for ws in x["w"]]})
+                changes = [[(_columns(a, at), _columns(b, at), k) for a, b, k in swaps({w for w in ws if w[-1] != "-"})] for ws in x["w"]]
+                changes = [[{"gained": a, "lost": b, "weight": k} for a, b, k in c if len(a) or len(b)] for c in changes]
+                yield pd.DataFrame({"y": x["y"], "c": [_columns(ws, at) for ws in x["w"]], "changes": changes})
 
-        x = found.mapInPandas(columns, "y int, c array<int>").toPandas()
+        x = found.mapInPandas(columns, kind).toPandas()
     finally:
         found.unpersist()
-    return fit_columns([np.asarray(c, dtype=np.int32) for c in x["c"]], x["y"].to_numpy(float), at)
+    changes = [(np.asarray(e["gained"], np.int32), np.asarray(e["lost"], np.int32), e["weight"]) for c in x["changes"] for e in c]
+    return fit_columns([np.asarray(c, dtype=np.int32) for c in x["c"]], x["y"].to_numpy(float), changes, at)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

@@ -158,8 +158,8 @@ def test_packing(spark):
     t = Tokenizer.from_file(path)
     rng = random.Random(2)
     texts = [None, "", "one", "ünïcode 🙂 text", "<|endoftext|> is text"] + [" ".join(rng.choice(["alpha", "beta", "gamma"]) for _ in range(rng.choice([5, 300, 1023, 1024, 2500]))) for _ in range(60)]
-    rows = [(i, s) for i, s in enumerate(texts)] + [(None, "no key"), (3, texts[3])]
-    t.encode_special_tokens = True
+    texts += ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", " <|endoftext|> ", "<|endof <|endoftext|", "x" * 3000 + "<|endoftext|>" + " y" * 1500]
+    rows = [(i, s) for i, s in enumerate(texts)] + [(None, "no key"), (3, texts[3])] + [(None, None)] * 40
     got = packing.best_fit_packing(docs(spark, rows), path).collect()
     by: dict = {}
     for r in got:
@@ -181,6 +181,46 @@ def test_packing(spark):
     assert packing.best_fit_packing(docs(spark, []), path).count() == 0
 
 
+def test_encoder_equals_the_library_both_ways(monkeypatch):
+    import builtins
+
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    t = Tokenizer.from_file(path)
+    source = "/root/testdata/sf0.001/documents.parquet"
+    import pandas as pd
+
+    texts = [x or "" for x in pd.read_parquet(source)["text"]] if os.path.exists(source) else []
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "<|startoftext|>", "a\u00a0\u3000b \r\n\t c", "🙂🙃 e\u0301", ""]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert want[texts.index("a <|endoftext|> b")] == [64, 220, 50256, 275]
+    packing._loaded.clear()
+    assert [packing.encoder(path)(x) for x in texts] == want
+    packing._loaded.clear()
+    real = builtins.open
+    monkeypatch.setattr(builtins, "open", lambda f, *a, **k: (_ for _ in ()).throw(FileNotFoundError(f)) if str(f).endswith(".tiktoken") else real(f, *a, **k))
+    assert [packing.encoder(path)(x) for x in texts] == want
+    packing._loaded.clear()
+
+
+def test_plain_rule_may_open_a_sequence_early():
+    lengths = [random.Random(7).randint(1, 60) for _ in range(300)]
+    seq, off = packing.sum_of_squares(np.array(lengths), 64, early=True)
+    gaps: dict[int, int] = {}
+    for n, b, o in zip(lengths, seq, off):
+        count = Counter(g for g in gaps.values() if g)
+
+        def after(g):
+            c = count + Counter([g - n] if g > n else [])
+            c.subtract([g] if g < 64 else [])
+            return sum(v * v for v in c.values())
+
+        choices = [g for g in count if g >= n] + [64]
+        assert 64 - o == min(choices, key=lambda g: (after(g), g)) == gaps.get(b, 64)
+        gaps[b] = 64 - o - n
+
+
 def test_sum_of_squares_rule():
     lengths = sorted((random.Random(1).randint(1, 60) for _ in range(400)), reverse=True)
     seq, off = packing.sum_of_squares(np.array(lengths), 64)

@@ -123,6 +123,56 @@ def test_identity_terms_weigh_alike():
     assert fair["awful"] > 1
 
 
+def test_stems_of_identity_terms_weigh_alike():
+    """One group stands only beside a toxic word, another only in clean sentences; the vocabulary has all words and stems."""
+    texts = ["those muslims are awful", "the muslims here are awful people", "christians sang in town", "a few christians met"] * 30
+    y = np.array([1.0, 1.0, 0.0, 0.0] * 30)
+    vocabulary = sorted(set().union(*map(tx.words, texts)))
+    assert "musl-" in vocabulary and "chris-" in vocabulary
+    plain, fair = (tx.fit([tx.whole_words(t) for t in texts], y, vocabulary, swap=s) for s in (0.0, 20.0))
+    group = next(g for g in tx.IDENTITY if "muslims" in g)
+    spread = lambda m: np.ptp([m.score(f"a group of {t} met") for t in group])
+    assert spread(plain) > 0.25 and spread(fair) < 0.02
+    for kind in tx.IDENTITY:
+        for s in tx.NEUTRAL:
+            assert np.ptp([fair.score(s.format(t)) for t in kind]) < 0.02
+    assert fair.score("awful") > 0.5
+
+
+def test_counterfactuals_are_those_of_the_swapped_text():
+    text = "Women and men of the muslim town"
+    want = []
+    for term, others in (("men", ["women", "girls", "boys"]), ("muslim", ["christian", "jewish", "hindu", "buddhist", "atheist"]), ("women", ["men", "girls", "boys"])):
+        for o in others:
+            after = tx.words(re.sub(rf"\b{term}\b", o, text.lower()))
+            want.append((sorted(after - tx.words(text)), sorted(tx.words(text) - after), 1 / len(others)))
+    assert list(tx.swaps(tx.whole_words(text))) == want
+
+
+def test_loss_and_gradient_by_brute_force():
+    rng = np.random.default_rng(3)
+    k, n, m = 7, 12, 9
+    some = lambda: np.flatnonzero(rng.random(k) < 0.4)
+    rows, pairs = [some() for _ in range(n)], [(some(), some()) for _ in range(m)]
+    pairs = [(np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b in pairs]
+    u, v, y, w, bias = rng.random(n), rng.random(m), (rng.random(n) < 0.5).astype(float), rng.normal(size=k), 0.3
+    x, c = tx.Sparse.of([(r, np.zeros(0, int)) for r in rows], u), tx.Sparse.of(pairs, v)
+
+    def slow(w, bias):
+        out = 0.7 / 2 * sum(float(a) ** 2 for a in w)
+        for r, weight, label in zip(rows, u, y):
+            p = 1 / (1 + np.exp(-(sum(w[j] for j in r) + bias)))
+            out -= weight * np.log(p if label else 1 - p)
+        return out + 3.0 / 2 * sum(weight * (sum(w[j] for j in a) - sum(w[j] for j in b)) ** 2 for (a, b), weight in zip(pairs, v))
+
+    loss, g, gb = tx.loss_and_gradient(w, bias, x, y, c, 0.7, 3.0)
+    assert np.isclose(loss, slow(w, bias))
+    for j in range(k):
+        e = np.eye(k)[j] * 1e-5
+        assert np.isclose(g[j], (slow(w + e, bias) - slow(w - e, bias)) / 2e-5, atol=1e-6)
+    assert np.isclose(gb, (slow(w, bias + 1e-5) - slow(w, bias - 1e-5)) / 2e-5, atol=1e-6)
+
+
 def test_single_class_scores_its_share(spark):
     docs, labels = labelled(spark, 20)
     ones = labels.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
