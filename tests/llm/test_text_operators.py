@@ -312,3 +312,56 @@ def test_html_extraction(spark):
     assert got.startswith("Title word") and "tiny" in got and got.endswith("more") and "Link" not in got
     rows = spark.createDataFrame([(1, None, "a"), (2, PAGE, "b"), (2, PAGE, "b")], "page_id long, html string, text string")
     assert sorted((r["page_id"], r["n_chars"]) for r in he.html_extraction(rows).collect()) == [(1, 0), (2, 80), (2, 80)]
+
+
+BODY = "<p>The first paragraph of the story is long enough to be read as prose by anyone.</p><div class='{}'>A second block of prose stands in a marked element, and it is as long as the others are.</div><p>A third one closes the story, and has as many words as the first.</p>"
+MENU = "<ul>" + "".join(f"<li><a href='{i}'>Link {i}</a></li>" for i in range(8)) + "</ul>"
+
+
+@pytest.mark.parametrize("mark", ["alert", "related", "discussion", "promotion", "social", "banner", "search-term", "content has-sidebar"])
+def test_hints_do_not_drop_prose(mark):
+    want = " ".join(re.sub("<[^>]*>", " ", BODY).split())
+    for wrapper in ("article", "div", "section"):
+        page = f"<body><nav>{MENU}</nav><div class='ad'>Buy this now, it is cheap and good for you.</div><{wrapper}>{BODY.format(mark)}</{wrapper}><footer>Us</footer></body>"
+        assert he.main_text(page) == want
+    assert he.main_text(f"<body><div class='content has-sidebar'><h1>Head</h1>{BODY.format('x')}</div>{MENU}</body>") == "Head " + want
+
+
+@pytest.mark.parametrize("mark", ["ad", "sidebar", "comments", "cookie", "newsletter", "breadcrumbs"])
+def test_plain_names_of_other_parts_are_dropped(mark):
+    page = f"<body><div><h1>Head</h1>{BODY.format(mark)}<p>x</p></div></body>"
+    assert "A second block" not in he.main_text(page) and he.main_text(page).endswith("the first. x") and he.main_text(page).startswith("Head The first")
+
+
+def test_short_lines_with_a_hint_are_dropped():
+    filler = "".join(f"<p>{'word ' * 60}</p>" for _ in range(8))
+    page = f"<body><div>{filler}<div class='related-posts'><ul>{'<li>See also</li>' * 30}</ul></div>{filler}<p>end</p></div></body>"
+    assert he.main_text(page).split() == ["word"] * 960 + ["end"]
+
+
+def test_html_of_the_tables_with_and_without_article_tags():
+    import html
+    import os
+
+    import pandas as pd
+
+    source = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.exists(source):
+        pytest.skip("no tables")
+    for page in pd.read_parquet(source)["html"].fillna(""):
+        inner = re.search("<article>(.*?)</article>", page, re.S)
+        want = " ".join(html.unescape(re.sub("<[^>]*>", " ", inner[1])).split()) if inner else ""
+        plain = page.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert he.main_text(page) == he.main_text(plain) == want
+
+
+def test_html_of_odd_shapes(spark):
+    deep = "<div>" * 20_000 + "<p>deep text</p>" + "</div>" * 20_000 + "</span></section>" * 5000
+    assert he.main_text(deep) == "deep text"
+    long = "<div>" + "<p>some words of text in a row</p>" * 20_000 + "</div>"
+    assert he.main_text(long) == " ".join(["some words of text in a row"] * 20_000)
+    assert he.main_text("<p>&lt;b&gt; &amp; &#233;&nbsp;x") == "<b> & é x"
+    assert he.main_text("<p>a<i>b</i>c<br>d<!-- no --><script>x</script> e") == "abc d e"
+    rows = spark.createDataFrame([(None, None, 1), (None, "<p>one</p>", 2), (3, "<", 3)], "page_id long, html string, n_chars int")
+    got = he.html_extraction(rows)
+    assert got.columns == ["page_id", "text", "n_chars"] and sorted(r["n_chars"] for r in got.collect()) == [0, 1, 3]
