@@ -1,7 +1,7 @@
 """URL filters: host and path rules first, else logistic regression on hashed character n-grams.
 
-The model is trained on the driver from a small labelled URL table (``labelled_urls``, or any bounded frame of url and
-bad). ``score`` runs it over Arrow batches.
+The model is trained on the driver from a small labelled URL table: ``labelled_urls``, or at most ``MAX_LABELLED`` rows
+of any frame of url and bad. ``url_filter`` runs it over Arrow batches.
 
 Defined results. Null url, or one without ``://``: empty host and path; no rule fits, the model's verdict holds for the
 empty strings. Empty table: no rows. Rows with equal or null keys are judged one by one. A clashing column is replaced.
@@ -29,35 +29,84 @@ RULES = [
 BITS = 14
 GRAMS = (3, 4, 5)
 
-#: Words of hosts and paths in the labelled table.
-BAD_WORDS = [
-    "spam", "farm", "cheap", "pills", "casino", "win", "ads", "track", "tracker", "free", "bets", "poker", "slots",
-    "viagra", "xxx", "porn", "loans", "payday", "warez", "crack", "clickbait", "popup", "jackpot", "replica", "torrent", "adult", "x",
-]
-GOOD_WORDS = [
-    "news", "blog", "docs", "wiki", "forum", "library", "school", "museum", "garden", "recipes", "science", "travel",
-    "history", "weather", "music", "review", "journal", "city", "market", "photo", "help", "shop", "research", "book", "code",
-]
-SYLLABLES = ["th", "er", "in", "on", "an", "ti", "es", "ha", "re", "nd", "ed", "le", "or", "is", "ou", "st"]
-PATHS = ["/", "/en/12", "/de/480.html", "/fr/77/", "/es/901", "/about", "/articles/2020/05/title", "/item/9"]
+#: Rows of the labelled table that are trained on, at most (those of the smallest hashes).
+MAX_LABELLED = 20_000
+
+#: Words of host names by topic in the labelled table, from general knowledge of what block lists hold and what they don't.
+BAD_TOPICS = {
+    "gambling": "casino gambling poker slots roulette jackpot bingo betting bets lottery wager blackjack sportsbook winner lucky",
+    "pharmacy": "pharmacy pills meds drugs viagra cialis steroids rx tablets diet slimming prescription",
+    "adult": "adult porn sex xxx escort webcam nude erotic hookup singles dating hot",
+    "tracking": "ads adserver adclick track tracker clicks popunder banners affiliate pixel traffic redirect",
+    "piracy": "warez crack keygen torrent nulled serials malware hack freedownload fullversion cheats",
+    "money": "payday loans cash credit debt bitcoin profit invest forex rich earn income",
+    "fakes": "replica cheap outlet discount knockoff wholesale deals luxury bargain coupon clearance",
+    "spam": "spam backlinks clickbait prize giveaway freegift bonus promo viral bulk",
+    "phishing": "verify secure login account update signin confirm wallet support billing unlock suspended",
+}
+GOOD_TOPICS = {
+    "news": "news herald times gazette daily tribune press reporter chronicle weather",
+    "learning": "school university library academy college courses lessons physics biology mathematics history",
+    "culture": "museum theatre gallery music orchestra poetry novels cinema photo painting",
+    "code": "docs developer python compiler kernel database wiki forum opensource manual archive",
+    "home": "garden recipes kitchen bakery knitting woodwork hiking cycling camping travel",
+    "public": "council hospital parliament transport fire police water parks census health",
+    "trade": "bookshop furniture plumbing bicycle hardware carpentry pottery brewery farmers tailor",
+    "science": "research journal astronomy geology climate chemistry laboratory institute ocean genetics",
+}
+#: Places around a topic's word in a host, and zones; {w} the word, {v} another of the topic.
+BAD_HOSTS = ["{w}-{v}.{z}", "best{w}.{z}", "www.{w}-{v}.{z}", "{w}{v}.{z}", "free-{w}.{z}", "blog.{w}-{v}.{z}", "www.{w}-online.{z}", "{w}24.{z}", "m.{w}-{v}.{z}", "get-{w}-now.{z}", "{w}.{v}.{z}", "{v}{w}77.{z}", "m.{v}-{w}.{z}", "top10{w}.{z}", "my{w}-{v}.{z}"]
+GOOD_HOSTS = ["{w}{v}.{z}", "www.{w}.{z}", "{w}.{v}.{z}", "blog.{w}-{v}.{z}", "{v}-{w}.{z}", "m.{w}{v}.{z}", "the{w}.{z}", "{w}.{z}", "www.{v}{w}.{z}", "city-{w}.{z}", "{w}club.{z}"]
+BAD_ZONES = ["com", "net", "org", "xyz", "top", "click", "win", "info", "biz", "loan"]
+GOOD_ZONES = ["com", "net", "org", "edu", "gov", "co.uk", "de", "fr", "io", "info"]
+#: Zones in which hosts of both labels lie.
+SHARED_ZONES = ["example.com", "example.net", "example.org", "com", "net", "org"]
+#: Paths that say nothing, and those that do.
+SHARED_PATHS = ["/", "/en/{n}", "/fr/{n}/", "/de/{n}.html", "/es/{n}", "/item/{n}", "/{n}.html", "/en/{n}.html", "/de/{n}/", "/es/{n}.html", "/fr/{n}"]
+BAD_PATHS = ["/buy", "/order.php", "/click/{n}", "/go/{n}", "/promo/{n}", "/download/setup.exe", "/free-trial", "/signup/bonus", "/win/{n}", "/cheap-{w}", "/login/verify", "/x/{n}.exe", "/out.php"]
+GOOD_PATHS = ["/about", "/articles/{y}/05/{w}", "/wiki/{w}", "/docs/{w}/index.html", "/blog/{y}/{w}", "/contact", "/{w}/{v}", "/archive/{y}", "/opening-hours", "/questions/{n}/{w}", "/{y}/08/14/{w}.html"]
 
 
 def labelled_urls() -> pd.DataFrame:
-    """A small labelled table made from the word lists above by rule: url, bad (1 or 0)."""
-    rows = []
-    zones = ["com", "net", "org", "example.com", "example.net", "example.org"]
-    for k, (a, b) in enumerate(itertools.product(BAD_WORDS, BAD_WORDS)):
-        if a != b and k % 3 == 0:
-            rows.append((f"http{'s' * (k % 2)}://{['', 'www.', 'm.'][k % 3]}{a}{'-' * (k % 4 != 0)}{b}.{zones[k % 6]}{PATHS[k % 8]}", 1))
-    for k, (a, b) in enumerate(itertools.product(GOOD_WORDS, GOOD_WORDS)):
-        if a != b and k % 3 == 0:
-            rows.append((f"http{'s' * (k % 2)}://{['', 'www.', 'm.', 'blog.'][k % 4]}{a}{'-' * (k % 3 == 0)}{b}.{zones[k % 6]}{PATHS[k % 8]}", 0))
-    for k, (a, b, c) in enumerate(itertools.product(SYLLABLES, repeat=3)):
-        if k % 7 == 0:
-            rows.append((f"http{'s' * (k % 2)}://{['', 'www.', 'm.', 'blog.'][k % 4]}{a}{b}{c}.{zones[k % 6]}{PATHS[k % 8]}", 0))
+    """The labelled table, made from the lists above by rule: url, bad (1 or 0).
+
+    Beside the topics it has invented names (of syllables) and empty urls, label 0, so that an unknown or missing name is
+    no reason to block.
+    """
+    rows, k = [], 0
+
+    def add(hosts, zones, paths, w, v, bad):
+        nonlocal k
+        for j in range(6):
+            z = (SHARED_ZONES if j % 2 else zones)[(k // 2) % (6 if j % 2 else len(zones))]
+            host, path = hosts[k % len(hosts)], (SHARED_PATHS if j < 4 else paths)[(k // 6 + 5 * j) % len(SHARED_PATHS if j < 4 else paths)]
+            fill = {"w": w, "v": v, "z": z, "n": 100 + 37 * k % 9000, "y": 2001 + k % 24}
+            rows.append((f"http{'s' * (k % 2)}://{(host + path).format(**fill)}", bad))
+            k += 1
+
+    for topics, hosts, zones, paths, bad in ((BAD_TOPICS, BAD_HOSTS, BAD_ZONES, BAD_PATHS, 1), (GOOD_TOPICS, GOOD_HOSTS, GOOD_ZONES, GOOD_PATHS, 0)):
+        for words in map(str.split, topics.values()):
+            for i, w in enumerate(words):
+                for step in (1, 4, 6) if bad else (1, 4):
+                    add(hosts, zones, paths, w, words[(i + step) % len(words)], bad)
+    syllables = [c + v for c in "b c d f g h l m n p r s t v w th st wh tr sh".split() for v in ("a", "e", "i", "o", "ou", "er", "en", "al", "io")]
+    for i in range(600):
+        name = "".join(syllables[(i * p + q) % len(syllables)] for p, q in ((7, 3), (31, 11), (53, 29))[: 2 + i % 2]) + ("", "n", "d", "s", "t", "ly", "ing")[i % 7]
+        add(["{w}.{z}", "m.{w}.{z}", "blog.{w}.{z}", "www.{w}.{z}"], GOOD_ZONES[:3], GOOD_PATHS, name, name[::-1], 0)
+    rows += [("http://" + "/" * (i % 2), 0) for i in range(40)]
     return pd.DataFrame(rows, columns=["url", "bad"])
 
 
+def bounded(labelled: DataFrame | pd.DataFrame | None) -> pd.DataFrame:
+    """The labelled table on the driver: the built-in one, or ``MAX_LABELLED`` rows (url, bad) of a given one."""
+    if labelled is None:
+        return labelled_urls()
+    if isinstance(labelled, pd.DataFrame):
+        return labelled.iloc[:MAX_LABELLED]
+    rows = labelled.select("url", F.col("bad").cast("int").alias("bad")).where("url is not null and bad is not null")
+    return rows.orderBy(F.xxhash64("url"), "url", "bad").limit(MAX_LABELLED).toPandas()
+
+
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; empty if there is none."""
     host = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\A.*?://([^/?#]*)", 1)
@@ -96,7 +145,7 @@ def split_url(url: str | None) -> tuple[str, str]:
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), rest[:end]
 
 
-def train(urls: pd.DataFrame, bits: int = BITS, l2: float = 1.0, rounds: int = 300, rate: float = 0.5) -> tuple[np.ndarray, float]:
+def train(urls: pd.DataFrame, bits: int = BITS, l2: float = 0.3, rounds: int = 400, rate: float = 0.5) -> tuple[np.ndarray, float]:
     """Weights and bias of an L2-regularised logistic regression; the table must fit on the driver, as it is small."""
     rows = [grams(*split_url(u), bits) for u in urls["url"]]
     y = urls["bad"].to_numpy(float)
@@ -124,9 +173,9 @@ def score_urls(host: pd.Series, path: pd.Series, model: tuple[np.ndarray, float]
     return 1 / (1 + np.exp(-out))
 
 
-def url_filter(pages: DataFrame, url: str = "url", rules=RULES, labelled: pd.DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
+def url_filter(pages: DataFrame, url: str = "url", rules=RULES, labelled: DataFrame | pd.DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """pages with host, path, rule, verdict and p_bad (the model's probability)."""
-    w, b = train(labelled_urls() if labelled is None else labelled)
+    w, b = train(bounded(labelled))
     model = pages.sparkSession.sparkContext.broadcast((w.astype("float32"), float(b)))
 
     @F.pandas_udf("double")

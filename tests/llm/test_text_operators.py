@@ -287,13 +287,58 @@ def test_url_filter(spark):
     assert out[13]["verdict"] == "block" and out[14]["verdict"] == "allow"
 
 
+def url_scores(urls, model):
+    parts = [uf.split_url(u) for u in urls]
+    return uf.score_urls([h for h, _ in parts], [x for _, x in parts], model)
+
+
 def test_url_model_on_held_out_urls():
     t = uf.labelled_urls()
     fold = t["url"].map(lambda u: zlib.crc32(u.encode()) % 4 == 0).to_numpy()
-    model = uf.train(t[~fold])
-    parts = [uf.split_url(u) for u in t["url"][fold]]
-    p = uf.score_urls([h for h, _ in parts], [x for _, x in parts], model)
-    assert ((p >= 0.5) == t["bad"][fold].to_numpy()).mean() > 0.97
+    assert ((url_scores(t["url"][fold], uf.train(t[~fold])) >= 0.5) == t["bad"][fold].to_numpy()).mean() > 0.97
+
+
+@pytest.mark.parametrize("fold", range(3))
+def test_url_model_on_words_that_training_lacks(fold):
+    t = uf.labelled_urls()
+    words = [w for topic in [*uf.BAD_TOPICS.values(), *uf.GOOD_TOPICS.values()] for w in topic.split()]
+    unseen = words[fold::3]
+    held = t["url"].map(lambda u: any(w in u for w in unseen)).to_numpy()
+    p = url_scores(t["url"][held], uf.train(t[~held]))
+    assert ((p >= 0.5) == t["bad"][held].to_numpy()).mean() > 0.8
+
+
+def test_url_model_on_hosts_that_are_in_no_list():
+    model = uf.train(uf.labelled_urls())
+    bad = ["http://hot-singles.com/", "http://bestgambling.org/", "http://malware-download.net/x.exe", "http://discount-meds.com/buy", "http://zzqqy.xyz/click/8", "http://grandbazino.top/win/9"]
+    good = ["https://en.wikipedia.org/wiki/Spark", "https://spark.apache.org/docs/latest/", "https://www.bbc.co.uk/news/world-123", "https://github.com/a/b", "https://stackoverflow.com/questions/1/a-b", "https://www.essex.ac.uk/about", "", "http://"]
+    assert all(url_scores(bad, model) >= 0.5) and all(url_scores(good, model) < 0.5)
+
+
+def test_url_table_is_bounded_and_may_be_a_frame(spark):
+    rows = spark.createDataFrame([("http://a-b.com/buy", 1), ("http://good.org/", 0), (None, 1), ("http://x.org/", None)], "url string, bad int")
+    assert sorted(uf.bounded(rows)["url"]) == ["http://a-b.com/buy", "http://good.org/"]
+    out = uf.url_filter(spark.createDataFrame([(1, "http://good.org/"), (1, "http://good.org/"), (2, "http://h.org/" + "p" * 200_000)], "page_id long, url string"), labelled=rows)
+    assert out.count() == 3 and max(len(r["path"]) for r in out.collect()) == 200_001
+
+
+def test_url_parts_and_rules_equal_sql(spark):
+    import os
+
+    duckdb = pytest.importorskip("duckdb")
+    source = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.exists(source):
+        pytest.skip("no tables")
+    rule = " ".join(f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN '{h}{p}|{v}'" for v, h, p in sorted(uf.RULES, key=lambda r: -len(r[1] + r[2])))
+    sql = rf"""WITH a AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1) AS h, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM '{source}'),
+    b AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM a), c AS (SELECT *, CASE {rule} END AS r FROM b)
+    SELECT page_id, host, path, split_part(r, '|', 1) AS rule, split_part(r, '|', 2) AS verdict FROM c"""
+    want = {r[0]: r[1:] for r in duckdb.sql(sql).fetchall()}
+    got = uf.url_filter(spark.read.parquet(source).select("page_id", "url")).collect()
+    assert len(got) == len(want) and sum(r["rule"] is not None for r in got) > 10
+    for r in got:
+        host, path, rule, verdict = want[r["page_id"]]
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and r["verdict"] == (verdict or ("block" if r["p_bad"] >= 0.5 else "allow"))
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href=x>Menu</a></li></ul></nav>
