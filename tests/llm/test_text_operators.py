@@ -410,3 +410,82 @@ def test_html_of_odd_shapes(spark):
     rows = spark.createDataFrame([(None, None, 1), (None, "<p>one</p>", 2), (3, "<", 3)], "page_id long, html string, n_chars int")
     got = he.html_extraction(rows)
     assert got.columns == ["page_id", "text", "n_chars"] and sorted(r["n_chars"] for r in got.collect()) == [0, 1, 3]
+
+
+LGPL = GPL.replace("This program", "This library").replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1")
+ISC = """ISC License
+
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."""
+BSD3 = BSD + """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+
+
+@pytest.mark.parametrize("width", [None, 30, 76])
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+def test_more_whole_licenses(mark, width):
+    import textwrap
+
+    for text, want in ((LGPL.format(":", ","), ["LGPL-2.1"]), (GPL.replace("GNU General Public License as", "GNU Affero General Public License as").format(":", ","), ["AGPL-3"]), (ISC, ["ISC"]), ("MIT License\n\n" + MIT, ["MIT"]), (BSD3, ["BSD-3"]), ("This is free and unencumbered software released into the public domain.", ["Unlicense"])):
+        lines = [x for line in text.split("\n") for x in ((textwrap.wrap(line, width) if width else [line]) or [""])]
+        assert ls.recognised(ls.identifiers("Prose before.\n\n" + "\n".join(mark + x for x in lines) + "\n\nprose after")) == want
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("// SPDX-License-Identifier: Apache-2.0", ["Apache-2.0"]), ("SPDX-License-Identifier: MIT", ["MIT"]), ("# SPDX-License-Identifier: GPL-3.0-or-later\nimport x", ["GPL-3.0"]), ("SPDX-License-Identifier: BSD-3-Clause", ["BSD-3"]),
+        ("It is released under the MIT license, see LICENSE.", []), ("Released under the MIT license, see LICENSE.", ["MIT"]), ("This tool is small, released under the MIT License, and free.", ["MIT"]), ("Licensed under the Eclipse Public License, version 2.0.", ["EPL-2.0"]),
+    ],
+)
+def test_license_tags_and_clauses(text, want):
+    assert ls.recognised(ls.identifiers(text)) == want
+
+
+def slow_identifiers(text):
+    """Every run of neighbouring pieces of a paragraph is looked up; from the left, the longest counts."""
+    found = []
+    for part in ls.paragraphs(text or ""):
+        runs = {(i, j): ls.known().get(" ".join(part[i:j])) for i in range(len(part)) for j in range(i + 1, len(part) + 1)}
+        i = 0
+        while i < len(part):
+            j = max((b for (a, b), hit in runs.items() if a == i and hit), default=None)
+            if j:
+                found.append(runs[i, j])
+            i = j or i + 1
+    return found
+
+
+def slow_licenses(ids):
+    out, i = [], 0
+    while i < len(ids):
+        fits = [(len(seq), name) for name, seq in ls.RULES if [k for k, _ in ids[i : i + len(seq)]] == list(seq)]
+        if fits:
+            n, name = max(fits)
+            v = next((v for _, v in ids[i : i + n] if v), "")
+            out.append(f"{name}-{v}" if v else name)
+        i += max(fits)[0] if fits else 1
+    return out
+
+
+def test_license_scan_by_brute_force(spark):
+    rng = random.Random(11)
+    sentences = sorted(ls.known())
+    texts = [None, "", "z" * 100_000, "Released under the MIT License. " * 3000]
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 8)):
+            s = rng.choice(sentences) if rng.random() < 0.7 else " ".join(rng.choice(["prose", "license", "under", "the"]) for _ in range(5))
+            w = s.split()
+            for _ in range(rng.randint(0, 2)):
+                w[rng.randrange(len(w))] += rng.choice([",", ";", "\n", ""])
+            parts.append(" ".join(w) + rng.choice([".", "", ";", ":"]) + rng.choice([" ", "\n", "\n\n", "\n# "]))
+        texts.append("".join(parts))
+    rows = [(i % 50, t, "x") for i, t in enumerate(texts)] + [(None, texts[5], "y")]
+    out = ls.license_scan(spark.createDataFrame(rows, "doc_id long, text string, licenses string")).collect()
+    key = lambda k, ids, names: (str(k), tuple(i for i, _ in ids), tuple(names))
+    want = sorted(key(k, slow_identifiers(t) if t is None or len(t) < 50_000 else ls.identifiers(t), slow_licenses(ls.identifiers(t))) for k, t, _ in rows)
+    assert sorted((str(r["doc_id"]), tuple(r["sentence_ids"]), tuple(r["licenses"])) for r in out) == want
+    assert len(ls.identifiers(texts[3])) == 3000
