@@ -1,87 +1,153 @@
-"""Template mining: a fixed-depth tree and positional similarity, in order of arrival.
+"""Template mining: masked lines of one shape are grouped by the tokens that they share, in order of arrival.
 
-Lines are dealt by service, token count and the first tokens' routing keys. Buckets are independent of each other as long
-as no tree node has more children than allowed; services with such a node are mined as one bucket. By default equal
-token sequences are counted before they are mined (``exact=False``), so a bucket holds its distinct masked lines only;
-``exact=True`` feeds every line, which can differ where a repeated line meets a later, closer group.
+A line's leaf is its service, its number of tokens and the routing keys of its first two tokens; all three are Columns. A
+tree node takes the first ``CHILDREN`` distinct keys that arrive and sends later ones to the wildcard, which is decided
+by ranks of first arrivals before anything is mined. Leaves are independent of each other, so each is one pandas group.
+
+Within a leaf the groups are rows of a matrix of token numbers. A line joins the group with the most equal positions (the
+earliest of equals) if these are at least ``THRESHOLD`` of all; positions that differ become the wildcard there. Else it
+founds a group. By default equal token sequences are counted before they are mined (``exact=False``); ``exact=True`` feeds
+every line, which can differ where a repeated line meets a later, closer group. A leaf of more than ``CHUNK`` rows is
+mined in runs of so many by arrival, and the templates of later runs are then mined like lines, so no worker holds more.
+
+``known`` holds the groups of earlier batches: they come first in their leaves, and their keys first in their nodes, so a
+stream resolves a line as one long run would. ``mine`` gives the lines, ``grown`` also the groups to keep for later.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import WILDCARD, route_key, template_hash
-
-THRESHOLD, DEPTH, CHILDREN = 0.5, 2, 100
-
-
-class Miner:
-    """State of one service's tree; ``add`` gives the number of the group a line joins."""
-
-    def __init__(self, threshold: float = THRESHOLD, depth: int = DEPTH, children: int = CHILDREN) -> None:
-        self.threshold, self.depth, self.children = threshold, depth, children
-        self.kids: dict[tuple, set[str]] = {}
-        self.leaves: dict[tuple, list[int]] = {}
-        self.groups: list[list[str]] = []
-
-    def path(self, tokens: list[str]) -> tuple:
-        at: tuple = (len(tokens),)
-        for t in tokens[: self.depth]:
-            key = WILDCARD if t.startswith("<") or any(c.isdigit() for c in t) else t
-            kids = self.kids.setdefault(at, set())
-            if key not in kids and len(kids) >= self.children:
-                key = WILDCARD
-            kids.add(key)
-            at += (key,)
-        return at
-
-    def add(self, tokens: list[str]) -> int:
-        leaf = self.leaves.setdefault(self.path(tokens), [])
-        scored = [(sum(a == b != WILDCARD for a, b in zip(self.groups[g], tokens)), -g) for g in leaf]
-        same, g = max(scored, default=(-1, 0))
-        if same < 0 or same / len(tokens) < self.threshold:
-            leaf.append(len(self.groups))
-            self.groups.append(list(tokens))
-            return len(self.groups) - 1
-        self.groups[-g] = [a if a == b else WILDCARD for a, b in zip(self.groups[-g], tokens)]
-        return -g
+from .graph import cut
+
+THRESHOLD, CHILDREN, CHUNK = 0.5, 100, 50_000
+LEAF = ["service", "n_tokens", "b1", "b2"]
+#: Groups that a stream keeps: leaf, place in it, and the template's tokens.
+KNOWN = "service string, n_tokens int, b1 string, b2 string, place int, tokens array<string>"
+
+
+def assign(rows: np.ndarray, groups: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(group of each row, all groups): rows and groups are token numbers of one length, 0 for the wildcard."""
+    n, used = rows.shape[1], len(groups)
+    table = np.concatenate([groups, np.zeros((max(16, len(rows) // 8), n), dtype=rows.dtype)])
+    where = np.empty(len(rows), dtype=np.int64)
+    for i, row in enumerate(rows):
+        shared = ((table[:used] == row) & (row != 0)).sum(axis=1)
+        g = int(shared.argmax()) if used else -1
+        if g >= 0 and shared[g] / n >= threshold:
+            table[g][table[g] != row] = 0
+        else:
+            g, used = used, used + 1
+            if g == len(table):
+                table = np.concatenate([table, np.zeros_like(table)])
+            table[g] = row
+        where[i] = g
+    return where, table[:used]
+
+
+def numbered(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """Token lists of one length as a matrix of numbers, and the tokens by number; the wildcard is 0."""
+    flat = np.array([WILDCARD, *(t for x in lists for t in x)], dtype=object)
+    codes, names = pd.factorize(flat)
+    return codes[1:].reshape(len(lists), -1), np.asarray(names, dtype=object)
 
 
 def bucketed(lines: DataFrame) -> DataFrame:
-    """lines (service, tokens) with n_tokens, k1, k2: the bucket."""
+    """lines (service, tokens) with n_tokens, k1, k2: the routing keys of the first two tokens."""
     key = lambda i: F.when(F.size("tokens") > i, route_key(F.get("tokens", F.lit(i))))
     return lines.withColumns({"n_tokens": F.size("tokens"), "k1": key(0), "k2": key(1)})
 
 
-def crowded(buckets: DataFrame, children: int = CHILDREN) -> DataFrame:
-    """service, n_tokens of the tree layers with a node of more children than allowed."""
-    first = buckets.groupBy("service", "n_tokens").agg(F.countDistinct("k1").alias("c"))
-    second = buckets.groupBy("service", "n_tokens", "k1").agg(F.countDistinct("k2").alias("c"))
-    return first.where(F.col("c") > children).select("service", "n_tokens").union(second.where(F.col("c") > children).select("service", "n_tokens")).distinct()
+def children(keys: DataFrame, node: list[str], key: str, most: int) -> DataFrame:
+    """node, key of the first ``most`` keys of each node by arrival; keys: node, key, seq. Hot nodes are salted.
+
+    Of known keys, which arrive together, the wildcard comes last: in a full node it stands for the keys that had no place.
+    """
+    once = keys.where(F.col(key).isNotNull()).groupBy(*node, key).agg(F.min("seq").alias("seq"))
+    for part in ([*node, F.pmod(F.xxhash64(key), F.lit(32))], node):
+        once = once.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy("seq", F.col(key) == WILDCARD, key))).where(F.col("_r") <= most)
+    return once.select(*node, key, F.lit(True).alias("_in"))
+
+
+def leaves(lines: DataFrame, known: DataFrame | None = None, most: int = CHILDREN) -> DataFrame:
+    """lines (seq, service, tokens) with n_tokens and b1, b2, the keys by which the line reaches its leaf."""
+    x = bucketed(lines)
+    first = x.groupBy("service", "n_tokens", "k1").agg(F.min("seq").alias("seq"))
+    if known is not None:
+        first = first.unionByName(known.select("service", "n_tokens", F.col("b1").alias("k1"), F.lit(-1).cast("long").alias("seq")))
+    one = children(first, ["service", "n_tokens"], "k1", most)
+    x = x.join(one, ["service", "n_tokens", "k1"], "left").withColumn("b1", F.when(F.col("_in"), F.col("k1")).when(F.col("k1").isNotNull(), F.lit(WILDCARD))).drop("_in")
+    second = x.groupBy("service", "n_tokens", "b1", "k2").agg(F.min("seq").alias("seq"))
+    if known is not None:
+        second = second.unionByName(known.select("service", "n_tokens", "b1", F.col("b2").alias("k2"), F.lit(-1).cast("long").alias("seq")))
+    two = children(second, ["service", "n_tokens", "b1"], "k2", most)
+    x = x.join(two, ["service", "n_tokens", "b1", "k2"], "left").withColumn("b2", F.when(F.col("_in"), F.col("k2")).when(F.col("k2").isNotNull(), F.lit(WILDCARD)))
+    return x.drop("_in", "k1", "k2")
+
+
+def placed(fed: DataFrame, known: DataFrame | None, threshold: float) -> DataFrame:
+    """Of each row (_leaf, _run, tokens, seq) its place among the run's groups; and the groups, as rows without seq."""
+    known = fed.sparkSession.createDataFrame([], KNOWN) if known is None else known
+    old = known.select(_leaf(), F.lit(0).cast("long").alias("_run"), "place", "tokens")
+    names = ["_leaf", "_run", "place", "tokens", "seq"]
+
+    def run(new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+        new, old = new.sort_values("seq", kind="stable"), old.sort_values("place")
+        codes, tokens = numbered([*old["tokens"], *new["tokens"]])
+        place, groups = assign(codes[len(old) :], codes[: len(old)], threshold)
+        rows = pd.DataFrame({"place": place, "tokens": new["tokens"].to_numpy(), "seq": new["seq"].astype("Int64").to_numpy()})
+        made = pd.DataFrame({"place": np.arange(len(groups)), "tokens": [list(tokens[g]) for g in groups], "seq": pd.array([None] * len(groups), dtype="Int64")})
+        key = (new if len(new) else old)[["_leaf", "_run"]].iloc[0]
+        return pd.concat([x for x in (rows, made) if len(x)]).assign(_leaf=key["_leaf"], _run=key["_run"])[names]
+
+    return fed.groupBy("_leaf", "_run").cogroup(old.groupBy("_leaf", "_run")).applyInPandas(run, "_leaf string, _run long, place int, tokens array<string>, seq long")
+
+
+def merged(groups: DataFrame, threshold: float) -> DataFrame:
+    """Final place and template of each run's groups (_leaf, _run, place, tokens): later runs' are mined as lines are."""
+
+    def merge(x: pd.DataFrame) -> pd.DataFrame:
+        x = x.sort_values(["_run", "place"])
+        codes, tokens = numbered(list(x["tokens"]))
+        first = int((x["_run"] == x["_run"].iloc[0]).sum())
+        where, table = assign(codes[first:], codes[:first], threshold)
+        at = np.concatenate([np.arange(first), where])
+        return x.assign(final=at, template=[list(tokens[table[i]]) for i in at])[["_leaf", "_run", "place", "final", "template"]]
+
+    return groups.select("_leaf", "_run", "place", "tokens").groupBy("_leaf").applyInPandas(merge, "_leaf string, _run long, place int, final int, template array<string>")
+
+
+def _leaf() -> Column:
+    """The leaf as text; a line of one token has no second key."""
+    return F.to_json(F.struct(*LEAF), {"ignoreNullFields": "false"}).alias("_leaf")
+
+
+def resolved(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: DataFrame | None = None, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """(_leaf, tokens, seq, template of each row that was fed; _leaf, place, template of all groups)."""
+    b = leaves(lines.select("service", "tokens", "seq"), known, most).select("tokens", "seq", _leaf())
+    fed = b if exact else b.groupBy("_leaf", "tokens").agg(F.min("seq").alias("seq"))
+    order = Window.partitionBy("_leaf").orderBy("seq")
+    fed = fed.withColumn("_run", F.floor((F.row_number().over(order) - 1) / chunk))
+    found = cut(placed(fed, known, threshold))
+    final = merged(found.where("seq is null"), threshold)
+    rows = found.where("seq is not null").join(final, ["_leaf", "_run", "place"]).select("_leaf", "tokens", "seq", F.array_join("template", " ").alias("template"))
+    return rows, final.select("_leaf", F.col("final").alias("place"), F.col("template").alias("tokens")).distinct()
+
+
+def grown(lines: DataFrame, known: DataFrame | None = None, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """(lines with template and template_id; KNOWN after them): the groups of a stream's batches go on in the next one."""
+    rows, groups = resolved(lines, exact, threshold, most, known, chunk)
+    rows = rows.withColumn("service", F.get_json_object("_leaf", "$.service"))
+    on = ["service", "seq"] if exact else ["service", "tokens"]
+    joined = lines.join(rows.select(*on, "template"), on)
+    of = F.from_json("_leaf", "service string, n_tokens int, b1 string, b2 string")
+    return joined.withColumn("template_id", template_hash(F.col("service"), F.col("template"))), groups.select(of.alias("l"), "place", "tokens").select("l.*", "place", "tokens")
 
 
-def mine(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, children: int = CHILDREN) -> DataFrame:
+def mine(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: DataFrame | None = None, chunk: int = CHUNK) -> DataFrame:
     """lines (seq, service, tokens, ...) with template (the final one of the line's group) and template_id."""
-    b = bucketed(lines)
-    if exact:
-        fed = b.select("service", "n_tokens", "k1", "k2", "tokens", "seq")
-    else:
-        fed = b.groupBy("service", "n_tokens", "k1", "k2", "tokens").agg(F.min("seq").alias("seq"))
-    full = crowded(b, children).withColumn("whole", F.lit(True))
-    fed = fed.join(full, ["service", "n_tokens"], "left")
-    key = lambda c: F.when(F.col("whole"), F.lit(None)).otherwise(F.col(c))
-    fed = fed.withColumns({"b1": key("k1"), "b2": key("k2")})
-
-    def mined(x: pd.DataFrame) -> pd.DataFrame:
-        x = x.sort_values("seq", kind="stable")
-        miner = Miner(threshold, DEPTH, children)
-        group = [miner.add(list(t)) for t in x["tokens"]]
-        done = [" ".join(g) for g in miner.groups]
-        return pd.DataFrame({"service": x["service"], "tokens": x["tokens"], "seq": x["seq"], "template": [done[g] for g in group]})
-
-    out = fed.groupBy("service", "n_tokens", "b1", "b2").applyInPandas(mined, "service string, tokens array<string>, seq long, template string")
-    on = ["service", "seq"] if exact else ["service", "tokens"]
-    joined = lines.join(out.select(*on, "template"), on)
-    return joined.withColumn("template_id", template_hash(F.col("service"), F.col("template")))
+    return grown(lines, known, exact, threshold, most, chunk)[0]

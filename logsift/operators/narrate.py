@@ -44,19 +44,20 @@ def bundles(found: DataFrame, ranked: DataFrame, links: DataFrame, scored: DataF
 
 
 class TemplateNarrator:
-    """Markdown from a template, all in Columns."""
+    """Markdown from a template, all in Columns: a headline, then what is known as labelled lines and two lists."""
 
     def narrate(self, bundle: DataFrame) -> DataFrame:
-        day, clock = "yyyy-MM-dd HH:mm:ss", "HH:mm:ss"
-        fmt = lambda c, p: F.date_format(c.cast("timestamp"), p)
-        top, change = F.get("root_causes", F.lit(0)), F.get("changes", F.lit(0))
-        lines = F.array_compact(F.array(
-            F.concat(F.lit("### "), "incident_id", F.lit(": "), F.array_join("services", ", ")), F.lit(""),
-            F.format_string("%d log patterns, %d lines, %s to %s UTC.", "n_patterns", "lines", fmt(F.col("start"), day), fmt(F.col("end"), clock)), F.lit(""),
-            F.when(top.isNotNull(), F.concat(F.lit("**Most likely origin:** `"), top.service, F.lit("`: `"), top.template, F.lit("` (P(root cause)="), F.format_string("%.2f", top.p), F.lit(", first seen "), fmt(top.first_seen, clock), F.lit(").\n"))),
-            F.when(change.isNotNull(), F.concat(F.lit("**Linked change:** "), change.service, F.lit(": "), change.summary, F.lit(" (P(related)="), F.format_string("%.2f", change.p_related), F.lit(").\n"))),
-            F.when(F.size("hypotheses") > 0, F.concat(F.lit("**Hypotheses, by P(supported):**\n"), F.array_join(F.transform(F.slice("hypotheses", 1, 5), lambda h: F.concat(F.lit("- "), F.format_string("%.2f", h.p_supported), F.lit(": "), h.text)), "\n"), F.lit("\n"))),
-            F.when(F.size("timeline") > 0, F.concat(F.lit("**Timeline:**\n"), F.array_join(F.transform("timeline", lambda e: F.concat(F.lit("- "), fmt(e.ts, clock), F.lit(" ["), e.event_type, F.lit("] "), e.label)), "\n"), F.lit("\n"))),
-            F.lit("_Probabilities are classifier outputs, not explanations. Verify before acting._"),
+        at = lambda c, form: F.date_format(c.cast("timestamp"), form)
+        share = lambda p: F.concat(F.round(100 * p).cast("int").cast("string"), F.lit(" %"))
+        say = lambda text, *parts: F.format_string(text, *parts)
+        origin, change = F.get("root_causes", F.lit(0)), F.get("changes", F.lit(0))
+        extent = say("Extent: %d lines of %d patterns on %s; first at %s, last at %s (UTC).", F.col("lines"), F.col("n_patterns"), F.array_join("services", ", "), at(F.col("start"), "yyyy-MM-dd HH:mm:ss"), at(F.col("end"), "yyyy-MM-dd HH:mm:ss"))
+        begins = F.when(origin.isNotNull(), say("Probable start: %s on %s at %s (%s).", origin.template, origin.service, at(origin.first_seen, "HH:mm:ss"), share(origin.p)))
+        fits = F.when(change.isNotNull(), say("Change that fits: %s on %s (%s).", change.summary, change.service, share(change.p_related)))
+        numbered = F.transform(F.slice("hypotheses", 1, 5), lambda h, i: say("%d. %s (%s)", i + 1, h.text, share(h.p_supported)))
+        seen = F.transform("timeline", lambda e: say("* %s %s: %s", at(e.ts, "HH:mm:ss"), e.event_type, e.label))
+        part = lambda head, items: F.when(F.size(items) > 0, F.concat_ws("\n", F.lit(head), items))
+        whole = F.array_compact(F.array(
+            F.concat(F.lit("### "), F.col("incident_id")), extent, begins, fits, part("Explanations to check:", numbered), part("Course of events:", seen), F.lit("Percentages are a classifier's estimates."),
         ))
-        return bundle.select("incident_id", F.array_join(lines, "\n").alias("narrative"))
+        return bundle.select("incident_id", F.array_join(whole, "\n\n").alias("narrative"))
