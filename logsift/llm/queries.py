@@ -13,7 +13,7 @@ from .ngram_join import ngram_join
 from .packing import best_fit_packing
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
-from .sentencepieces import decode, encode, piece_rows
+from .sentencepieces import by_rank, decode, encode, piece_rows
 from .toxicity import toxicity
 from .url_filters import url_filter
 
@@ -51,11 +51,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = piece_rows(model_path())
-    both = decode(encode(docs, pieces), pieces)
-    whole = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.array_join("ids", " ").alias("ids"), whole.alias("round_trip"))
+    """The public table's pieces with scores by rank: ids, and whether decoding them gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    pieces = by_rank(piece_rows(model_path()))
+    both = decode(encode(docs.withColumn("h", F.xxhash64("text")), pieces), pieces)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.array_join("ids", " ").alias("ids"), (F.xxhash64("decoded") == F.col("h")).alias("round_trip"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

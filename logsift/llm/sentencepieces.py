@@ -1,41 +1,56 @@
 """SentencePiece encoding and decoding as relations.
 
-Texts become words (a run of U+2581 and what follows it); distinct words are exploded into substrings no longer than the
-longest piece, these join the piece table, edges are grouped by word, and a fold with ``aggregate`` picks the pieces:
-
-* ``viterbi`` for unigram models: the path of the largest sum of scores; a character that is no piece costs 10 more than
-  the worst piece.
-* ``merges`` for BPE models, whose scores are ranks of merges: of the edges that join two neighbouring parts, the one of
-  the best score (the leftmost of equals) is taken, again and again. Their largest sum is not what such a model encodes.
-
-The state of the fold is a bit mask of the cuts, so words of over ``LONG`` characters are folded by the same rules in
-Python. Characters that are no piece become their UTF-8 bytes' pieces. The piece table is a vocabulary of at most
-``MOST_PIECES`` rows, which bounds what is broadcast.
-
-Defined results. Null or empty text: no ids. Texts are read whole. Repeated rows and null keys are kept. Empty table: no
-rows. Extra columns stay; clashing ones are replaced. Decoding: ids outside the table are left out, invalid UTF-8 becomes
-U+FFFD, and one leading space is dropped.
+Texts become units: a run of U+2581 with the letters, or with the other characters, that follow it (whole words, where a
+piece of the table mixes the two, so that no piece ever lies across a cut). Distinct units are exploded into substrings no
+longer than the longest piece, these are joined to the piece table, edges are grouped by unit, and a fold with
+``aggregate`` finds the path of the largest sum of scores (Viterbi; of equal paths the one whose last pieces start first).
+A character that is no piece costs 10 more than the worst piece and becomes the pieces of its UTF-8 bytes.
+
+How units return to their texts: the commonest units of a bounded sample (``HEAD`` of ``SAMPLE`` rows) are encoded first
+and broadcast, which only decides where a unit is looked up. Blocks of rows are then written as numbers of these units and
+lists of the rest, and shuffled once by block; the rest are encoded by the same lattice and shuffled to their blocks. So
+neither texts nor occurrences of words are shuffled. The piece table has at most ``MOST_PIECES`` rows and is broadcast.
+
+Scores: ``piece_rows`` gives a model file's own. A BPE model's are ranks of merges, which are no log probabilities;
+``by_rank`` gives such a table the scores of Zipf's law, ``-ln(1 + rank)`` in steps of 1/64, so that sums are exact.
+
+Defined results. Null or empty text: no ids. Texts and units are read whole, at any length. Repeated rows and null keys
+are kept. Empty table: no rows. The text column is not carried, all others are; one named like the result is replaced.
+Decoding: ids outside the table are left out, invalid UTF-8 becomes U+FFFD, and one leading space is dropped.
 """
 
 from __future__ import annotations
 
-import heapq
+import math
+import re
+import struct
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import let, small_batches
+from .common import small_batches
 
 SPACE = "▁"
-LONG = 60
 UNKNOWN_PENALTY = 10.0
 MOST_PIECES = 400_000
+#: Units that are broadcast, at most, and rows that they are found in.
+HEAD, SAMPLE = 400_000, 20_000
 _KINDS = "id int, piece string, score double, kind string"
+_APART = re.compile(f"{SPACE}*(?:[^\\W\\d_]+|(?:[\\d_]|[^\\w{SPACE}])+)|{SPACE}+")
+_TOGETHER = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_MIXED = re.compile(f"[^\\W\\d_](?:[\\d_]|[^\\w{SPACE}])|(?:[\\d_]|[^\\w{SPACE}])[^\\W\\d_]")
 
+Pieces = list[tuple[int, str, float, str]]
 
-def piece_rows(path: str) -> list[tuple[int, str, float, str]]:
+
+def piece_rows(path: str) -> Pieces:
     """(id, piece, score, kind) of a model file; kind: normal, byte or other."""
     import sentencepiece
 
@@ -44,141 +59,174 @@ def piece_rows(path: str) -> list[tuple[int, str, float, str]]:
     return [(i, s.id_to_piece(i), s.get_score(i), kind(i)) for i in range(s.get_piece_size())]
 
 
-def piece_table(spark: SparkSession, rows: list[tuple[int, str, float, str]]) -> DataFrame:
+def by_rank(pieces: Pieces) -> Pieces:
+    """The pieces with Zipf scores by their rank, which is the order of their own scores, then of ids."""
+    order = sorted((-s, i) for i, _, s, k in pieces if k == "normal")
+    score = {i: -round(64 * math.log(1 + r)) / 64 for r, (_, i) in enumerate(order, 1)}
+    return [(i, p, score.get(i, s), k) for i, p, s, k in pieces]
+
+
+def piece_table(spark: SparkSession, rows: Pieces) -> DataFrame:
     if len(rows) > MOST_PIECES:
         raise ValueError(f"{len(rows)} pieces; at most {MOST_PIECES}")
     return spark.createDataFrame(pd.DataFrame(rows, columns=["id", "piece", "score", "kind"]), _KINDS)
 
 
-def pieces_of(word: str, scores: dict[str, float], model: str, longest: int) -> list[str]:
-    """The fold in plain Python, for one word."""
-    if model == "viterbi":
-        low = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
-        best, back = [0.0] + [float("-inf")] * len(word), [0] * (len(word) + 1)
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
-                score = scores.get(word[start:end], low if end - start == 1 else None)
-                if score is not None and best[start] + score > best[end]:
-                    best[end], back[end] = best[start] + score, start
-        out, end = [], len(word)
-        while end:
-            out.append(word[back[end] : end])
-            end = back[end]
-        return out[::-1]
-    n = len(word)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    size = [1] * n
-    heap: list[tuple[float, int, int]] = []
-
-    def offer(i: int) -> None:
-        j = after[i] if i >= 0 else n
-        if i >= 0 and j < n and (s := scores.get(word[i : j + size[j]])) is not None:
-            heapq.heappush(heap, (-s, i, size[i] + size[j]))
-
-    for i in range(n - 1):
-        offer(i)
-    while heap:
-        _, i, both = heapq.heappop(heap)
-        j = after[i] if size[i] else n
-        if not size[i] or j >= n or size[i] + size[j] != both:
-            continue
-        size[i], size[j] = both, 0
-        after[i] = after[j]
-        if after[i] < n:
-            before[after[i]] = i
-        offer(before[i])
-        offer(i)
-    return [word[i : i + size[i]] for i in range(n) if size[i]]
-
-
-def _merges(n: Column, edges: Column) -> Column:
-    """Mask of the cuts (bit i: before character i) after all merges; edges: (score, start, len, id), best first."""
-    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i)
-    # of each edge that joins parts: the cuts at its ends, and those between, of which there must be one
-    masks = lambda e: F.struct((bit(e.start).bitwiseOR(bit(e.start + e.len))).alias("ends"), (bit(e.start + e.len) - bit(e.start + 1)).alias("inner"))
-    joins = F.transform(F.filter(edges, lambda e: e.len > 1), masks)
-
-    def folded(js: Column) -> Column:
-        def step(mask: Column, _: Column) -> Column:
-            first = F.get(F.filter(js, lambda j: (F.bit_count(mask.bitwiseAND(j.inner)) == 1) & (mask.bitwiseAND(j.ends) == j.ends)), F.lit(0))
-            return let(first, lambda j: F.when(j.isNull(), mask).otherwise(mask - mask.bitwiseAND(j.inner)))
-
-        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1)), bit(n + 1) - 1, step)
-
-    return let(joins, folded)
-
-
-def _viterbi(n: Column, edges: Column, unknown: float) -> Column:
-    """Mask of the cuts of the best path; edges in any order."""
-    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i)
-    ordered = F.sort_array(F.transform(edges, lambda e: F.struct((e.start + e.len).alias("end"), e.start.alias("start"), F.coalesce(e.score, F.lit(unknown)).alias("score"))))
-    least = F.lit(float("-inf"))
-    start = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(F.when(i == 0, F.lit(0.0)).otherwise(least).alias("s"), F.lit(1).cast("long").alias("m")))
+def splitter(pieces: Pieces) -> re.Pattern:
+    return _TOGETHER if any(_MIXED.search(p) for _, p, _, k in pieces if k == "normal") else _APART
 
-    def step(best: Column, e: Column) -> Column:
-        score = F.get(best, e.start).s + e.score
-        took = F.struct(score.alias("s"), F.get(best, e.start).m.bitwiseOR(bit(e.end)).alias("m"))
-        return F.when(score > F.get(best, e.end).s, F.transform(best, lambda b, i: F.when(i == e.end, took).otherwise(b))).otherwise(best)
 
-    return F.get(F.aggregate(ordered, start, step), n).m
+def units_of(text: str | None, pattern: re.Pattern) -> list[str]:
+    return pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-def encode(df: DataFrame, pieces: list[tuple[int, str, float, str]], model: str = "merges", text: str = "text", out: str = "ids") -> DataFrame:
-    """df with ``out``: array<int>, the ids of the text."""
-    small_batches(df)
-    spark = df.sparkSession
-    table = piece_table(spark, pieces)
-    normal = {p: (i, s) for i, p, s, k in pieces if k == "normal"}
-    longest = max(map(len, normal), default=1)
+def viterbi(unit: Column, edges: Column) -> Column:
+    """array<struct<id, start>> of the best path; edges: (end, start, score, id), one or more ending at every place."""
+    start = F.array(F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("start"), F.lit(None).cast("int").alias("id")))
+
+    def step(best: Column, e: Column) -> Column:
+        new = F.struct((F.get(best, e.start).s + e.score).alias("s"), e.start.alias("start"), e.id.alias("id"))
+        opens = F.size(best) == e.end  # the first edge that ends here
+        wins = F.get(best, e.start).s + e.score > F.get(best, e.end).s
+        return F.when(opens, F.concat(best, F.array(new))).when(wins, F.concat(F.slice(best, F.lit(1), e.end), F.array(new))).otherwise(best)
+
+    def back(at: Column, best: Column) -> Column:
+        here = F.get(best, at.at)
+        took = F.struct(here.start.alias("at"), F.concat(F.array(F.struct(here.id.alias("id"), here.start.alias("start"))), at.path).alias("path"))
+        return F.when(at.at > 0, took).otherwise(at)
+
+    none = F.array().cast("array<struct<id:int,start:int>>")
+    best = F.aggregate(F.sort_array(edges), start, step)
+    n = F.length(unit)
+    path = lambda b: F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), none.alias("path")), lambda at, _: back(at, b)).path
+    return F.element_at(F.transform(F.array(best), path), 1)
+
+
+def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
+    """_w, _ids of distinct units (_w). One shuffle, by unit: explosion, join and grouping keep its partitioning."""
+    table = piece_table(units.sparkSession, pieces).where("kind = 'normal'").select("piece", "id", "score")
+    normal = [(p, s) for _, p, s, k in pieces if k == "normal"]
+    longest, low = max((len(p) for p, _ in normal), default=1), min((s for _, s in normal), default=0.0) - UNKNOWN_PENALTY
     byte0 = next((i for i, p, _, k in pieces if k == "byte" and p == "<0x00>"), None)
-    unknown_id = next((i for i, p, _, k in pieces if k == "other"), 0)
-    low = min((s for _, s in normal.values()), default=0.0) - UNKNOWN_PENALTY
-
-    names = [c for c in df.columns if c not in (out, "_row", "_t", "_w", "_pos", "_ids")]
-    spaced = F.concat(F.lit(SPACE), F.replace(F.col(text), F.lit(" "), F.lit(SPACE)))
-    words = F.when(F.length(text) > 0, F.regexp_extract_all(spaced, F.lit(f"{SPACE}*[^{SPACE}]+|{SPACE}+"), F.lit(0)))
-    rows = df.select(*[F.col(f"`{c}`") for c in names], F.monotonically_increasing_id().alias("_row"), words.alias("_w"))
-    listed = rows.select("_row", F.posexplode("_w").alias("_pos", "_w"))
-    distinct = listed.select("_w").distinct()
-
-    short = distinct.where(F.length("_w") <= LONG).select("_w", F.explode(F.sequence(F.lit(0), F.length("_w") - 1)).alias("start"))
-    spans = short.select("_w", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("_w") - F.col("start")))).alias("len"))
-    spans = spans.select("*", F.substring("_w", F.col("start") + 1, F.col("len")).alias("piece"))
-    found = spans.join(F.broadcast(table.where("kind = 'normal'").select("piece", "id", "score")), "piece", "left").where("id is not null or len = 1")
-    edge = F.struct((-F.col("score")).alias("cost"), "start", "len", "score", "id")
-    edges = found.groupBy("_w").agg(F.sort_array(F.collect_list(edge)).alias("e"))
+    unknown = next((i for i, _, _, k in pieces if k == "other"), 0)
+
     n = F.length("_w")
-    mask = _merges(n, F.col("e")) if model == "merges" else _viterbi(n, F.col("e"), low)
-    cuts = edges.select("_w", "e", mask.alias("m")).select("_w", "e", F.filter(F.sequence(F.lit(0), n), lambda i: F.call_function("shiftright", F.col("m"), i).bitwiseAND(F.lit(1)) == 1).alias("cut"))
-
-    def ids(i: Column) -> Column:
-        start, size = F.get("cut", i), F.get("cut", i + 1) - F.get("cut", i)
-        known = F.get(F.filter("e", lambda e: (e.start == start) & (e.len == size)), F.lit(0)).id
-        code = F.hex(F.encode(F.substring(F.col("_w"), start + 1, size), "UTF-8"))
-        spelt = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda j: (F.conv(F.substring(code, j, F.lit(2)), 16, 10).cast("int") + byte0)) if byte0 is not None else F.array(F.lit(unknown_id))
-        return F.when(known.isNotNull(), F.array(known)).otherwise(spelt)
-
-    coded = cuts.select("_w", F.flatten(F.transform(F.sequence(F.lit(0), F.size("cut") - 2), ids)).alias("_ids"))
-    shared = spark.sparkContext.broadcast(normal)
-
-    @F.pandas_udf("array<int>")
-    def folded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = shared.value
-        scores = {p: s for p, (_, s) in table.items()}
+    # rows of a unit are sorted by its hash, a number, before they meet
+    starts = units.select("_w").distinct().select("_w", F.xxhash64("_w").alias("_h"), F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
+    spans = starts.select("_w", "_h", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("len"))
+    spans = spans.select("*", F.substring("_w", F.col("start") + 1, F.col("len")).alias("piece"))
+    found = spans.join(F.broadcast(table), "piece", "left").where("id is not null or len = 1")
+    edge = F.struct((F.col("start") + F.col("len")).alias("end"), "start", F.coalesce("score", F.lit(low)).alias("score"), "id")
+    paths = found.groupBy("_h", "_w").agg(F.collect_list(edge).alias("e")).select("_w", viterbi(F.col("_w"), F.col("e")).alias("path"))
+
+    def spelt(v: Column) -> Column:
+        if byte0 is None:
+            return F.array(F.lit(unknown))
+        code = F.hex(F.encode(F.substring(F.col("_w"), v.start + 1, F.lit(1)), "UTF-8"))
+        return F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda j: (F.conv(F.substring(code, j, F.lit(2)), 16, 10).cast("int") + byte0))
+
+    whole = F.transform("path", lambda v: v.id)
+    odd = F.flatten(F.transform("path", lambda v: F.when(v.id.isNotNull(), F.array(v.id)).otherwise(spelt(v))))
+    return paths.select("_w", F.when(F.exists("path", lambda v: v.id.isNull()), odd).otherwise(whole).alias("_ids"))
+
+
+def common_units(df: DataFrame, pattern: re.Pattern, text: str) -> DataFrame:
+    """_w: the commonest units of a sample, HEAD at most."""
+    total = df.count()
+    some = df.select(F.col(text).alias("t"))
+    some = some.sample(SAMPLE / total, 5).limit(2 * SAMPLE) if total > SAMPLE else some
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            done = []
-            for w in x:
-                parts = pieces_of(w, scores, model, longest)
-                done.append([i for p in parts for i in ([table[p][0]] if p in table else [b + byte0 for b in p.encode("utf-8", "replace")] if byte0 is not None else [unknown_id])])
-            yield pd.Series(done, dtype=object)
+            c = Counter(u for t in x["t"] for u in units_of(t, pattern))
+            yield pd.DataFrame({"_w": list(c.keys()), "n": list(c.values())})
 
-    coded = coded.union(distinct.where(F.length("_w") > LONG).select("_w", folded("_w").alias("_ids")))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_ids"))), lambda v: v["_ids"])
-    done = listed.join(coded, "_w").groupBy("_row").agg(F.flatten(ordered).alias(out))
-    return rows.drop("_w").join(done, "_row", "left").withColumn(out, F.coalesce(out, F.array().cast("array<int>"))).drop("_row")
+    counts = some.mapInPandas(counted, "_w string, n long").groupBy("_w").agg(F.sum("n").alias("n"))
+    return counts.orderBy(F.desc("n"), "_w").limit(HEAD)
 
 
-def decode(df: DataFrame, pieces: list[tuple[int, str, float, str]], ids: str = "ids", out: str = "decoded") -> DataFrame:
+def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids") -> DataFrame:
+    """df (without the text) with ``out``: array<int>, the ids of the text."""
+    small_batches(df)
+    spark, pattern = df.sparkSession, splitter(pieces)
+    names = [c for c in df.columns if c not in (text, out)]
+    head = lattice(common_units(df, pattern, text), pieces).toPandas()
+    size = [len(x) for x in head["_ids"]]
+    shared = spark.sparkContext.broadcast((list(head["_w"]), np.concatenate([*head["_ids"], []]).astype(np.int32), np.cumsum([0, *size])))
+    rows = df.select(*[F.col(f"`{c}`") for c in names], F.col(text).cast("string").alias("_t"))
+    carried = rows.drop("_t").schema
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {w: i for i, w in enumerate(shared.value[0])}
+        part, i = TaskContext.get().partitionId(), 0
+        for x in batches:
+            rest: dict[str, int] = {}
+            sizes, found = np.empty(len(x), dtype=np.int64), []
+            for j, t in enumerate(x.column("_t").to_pylist()):
+                us = units_of(t, pattern)
+                sizes[j] = len(us)
+                numbers = [at.get(u, -1) for u in us]
+                if -1 in numbers:
+                    numbers = [n if n >= 0 else -1 - rest.setdefault(u, len(rest)) for n, u in zip(numbers, us)]
+                found.append(np.array(numbers, dtype=np.int32))
+            units = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(np.concatenate([*found, np.zeros(0, np.int32)])))
+            body = pa.RecordBatch.from_arrays([*(x.column(c) for c in x.schema.names if c != "_t"), units], names=[*(c for c in x.schema.names if c != "_t"), "_units"])
+            parts = [_written(b) for b in (pa.RecordBatch.from_arrays([pa.array(list(rest), pa.string())], names=["w"]), body)]
+            yield pa.RecordBatch.from_arrays([pa.array([part << 32 | i], pa.int64()), pa.array([struct.pack("<q", len(parts[0])) + parts[0] + parts[1]], pa.binary())], names=["_block", "_rows"])
+            i += 1
+
+    def rest_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for block, blob in zip(x.column("_block").to_pylist(), x.column("_rows").to_pylist()):
+                w = _read(blob[8 : 8 + struct.unpack_from("<q", blob)[0]]).column("w").combine_chunks()
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), block)), pa.array(np.arange(len(w), dtype=np.int32)), w], names=["_block", "_k", "_w"])
+
+    kind = T.StructType([*carried.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
+
+    def joined(left: pa.Table, right: pa.Table) -> pa.Table:
+        _, flat, ends = shared.value
+        k = right.column("_k").to_numpy()
+        ids = right.column("_ids").combine_chunks()
+        order = np.argsort(k)
+        lengths = np.diff(ids.offsets.to_numpy())[order] if len(k) else np.zeros(0, np.int64)
+        own = ids.flatten().to_numpy(zero_copy_only=False)
+        first = ids.offsets.to_numpy()[:-1][order] - (ids.offsets[0].as_py() if len(k) else 0) if len(k) else np.zeros(0, np.int64)
+        tables = []
+        for blob in left.column("_rows").to_pylist():
+            body = _read(blob[8 + struct.unpack_from("<q", blob)[0] :])
+            units = body.column("_units").combine_chunks()
+            n = units.flatten().to_numpy()
+            is_head = n >= 0
+            tail = -1 - n[~is_head]
+            start, size = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
+            start[is_head], size[is_head] = ends[n[is_head]], ends[n[is_head] + 1] - ends[n[is_head]]
+            start[~is_head], size[~is_head] = len(flat) + first[tail], lengths[tail]
+            total = np.concatenate([[0], np.cumsum(size)])
+            place = np.repeat(start - total[:-1], size) + np.arange(total[-1])
+            values = np.concatenate([flat, own])[place] if len(place) else np.zeros(0, np.int32)
+            offsets = total[units.offsets.to_numpy() - units.offsets[0].as_py()] if len(units) else np.zeros(1, np.int64)
+            lists = pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(values.astype(np.int32)))
+            tables.append(body.drop_columns(["_units"]).append_column(out, lists) if names else pa.table({out: lists}))
+        return pa.concat_tables(tables)
+
+    found = rows.mapInArrow(blocks, "_block long, _rows binary").repartition("_block")
+    rest = found.mapInArrow(rest_of, "_block long, _k int, _w string")
+    coded = rest.join(lattice(rest, pieces), "_w").select("_block", "_k", "_ids")
+    return found.groupBy("_block").cogroup(coded.groupBy("_block")).applyInArrow(joined, kind)
+
+
+def _written(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _read(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(blob).read_all()
+
+
+def decode(df: DataFrame, pieces: Pieces, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """df with ``out``, the text of the ids; the table of the pieces' bytes, a vocabulary, is broadcast."""
     small_batches(df)
     spelt = {i: bytes.fromhex(p[3:5]) if k == "byte" else p.replace(SPACE, " ").encode("utf-8") for i, p, _, k in pieces if k != "other"}
@@ -186,8 +234,9 @@ def decode(df: DataFrame, pieces: list[tuple[int, str, float, str]], ids: str =
 
     @F.pandas_udf("string")
     def joined(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        get = shared.value.get
         for x in batches:
-            yield pd.Series([b"".join(shared.value.get(i, b"") for i in ([] if v is None else v)).decode("utf-8", "replace").removeprefix(" ") for v in x], dtype=object)
+            yield pd.Series([b"".join([get(i, b"") for i in ([] if v is None else v.tolist())]).decode("utf-8", "replace").removeprefix(" ") for v in x], dtype=object)
 
     names = [F.col(f"`{c}`") for c in df.columns if c != out]
     return df.select(*names, joined(F.coalesce(ids, F.array().cast("array<int>"))).alias(out))

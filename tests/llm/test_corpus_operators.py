@@ -241,41 +241,86 @@ def test_sum_of_squares_rule():
     assert len(gaps) <= 1.1 * sum(lengths) / 64
 
 
-TEXTS = [None, "", " ", "Hello  world", " lead and trail ", "tab\tand\nnewline", "naïve café 🙂 ½ ﬁ", "x" * 200, "a" * 59 + " b", "<s> ▁ <0x41>", "日本語のテキスト", "return   foo(bar)  # 10 percent"]
+TEXTS = [None, "", " ", "Hello  world", " lead and trail ", "tab\tand\nnewline", "naïve café 🙂 ½ ﬁ", "x" * 200, "a" * 59 + " b", "<s> ▁ <0x41>", "日本語のテキスト", "return   foo(bar)  # 10 percent", "a_b1c٣²d", "!" * 3000 + "abc" * 2000]
 
 
-def test_sentencepiece_equals_the_library(spark):
+def unigram_library(path, pieces):
+    """The library with the model file turned into a unigram model: the type in its trainer spec, and the scores."""
+    import struct
+
     import sentencepiece
 
-    pieces = sp.piece_rows(queries.model_path())
-    lib = sentencepiece.SentencePieceProcessor(model_file=queries.model_path())
-    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(TEXTS)] + [(3, TEXTS[3], 1)], "k int, text string, ids int")
-    out = sp.decode(sp.encode(df, pieces), pieces).collect()
-    assert len(out) == len(TEXTS) + 1
-    for r in out:
-        assert r["ids"] == lib.encode(r["text"] or "")
-        assert r["decoded"] == lib.decode(lib.encode(r["text"] or ""))
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    def fields(b):
+        i = 0
+        while i < len(b):
+            start, key, shift = i, 0, 0
+            while True:
+                key, shift, i = key | (b[i] & 127) << shift, shift + 7, i + 1
+                if b[i - 1] < 128:
+                    break
+            n, shift, j = 0, 0, i
+            if key & 7 in (0, 2):
+                while True:
+                    n, shift, j = n | (b[j] & 127) << shift, shift + 7, j + 1
+                    if b[j - 1] < 128:
+                        break
+            end = {0: j, 1: i + 8, 2: j + n, 5: i + 4}[key & 7]
+            yield key >> 3, b[j:end] if key & 7 == 2 else n, b[start:end]
+            i = end
+
+    score, out, k = {i: s for i, _, s, _ in pieces}, b"", 0
+    for number, value, raw in fields(open(path, "rb").read()):
+        if number == 1:
+            inner = b"".join(r for f, _, r in fields(value) if f != 2) + b"\x15" + struct.pack("<f", score[k])
+            raw, k = b"\x0a" + varint(len(inner)) + inner, k + 1
+        elif number == 2:
+            inner = b"".join(r for f, _, r in fields(value) if f != 3) + b"\x18\x01"
+            raw = b"\x12" + varint(len(inner)) + inner
+        out += raw
+    return sentencepiece.SentencePieceProcessor(model_proto=out)
+
+
+def test_sentencepiece_equals_the_library(spark, monkeypatch):
+    pieces = sp.by_rank(sp.piece_rows(queries.model_path()))
+    lib = unigram_library(queries.model_path(), pieces)
+    monkeypatch.setattr(sp, "HEAD", 5)  # most units go by the shuffle
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(TEXTS)] + [(3, TEXTS[3], 1), (None, TEXTS[3], 1)], "k int, text string, ids int")
+    out = sp.decode(sp.encode(df, pieces), pieces)
+    assert out.columns == ["k", "ids", "decoded"]
+    rows = out.collect()
+    assert Counter(r["k"] for r in rows) == Counter([*range(len(TEXTS)), 3, None])
+    for r in rows:
+        text = TEXTS[3 if r["k"] is None else r["k"]] or ""
+        assert r["ids"] == lib.encode(text)
+        assert r["decoded"] == lib.decode(lib.encode(text))
     assert sp.encode(spark.createDataFrame([], "k int, text string"), pieces).count() == 0
+    assert sorted(len(r["ids"]) for r in sp.encode(df.select("text"), pieces).collect()) == sorted(len(r["ids"]) for r in rows)
 
 
 def test_sentencepiece_query_covers_the_documents(spark):
-    import sentencepiece
-
     source = "/root/testdata/sf0.001"
     if not os.path.isdir(source):
         pytest.skip("no tables")
-    lib = sentencepiece.SentencePieceProcessor(model_file=queries.model_path())
+    lib = unigram_library(queries.model_path(), sp.by_rank(sp.piece_rows(queries.model_path())))
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{source}/documents.parquet").collect()}
     out = queries.op5_sentencepiece(spark, source).collect()
     assert len(out) == len(texts) and {r["doc_id"]: r["ids"] for r in out} == {i: " ".join(map(str, lib.encode(t))) for i, t in texts.items()}
+    assert all(r["round_trip"] for r in out)
 
 
 def test_viterbi_equals_all_segmentations(spark):
     rng = random.Random(4)
-    names = ["▁", "a", "b", "c", "ab", "bc", "abc", "▁a", "▁ab", "cab", "ca"]
+    names = ["▁", "a", "b", "c", "ab", "bc", "abc", "▁a", "▁ab", "cab", "ca", "b1", "1"]
     pieces = [(0, "<unk>", 0.0, "other")] + [(i + 1, p, round(-rng.random() * 9, 3), "normal") for i, p in enumerate(names)]
     scores = {p: s for _, p, s, k in pieces if k == "normal"}
     low = min(scores.values()) - sp.UNKNOWN_PENALTY
+    assert sp.splitter(pieces) is sp._TOGETHER and sp.splitter(pieces[:-2]) is sp._APART
 
     def best(w):
         if not w:
@@ -289,21 +334,18 @@ def test_viterbi_equals_all_segmentations(spark):
         return max(found)
 
     ids = {p: i for i, p, _, _ in pieces}
-    texts = ["".join(rng.choice("abcx") for _ in range(rng.randint(1, 9))) for _ in range(30)]
-    out = sp.encode(spark.createDataFrame([(t,) for t in texts], "text string"), pieces, "viterbi").collect()
+    texts = ["".join(rng.choice("abcx1") for _ in range(rng.randint(1, 9))) for _ in range(30)]
+    out = sp.encode(spark.createDataFrame([(t, t) for t in texts], "t string, text string"), pieces).collect()
     for r in out:
-        assert r["ids"] == [ids.get(p, 0) for p in best("▁" + r["text"])[1]]
+        assert r["ids"] == [ids.get(p, 0) for p in best("▁" + r["t"])[1]]
 
 
-def test_python_fold_is_the_same_rule():
+def test_units_lie_within_no_piece_and_make_up_the_text():
     pieces = sp.piece_rows(queries.model_path())
-    scores = {p: s for _, p, s, k in pieces if k == "normal"}
-    import sentencepiece
-
-    lib = sentencepiece.SentencePieceProcessor(model_file=queries.model_path())
-    for w in ("internationalization", "aaaaaaaaaaaaaaaaaaaaa", "configurations====------x", "zzzyyxxw"):
-        got = sp.pieces_of("▁" + w, scores, "merges", 16)
-        assert got == lib.encode(w, out_type=str)
+    pattern = sp.splitter(pieces)
+    for t in TEXTS:
+        assert "".join(sp.units_of(t, pattern)) == ("▁" + t.replace(" ", "▁") if t else "")
+    assert all(len(pattern.findall(p)) == 1 for _, p, _, k in pieces if k == "normal" and not p.endswith("▁"))
 
 
 def test_pipeline_against_brute_force(spark, tmp_path):
