@@ -73,9 +73,18 @@ def children(keys: DataFrame, node: list[str], key: str, most: int) -> DataFrame
     return once.select(*node, key, F.lit(True).alias("_in"))
 
 
+def crowded(x: DataFrame, most: int) -> bool:
+    """Whether any node has more keys than it may take; else every line's own keys are its leaf's."""
+    ones = x.groupBy("service", "n_tokens").agg(F.count_distinct("k1").alias("n")).agg(F.max("n"))
+    twos = x.groupBy("service", "n_tokens", "k1").agg(F.count_distinct("k2").alias("n")).agg(F.max("n"))
+    return max(r[0] or 0 for r in ones.union(twos).collect()) > most
+
+
 def leaves(lines: DataFrame, known: DataFrame | None = None, most: int = CHILDREN) -> DataFrame:
     """lines (seq, service, tokens) with n_tokens and b1, b2, the keys by which the line reaches its leaf."""
     x = bucketed(lines)
+    if known is None and not crowded(x, most):
+        return x.withColumnsRenamed({"k1": "b1", "k2": "b2"})
     first = x.groupBy("service", "n_tokens", "k1").agg(F.min("seq").alias("seq"))
     if known is not None:
         first = first.unionByName(known.select("service", "n_tokens", F.col("b1").alias("k1"), F.lit(-1).cast("long").alias("seq")))
@@ -128,12 +137,18 @@ def _leaf() -> Column:
 
 def resolved(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: DataFrame | None = None, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     """(_leaf, tokens, seq, template of each row that was fed; _leaf, place, template of all groups)."""
-    b = leaves(lines.select("service", "tokens", "seq"), known, most).select("tokens", "seq", _leaf())
-    fed = b if exact else b.groupBy("_leaf", "tokens").agg(F.min("seq").alias("seq"))
+    fed = lines.select("service", "tokens", "seq")
+    if not exact:  # distinct lines, once; all that follows reads these few
+        fed = cut(fed.groupBy("service", "tokens").agg(F.min("seq").alias("seq")))
+    fed = leaves(fed, known, most).select("tokens", "seq", _leaf())
     order = Window.partitionBy("_leaf").orderBy("seq")
     fed = fed.withColumn("_run", F.floor((F.row_number().over(order) - 1) / chunk))
     found = cut(placed(fed, known, threshold))
-    final = merged(found.where("seq is null"), threshold)
+    groups = found.where("seq is null")
+    if groups.where("_run > 0").limit(1).count():
+        final = merged(groups, threshold)
+    else:
+        final = groups.select("_leaf", "_run", "place", F.col("place").alias("final"), F.col("tokens").alias("template"))
     rows = found.where("seq is not null").join(final, ["_leaf", "_run", "place"]).select("_leaf", "tokens", "seq", F.array_join("template", " ").alias("template"))
     return rows, final.select("_leaf", F.col("final").alias("place"), F.col("template").alias("tokens")).distinct()
 

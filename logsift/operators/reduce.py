@@ -53,31 +53,35 @@ def sensitive_hits(lines: DataFrame, keys: tuple[str, ...] = ("template_id",)) -
     return lines.select(*keys, F.explode("hits").alias("kind", "n")).groupBy(*keys, "kind").agg(F.sum("n").alias("hits"))
 
 
-def _listed(rows: DataFrame, keys, value: str, out: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("position", value))), lambda s: s[value]).alias(out))
-
-
-def _mapped(rows: DataFrame, keys, name: str, value: str, out: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(name, value)))).alias(out))
-
-
 def clusters(lines: DataFrame, keys: tuple[str, ...] = ("template_id", "service", "template")) -> DataFrame:
-    """Clusters with examples, trace_ids, level_counts and sensitive_hits, which are bounded by EXAMPLES, TRACES and kinds."""
-    ids = tuple(k for k in keys if k not in ("service", "template"))
-    out = cluster_agg(lines, keys)
-    parts = [
-        _listed(first_distinct(lines, "scrubbed", EXAMPLES, ids), ids, "scrubbed", "examples"),
-        _listed(first_distinct(lines, "trace_id", TRACES, ids), ids, "trace_id", "trace_ids"),
-        _mapped(level_counts(lines, ids), ids, "level", "lines", "level_counts"),
-        _mapped(sensitive_hits(lines, ids), ids, "kind", "hits", "sensitive_hits"),
-    ]
-    for p in parts:
-        out = out.join(p, list(ids), "left")
-    none = F.array().cast("array<string>")
-    return out.withColumns({
-        "examples": F.coalesce("examples", none), "trace_ids": F.coalesce("trace_ids", none),
-        "sensitive_hits": F.coalesce("sensitive_hits", F.create_map().cast("map<string,bigint>")),
-    })
+    """Clusters with examples, trace_ids, level_counts and sensitive_hits, which are bounded by EXAMPLES, TRACES and kinds.
+
+    One pass: each line gives a row for its level, its text, its trace and each kind of hit, these are summed by value
+    before they are shuffled, and all columns of a cluster come from the sums. Distinct texts and traces are ranked by
+    first arrival within a salt and then over the few that are left, so no task holds those of a hot cluster.
+    """
+    c, ids = F.col, [k for k in keys if k not in ("service", "template")]
+    fact = lambda kind, value, n: F.struct(F.lit(kind).alias("kind"), value.alias("value"), n.cast("long").alias("n"))
+    one, full = F.lit(1), lambda v: v.isNotNull() & (v != "")
+    hits = F.transform(F.map_entries("hits"), lambda e: fact("hit", e.key, e.value))
+    facts = F.concat(F.array(fact("level", normalize_level(c("level")), one)), F.when(full(c("scrubbed")), F.array(fact("text", c("scrubbed"), one))).otherwise(F.array().cast(_FACTS)), F.when(full(c("trace_id")), F.array(fact("trace", c("trace_id"), one))).otherwise(F.array().cast(_FACTS)), hits)
+    x = lines.select(*keys, "rank", "ts", "seq", F.explode(facts).alias("f")).groupBy(*keys, "f.kind", "f.value").agg(
+        F.sum("f.n").alias("n"), F.max("rank").alias("rank"), F.min("ts").alias("first"), F.max("ts").alias("last"), F.min("seq").alias("seq"),
+    )
+    most = F.when(c("kind") == "text", EXAMPLES).when(c("kind") == "trace", TRACES).otherwise(F.lit(1 << 30))
+    for part in ([*ids, "kind", F.pmod(F.xxhash64("value"), F.lit(32))], [*ids, "kind"]):
+        x = x.withColumn("at", F.row_number().over(Window.partitionBy(*part).orderBy("seq", "value"))).where(c("at") <= most)
+    of = lambda kind, v: F.when(c("kind") == kind, v)
+    listed = lambda kind: F.transform(F.array_sort(F.collect_list(of(kind, F.struct("at", "value")))), lambda s: s.value)
+    mapped = lambda kind: F.map_from_entries(F.array_sort(F.collect_list(of(kind, F.struct("value", "n")))))
+    out = x.groupBy(*keys).agg(
+        F.sum(of("level", c("n"))).alias("count"), F.min("first").alias("first_seen"), F.max("last").alias("last_seen"), F.min("seq").alias("first_seq"), level_name(F.max("rank")).alias("level"),
+        listed("text").alias("examples"), listed("trace").alias("trace_ids"), mapped("level").alias("level_counts"), mapped("hit").alias("sensitive_hits"),
+    )
+    return out.select(*keys, "count", "first_seen", "last_seen", "first_seq", "level", "examples", "trace_ids", "level_counts", "sensitive_hits")
+
+
+_FACTS = "array<struct<kind:string,value:string,n:bigint>>"
 
 
 def ordered(found: DataFrame) -> DataFrame:
