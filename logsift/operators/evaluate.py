@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import cut
 from .route import SURFACED
 
 
@@ -105,14 +106,21 @@ def golden_rows(clusters: DataFrame) -> DataFrame:
 def nearest_rank(rows: DataFrame, value: str, percents: list[float]) -> DataFrame:
     """percent, value: the element at round((n - 1) · percent / 100), halves to even; 0 without rows.
 
-    Distinct values are counted first, so what is ranked is as long as there are distinct values.
+    Distinct values are counted first and dealt to partitions by range; only the counts of partitions come to the driver,
+    and values are ranked within their partition.
     """
-    per = rows.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    n = per.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()["n"]
     spark = rows.sparkSession
+    per = rows.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    per = cut(per.repartitionByRange("v").withColumn("_p", F.spark_partition_id()))
+    sizes = sorted((r["lo"], r["_p"], r["n"]) for r in per.where("v IS NOT NULL").groupBy("_p").agg(F.min("v").alias("lo"), F.sum("c").alias("n")).collect())
+    n = sum(s for _, _, s in sizes)
     if not n:
         return spark.createDataFrame([(float(p), 0.0) for p in percents], "percent double, value double")
-    w = Window.partitionBy(F.lit(0)).orderBy("v")
-    cum = per.select("v", F.sum("c").over(w).alias("hi"), (F.sum("c").over(w) - F.col("c")).alias("lo"))
-    want = spark.createDataFrame([(float(p), round(p / 100 * (n - 1))) for p in percents], "percent double, i long")
-    return cum.join(F.broadcast(want), (F.col("i") >= F.col("lo")) & (F.col("i") < F.col("hi"))).select("percent", F.col("v").cast("double").alias("value"))
+    before, wanted = 0, []
+    for _, part, size in sizes:
+        wanted += [(float(p), part, i - before) for p in percents if before <= (i := round(p / 100 * (n - 1))) < before + size]
+        before += size
+    w = Window.partitionBy("_p").orderBy("v")
+    cum = per.where("v IS NOT NULL").select("_p", "v", F.sum("c").over(w).alias("hi"), (F.sum("c").over(w) - F.col("c")).alias("lo"))
+    want = spark.createDataFrame(wanted, "percent double, _p int, i long")
+    return cum.join(F.broadcast(want), "_p").where((F.col("i") >= F.col("lo")) & (F.col("i") < F.col("hi"))).select("percent", F.col("v").cast("double").alias("value"))

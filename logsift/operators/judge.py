@@ -138,9 +138,27 @@ def answers(judged: DataFrame) -> DataFrame:
 
 def runbook_choice(text: Column, runbooks: dict[str, str]) -> Column:
     """Distribution over the runbooks and ``none`` by shared words, for a state's text."""
-    words = word_tokens(text)
-    options = runbooks | {"none": "None of the listed runbooks fits."}
-    return softmax([(k, F.size(F.array_intersect(words, F.array(*map(F.lit, sorted(_words(f"{k} {v}")) or [""])))).cast("double")) for k, v in options.items()], 0.7)
+    return generic("choice", text, runbooks | {"none": "None of the listed runbooks fits."})
+
+
+def with_runbooks(judged: DataFrame, runbooks: dict[str, str], text: Column | None = None) -> DataFrame:
+    """judged with runbook, the likeliest one (or ``none``), and runbook_p, its probability."""
+    x = judged.withColumn("_book", once(runbook_choice(F.col("state") if text is None else text, runbooks)))
+    return x.withColumns({"runbook": best_option(F.col("_book")), "runbook_p": F.array_max(F.transform("_book", lambda e: e.p))}).drop("_book")
+
+
+def generic(kind: str, text: Column, criteria=None) -> Column:
+    """The answer to a question that has no rule: a noul is undecided, a choice goes by shared words, a score is uniform.
+
+    A noul is a probability; the others are distributions.
+    """
+    if kind == "noul":
+        return F.lit(0.5)
+    if kind == "choice":
+        words = word_tokens(text)
+        shared = lambda k, v: F.size(F.array_intersect(words, F.array(*map(F.lit, sorted(_words(f"{k} {v}")) or [""])))).cast("double")
+        return softmax([(k, shared(k, v)) for k, v in (criteria or {}).items()], 0.7)
+    return softmax([(str(i), F.lit(0.0)) for i in range(len(criteria or ()))])
 
 
 def _words(text: str) -> set[str]:

@@ -47,10 +47,11 @@ def _two(c: Column) -> Column:
     return F.format_string("%.2f", c)
 
 
-def route(judged: DataFrame, cfg: RouterConfig | None = None) -> DataFrame:
+def route(judged: DataFrame, cfg: RouterConfig | None = None, known: DataFrame | None = None) -> DataFrame:
     """judged (with ``answers``) with flags, decision, reasons and priority.
 
-    Optional columns: runbook and runbook_p. Null p_actionable or p_benign means review.
+    Optional columns: runbook and runbook_p. Null p_actionable or p_benign means review. known: template_id and ticket of
+    known issues, beside those of the configuration.
     """
     cfg = cfg or RouterConfig()
     a, b, nov, sens, sev = (F.col(c) for c in ("p_actionable", "p_benign", "p_novel", "p_sensitive", "expected_severity"))
@@ -59,9 +60,10 @@ def route(judged: DataFrame, cfg: RouterConfig | None = None) -> DataFrame:
     flags = F.array_compact(F.array(F.when(has, "fallback_answers"), F.when(sensitive, "sensitive_data"), F.when(F.size("sensitive_hits") > 0, "scrubbed")))
     x = judged.withColumns({"flags": once(flags), "priority": once(priority(a, sev, nov, F.col("count"))), "_rules": once(rules_check(cfg))})
     if cfg.known_issues:
-        rows = [(k, v) for k, v in cfg.known_issues.items() if v]
-        known = judged.sparkSession.createDataFrame(rows, "template_id string, _ticket string")
-        x = x.join(F.broadcast(known), "template_id", "left")
+        rows = judged.sparkSession.createDataFrame([(k, v) for k, v in cfg.known_issues.items() if v], "template_id string, ticket string")
+        known = rows if known is None else rows.unionByName(known.select("template_id", "ticket"))
+    if known is not None:
+        x = x.join(known.groupBy("template_id").agg(F.min("ticket").alias("_ticket")), "template_id", "left")
     else:
         x = x.withColumn("_ticket", F.lit(None).cast("string"))
     runbook = F.col("runbook") if "runbook" in judged.columns else F.lit(None).cast("string")

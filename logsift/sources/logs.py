@@ -74,18 +74,23 @@ def read_logs(spark: SparkSession, path: str, now: datetime | None = None) -> Da
     return parse_lines(lines, now=None if now is None else F.lit(now))
 
 
-def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """change_id, ts, service, summary."""
-    v = F.col("value")
-    x = spark.read.text(path).where(F.regexp_like(v, F.lit(r"\S")))
+def parse_changes(lines: DataFrame, line: str = "value") -> DataFrame:
+    """change_id, ts, service, summary of JSON lines; blank ones are left out."""
+    v = F.col(line)
     part = lambda k: F.get_json_object(v, f"$.{k}")
+    x = lines.where(F.regexp_like(v, F.lit(r"\S")))
     return x.select(F.coalesce(part("id"), F.lit("")).alias("change_id"), parse_ts(part("ts")).alias("ts"), part("service").alias("service"), part("summary").alias("summary"))
 
 
-def window_scan(table: DataFrame, start, end, limit: int | None = None, ts: str = "ts") -> DataFrame:
-    """Rows of [start, end), pushed down to the scan; with a limit the earliest ones."""
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """change_id, ts, service, summary; in the order of the changes' times."""
+    return parse_changes(spark.read.text(path)).orderBy("ts", "change_id")
+
+
+def window_scan(table: DataFrame, start, end, limit: int | None = None, ts: str = "ts", order: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of [start, end), pushed down to the scan; with a limit the earliest ones, equal times by the columns of order."""
     out = table.where((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
-    return out if limit is None else out.orderBy(ts).limit(limit)
+    return out if limit is None else out.orderBy(ts, *order).limit(limit)
 
 
 def from_otel(table: DataFrame) -> DataFrame:
@@ -96,15 +101,29 @@ def from_otel(table: DataFrame) -> DataFrame:
     )
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """i, v: the lines of a file with their numbers from 0. Only the number of lines of each split comes to the driver."""
+    x = spark.read.text(path).select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("m"), F.col("value").alias("v"))
+    before, starts = 0, []
+    for r in sorted(x.groupBy("p").count().collect()):
+        starts.append((r["p"], before - (r["p"] << 33)))
+        before += r["count"]
+    shift = spark.createDataFrame(starts, "p int, s long")
+    return x.join(F.broadcast(shift), "p").select((F.col("m") + F.col("s")).alias("i"), "v")
+
+
 def read_golden(spark: SparkSession, path: str) -> DataFrame:
-    """id, service, level, template (masked and scrubbed body if absent), examples (3 at most, scrubbed), count, labels.
+    """``parse_golden`` of one file's lines, whose numbers name rows without an id, as ``row-<number>``."""
+    return parse_golden(numbered_lines(spark, path))
 
-    One file is read with its line numbers, which name rows without an id, as ``row-<index>``.
-    """
+
+def parse_golden(lines: DataFrame) -> DataFrame:
+    """id, service, level, template (masked and scrubbed body if absent), examples (3 at most, scrubbed), count, labels of
+    lines (i, v)."""
     from ..functions.scrub import scrub
     from ..functions.text import mask
 
-    rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("i", "v")).where(F.regexp_like("v", F.lit(r"\S")))
+    rows = lines.where(F.regexp_like("v", F.lit(r"\S")))
     v = F.col("v")
     part = lambda k: F.get_json_object(v, f"$.{k}")
     x = rows.select(

@@ -5,8 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from logsift.plans.oracle import ORACLE
-from logsift.plans.queries import QUERIES
+
+ORACLE, QUERIES = entry.oracle_sql(), entry.queries()
 
 TABLES = "/root/testdata/sf0.001"
 CHOSEN = ["scan_jsonl", "cluster_agg", "first_examples", "keyword_features", "p_nouls", "expected_severity", "route_flags", "window_summary", "incident_rollup", "change_best_link", "reliability", "triage_board", "best_threshold"]
