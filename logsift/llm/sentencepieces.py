@@ -42,6 +42,8 @@ UNKNOWN_PENALTY = 10.0
 MOST_PIECES = 400_000
 #: Units that are broadcast, at most, and rows that they are found in.
 HEAD, SAMPLE = 400_000, 20_000
+#: Tasks of the lattice for each shuffle partition: a unit has some twenty edges, which are sorted before they are grouped.
+TASKS = 4
 _KINDS = "id int, piece string, score double, kind string"
 _APART = re.compile(f"{SPACE}*(?:[^\\W\\d_]+|(?:[\\d_]|[^\\w{SPACE}])+)|{SPACE}+")
 _TOGETHER = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -112,7 +114,8 @@ def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
 
     n = F.length("_w")
     # rows of a unit are sorted by its hash, a number, before they meet
-    starts = units.select("_w").distinct().select("_w", F.xxhash64("_w").alias("_h"), F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
+    tasks = TASKS * int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = units.select("_w").repartition(tasks, "_w").distinct().select("_w", F.xxhash64("_w").alias("_h"), F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
     spans = starts.select("_w", "_h", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("len"))
     spans = spans.select("*", F.substring("_w", F.col("start") + 1, F.col("len")).alias("piece"))
     found = spans.join(F.broadcast(table), "piece", "left").where("id is not null or len = 1")
