@@ -60,12 +60,13 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--changes")
     c.add_argument("--out")
     c.add_argument("--database")
-    c.add_argument("--config", help="YAML: redact_ips, mining, topology, top_k and thresholds")
+    c.add_argument("--config", help="YAML with the sections judge, cache, pack, reduce, router, known_issues, runbooks, correlate, narrate, pricing, sink")
     c = sub.add_parser("stream")
     c.add_argument("folder")
     c.add_argument("out")
     c.add_argument("checkpoint")
     c.add_argument("--once", action="store_true")
+    c.add_argument("--changes")
     c = sub.add_parser("estimate")
     c.add_argument("logs")
     c.add_argument("--pack")
@@ -92,7 +93,7 @@ def main(argv: list[str] | None = None) -> int:
 
             with open(a.config) as f:
                 options = yaml.safe_load(f) or {}
-        cfg = triage.Config(**triage.Config.merged({}, options))
+        cfg = triage.Config.of(options)
         r = triage.run(src.read_logs(spark, a.logs), src.read_changes(spark, a.changes) if a.changes else None, cfg)
         sinks.triage_console(r.routed).show(truncate=False)
         r.summary.show(vertical=True, truncate=False)
@@ -105,14 +106,15 @@ def main(argv: list[str] | None = None) -> int:
         from .streaming import worker
 
         schema = "seq long, ts timestamp, service string, level string, body string, trace_id string"
-        worker.start(worker.log_stream(spark, a.folder, schema), a.out, a.checkpoint, once=a.once).awaitTermination()
+        changes = src.read_changes(spark, a.changes) if a.changes else None
+        worker.start(worker.log_stream(spark, a.folder, schema), a.out, a.checkpoint, changes=changes, once=a.once).awaitTermination()
     elif a.command == "estimate":
         estimate(_clusters(spark, a.logs), question_tokens(load_pack(a.pack) if a.pack else checked(BUILT_IN))).show(vertical=True)
     elif a.command == "eval":
         metrics = evaluation(src.read_golden(spark, a.golden))
         print(sinks.report(metrics))
-        rate = metrics["routing"]["false_suppression_rate"]
-        return int(a.max_false_suppression is not None and rate is not None and rate > a.max_false_suppression)
+        quality = spark.createDataFrame([(metrics["routing"]["false_suppression_rate"],)], "false_suppression_rate double")
+        return int(a.max_false_suppression is not None and not evaluate.gate(quality, a.max_false_suppression))
     elif a.command == "export-golden":
         evaluate.golden_rows(_clusters(spark, a.logs)).write.mode("overwrite").json(a.out)
     elif a.command == "replay":

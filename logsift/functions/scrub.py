@@ -77,8 +77,9 @@ def scrub(df: DataFrame, text: str = "body", out: str = "scrubbed", hits: str =
         done, near = [F.col(f"_h{j}") for j in range(i)], may_match(kind, F.col("_s"))
         cur = cur.select(*names, *done, F.when(near, n).otherwise(F.lit(0)).cast("long").alias(f"_h{i}"), F.when(near, new).otherwise(F.col("_s")).alias("_s"))
     entries = F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"_h{i}").alias("value")) for i, (k, _) in enumerate(chain)])
-    # guarded: a filter on the hits (an explode infers one) would be pushed down the chain and copy it at every step
-    return cur.select(*names, F.col("_s").alias(out), once(F.map_from_entries(F.filter(entries, lambda e: e.value > 0))).alias(hits))
+    # guarded: a filter on the text or the hits (an explode infers one) would be pushed down the chain, copying it at every
+    # step; filters on other columns belong before the scrub
+    return cur.select(*names, once(F.col("_s")).alias(out), once(F.map_from_entries(F.filter(entries, lambda e: e.value > 0))).alias(hits))
 
 
 def is_dirty(text: Column) -> Column:

@@ -41,3 +41,18 @@ def stats(asked: DataFrame, cache: DataFrame) -> DataFrame:
     x = asked.select(*KEY).distinct().join(cache.select(*KEY).distinct().withColumn("_h", F.lit(1)), KEY, "left")
     x = x.agg(F.count(F.lit(1)).alias("asked"), F.count("_h").alias("hits"))
     return x.withColumn("hit_rate", F.coalesce(F.col("hits") / F.nullif("asked", F.lit(0)), F.lit(0.0)))
+
+
+def stored(answers: DataFrame, fps: DataFrame, model: str) -> DataFrame:
+    """Cache rows of long answers (subject_id, key, type, value, probabilities, confidence, source); fps: question_key, fp."""
+    x = answers.join(F.broadcast(fps.select(F.col("question_key").alias("key"), F.col("fp").alias("question_fp"))), "key")
+    return x.select("subject_id", F.lit(model).alias("model_version"), "question_fp", F.to_json(F.struct("key", "type", "value", "probabilities", "confidence")).alias("answer"), F.current_timestamp().alias("created_at"), "source")
+
+
+def answered(subjects: DataFrame, cache: DataFrame, fps: DataFrame, model: str) -> DataFrame:
+    """Long answers of the subjects (subject_id) that the cache has all of a pack's answers for, with source ``cache``."""
+    asked = subjects.select("subject_id").distinct().crossJoin(F.broadcast(fps.select(F.col("fp").alias("question_fp")))).withColumn("model_version", F.lit(model))  # a pack is small
+    found = hits(asked, cache)
+    whole = found.groupBy("subject_id").agg(F.count_distinct("question_fp").alias("n")).where(F.col("n") == fps.count()).select("subject_id")
+    kind = "key string, type string, value string, probabilities map<string,double>, confidence double"
+    return found.join(whole, "subject_id", "left_semi").select("subject_id", F.from_json("answer", kind).alias("a"), "source").select("subject_id", "a.*", "source")

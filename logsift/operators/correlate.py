@@ -30,25 +30,42 @@ def adjacency(topology: DataFrame) -> DataFrame:
 def candidate_pairs(found: DataFrame, topology: DataFrame | None = None, max_gap_s: int = MAX_GAP_S, limit: int | None = MAX_PAIRS) -> DataFrame:
     """a_*, b_*, gap_s: clusters first seen within the gap, on one or adjacent services; the top ``limit`` by priority.
 
-    A range join by buckets of the gap's width: a meets its own bucket and the next. a is the earlier one; of equal
-    times the one of the higher priority, then of the smaller id.
+    A range join by buckets of the gap's width, and by service: a meets its own bucket and the next, on its own service
+    and each adjacent one. Only ids, times and priorities are joined; texts and traces come to the pairs that are left. a
+    is the earlier one; of equal times the one of the higher priority, then of the smaller id. Without a topology every
+    service is adjacent to every other. limit: None keeps all pairs.
     """
     cols = ["template_id", "service", "template", "first_seen", "priority", "trace_ids"]
-    x = found.where(F.col("first_seen").isNotNull()).select(*cols).withColumn("_us", micros(F.col("first_seen")))
+    x = found.where(F.col("first_seen").isNotNull())
     width = max_gap_s * 1_000_000
+    thin = x.select("template_id", "service", "priority", micros(F.col("first_seen")).alias("_us"))
     bucket = F.floor(F.col("_us") / width)
-    a = x.select([F.col(c).alias(f"a_{c}") for c in cols] + [F.col("_us").alias("_ua"), F.explode(F.array(bucket, bucket + 1)).alias("_b")])
-    b = x.select([F.col(c).alias(f"b_{c}") for c in cols] + [F.col("_us").alias("_ub"), bucket.alias("_b")])
-    pairs = a.join(b, "_b").where(F.col("a_template_id") != F.col("b_template_id"))
-    gap = F.col("_ub") - F.col("_ua")
-    first = (gap > 0) | ((gap == 0) & ((F.col("a_priority") > F.col("b_priority")) | ((F.col("a_priority") == F.col("b_priority")) & (F.col("a_template_id") < F.col("b_template_id")))))
-    pairs = pairs.where((gap <= width) & first)
-    if topology is not None:
-        near = adjacency(topology).withColumn("_edge", F.lit(True))
-        pairs = pairs.join(near, (F.col("a_service") == F.col("sa")) & (F.col("b_service") == F.col("sb")), "left")
-        pairs = pairs.where((F.col("a_service") == F.col("b_service")) | F.col("_edge")).drop("sa", "sb", "_edge")
-    pairs = pairs.withColumn("gap_s", F.round(gap / 1_000_000, 1)).drop("_b", "_ua", "_ub")
-    return pairs if limit is None else pairs.orderBy(F.desc(F.col("a_priority") + F.col("b_priority")), "a_template_id", "b_template_id").limit(limit)
+    a = thin.select(F.col("template_id").alias("a_id"), F.col("service").alias("_to"), F.col("priority").alias("pa"), F.col("_us").alias("ua"), F.explode(F.array(bucket, bucket + 1)).alias("_b"))
+    b = thin.select(F.col("template_id").alias("b_id"), F.col("service").alias("_on"), F.col("priority").alias("pb"), F.col("_us").alias("ub"), bucket.alias("_b"))
+    if topology is None:
+        pairs = a.join(b, "_b")
+    else:
+        edges = adjacency(topology)
+        own = thin.select(F.col("service").alias("sa"), F.col("service").alias("sb")).distinct()
+        near = edges.union(own).distinct().select(F.col("sa").alias("_to"), F.col("sb").alias("_on"))
+        pairs = a.join(near, "_to").join(b, ["_b", "_on"])
+    gap = F.col("ub") - F.col("ua")
+    first = (gap > 0) | ((gap == 0) & ((F.col("pa") > F.col("pb")) | ((F.col("pa") == F.col("pb")) & (F.col("a_id") < F.col("b_id")))))
+    pairs = pairs.where((F.col("a_id") != F.col("b_id")) & (gap <= width) & first)
+    if limit is not None:
+        pairs = pairs.orderBy(F.desc(F.col("pa") + F.col("pb")), "a_id", "b_id").limit(limit)
+    pairs = pairs.select(F.col("a_id").alias("a_template_id"), F.col("b_id").alias("b_template_id"), F.round(gap / 1_000_000, 1).alias("gap_s"))
+    for side in "ab":
+        pairs = pairs.join(x.select(*[F.col(c).alias(f"{side}_{c}") for c in cols]), f"{side}_template_id")
+    return pairs
+
+
+def pair_state(pairs: DataFrame) -> DataFrame:
+    """subject_id, state: what another judge is shown of each candidate pair, as JSON; subjects are ``a|b``."""
+    side = lambda s: F.struct(F.col(f"{s}_service").alias("service"), F.col(f"{s}_template").alias("template"), iso(F.col(f"{s}_first_seen")).alias("first_seen"))
+    shared = F.coalesce(F.arrays_overlap("a_trace_ids", "b_trace_ids"), F.lit(False))
+    state = F.to_json(F.struct(side("a").alias("a"), side("b").alias("b"), "gap_s", shared.alias("shared_trace")))
+    return pairs.select(F.concat_ws("|", "a_template_id", "b_template_id").alias("subject_id"), state.alias("state"))
 
 
 def scored_pairs(pairs: DataFrame) -> DataFrame:

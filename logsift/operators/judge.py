@@ -127,13 +127,13 @@ def judgments(judged: DataFrame) -> DataFrame:
 
 
 def answers(judged: DataFrame) -> DataFrame:
-    """judged with category, component, expected_severity, expected_user_impact and fallback (false)."""
+    """judged with category, component, expected_severity, expected_user_impact and fallback (false, or as ``overlaid``)."""
     return judged.withColumns({
         "category": once(best_option(F.col("d_category"))), "component": once(best_option(F.col("d_component"))),
         "expected_severity": once(expected_level(F.col("d_severity"))), "expected_user_impact": once(expected_level(F.col("d_user_impact"))),
         "p_severe": F.aggregate(F.filter("d_severity", lambda e: e["name"].cast("int") >= 3), F.lit(0.0), lambda s, e: s + e.p),
-        "fallback": F.lit(False),
-    })
+        "fallback": F.col("_fallback") if "_fallback" in judged.columns else F.lit(False),
+    }).drop("_fallback")
 
 
 def runbook_choice(text: Column, runbooks: dict[str, str]) -> Column:
@@ -141,6 +141,25 @@ def runbook_choice(text: Column, runbooks: dict[str, str]) -> Column:
     return generic("choice", text, runbooks | {"none": "None of the listed runbooks fits."})
 
 
+def overlaid(judged: DataFrame, given: DataFrame, fallback: bool = True) -> DataFrame:
+    """judged with another judge's answers in place of the native ones, and fallback: whether it has none for a cluster.
+
+    given: subject_id, key, type, value, probabilities (``remote.long_answers``). fallback: clusters without an answer keep
+    the native answers, else they have none. A run's questions are those of PACK; answers to others are left out.
+    """
+    pick = lambda key, c: F.max(F.when(F.col("key") == key, F.col(c)))
+    dist = lambda key: F.max(F.when(F.col("key") == key, F.to_json("probabilities")))
+    wide = given.groupBy(F.col("subject_id").alias("template_id")).agg(*[pick(k, "value").cast("double").alias(f"_p_{k}") for k in NOULS], *[dist(k).alias(f"_d_{k}") for k, t in PACK if t != "noul"], F.lit(True).alias("_has"))
+    x = judged.join(wide, "template_id", "left").withColumn("_miss", F.col("_has").isNull())
+    own = lambda c: F.when(F.col("_miss") & F.lit(fallback), F.col(c))
+    parts = {f"p_{k}": F.coalesce(F.round(noul(F.col(f"_p_{k}")), 4), own(f"p_{k}")) for k in NOULS} | {f"q_{k}": F.coalesce(noul(F.col(f"_p_{k}")), own(f"q_{k}")) for k in NOULS}
+    for k, t in PACK:
+        if t != "noul":
+            shares = F.transform(F.map_entries(F.from_json(f"_d_{k}", "map<string,double>")), lambda e: F.struct(e.key.alias("name"), e.value.alias("p")))
+            parts[f"d_{k}"] = F.coalesce(shares, own(f"d_{k}"))
+    return x.withColumns(parts).withColumn("_fallback", F.col("_miss")).drop("_has", "_miss", *[f"_p_{k}" for k in NOULS], *[f"_d_{k}" for k, t in PACK if t != "noul"])
+
+
 def with_runbooks(judged: DataFrame, runbooks: dict[str, str], text: Column | None = None) -> DataFrame:
     """judged with runbook, the likeliest one (or ``none``), and runbook_p, its probability."""
     x = judged.withColumn("_book", once(runbook_choice(F.col("state") if text is None else text, runbooks)))

@@ -138,8 +138,7 @@ def _leaf() -> Column:
 def resolved(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: DataFrame | None = None, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     """(_leaf, tokens, seq, template of each row that was fed; _leaf, place, template of all groups)."""
     fed = lines.select("service", "tokens", "seq")
-    if not exact:  # distinct lines, once; all that follows reads these few
-        fed = cut(fed.groupBy("service", "tokens").agg(F.min("seq").alias("seq")))
+    fed = cut(fed if exact else fed.groupBy("service", "tokens").agg(F.min("seq").alias("seq")))  # read several times
     fed = leaves(fed, known, most).select("tokens", "seq", _leaf())
     order = Window.partitionBy("_leaf").orderBy("seq")
     fed = fed.withColumn("_run", F.floor((F.row_number().over(order) - 1) / chunk))

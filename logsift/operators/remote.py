@@ -77,7 +77,8 @@ def ask_all(subjects: DataFrame, make_judge: Callable[[], Callable[[str], tuple[
     """subjects (subject_id, state), one row a subject, to CALLS: answers as JSON, or null with the error (a dead letter)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ask, bucket = make_judge(), TokenBucket(rpm / concurrency)
+        # as many partitions run at once as the cluster has slots for, at most all of them; each has its share of the rate
+        ask, bucket = make_judge(), TokenBucket(rpm / max(1, min(concurrency, slots)))
         for x in batches:
             rows = []
             for subject, state in zip(x["subject_id"], x["state"]):
@@ -96,6 +97,7 @@ def ask_all(subjects: DataFrame, make_judge: Callable[[], Callable[[str], tuple[
                         time.sleep(random.uniform(0, base_s * 2 ** (tries - 1)))
             yield pd.DataFrame(rows, columns=["subject_id", "answers", "attempts", "latency_ms", "input_tokens", "error"])
 
+    slots = subjects.sparkSession.sparkContext.defaultParallelism
     once = subjects.groupBy("subject_id").agg(F.first("state").alias("state"))
     return once.repartition(concurrency).mapInPandas(run, CALLS)
 
@@ -112,5 +114,17 @@ def long_answers(calls: DataFrame, source: str) -> DataFrame:
 
 
 def call_stats(calls: DataFrame, usd_per_m: float = 0.042) -> DataFrame:
+    """One row: requests, input_tokens, dead_letters, est_cost_usd."""
     x = calls.agg(F.count(F.lit(1)).alias("requests"), F.coalesce(F.sum("input_tokens"), F.lit(0)).alias("input_tokens"), F.count("error").alias("dead_letters"))
     return x.withColumn("est_cost_usd", F.round(F.col("input_tokens") / 1e6 * usd_per_m, 6))
+
+
+def run_stats(calls: DataFrame, subjects: DataFrame, fallback: bool = True, usd_per_m: float = 0.042) -> DataFrame:
+    """One row for a run: ``call_stats`` with subjects, cache_hits, hit_rate, fallbacks, p50_ms and p95_ms (nearest rank)."""
+    from .evaluate import nearest_rank
+
+    p = {r["percent"]: r["value"] for r in nearest_rank(calls.where("error IS NULL"), "latency_ms", [50, 95]).collect()}
+    asked = subjects.select(F.col("subject_id").alias("s")).distinct().join(calls.select(F.col("subject_id").alias("s"), F.lit(1).alias("c")), "s", "left").agg(F.count(F.lit(1)).alias("subjects"), F.count_if(F.col("c").isNull()).alias("cache_hits"))
+    one = call_stats(calls, usd_per_m).withColumn("_j", F.lit(1)).join(F.broadcast(asked.withColumn("_j", F.lit(1))), "_j").drop("_j")  # a row each
+    rate = F.coalesce(F.col("cache_hits") / F.nullif("subjects", F.lit(0)), F.lit(0.0))
+    return one.withColumns({"hit_rate": rate, "fallbacks": F.col("dead_letters") if fallback else F.lit(0).cast("long"), "p50_ms": F.lit(p[50.0]), "p95_ms": F.lit(p[95.0])})

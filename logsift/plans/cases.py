@@ -70,7 +70,7 @@ def scrub_luhn(spark, d):
     return sc.scrub(x).select("seq", "scrubbed")
 
 
-_cards = r"regexp_extract_all(text, '(?:^|[^\w-])(\d(?:[ -]?\d){12,18})(?:$|[^\w-])', 1)"
+_cards = r"regexp_extract_all(text, '(?:^|[^\w-])(\d(?:[ -]?\d){12,18})\b', 1)"
 _valid = f"len(list_filter(list_transform({_cards}, lambda c: regexp_replace(c, '[ -]', '', 'g')), lambda c: {_luhn.format(c='c')}))"
 ORACLE["scrub_card"] = f"SELECT doc_id, CAST(n AS BIGINT) AS n_card FROM (SELECT doc_id, {_valid} AS n FROM documents) WHERE n > 0"
 _secrets = r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b\s*[=:]\s*(?:\"[^\"]*\"|''[^'']*''|[^\s,;\"]+)"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import levels, scrub, text
 from ..operators import cache, correlate, estimate, evaluate, judge, miner, narrate, reduce, remote, route
-from ..operators.graph import cut
+from ..operators.graph import cut, shared_folder
 from ..sources import logs as src
 from ..sources.questions import BUILT_IN, checked
 from ..sources.synthetic import synthetic_changes, synthetic_logs
@@ -636,7 +636,7 @@ def stream_once(spark, d):
     x = spark.sql(LOGS.replace("{text}", "STRING"), events=x)
     counts = worker.windowed_counts(x, "1 hour")
     name = f"counts_{abs(hash(d))}"
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    base = shared_folder(spark)
     import uuid
 
     folder = f"{base}/stream-{uuid.uuid4().hex}"

@@ -57,16 +57,24 @@ def write_files(r: Run, folder: str, form: str = "json") -> None:
     """The four relations below ``folder/run_id``, with the summary; a run that is written again replaces itself."""
     for name, df in relations(r).items():
         df.write.mode("overwrite").format(form).save(f"{folder}/{r.run_id}/{name}")
-    r.summary.write.mode("overwrite").json(f"{folder}/{r.run_id}/summary")
+    # one row, and the few narratives in the order of their incidents: a file each, as people read them
+    r.summary.coalesce(1).write.mode("overwrite").json(f"{folder}/{r.run_id}/summary")
     r.narratives.write.mode("overwrite").json(f"{folder}/{r.run_id}/narratives")
+    ranked = r.narratives.join(r.incidents.select("incident_id", "priority"), "incident_id").orderBy(F.desc("priority"), "incident_id")
+    ranked.coalesce(1).select(F.concat(F.col("narrative"), F.lit("\n"))).write.mode("overwrite").text(f"{folder}/{r.run_id}/incidents.md")
 
 
 def write_tables(r: Run, database: str) -> None:
-    """Appends to the tables of ``create_tables``, partitioned by day."""
+    """Writes to the tables of ``create_tables``; a run that is written again replaces its own partitions.
+
+    Tables are partitioned by run (and day), and only the partitions that a run has rows of are overwritten.
+    """
+    spark = r.routed.sparkSession
     for name, df in relations(r).items():
         if name in PARTITION:
             df = df.withColumn("day", F.to_date(PARTITION[name]))
-        df.write.insertInto(f"{database}.{name}")
+        columns = spark.table(f"{database}.{name}").columns
+        df.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(f"{database}.{name}", overwrite=True)
 
 
 def write_jdbc(r: Run, url: str, properties: dict[str, str] | None = None) -> None:

@@ -8,10 +8,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import cache as ch
 from ..operators import correlate as co
 from ..operators import judge as ju
-from ..operators import miner, narrate, reduce, route
+from ..operators import miner, narrate, reduce, remote, route
 from ..operators.graph import cut
+from ..sources.questions import BUILT_IN, checked, load_pack, pack_frame
 
 
 @dataclass
@@ -20,13 +22,30 @@ class Config:
     extra_patterns: dict[str, str] = field(default_factory=dict)
     mining: str = "distinct"  # or "exact", or "none" for masks alone
     sim_threshold: float = 0.5
+    backend: str = "heuristic"  # or "remote": the judge that ``run`` is given
+    model: str = ju.MODEL
+    fallback: str | None = "heuristic"
+    concurrency: int = 32
+    max_retries: int = 3
+    rpm: float = 1200
+    cache: str | None = None  # a folder of Parquet
+    ttl_days: float = 30
+    pack: str | None = None
     router: route.RouterConfig = field(default_factory=route.RouterConfig)
+    runbooks: dict[str, str] = field(default_factory=dict)
+    correlate: bool = True
     same_issue_threshold: float = 0.6
     max_gap_s: int = 600
+    max_pairs: int | None = co.MAX_PAIRS  # None: all candidate pairs
     change_lookback_s: int = 3600
     change_threshold: float = 0.5
     topology: dict[str, list[str]] | None = None
     top_k: int = 3
+    usd_per_m: float = 0.042
+    billing: str = "per_question"
+    sink: str = "jsonl"
+    out: str = "out"
+    database: str | None = None
 
     @staticmethod
     def merged(*layers: dict) -> dict:
@@ -37,6 +56,46 @@ class Config:
                 out[k] = Config.merged(out[k], v) if isinstance(v, dict) and isinstance(out.get(k), dict) else v
         return out
 
+    @staticmethod
+    def of(*layers: dict) -> Config:
+        """From dictionaries (of YAML files): sections as in SECTIONS, or fields by their own names. Keys of a section
+        that name endpoints, paths of other tools or a language model are left out; others that are unknown are errors."""
+        flat: dict = {}
+        for name, value in Config.merged(*layers).items():
+            if name == "router":
+                flat["router"] = {**value, **flat.get("router", {})}
+            elif name == "known_issues":
+                flat.setdefault("router", {})["known_issues"] = value or {}
+            elif name in SECTIONS:
+                for k, v in (value or {}).items() if isinstance(value, dict) else [(None, value)]:
+                    if k not in SECTIONS[name]:
+                        raise ValueError(f"unknown setting {name}.{k}")
+                    if SECTIONS[name][k]:
+                        flat[SECTIONS[name][k]] = v
+            elif name in Config.__dataclass_fields__:
+                flat[name] = value
+            else:
+                raise ValueError(f"unknown setting {name}")
+        if isinstance(flat.get("router"), dict):
+            lists = {k: tuple(v) if isinstance(v, list) else v for k, v in flat["router"].items()}
+            if odd := lists.keys() - route.RouterConfig.__dataclass_fields__.keys():
+                raise ValueError(f"unknown setting router.{min(odd)}")
+            flat["router"] = route.RouterConfig(**lists)
+        if flat.get("backend", "heuristic") not in BACKENDS:
+            flat["backend"] = "remote"
+        return Config(**flat)
+
+
+BACKENDS = ("heuristic", "remote")
+#: Settings of each section: their fields, or None for those that have no part here.
+SECTIONS: dict[str, dict] = {
+    "judge": {"backend": "backend", "model": "model", "fallback": "fallback", "concurrency": "concurrency", "max_retries": "max_retries", "rpm": "rpm", "endpoint": None, "timeout_s": None},
+    "cache": {"path": "cache", "ttl_days": "ttl_days"}, "pack": {None: "pack"}, "runbooks": {}, "reduce": {"sim_threshold": "sim_threshold", "redact_ips": "redact_ips", "extra_patterns": "extra_patterns", "mining": "mining"},
+    "correlate": {"enabled": "correlate", "same_issue_threshold": "same_issue_threshold", "max_gap_s": "max_gap_s", "max_pairs": "max_pairs", "change_lookback_s": "change_lookback_s", "change_threshold": "change_threshold", "topology": "topology"},
+    "narrate": {"top_k": "top_k", "kind": None, "model": None, "effort": None}, "pricing": {"usd_per_m_input": "usd_per_m", "billing": "billing"}, "sink": {"kind": "sink", "out_dir": "out", "clickhouse_database": "database"},
+}
+del SECTIONS["runbooks"]  # a dictionary of the user's own keys
+
 
 @dataclass
 class Run:
@@ -54,22 +113,59 @@ class Run:
     hypotheses: DataFrame
     timeline: DataFrame
     narratives: DataFrame
+    cache: DataFrame | None = None  # to be kept for the next run
+    dead_letters: DataFrame | None = None
+    judge_stats: DataFrame | None = None
+    groups: DataFrame | None = None  # the miner's, for the next batch
 
 
 def topology_frame(spark: SparkSession, topology: dict[str, list[str]] | None) -> DataFrame | None:
     return None if topology is None else spark.createDataFrame([(a, b) for a, bs in topology.items() for b in bs], "src string, dst string")
 
 
-def run(logs: DataFrame, changes: DataFrame | None = None, config: Config | None = None, run_id: str | None = None, narrator: narrate.Narrator | None = None) -> Run:
-    """logs: seq, ts, service, level, body, trace_id. Clusters are materialised once, as all later layers read them."""
+def judged_by(found: DataFrame, cfg: Config, ask=None, cache: DataFrame | None = None) -> tuple[DataFrame, dict]:
+    """(clusters with answers; cache, dead_letters and judge_stats of the run).
+
+    ask: a factory of judges (``remote.ask_all``) for the backend ``remote``. Clusters that the cache has all answers of are
+    not asked again; those that fail get the native answers, marked as fallback, or none if there is no fallback.
+    """
+    spark, native = found.sparkSession, ju.judge(found)
+    if cfg.backend == "heuristic":
+        return ju.answers(native), {}
+    if ask is None:
+        raise ValueError("the backend remote needs a judge")
+    fps = pack_frame(spark, load_pack(cfg.pack) if cfg.pack else checked(BUILT_IN))
+    subjects = native.select(F.col("template_id").alias("subject_id"), "state")
+    old = None if cache is None else ch.fresh(cache, F.current_timestamp(), cfg.ttl_days)
+    kept = None if old is None else cut(ch.answered(subjects, old, fps, cfg.model))
+    missing = subjects if kept is None else subjects.join(kept.select("subject_id").distinct(), "subject_id", "left_anti")
+    calls = cut(remote.ask_all(missing, ask, cfg.concurrency, cfg.rpm, cfg.max_retries))
+    new = remote.long_answers(calls, "remote")
+    rows = ch.stored(new, fps, cfg.model)
+    given = new if kept is None else new.unionByName(kept)
+    extra = {"cache": rows if old is None else ch.upsert(cache, rows), "dead_letters": remote.dead_letters(calls), "judge_stats": remote.run_stats(calls, subjects, cfg.fallback is not None, cfg.usd_per_m)}
+    return ju.answers(ju.overlaid(native, given, cfg.fallback is not None)), extra
+
+
+def run(logs: DataFrame, changes: DataFrame | None = None, config: Config | None = None, run_id: str | None = None, narrator: narrate.Narrator | None = None, ask=None, cache: DataFrame | None = None, known: DataFrame | None = None) -> Run:
+    """logs: seq, ts, service, level, body, trace_id. Clusters are materialised once, as all later layers read them.
+
+    ask, cache: see ``judged_by``. known: the miner's groups of earlier batches (``miner.grown``).
+    """
     cfg, spark = config or Config(), logs.sparkSession
     lines = reduce.prepare(logs, cfg.redact_ips, cfg.extra_patterns)
-    lines = reduce.with_templates(lines) if cfg.mining == "none" else miner.mine(lines, cfg.mining == "exact", cfg.sim_threshold)
+    groups = None
+    if cfg.mining == "none":
+        lines = reduce.with_templates(lines)
+    else:
+        lines, groups = miner.grown(lines, known, cfg.mining == "exact", cfg.sim_threshold)
     found = cut(reduce.clusters(lines))
-    judged = ju.answers(ju.judge(found))
+    judged, extra = judged_by(found, cfg, ask, cache)
+    if cfg.runbooks:
+        judged = ju.with_runbooks(judged, cfg.runbooks)
     routed = cut(route.route(judged, cfg.router))
-    surfaced = co.surfaced(routed)
-    pairs = co.scored_pairs(co.candidate_pairs(surfaced, topology_frame(spark, cfg.topology), cfg.max_gap_s))
+    surfaced = co.surfaced(routed) if cfg.correlate else routed.limit(0)
+    pairs = co.scored_pairs(co.candidate_pairs(surfaced, topology_frame(spark, cfg.topology), cfg.max_gap_s, cfg.max_pairs))
     members = cut(co.incident_members(surfaced, pairs, cfg.same_issue_threshold))
     all_incidents = co.incidents(members)
     kept = co.escalated(all_incidents)
@@ -83,7 +179,9 @@ def run(logs: DataFrame, changes: DataFrame | None = None, config: Config | None
     scored = co.hypothesis_scores(co.hypotheses(of_top(ranked), of_top(links)), co.evidence(of_top(inside), top, of_top(links)))
     events = co.timeline(of_top(inside), of_top(links))
     bundle = narrate.bundles(top, of_top(ranked), of_top(links), scored, events)
-    return Run(
-        run_id or f"run-{int(time.time())}", ju.MODEL, lines, found, judged, routed, route.window_summary(routed), inside, kept, ranked, links, scored, events,
-        (narrator or narrate.TemplateNarrator()).narrate(bundle),
+    out = Run(
+        run_id or f"run-{int(time.time())}", cfg.model, lines, found, judged, routed, route.window_summary(routed), inside, kept, ranked, links, scored, events,
+        (narrator or narrate.TemplateNarrator()).narrate(bundle), **extra,
     )
+    out.groups = groups
+    return out

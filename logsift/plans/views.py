@@ -21,7 +21,7 @@ def create_tables(spark: SparkSession, database: str = "triage") -> list[str]:
     """Creates the database, its tables and the view; returns their names."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, columns in DDL.items():
-        part = f", day DATE) USING parquet PARTITIONED BY (day)" if name in PARTITION else ") USING parquet"  # noqa: F541
+        part = ", day DATE) USING parquet PARTITIONED BY (day, run_id)" if name in PARTITION else ") USING parquet PARTITIONED BY (run_id)"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}{part}")
     spark.sql(f"CREATE OR REPLACE VIEW {database}.template_labels AS {SQL['template_labels'].replace('{decisions}', f'{database}.routing_decisions')}")
     return [*DDL, "template_labels"]

@@ -1,7 +1,7 @@
 """Log triage over Structured Streaming: the batch functions on micro-batches, with exactly-once run ids.
 
-Offsets and progress are in the stream's checkpoint, so a restart goes on where it stopped. Templates met before keep
-their ids, as ids are hashes of service and template. Late rows within the watermark are taken; later ones are dropped
+Offsets and progress are in the stream's checkpoint, so a restart goes on where it stopped. The miner's groups go from
+batch to batch, so a template that is met again has its id unless it has become more general. Late rows within the watermark are taken; later ones are dropped
 by the windowed aggregate and taken by the micro-batch run, which reads raw rows.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.miner import KNOWN
 from ..operators.reduce import prepare, with_templates
 from ..plans.sinks import relations
 from ..plans.triage import Config, Run, run
@@ -36,17 +37,31 @@ def windowed_counts(logs: DataFrame, window: str = "60 seconds", lag: str = LAG)
 def start(logs: DataFrame, out: str, checkpoint: str, config: Config | None = None, changes: DataFrame | None = None, once: bool = False, every: str = "60 seconds", narrator=None, on_run: Callable[[Run], None] | None = None) -> StreamingQuery:
     """Runs each micro-batch through the batch plan and writes its relations below ``out``.
 
-    The batch's number names its run and its folders, so a batch that is tried again replaces itself.
+    The batch's number names its run and its folders, so a batch that is tried again replaces itself. The miner's groups
+    after each batch are below ``out/groups``; a batch starts from those of the one before, so templates keep growing as
+    in one long run.
     """
+    cfg = config or Config()
 
     def one(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        known = groups_before(spark, f"{out}/groups", number) if cfg.mining != "none" else None
         if batch.isEmpty():
+            if known is not None:
+                known.write.mode("overwrite").parquet(f"{out}/groups/after={number}")
             return
-        r = run(batch, changes, config, f"batch-{number:08d}", narrator)
+        r = run(batch, changes, cfg, f"batch-{number:08d}", narrator, known=known)
         for name, df in relations(r).items():
             df.write.mode("overwrite").parquet(f"{out}/{name}/run={r.run_id}")
+        if r.groups is not None:
+            r.groups.write.mode("overwrite").parquet(f"{out}/groups/after={number}")
         if on_run:
             on_run(r)
 
     w = logs.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime=every)).start()
+
+
+def groups_before(spark: SparkSession, folder: str, number: int) -> DataFrame | None:
+    """The miner's groups after batch ``number`` - 1; none before the first."""
+    return spark.read.schema(KNOWN).parquet(f"{folder}/after={number - 1}") if number else None

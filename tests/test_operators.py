@@ -272,3 +272,103 @@ def test_judge_ranges(spark, scenario):
     r = scenario.judged.first()
     assert all(0.01 <= r[f"p_{k}"] <= 0.99 for k in judge.NOULS)
     assert judge.judgments(scenario.judged).count() == 9 * scenario.clusters.count()
+
+
+YAML = """
+judge: {backend: typesafe, model: m-1, endpoint: https://x.example, fallback: heuristic, concurrency: 4, max_retries: 0, rpm: 100000, timeout_s: 30}
+cache: {path: c, ttl_days: 30}
+reduce: {sim_threshold: 0.5, redact_ips: false}
+router: {suppress_min_count: 20, noise_allowlist: [health, heartbeat], never_suppress_levels: [ERROR, FATAL]}
+known_issues: {}
+runbooks: {rb_login: login failed for a user}
+correlate: {enabled: true, max_gap_s: 600, topology: {a: [b]}}
+narrate: {kind: template, top_k: 2}
+pricing: {usd_per_m_input: 0.042, billing: per_question}
+sink: {kind: jsonl, out_dir: out, clickhouse_database: db}
+"""
+
+
+def test_config_of_sections():
+    import yaml
+
+    cfg = triage.Config.of(yaml.safe_load(YAML))
+    assert (cfg.backend, cfg.model, cfg.concurrency, cfg.top_k, cfg.topology) == ("remote", "m-1", 4, 2, {"a": ["b"]})
+    assert cfg.router.noise_allowlist == ("health", "heartbeat") and cfg.router.sensitive_flag_min == 0.5 and cfg.runbooks == {"rb_login": "login failed for a user"}
+    assert triage.Config.of({"top_k": 9, "known_issues": {"t": "T-1"}}).router.known_issues == {"t": "T-1"}
+    assert triage.Config.of({"correlate": {"max_pairs": None}}).max_pairs is None and triage.Config().max_pairs == 2000
+    for bad in ({"odd": 1}, {"judge": {"odd": 1}}, {"router": {"odd": 1}}):
+        with pytest.raises(ValueError):
+            triage.Config.of(bad)
+
+
+def half_judge():
+    """Answers states that name service a, fails for others."""
+
+    def ask(state):
+        if json.loads(state)["service"] != "a":
+            raise remote.status_error(400, "no")
+        answers = [{"key": k, "type": "noul", "value": 0.02 if k == "actionable" else 0.98, "probabilities": {"yes": 0.5, "no": 0.5}, "confidence": None} for k in judge.NOULS if k != "sensitive"]
+        answers.append({"key": "sensitive", "type": "noul", "value": 0.01, "probabilities": {}, "confidence": None})
+        answers += [{"key": k, "type": "choice", "value": "x", "probabilities": {"x": 0.75, "y": 0.25}, "confidence": 0.5} for k in ("category", "component")]
+        answers += [{"key": k, "type": "score", "value": 1, "probabilities": {"1": 1.0}, "confidence": 1.0} for k in ("severity", "user_impact")]
+        return answers, 100
+
+    return ask
+
+
+def test_remote_judge_cache_and_fallback_in_a_run(spark):
+    rows = [(i, s, "INFO", f"request completed in {i} ms" if s == "a" else "heartbeat ok") for s in "ab" for i in range(30)]
+    cfg = triage.Config.of({"judge": {"backend": "remote", "concurrency": 2, "max_retries": 0, "rpm": 1e9}, "reduce": {"mining": "none"}})
+    first = triage.run(logs(spark, rows), config=cfg, ask=half_judge)
+    by = {r["service"]: r for r in first.routed.collect()}
+    assert by["a"]["decision"] == "suppress" and by["a"]["category"] == "x" and by["a"]["expected_severity"] == 1.0 and not by["a"]["fallback"]
+    assert by["b"]["fallback"] and by["b"]["flags"] == ["fallback_answers"] and by["b"]["decision"] != "suppress"
+    assert [r["attempts"] for r in first.dead_letters.collect()] == [1]
+    s = first.judge_stats.first()
+    assert (s["requests"], s["dead_letters"], s["fallbacks"], s["hit_rate"], s["input_tokens"]) == (2, 1, 1, 0.0, 100) and s["p95_ms"] >= s["p50_ms"] > 0
+    again = triage.run(logs(spark, rows), config=cfg, ask=half_judge, cache=first.cache)
+    s = again.judge_stats.first()
+    assert (s["requests"], s["cache_hits"], s["hit_rate"]) == (1, 1, 0.5) and {r["service"]: r["decision"] for r in again.routed.collect()}["a"] == "suppress"
+    assert first.cache.count() == 9
+    none = triage.Config.of({"judge": {"backend": "remote", "fallback": None, "max_retries": 0, "rpm": 1e9}, "reduce": {"mining": "none"}})
+    lost = {r["service"]: r for r in triage.run(logs(spark, rows), config=none, ask=half_judge).routed.collect()}["b"]
+    assert lost["decision"] == "review" and lost["reasons"] == ["missing core answers (actionable/benign)"]
+
+
+def test_runbooks_in_a_run(spark):
+    rows = [(i, "a", "WARN", f"login failed for user {i}") for i in range(5)]
+    cfg = triage.Config.of({"runbooks": {"rb_login": "login failed user"}, "reduce": {"mining": "none"}})
+    r = triage.run(logs(spark, rows), config=cfg).routed.first()
+    assert r["decision"] == "known_issue" and r["reasons"][-1].startswith("runbook rb_login")
+
+
+def test_generic_answers(spark):
+    one = spark.range(1).select(judge.generic("noul", F.lit("x")).alias("n"), judge.generic("score", F.lit("x"), [1, 2, 3, 4]).alias("s"), judge.generic("choice", F.lit("disk full"), {"a": "the disk is full", "b": "login"}).alias("c")).first()
+    assert one["n"] == 0.5 and [(e["name"], e["p"]) for e in one["s"]] == [(str(i), 0.25) for i in range(4)] and one["c"][0]["p"] > 0.5
+
+
+def test_tables_are_rewritten_by_run(spark, scenario):
+    views.create_tables(spark, "triage_twice")
+    for _ in range(2):
+        sinks.write_tables(scenario, "triage_twice")
+    assert spark.table("triage_twice.routing_decisions").count() == scenario.routed.count()
+
+
+def test_pair_state(spark):
+    rows = [(f"t{i}", "a", f"x{i}", T0 + dt.timedelta(seconds=i), 1.0, ["q"]) for i in range(2)]
+    df = spark.createDataFrame(rows, "template_id string, service string, template string, first_seen timestamp, priority double, trace_ids array<string>")
+    r = correlate.pair_state(correlate.candidate_pairs(df)).first()
+    assert r["subject_id"] == "t0|t1" and json.loads(r["state"])["shared_trace"] is True and json.loads(r["state"])["gap_s"] == 1.0
+
+
+def test_groups_go_from_batch_to_batch(spark, tmp_path):
+    from logsift.streaming import worker
+
+    text = ["job alpha step one done with code fine", "job alpha step two done with code fine"]
+    frame = logs(spark, [(i, "s", "INFO", t) for i, t in enumerate(text)])
+    for i in range(2):
+        frame.where(f"seq = {i}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        x = worker.log_stream(spark, str(tmp_path / "in"), frame.schema)
+        worker.start(x, str(tmp_path / "out"), str(tmp_path / "state"), once=True).awaitTermination()
+    got = {r["template"] for r in spark.read.parquet(str(tmp_path / "out/log_clusters")).collect()}
+    assert got == {text[0], "job alpha step <*> done with code fine"}
