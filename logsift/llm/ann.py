@@ -16,6 +16,7 @@ one id count once. Fewer than k candidates: all of them. Empty table: no rows.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,10 @@ SAMPLE = 8192
 NEIGHBOURS = 16
 TARGET = 0.96
 PARTITIONS = 64
-BLOCK = 4096
+#: Vectors, and queries, of a block; with larger blocks of queries vectors are rarely repeated.
+BLOCK, QUERIES = 4096, 32_768
+
+_log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -38,6 +42,7 @@ class Router:
     weights: np.ndarray
     bias: np.ndarray
     probes: int
+    recall: float = 1.0  # on sampled queries
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         return x / np.linalg.norm(x, axis=1, keepdims=True) @ self.weights + self.bias
@@ -113,6 +118,7 @@ def fit(x: np.ndarray, parts: int = PARTITIONS, k: int = 20, target: float = TAR
     found = np.take_along_axis(place, router.homes(x)[top], axis=1)
     recall = np.array([(found < m).mean() for m in range(1, parts + 1)])
     router.probes = int(np.argmax(recall >= target)) + 1
+    router.recall = float(recall[router.probes - 1])
     return router
 
 
@@ -176,6 +182,7 @@ def ann_search(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", v
     if router is None:
         sample = index.select("v").orderBy(F.xxhash64("g"), "g").limit(SAMPLE).collect()
         router = fit(np.array([r["v"] for r in sample]), k=k)
+        _log.warning("recall %.3f on sampled queries, with %d of %d partitions probed", router.recall, router.probes, len(router.bias))
     shared = spark.sparkContext.broadcast(router)
 
     def homed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,8 +201,8 @@ def ann_search(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", v
     # equal queries once, and in blocks: both counts are numbers of the partitions, which are few
     wanted = index.join(asked.select("g").distinct(), "g", "left_semi").select("g", "v")
     routes = cut(wanted.mapInPandas(routed, "g long, v array<double>, ps array<int>").select("g", "v", F.explode("ps").alias("p")))
-    blocks = lambda df: {r["p"]: -(-r["count"] // BLOCK) for r in df.groupBy("p").count().collect()}
-    nx, nq = blocks(homes), blocks(routes)
+    blocks = lambda df, size: {r["p"]: -(-r["count"] // size) for r in df.groupBy("p").count().collect()}
+    nx, nq = blocks(homes, BLOCK), blocks(routes, QUERIES)
     per = lambda n: F.element_at(F.array(*[F.lit(max(1, n.get(p, 1))) for p in range(len(router.bias))]), F.col("p") + 1)
     left = homes.withColumn("bx", F.pmod(F.xxhash64("g"), per(nx)).cast("int")).withColumn("bq", F.explode(F.sequence(F.lit(0), per(nq) - 1)))
     right = routes.withColumn("bq", F.pmod(F.xxhash64("g"), per(nq)).cast("int")).withColumn("bx", F.explode(F.sequence(F.lit(0), per(nx) - 1)))

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import cut as cut
+
 #: Words are maximal runs of characters other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -61,18 +60,3 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int
     few = few.orderBy(F.xxhash64(key), key).limit(limit)
     found = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(few), key)
     return found.orderBy(F.xxhash64(key), key, F.xxhash64("text")).limit(limit)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Rows written to the checkpoint folder that all executors share, with the lineage cut there.
-
-    The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a local folder does for a local master
-    only, as in tests; on a cluster its absence is an error, since executors don't share their disks.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", "")
-        if not shared and not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)

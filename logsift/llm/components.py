@@ -1,33 +1,13 @@
-"""Connected components of an edge table, by smallest labels, hooked roots and pointer jumping."""
+"""Connected components of an edge table: the core's, for edges whose columns have other names."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from ..operators.graph import edge_components
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node, component (smallest node that links reach), for every node of an edge.
-
-    Each round takes the smallest label of the neighbours, gives it to the node that was the label before as well, and
-    then takes the label's own label. So a whole region moves with its root, and rounds grow with the logarithm of the
-    longest path (12 for 3,000 links in any order tried). Labels only fall, so rounds go on until none does. They are
-    checkpointed each round. Only counts come to the driver.
-    """
-    edges = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    ends = edges.select(F.explode(F.array("u", "v")).alias("u"))
-    both = cut(edges.union(edges.select("v", "u")).union(ends.select("u", F.col("u").alias("v"))).distinct())
-    labels = cut(both.groupBy("u").agg(F.min("v").alias("l")))
-    while True:
-        # a node is its own neighbour, which brings its label along
-        near = both.join(labels.select(F.col("u").alias("v"), "l"), "v").groupBy("u").agg(F.min("l").alias("m"), F.max(F.when(F.col("u") == F.col("v"), F.col("l"))).alias("l"))
-        offers = near.select("u", "m", "l").union(near.select("l", "m", F.lit(None)))
-        low = cut(offers.groupBy("u").agg(F.min("m").alias("m"), F.max("l").alias("l")))
-        jump = low.select(F.col("u").alias("m"), F.col("m").alias("j"))
-        after = cut(low.join(jump, "m").select("u", F.least("m", "j").alias("n"), "l"))
-        moved = after.where("n < l").limit(1).count()
-        labels = after.select("u", F.col("n").alias("l"))
-        if not moved:
-            return labels.select(F.col("u").alias("node"), F.col("l").alias("component"))
+    """node, component (smallest node that links reach), for every node of an edge."""
+    return edge_components(edges.select(F.col(a).alias("a"), F.col(b).alias("b")))

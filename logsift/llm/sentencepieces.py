@@ -105,7 +105,11 @@ def viterbi(unit: Column, edges: Column) -> Column:
 
 
 def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """_w, _ids of distinct units (_w). One shuffle, by unit: explosion, join and grouping keep its partitioning."""
+    """_w, _first (smallest _at), _ids of the distinct units of rows (_w, _at).
+
+    One shuffle, by unit (the explosion, the join and the grouping keep its partitioning), which a join of the same rows
+    with the result has in common with it.
+    """
     table = piece_table(units.sparkSession, pieces).where("kind = 'normal'").select("piece", "id", "score")
     normal = [(p, s) for _, p, s, k in pieces if k == "normal"]
     longest, low = max((len(p) for p, _ in normal), default=1), min((s for _, s in normal), default=0.0) - UNKNOWN_PENALTY
@@ -114,13 +118,13 @@ def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
 
     n = F.length("_w")
     # rows of a unit are sorted by its hash, a number, before they meet
-    tasks = TASKS * int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    starts = units.select("_w").repartition(tasks, "_w").distinct().select("_w", F.xxhash64("_w").alias("_h"), F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
-    spans = starts.select("_w", "_h", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("len"))
+    once = by_unit(units).groupBy("_w").agg(F.min("_at").alias("_first"))
+    starts = once.select("_w", "_first", F.xxhash64("_w").alias("_h"), F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
+    spans = starts.select("_w", "_first", "_h", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("len"))
     spans = spans.select("*", F.substring("_w", F.col("start") + 1, F.col("len")).alias("piece"))
     found = spans.join(F.broadcast(table), "piece", "left").where("id is not null or len = 1")
     edge = F.struct((F.col("start") + F.col("len")).alias("end"), "start", F.coalesce("score", F.lit(low)).alias("score"), "id")
-    paths = found.groupBy("_h", "_w").agg(F.collect_list(edge).alias("e")).select("_w", viterbi(F.col("_w"), F.col("e")).alias("path"))
+    paths = found.groupBy("_h", "_w", "_first").agg(F.collect_list(edge).alias("e")).select("_w", "_first", viterbi(F.col("_w"), F.col("e")).alias("path"))
 
     def spelt(v: Column) -> Column:
         if byte0 is None:
@@ -130,11 +134,15 @@ def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
 
     whole = F.transform("path", lambda v: v.id)
     odd = F.flatten(F.transform("path", lambda v: F.when(v.id.isNotNull(), F.array(v.id)).otherwise(spelt(v))))
-    return paths.select("_w", F.when(F.exists("path", lambda v: v.id.isNull()), odd).otherwise(whole).alias("_ids"))
+    return paths.select("_w", "_first", F.when(F.exists("path", lambda v: v.id.isNull()), odd).otherwise(whole).alias("_ids"))
+
+
+def by_unit(units: DataFrame) -> DataFrame:
+    return units.select("_w", "_at").repartition(TASKS * int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_w")
 
 
 def common_units(df: DataFrame, pattern: re.Pattern, text: str) -> DataFrame:
-    """_w: the commonest units of a sample, HEAD at most."""
+    """_w, n: the commonest units of a sample, HEAD at most, and how often they come there."""
     total = df.count()
     some = df.select(F.col(text).alias("t"))
     some = some.sample(SAMPLE / total, 5).limit(2 * SAMPLE) if total > SAMPLE else some
@@ -153,9 +161,9 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids")
     small_batches(df)
     spark, pattern = df.sparkSession, splitter(pieces)
     names = [c for c in df.columns if c not in (text, out)]
-    head = lattice(common_units(df, pattern, text), pieces).toPandas()
-    size = [len(x) for x in head["_ids"]]
-    shared = spark.sparkContext.broadcast((list(head["_w"]), np.concatenate([*head["_ids"], []]).astype(np.int32), np.cumsum([0, *size])))
+    head = lattice(common_units(df, pattern, text).select("_w", (-F.col("n")).alias("_at")), pieces).orderBy("_first", "_w").toArrow()  # small numbers for common units
+    listed = head.column("_ids").combine_chunks()
+    shared = spark.sparkContext.broadcast((head.column("_w").to_pylist(), listed.flatten().to_numpy().astype(np.int32), listed.offsets.to_numpy().astype(np.int64)))
     rows = df.select(*[F.col(f"`{c}`") for c in names], F.col(text).cast("string").alias("_t"))
     carried = rows.drop("_t").schema
 
@@ -172,16 +180,16 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids")
                 if -1 in numbers:
                     numbers = [n if n >= 0 else -1 - rest.setdefault(u, len(rest)) for n, u in zip(numbers, us)]
                 found.append(np.array(numbers, dtype=np.int32))
-            units = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(np.concatenate([*found, np.zeros(0, np.int32)])))
-            body = pa.RecordBatch.from_arrays([*(x.column(c) for c in x.schema.names if c != "_t"), units], names=[*(c for c in x.schema.names if c != "_t"), "_units"])
-            parts = [_written(b) for b in (pa.RecordBatch.from_arrays([pa.array(list(rest), pa.string())], names=["w"]), body)]
-            yield pa.RecordBatch.from_arrays([pa.array([part << 32 | i], pa.int64()), pa.array([struct.pack("<q", len(parts[0])) + parts[0] + parts[1]], pa.binary())], names=["_block", "_rows"])
+            kept = [c for c in x.schema.names if c != "_t"]
+            body = pa.RecordBatch.from_arrays([*(x.column(c) for c in kept), pa.array(sizes)], names=[*kept, "_n"])
+            blob = _packed(pa.RecordBatch.from_arrays([pa.array(list(rest), pa.string())], names=["w"]), body, np.concatenate([*found, np.zeros(0, np.int32)]))
+            yield pa.RecordBatch.from_arrays([pa.array([part << 32 | i], pa.int64()), pa.array([blob], pa.binary())], names=["_block", "_rows"])
             i += 1
 
     def rest_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             for block, blob in zip(x.column("_block").to_pylist(), x.column("_rows").to_pylist()):
-                w = _read(blob[8 : 8 + struct.unpack_from("<q", blob)[0]]).column("w").combine_chunks()
+                w = _rest(blob).column("w").combine_chunks()
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), block)), pa.array(np.arange(len(w), dtype=np.int32)), w], names=["_block", "_k", "_w"])
 
     kind = T.StructType([*carried.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
@@ -196,9 +204,7 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids")
         first = ids.offsets.to_numpy()[:-1][order] - (ids.offsets[0].as_py() if len(k) else 0) if len(k) else np.zeros(0, np.int64)
         tables = []
         for blob in left.column("_rows").to_pylist():
-            body = _read(blob[8 + struct.unpack_from("<q", blob)[0] :])
-            units = body.column("_units").combine_chunks()
-            n = units.flatten().to_numpy()
+            body, n = _body(blob)
             is_head = n >= 0
             tail = -1 - n[~is_head]
             start, size = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
@@ -207,26 +213,39 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids")
             total = np.concatenate([[0], np.cumsum(size)])
             place = np.repeat(start - total[:-1], size) + np.arange(total[-1])
             values = np.concatenate([flat, own])[place] if len(place) else np.zeros(0, np.int32)
-            offsets = total[units.offsets.to_numpy() - units.offsets[0].as_py()] if len(units) else np.zeros(1, np.int64)
+            offsets = total[np.concatenate([[0], np.cumsum(body.column("_n").to_numpy())])]
             lists = pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(values.astype(np.int32)))
-            tables.append(body.drop_columns(["_units"]).append_column(out, lists) if names else pa.table({out: lists}))
+            tables.append(body.drop_columns(["_n"]).append_column(out, lists) if names else pa.table({out: lists}))
         return pa.concat_tables(tables)
 
     found = rows.mapInArrow(blocks, "_block long, _rows binary").repartition("_block")
-    rest = found.mapInArrow(rest_of, "_block long, _k int, _w string")
-    coded = rest.join(lattice(rest, pieces), "_w").select("_block", "_k", "_ids")
+    rest = found.mapInArrow(rest_of, "_block long, _k int, _w string").select("_w", F.struct("_block", "_k").alias("_at"))
+    coded = by_unit(rest).join(lattice(rest, pieces), "_w").where("_at >= _first").select("_at._block", "_at._k", "_ids")
     return found.groupBy("_block").cogroup(coded.groupBy("_block")).applyInArrow(joined, kind)
 
 
-def _written(batch: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+def _packed(rest: pa.RecordBatch, body: pa.RecordBatch, numbers: np.ndarray) -> bytes:
+    """A block: the other units, the rows with their counts of units, and all numbers of units by bytes of equal rank,
+    which compress to two thirds of what whole numbers do."""
+    parts = []
+    for batch in (rest, body):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_batch(batch)
+        parts.append(sink.getvalue().to_pybytes())
+    planes = np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return struct.pack("<qqq", len(parts[0]), len(parts[1]), len(planes)) + b"".join(parts) + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _rest(blob: bytes) -> pa.Table:
+    a, _, _ = struct.unpack_from("<qqq", blob)
+    return pa.ipc.open_stream(blob[24 : 24 + a]).read_all()
 
 
-def _read(blob: bytes) -> pa.Table:
-    return pa.ipc.open_stream(blob).read_all()
+def _body(blob: bytes) -> tuple[pa.Table, np.ndarray]:
+    a, b, size = struct.unpack_from("<qqq", blob)
+    planes = np.frombuffer(pa.decompress(blob[24 + a + b :], decompressed_size=size, codec="zstd", asbytes=True), dtype=np.uint8)
+    return pa.ipc.open_stream(blob[24 + a : 24 + a + b]).read_all(), np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
 def decode(df: DataFrame, pieces: Pieces, ids: str = "ids", out: str = "decoded") -> DataFrame:

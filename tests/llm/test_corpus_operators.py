@@ -374,3 +374,34 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     groups = slow_join([(i, second[i]) for i in sorted(good)])
     assert {r["doc_id"] for r in kept[3].collect()} == {i for i in good if groups[i][1] == i}
     assert {r["doc_id"] for r in kept[4].collect()} == {r["doc_id"] for r in kept[3].collect()}
+
+
+def odd_documents(spark, rows):
+    """Rows of id and text with further columns that bear the names of results."""
+    return spark.createDataFrame([(i, t, "en", "src", None if t is None else len(t), k, 0.5) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, kept long, score double")
+
+
+CLEAN = "The quick brown fox jumps over a lazy dog while seven wizards brew potions beside some old stone bridge near town every cold autumn night."
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline as cp
+
+    source = "/root/testdata/sf0.001"
+    if not os.path.isdir(source):
+        pytest.skip("no tables")
+    other = "Seven wizards slept under an old oak while the river carried small boats of bark towards a harbour that nobody in the valley had ever seen before."
+    rows = [(1, CLEAN), (1, CLEAN), (2, CLEAN), (2, other), (None, None), (None, CLEAN), (3, ""), (4, None), (5, "long " * 50_000 + other), (None, other)]
+    docs = odd_documents(spark, rows)
+    for f in (cp.without_toxic, cp.of_quality, cp.without_near_copies):
+        assert f(spark, docs, source).columns == docs.columns
+        assert f(spark, docs.limit(0), source).count() == 0
+    good = cp.of_quality(spark, docs, source).collect()
+    assert sorted((str(r["doc_id"]), r["text"], r["kept"]) for r in good) == sorted((str(i), t, k) for k, (i, t) in enumerate(rows) if t in (CLEAN, other))
+    safe = cp.without_toxic(spark, docs, source)
+    assert {r["kept"] for r in safe.collect()} <= set(range(len(rows))) and {r["score"] for r in safe.collect()} == {0.5}
+    for _ in range(2):
+        left = sorted((str(r["doc_id"]), r["text"] or "") for r in cp.without_near_copies(spark, docs, source).collect())
+        assert left == sorted([("1", CLEAN), ("2", other), ("None", ""), ("3", ""), ("4", ""), ("5", rows[8][1])])
+    pieces = cp.packed(spark, docs, source)
+    assert Counter(str(r["doc_id"]) for r in pieces.where("piece = 0").collect()) == Counter(str(i) for i, _ in rows) and cp.packed(spark, docs.limit(0), source).count() == 0
