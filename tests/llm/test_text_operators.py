@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from logsift.llm import html_extraction as he
 from logsift.llm import license_scans as ls
@@ -489,3 +490,66 @@ def test_license_scan_by_brute_force(spark):
     want = sorted(key(k, slow_identifiers(t) if t is None or len(t) < 50_000 else ls.identifiers(t), slow_licenses(ls.identifiers(t))) for k, t, _ in rows)
     assert sorted((str(r["doc_id"]), tuple(r["sentence_ids"]), tuple(r["licenses"])) for r in out) == want
     assert len(ls.identifiers(texts[3])) == 3000
+
+
+PLAIN = "wizards brew odd potions beside some old stone bridge near our town every cold autumn night while quiet owls look on from tall trees"
+OF_RULE = {
+    "symbols": PLAIN + " ### $$$ &&&", "repeated_lines": "\n".join([PLAIN[:60], "one short line"] + ["same words here"] * 6), "word_length": " ".join(w * 5 for w in PLAIN.split()), "upper_case": PLAIN.upper(),
+    "exclamations": PLAIN.replace(" o", "!! o") + "!!!", "few_letters": " ".join(f"{i}{i}{i}9 a" for i in range(10, 40)), "ellipsis_lines": "\n".join(f"{w} and {v}..." for w, v in zip(PLAIN.split(), PLAIN.split()[1:])), "bullet_lines": "\n".join(f"- {w} and {v}" for w, v in zip(PLAIN.split(), PLAIN.split()[1:])),
+}
+
+
+def test_each_quality_rule_rejects_and_keeps(spark):
+    texts = [PLAIN, *OF_RULE.values(), None, "", PLAIN]
+    rows = [(None if i == 3 else i % 7, t, "x") for i, t in enumerate(texts)]
+    df = qr.base_counts(spark.createDataFrame(rows, "doc_id long, text string, kept string"))
+    rules = {r.name: r.rejects for r in qr.rules()}
+    assert set(rules) == set(OF_RULE)
+    got = df.select("text", *[F.coalesce(c, F.lit(False)).alias(n) for n, c in rules.items()]).collect()
+    by = {r["text"]: r for r in got}
+    assert not any(by[PLAIN][n] for n in rules)
+    for n, t in OF_RULE.items():
+        assert by[t][n], n
+    out = qr.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, kept string")).collect()
+    assert len(out) == len(rows) and [r["text"] for r in out if r["kept"]] == [PLAIN, PLAIN]
+
+
+def slow_statistics(text):
+    import regex
+
+    t = text or ""
+    w, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
+    n, chars, letters = len(w), len(t), len(regex.findall(r"\p{L}", t))
+    part = lambda a, b: a / b if b else 0.0
+    soft = lambda x: np.log1p(20 * x)
+    count = lambda p: len(regex.findall(p, t))
+    return [
+        np.log1p(n), part(chars, n + 1), soft(part(count(r"[#*$%&|<>~^=_]"), n)), soft(part(count(r"\p{Lu}"), letters)), soft(part(t.count("!"), n)), part(letters, chars), soft(part(len(lines) - len(set(lines)), len(lines))),
+        np.log1p(len(set(w))) / np.log1p(n) if n > 1 else 1.0, np.log1p(part(n, len(lines))), soft(part(count(r"\p{Nd}"), chars)), soft(part(count(r"[.,;:]"), n)),
+    ]
+
+
+def test_quality_statistics_by_brute_force(spark):
+    texts = [*TEXTS, *OF_RULE.values(), "Größe: 3,5 m; ÉTÉ!\n\nÉTÉ!\nx = y_z", PLAIN * 2000]
+    rows = [(i % 5 or None, t, "x") for i, t in enumerate(texts)] + [(1, texts[3], "x")]
+    out = qc.statistics(spark.createDataFrame(rows, "doc_id long, text string, _t string")).select("text", "_x").collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert np.allclose(r["_x"], slow_statistics(r["text"]))
+
+
+def test_training_rows_stay_bounded_where_keys_repeat(spark):
+    from logsift.llm.common import labelled
+
+    docs = spark.createDataFrame([(i % 3, f"text {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3)], "doc_id long, toxic int")
+    found = [labelled(docs, labels, "toxic", 5, 9, 10).collect() for _ in range(2)]
+    assert len(found[0]) == 10 and found[0] == found[1]
+
+
+def test_toxicity_of_long_and_repeated_texts(spark):
+    docs, labels = labelled(spark, 60)
+    long = "word1 " * 100_000 + "scoundrel"
+    more = spark.createDataFrame([(1000, long, "en", "", ""), (1000, long, "en", "", ""), (None, "scoundrel", "en", "", "")], SCHEMA)
+    out = tx.toxicity(docs.unionByName(more), labels).where("doc_id = 1000 OR doc_id IS NULL").collect()
+    assert len(out) == 4 and len({r["score"] for r in out if r["doc_id"] == 1000}) == 1
