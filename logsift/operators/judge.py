@@ -152,7 +152,8 @@ def overlaid(judged: DataFrame, given: DataFrame, fallback: bool = True) -> Data
     wide = given.groupBy(F.col("subject_id").alias("template_id")).agg(*[pick(k, "value").cast("double").alias(f"_p_{k}") for k in NOULS], *[dist(k).alias(f"_d_{k}") for k, t in PACK if t != "noul"], F.lit(True).alias("_has"))
     x = judged.join(wide, "template_id", "left").withColumn("_miss", F.col("_has").isNull())
     own = lambda c: F.when(F.col("_miss") & F.lit(fallback), F.col(c))
-    parts = {f"p_{k}": F.coalesce(F.round(noul(F.col(f"_p_{k}")), 4), own(f"p_{k}")) for k in NOULS} | {f"q_{k}": F.coalesce(noul(F.col(f"_p_{k}")), own(f"q_{k}")) for k in NOULS}
+    held = lambda k: F.when(F.col(f"_p_{k}").isNotNull(), noul(F.col(f"_p_{k}")))
+    parts = {f"p_{k}": F.coalesce(F.round(held(k), 4), own(f"p_{k}")) for k in NOULS} | {f"q_{k}": F.coalesce(held(k), own(f"q_{k}")) for k in NOULS}
     for k, t in PACK:
         if t != "noul":
             shares = F.transform(F.map_entries(F.from_json(f"_d_{k}", "map<string,double>")), lambda e: F.struct(e.key.alias("name"), e.value.alias("p")))

@@ -310,3 +310,65 @@ def cluster_rows(spark, d):
 def judgment_rows(spark, d):
     x = sinks.judgment_rows(q.judged(spark, d), "run").where("question_key IN ('category', 'component')")
     return x.select("run_id", "template_id", "model_version", "question_key", "value")
+
+
+# stories -------------------------------------------------------------------------------------------------------------
+
+_best_links = o._links + ", best AS (SELECT incident_id, change_id, tid, priority, round(p, 4) AS p FROM sc WHERE p >= 5e-1 QUALIFY row_number() OVER (PARTITION BY incident_id, change_id ORDER BY p DESC, priority DESC, tid) = 1), lk2 AS (SELECT best.*, ch.ts AS change_ts, ch.service AS change_service, ch.summary FROM best JOIN ch USING (change_id))"
+_event = "[" + ", ".join(f"15e-1 * {o.hits('low', w)}" for w in judge.EVENT.values()) + ", 5e-1]"
+_names = "[" + ", ".join(f"'{k}'" for k in [*judge.EVENT, "other"]) + "]"
+
+
+@case(
+    f"""WITH RECURSIVE {_best_links}, evs AS (SELECT incident_id, first_seen AS ts, '[' || service || '] ' || level || ': ' || template AS label, 'log' AS kind FROM mem
+  UNION ALL SELECT incident_id, change_ts, '[' || change_service || '] change: ' || summary, 'change' FROM lk2),
+txt AS (SELECT *, lower('{{"kind":"' || kind || '","at":"' || {o.iso('ts')} || '","event":"' || label || '"}}') AS low FROM evs), scd AS (SELECT *, {_event} AS v, {o._noul(o._sig(f"(-1e0 + 8e-1 * {o.hits('low', judge.MILESTONE)})"))} AS p_milestone FROM txt)
+SELECT incident_id, ts, label, kind, {_names}[list_position(v, list_max(v))] AS event_type, p_milestone FROM scd WHERE p_milestone >= 4e-1"""
+)
+def timeline_scored(spark, d):
+    """All incidents' events, with a lower bar, as these tables hold no event of two milestone words."""
+    m = q.cut(q.members(spark, d))
+    x = correlate.timeline(m, correlate.change_links(m, q.changes(spark, d)), least=0.4)
+    return x.select("incident_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "label", "kind", "event_type", "p_milestone")
+
+
+_share = f"CAST(len(list_intersect({o._tok('h')}, {o._tok('evidence')})) AS DOUBLE) / greatest(len({o._tok('h')}), 1)"
+
+
+@case(
+    f"""WITH RECURSIVE {_best_links}, kk AS (SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY first_seen, priority DESC, tid) - 1 AS rk FROM mem), rc AS (SELECT *, round(p_root_cause * (1 + 5e-1 / (1 + rk)), 4) AS score FROM kk),
+ha AS (SELECT incident_id, row_number() OVER (PARTITION BY incident_id ORDER BY p DESC, change_id) AS pos, 'The change to ' || change_service || ' (' || summary || ') introduced the failure.' AS h FROM lk2),
+hb AS (SELECT incident_id, 3 + row_number() OVER (PARTITION BY incident_id ORDER BY score DESC, rk) AS pos, 'A ' || replace(coalesce(category, 'unknown'), '_', ' ') || ' problem in ' || service || ' is the origin: ' || template AS h FROM rc),
+hg AS (SELECT DISTINCT incident_id, pos, h FROM mem, (VALUES (7, 'A shared downstream dependency degraded and the errors are symptoms of it.'), (8, 'A traffic spike exhausted capacity across the affected services.')) v(pos, h)),
+hu AS (SELECT incident_id, h, min(pos) AS pos FROM (SELECT * FROM ha WHERE pos <= 3 UNION ALL SELECT * FROM hb WHERE pos <= 6 UNION ALL SELECT * FROM hg) GROUP BY 1, 2),
+fin AS (SELECT incident_id, CAST(row_number() OVER (PARTITION BY incident_id ORDER BY pos) AS INTEGER) AS position, h FROM hu QUALIFY position <= 6), ev AS (SELECT incident_id, string_agg(DISTINCT template, ' ') AS evidence FROM mem GROUP BY 1)
+SELECT incident_id, position, h AS hypothesis, {o._noul(o._sig(f'(-22e-1 + 6e0 * ({_share}))'))} AS p_supported FROM fin JOIN ev USING (incident_id)"""
+)
+def hypothesis_scores(spark, d):
+    """All incidents' hypotheses, scored against their members' templates."""
+    m = q.cut(q.members(spark, d))
+    proposed = correlate.hypotheses(correlate.root_causes(m), correlate.change_links(m, q.changes(spark, d)))
+    texts = m.select("incident_id", "template").distinct().groupBy("incident_id").agg(F.array_join(F.array_sort(F.collect_list("template")), " ").alias("evidence"))
+    return correlate.hypothesis_scores(proposed, texts)
+
+
+_side = lambda s: f"""'{{"service":"' || s{s} || '","template":"' || tm{s} || '","first_seen":"' || {o.iso(f'f{s}')} || '"}}'"""
+
+
+@case(
+    o.PAIRS + f""", w AS (SELECT p.*, a.first_seen AS fa, b.first_seen AS fb FROM scored p JOIN surf a ON a.tid = ai JOIN surf b ON b.tid = bi)
+SELECT ai || '|' || bi AS subject_id, '{{"a":' || {_side('a')} || ',"b":' || {_side('b')} || ',"gap_s":' || CAST(round(gap, 1) AS VARCHAR) || ',"shared_trace":' || CASE WHEN len(list_intersect(ax, bx)) > 0 THEN 'true' ELSE 'false' END || '}}' AS state FROM w"""
+)
+def pair_states(spark, d):
+    found = q.cut(correlate.surfaced(q.routed(spark, d)))
+    return correlate.pair_state(correlate.candidate_pairs(found, q.topology(spark), limit=None))
+
+
+@case(
+    o.WITH + f", d AS (SELECT DISTINCT template FROM lines), rs AS (SELECT template, {o._scores([(k, f'({v})') for k, v in o._rb[:-1]])} AS s FROM d), re AS (SELECT template, {o._raised('s', '7e-1')} AS e FROM rs), rp AS (SELECT template, {o._shares('e')} AS p FROM re) "
+    f"SELECT template, {o._best('p', [k for k, _ in o._rb[:-1]])} AS choice, 5e-1 AS noul, 25e-2 AS level_p FROM rp"
+)
+def generic_answers(spark, d):
+    x = q.lines(spark, d).select("template").distinct()
+    level = F.element_at(judge.generic("score", F.col("template"), [0, 1, 2, 3]), 1).p
+    return x.select("template", q.text.best_option(judge.generic("choice", F.col("template"), q.RUNBOOKS)).alias("choice"), judge.generic("noul", F.col("template")).alias("noul"), level.alias("level_p"))
