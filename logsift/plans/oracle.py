@@ -130,8 +130,6 @@ ORACLE: dict[str, str] = {
     "guess_level": f"SELECT {_guess} AS guessed, count(*) AS n FROM (SELECT upper(CASE WHEN seq % 3 = 0 THEN lower(level) || ' ' ELSE '' END || body) AS u FROM ({_logs})) GROUP BY 1",
     "normalize_level": """SELECT raw, level, rank, count(*) AS n FROM (SELECT event_id % 8 + 1 AS i FROM events) JOIN (VALUES (1, 'warning', 'WARN', 3), (2, 'Critical', 'FATAL', 5), (3, 'err', 'INFO', 2), (4, '', 'INFO', 2), (5, 'fatal', 'FATAL', 5), (6, 'NOTICE', 'INFO', 2), (7, ' error', 'INFO', 2), (8, 'debug', 'DEBUG', 1)) t(i, raw, level, rank) USING (i) GROUP BY 1, 2, 3""",
     "parse_ts": "SELECT event_id AS seq, date_trunc('second', ts) AS ts FROM events",
-    "scan_changes": _changes,
-    "window_scan": "SELECT event_id, ts, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-09' ORDER BY ts, event_id LIMIT 2000",
     "scrub_email": _docs(EMAIL, "n_email"),
     "scrub_ipv4": _docs(IPV4, "n_ipv4"),
     "scrub_all": WITH + "SELECT seq, scrubbed, CAST(n_email AS BIGINT) AS n_email, CASE WHEN n_email > 0 THEN 1 ELSE 0 END AS kinds FROM lines",
@@ -147,7 +145,6 @@ ORACLE: dict[str, str] = {
     "first_examples": WITH + "SELECT template_id, CAST(row_number() OVER (PARTITION BY template_id ORDER BY sq) AS INTEGER) AS position, scrubbed FROM (SELECT template_id, scrubbed, min(seq) AS sq FROM lines GROUP BY 1, 2) QUALIFY position <= 3",
     "first_traces": WITH + "SELECT template_id, CAST(row_number() OVER (PARTITION BY template_id ORDER BY sq) AS INTEGER) AS position, trace_id FROM (SELECT template_id, trace_id, min(seq) AS sq FROM lines GROUP BY 1, 2) QUALIFY position <= 5",
     "sensitive_hits": WITH + "SELECT template_id, 'EMAIL' AS kind, CAST(sum(n_email) AS BIGINT) AS hits FROM lines WHERE n_email > 0 GROUP BY 1",
-    "cluster_order": WITH + f"SELECT template_id, {_name} AS level, count(*) AS count, min(seq) AS first_seq FROM lines GROUP BY template_id ORDER BY max(rnk) DESC, count DESC, first_seq LIMIT 10",
     "reduction_ratio": WITH + "SELECT count(*) AS lines, count(DISTINCT template_id) AS clusters, count(*) FILTER (n_email > 0) AS scrubbed_lines, count(*) / CAST(count(DISTINCT template_id) AS DOUBLE) AS reduction_ratio FROM lines",
     "tumbling_window": WITH + "SELECT date_trunc('hour', ts) AS window_start, service, count(*) AS lines FROM lines GROUP BY 1, 2",
     "keyword_features": JUDGED + "SELECT tid AS template_id, rnk AS rank, noise, err, rc, sym, usr, weird FROM feat",
@@ -161,8 +158,6 @@ ORACLE: dict[str, str] = {
     "cache_misses": f"WITH {_cache} SELECT subject_id FROM t WHERE n % 2 = 1",
     "cache_upsert": f"WITH {_cache} SELECT subject_id, CASE WHEN substr(subject_id, 1, 1) < '8' THEN 'new' ELSE 'a' || n END AS answer, 'heuristic' AS source FROM t WHERE n % 2 = 0 OR substr(subject_id, 1, 1) < '8'",
     "cache_stats": f"WITH {_cache} SELECT count(*) AS asked, count(*) FILTER (n % 2 = 0) AS hits, count(*) FILTER (n % 2 = 0) / CAST(count(*) AS DOUBLE) AS hit_rate FROM t",
-    "nearest_rank_percentile": "SELECT p AS percent, (SELECT value FROM (SELECT value, row_number() OVER (ORDER BY value) - 1 AS i FROM events) WHERE i = CAST(round_even(p / 100 * ((SELECT count(*) FROM events) - 1), 0) AS BIGINT)) AS value FROM (VALUES (50e0), (95e0)) t(p)",
-    "parse_answers": "SELECT event_id AS seq FROM events WHERE false",
     "judge_stats": "SELECT 25 AS requests, CAST(sum(CASE WHEN n_nationkey % 7 = 0 THEN 0 ELSE length(CAST(n_nationkey AS VARCHAR)) END) AS BIGINT) AS input_tokens, count(*) FILTER (n_nationkey % 7 = 0) AS dead_letters, round(sum(CASE WHEN n_nationkey % 7 = 0 THEN 0 ELSE length(CAST(n_nationkey AS VARCHAR)) END) / 1e6 * 42e-3, 6) AS est_cost_usd FROM nation",
     "dead_letters": "SELECT n_name AS subject_id, 1 AS attempts FROM nation WHERE n_nationkey % 7 = 0",
     "answer_pivot": JUDGED + f"SELECT tid AS template_id, {', '.join(f'p_{k} AS {k}' for k in NOULS)} FROM judged",
@@ -179,7 +174,6 @@ ORACLE: dict[str, str] = {
     "same_issue_edges": PAIRS + "SELECT ai AS a_template_id, bi AS b_template_id, round(p_same, 4) AS p_same FROM top2000 WHERE p_same >= 6e-1",
     "incident_components": MEMBERS + "SELECT tid AS template_id, group_id FROM mem",
     "incident_rollup": MEMBERS + "SELECT incident_id, min(first_seen) AS start, max(last_seen) AS \"end\", string_agg(DISTINCT service, ',' ORDER BY service) AS services, CAST(count(*) AS INTEGER) AS members, CAST(sum(count) AS BIGINT) AS lines, round(round(sum(priority), 4), 2) AS priority FROM mem GROUP BY 1",
-    "escalated_incidents": MEMBERS + "SELECT incident_id FROM mem GROUP BY 1 HAVING bool_or(decision = 'escalate')",
     "topk_incidents": MEMBERS + "SELECT incident_id, CAST(sum(count) AS BIGINT) AS lines FROM mem GROUP BY 1 ORDER BY round(sum(priority), 4) DESC, incident_id LIMIT 3",
     "root_cause_rank": MEMBERS + ", k AS (SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY first_seen, priority DESC, tid) - 1 AS rk FROM mem) SELECT incident_id, tid AS template_id, CAST(rk AS INTEGER) AS rank, round(round(p_root_cause * (1 + 5e-1 / (1 + rk)), 4), 3) AS score FROM k",
     "change_interval_join": LINKS + "SELECT incident_id, count(DISTINCT change_id) AS changes FROM sc GROUP BY 1",
@@ -213,5 +207,3 @@ ORACLE: dict[str, str] = {
     "incident_count": MEMBERS + "SELECT count(DISTINCT incident_id) AS n FROM mem",
     "stream_once": WITH + ", c AS (SELECT date_trunc('hour', ts) AS window_start, service, template, count(*) AS lines FROM lines GROUP BY 1, 2, 3) SELECT * FROM c WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 15 SECOND FROM lines)",
 }
-ORACLE["parse_answers"] = "SELECT CAST(event_id AS VARCHAR) AS subject_id, 'actionable' AS key, 'noul' AS type, CAST((event_id % 100) / 100e0 AS VARCHAR) AS value, 'remote' AS source FROM events"
-ORACLE.pop("nearest_rank_percentile")

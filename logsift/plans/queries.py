@@ -149,17 +149,6 @@ def parse_ts(spark, d):
     return logs(spark, d).select("seq", value.alias("v")).select("seq", src.parse_ts(F.col("v")).cast("timestamp_ntz").alias("ts"))
 
 
-def scan_changes(spark, d):
-    return changes(spark, d)
-
-
-def window_scan(spark, d):
-    day = F.expr("TIMESTAMP_NTZ'2024-01-02 00:00:00'"), F.expr("TIMESTAMP_NTZ'2024-01-09 00:00:00'")
-    x = table(spark, d, "events")
-    found = x.where((F.col("ts") >= day[0]) & (F.col("ts") < day[1]))
-    return found.orderBy("ts", "event_id").select("event_id", "ts", "event_type")
-
-
 def synth_logs(spark, d):
     return synthetic_logs(spark, scale=0.2).groupBy("service", "level").agg(F.count(F.lit(1)).alias("lines"))
 
@@ -326,11 +315,6 @@ def nearest_rank_percentile(spark, d):
     return evaluate.nearest_rank(table(spark, d, "events").select("value"), "value", [50, 95])
 
 
-def parse_answers(spark, d):
-    x = logs(spark, d).select("seq", F.to_json(F.array(F.struct(F.lit("actionable").alias("key"), F.lit("noul").alias("type"), ((F.col("seq") % 100) / 100).cast("string").alias("value")))).alias("answers"))
-    return remote.long_answers(x.withColumn("subject_id", F.col("seq").cast("string")), "remote").select("subject_id", "key", "type", "value", "source")
-
-
 def _flaky():
     def ask(state: str):
         if int(state) % 7 == 0:
@@ -377,12 +361,6 @@ def priority(spark, d):
     return routed(spark, d).select("template_id", F.round("priority", 3).alias("priority"))
 
 
-def known_issue_join(spark, d):
-    ids = {r["template_id"]: "TICKET-1" for r in lines(spark, d).where("service = 'edge'").select("template_id").distinct().orderBy("template_id").limit(2).collect()}
-    x = judge.answers(judge.judge(reduce.clusters(lines(spark, d))))
-    return route.route(x, route.RouterConfig(known_issues=ids)).groupBy("decision").agg(F.count(F.lit(1)).alias("n"))
-
-
 def noisy_or(spark, d):
     x = lines(spark, d).groupBy("service", "template").agg(F.count(F.lit(1)).alias("n"))
     return x.groupBy("service").agg(F.round(route.noisy_or(F.lit(1.0) / (F.col("n") + 1)), 6).alias("p_any"))
@@ -433,10 +411,6 @@ def incident_rollup(spark, d):
     return x.select("incident_id", "start", "end", F.array_join("services", ",").alias("services"), F.size("template_ids").alias("members"), "lines", F.round("priority", 2).alias("priority"))
 
 
-def escalated_incidents(spark, d):
-    return correlate.escalated(correlate.incidents(members(spark, d))).select("incident_id")
-
-
 def topk_incidents(spark, d):
     return correlate.top_incidents(correlate.incidents(members(spark, d))).select("incident_id", "lines")
 
@@ -645,12 +619,12 @@ def stream_once(spark, d):
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "service", "template", "lines")
 
 
-NAMES = """scan_jsonl scan_plaintext key_synonyms guess_level normalize_level parse_ts scan_changes window_scan synth_logs scrub_email scrub_card scrub_ipv4
+NAMES = """scan_jsonl scan_plaintext key_synonyms guess_level normalize_level parse_ts synth_logs scrub_email scrub_card scrub_ipv4
 scrub_all scrub_stats mask tokenize template_hash word_tokens drain_bucket token_similarity drain_templates cluster_agg level_counts first_examples first_traces
 sensitive_hits cluster_order reduction_ratio tumbling_window keyword_features state_text p_nouls category_choice expected_severity judgment_long runbook_choice
-cache_hits cache_misses cache_upsert cache_stats nearest_rank_percentile parse_answers judge_stats dead_letters answer_pivot route_decision route_flags rules_check
-priority known_issue_join noisy_or window_summary category_counts surfaced topology_adjacent candidate_pairs same_issue_edges same_issue_score incident_components
-incident_rollup escalated_incidents topk_incidents root_cause_rank change_interval_join change_best_link hypotheses timeline incident_bundle narrative binary_metrics
+cache_hits cache_misses cache_upsert cache_stats nearest_rank_percentile judge_stats dead_letters answer_pivot route_decision route_flags rules_check
+priority noisy_or window_summary category_counts surfaced topology_adjacent candidate_pairs same_issue_edges same_issue_score incident_components
+incident_rollup topk_incidents root_cause_rank change_interval_join change_best_link hypotheses timeline incident_bundle narrative binary_metrics
 brier reliability ece best_threshold choice_accuracy confusions score_metrics routing_quality estimate_cost export_golden decision_rows otlp_payload triage_console
 template_labels triage_view reduction_per_day fallback_share drillback_traces suppressed_lines escalated_count fallback_rate decision_timeseries lines_by_category
 triage_board incident_list incident_count scenario_decisions stream_once""".split()
