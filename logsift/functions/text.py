@@ -61,9 +61,9 @@ def sigmoid(x: Column) -> Column:
 def once(c: Column) -> Column:
     """c, as a column that Catalyst neither copies into what uses it nor pushes filters through.
 
-    Wide chains of derived columns grow exponentially otherwise. It holds for columns of a projection.
+    Wide chains of derived columns grow exponentially otherwise. It holds for columns of a projection, of streams too.
     """
-    return F.when(F.monotonically_increasing_id() >= 0, c)
+    return F.when(F.spark_partition_id() >= 0, c)
 
 
 def noul(p: Column) -> Column:
