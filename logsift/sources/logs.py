@@ -88,9 +88,11 @@ def read_changes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def window_scan(table: DataFrame, start, end, limit: int | None = None, ts: str = "ts", order: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of [start, end), pushed down to the scan; with a limit the earliest ones, equal times by the columns of order."""
+    """Rows of [start, end), pushed down to the scan; with an order sorted by time and these columns; with a limit the
+    earliest ones, in that order."""
     out = table.where((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
-    return out if limit is None else out.orderBy(ts, *order).limit(limit)
+    out = out.orderBy(ts, *order) if order or limit is not None else out
+    return out if limit is None else out.limit(limit)
 
 
 def from_otel(table: DataFrame) -> DataFrame:
