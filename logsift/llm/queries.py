@@ -14,6 +14,7 @@ from .packing import best_fit_packing
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
 from .sentencepieces import by_rank, decode, encode, piece_rows
+from .spelling import spelling_variants
 from .toxicity import toxicity
 from .url_filters import url_filter
 
@@ -82,7 +83,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_nearest_neighbours, op4_ngram_jaccard_join, op5_sentencepiece, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing)}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_nearest_neighbours, op4_ngram_jaccard_join, op5_sentencepiece, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing, op11_spelling_variants)}
 
 _WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 _COUNT = lambda p: f"len(regexp_extract_all(t, '{p}'))"
@@ -111,6 +116,21 @@ e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
 r AS (SELECT doc_id AS v, doc_id AS root FROM documents UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.v),
 c AS (SELECT v, min(root) AS component_id FROM r GROUP BY v)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents JOIN c ON v = doc_id LEFT JOIN n USING (doc_id)""",
+    "op11_spelling_variants": r"""
+WITH RECURSIVE tab AS (SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc FROM range(256) r(i)),
+d AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS k, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+') AS rs FROM documents),
+r AS (SELECT k, run, count(*) AS c FROM (SELECT k, unnest(rs) AS run FROM d) GROUP BY ALL),
+b AS (SELECT run, c, flatten(list_transform(string_split(k || ':' || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, unicode(x) - 64] END)) AS bytes FROM r),
+h AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, x: xor(a >> 8, crc[(xor(a, x) & 255) + 1])), 4294967295) AS h FROM b, tab),
+n AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM h),
+w AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM n WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+x AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM w, unnest(range(1, length(word) + 1)) u(i)),
+p AS (SELECT a.word, b.word AS near, b.n AS m FROM x a JOIN x b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+  UNION SELECT w.word, x.word, x.n FROM w JOIN x ON x.cut = w.word UNION SELECT x.word, w.word, w.n FROM w JOIN x ON x.cut = w.word),
+f AS (SELECT word, count(*) AS n_near, first(near ORDER BY m DESC, near) AS near, max(m) AS m FROM p GROUP BY word),
+s AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * w.n THEN near END AS form, CASE WHEN m >= 2 * w.n THEN m END AS form_n FROM w LEFT JOIN f USING (word)),
+g AS (SELECT word, word AS root FROM s UNION SELECT g.word, s.form FROM g JOIN s ON s.word = g.root WHERE s.form IS NOT NULL)
+SELECT s.word, s.form, g.root, s.n, s.n_near, s.form_n FROM s JOIN g ON g.word = s.word JOIN s e ON e.word = g.root AND e.form IS NULL""",
     # in these tables the article stands in an element of that name, which the operator itself does not look for
     "op9_html_extraction": r"""
 WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<[^>]*>', ' ', 'g') AS t FROM pages),
