@@ -9,6 +9,7 @@ from .ann import ann_search
 from .common import table
 from .html_extraction import html_extraction
 from .license_scans import license_scan
+from .mixing import taken
 from .ngram_join import ngram_join
 from .packing import best_fit_packing
 from .quality_classifier import quality_classifier
@@ -87,7 +88,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_nearest_neighbours, op4_ngram_jaccard_join, op5_sentencepiece, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing, op11_spelling_variants)}
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_nearest_neighbours, op4_ngram_jaccard_join, op5_sentencepiece, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing, op11_spelling_variants, op12_source_mix)}
 
 _WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 _COUNT = lambda p: f"len(regexp_extract_all(t, '{p}'))"
