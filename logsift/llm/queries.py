@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .ann import ann_search
 from .common import table
+from .divergence import source_divergence
 from .html_extraction import html_extraction
 from .license_scans import license_scan
 from .mixing import taken
@@ -92,7 +93,11 @@ def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_nearest_neighbours, op4_ngram_jaccard_join, op5_sentencepiece, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing, op11_spelling_variants, op12_source_mix)}
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_nearest_neighbours, op4_ngram_jaccard_join, op5_sentencepiece, op6_toxicity, op7_license_scans, op8_quality_classifier, op9_html_extraction, op10_best_fit_packing, op11_spelling_variants, op12_source_mix, op13_source_divergence)}
 
 _WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 _COUNT = lambda p: f"len(regexp_extract_all(t, '{p}'))"
@@ -136,6 +141,21 @@ f AS (SELECT word, count(*) AS n_near, first(near ORDER BY m DESC, near) AS near
 s AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * w.n THEN near END AS form, CASE WHEN m >= 2 * w.n THEN m END AS form_n FROM w LEFT JOIN f USING (word)),
 g AS (SELECT word, word AS root FROM s UNION SELECT g.word, s.form FROM g JOIN s ON s.word = g.root WHERE s.form IS NOT NULL)
 SELECT s.word, s.form, g.root, s.n, s.n_near, s.form_n FROM s JOIN g ON g.word = s.word JOIN s e ON e.word = g.root AND e.form IS NULL""",
+    "op13_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT rid) AS docs FROM w GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+m AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS all_n FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+o AS (SELECT lang, source, sum(n) AS total FROM m GROUP BY ALL),
+p AS (SELECT m.*, CAST(1 + CAST(1000000000 AS HUGEINT) * (m.n + 1) // (o.total + l.v) AS BIGINT) AS p, CAST(1 + CAST(1000000000 AS HUGEINT) * (all_n + 1) // (l.total + l.v) AS BIGINT) AS q
+  FROM m JOIN o ON o.lang = m.lang AND o.source = m.source JOIN l ON l.lang = m.lang),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r QUALIFY part = 'pair' OR rank <= 200""",
     # in these tables the article stands in an element of that name, which the operator itself does not look for
     "op9_html_extraction": r"""
 WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<[^>]*>', ' ', 'g') AS t FROM pages),
