@@ -2,13 +2,21 @@
 
 A line's leaf is its service, its number of tokens and the routing keys of its first two tokens; all three are Columns. A
 tree node takes the first ``CHILDREN`` distinct keys that arrive and sends later ones to the wildcard, which is decided
-by ranks of first arrivals before anything is mined. Leaves are independent of each other, so each is one pandas group.
-
-Within a leaf the groups are rows of a matrix of token numbers. A line joins the group with the most equal positions (the
-earliest of equals) if these are at least ``THRESHOLD`` of all; positions that differ become the wildcard there. Else it
-founds a group. By default equal token sequences are counted before they are mined (``exact=False``); ``exact=True`` feeds
-every line, which can differ where a repeated line meets a later, closer group. A leaf of more than ``CHUNK`` rows is
-mined in runs of so many by arrival, and the templates of later runs are then mined like lines, so no worker holds more.
+by ranks of first arrivals before anything is mined. Leaves are independent of each other.
+
+A line joins the group with the most equal positions (the earliest of equals) if these are at least ``THRESHOLD`` of all;
+positions that differ become the wildcard there. Else it founds a group. By default equal token sequences are counted
+before they are mined (``exact=False``); ``exact=True`` feeds every line, which can differ where a repeated line meets a
+later, closer group.
+
+Only few lines change a leaf's groups: those that found one or make one more general. A leaf is dealt to slices of
+``SLICE`` rows, which are mined in parallel, each on its own; the lines that changed something there are guesses for the
+leaf's own changes. Guesses are mined in order of arrival (by ``FAN`` slices at a time until they are one run), which
+gives a history of changes. Every slice then replays the history along its rows and holds each row against the groups as
+they were when it arrived. A row that would have changed them, but isn't in the history, becomes a guess too, and the
+leaf is mined and replayed again. The earliest such row is certain each time, so this ends, and where it ends the history
+is what one run over the whole leaf makes, whatever the slices are. A task holds a slice's rows, or the guesses of
+``FAN`` slices, and the leaf's groups.
 
 ``known`` holds the groups of earlier batches: they come first in their leaves, and their keys first in their nodes, so a
 stream resolves a line as one long run would. ``mine`` gives the lines, ``grown`` also the groups to keep for later.
@@ -16,6 +24,8 @@ stream resolves a line as one long run would. ``mine`` gives the lines, ``grown`
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -24,36 +34,76 @@ from pyspark.sql import functions as F
 from ..functions.text import WILDCARD, route_key, template_hash
 from .graph import cut
 
-THRESHOLD, CHILDREN, CHUNK = 0.5, 100, 50_000
+THRESHOLD, CHILDREN, SLICE, FAN = 0.5, 100, 50_000, 16
 LEAF = ["service", "n_tokens", "b1", "b2"]
 #: Groups that a stream keeps: leaf, place in it, and the template's tokens.
 KNOWN = "service string, n_tokens int, b1 string, b2 string, place int, tokens array<string>"
+#: Templates up to so many are broadcast to the lines.
+BROADCAST_ROWS = 50_000
 
 
-def assign(rows: np.ndarray, groups: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(group of each row, all groups): rows and groups are token numbers of one length, 0 for the wildcard."""
-    n, used = rows.shape[1], len(groups)
-    table = np.concatenate([groups, np.zeros((max(16, len(rows) // 8), n), dtype=rows.dtype)])
-    where = np.empty(len(rows), dtype=np.int64)
-    for i, row in enumerate(rows):
-        shared = ((table[:used] == row) & (row != 0)).sum(axis=1)
-        g = int(shared.argmax()) if used else -1
-        if g >= 0 and shared[g] / n >= threshold:
-            table[g][table[g] != row] = 0
-        else:
-            g, used = used, used + 1
-            if g == len(table):
-                table = np.concatenate([table, np.zeros_like(table)])
-            table[g] = row
-        where[i] = g
-    return where, table[:used]
+class Groups:
+    """The groups of one leaf, with an index from (position, token) to the groups that have the token there.
 
+    A group that reaches the least number of equal positions has one of them among any ``n - least + 1`` positions, so
+    those with the fewest groups give all candidates. A position that became the wildcard stays in the index; candidates
+    are compared with the templates themselves.
+    """
 
-def numbered(lists: list) -> tuple[np.ndarray, np.ndarray]:
-    """Token lists of one length as a matrix of numbers, and the tokens by number; the wildcard is 0."""
-    flat = np.array([WILDCARD, *(t for x in lists for t in x)], dtype=object)
-    codes, names = pd.factorize(flat)
-    return codes[1:].reshape(len(lists), -1), np.asarray(names, dtype=object)
+    def __init__(self, n: int, threshold: float):
+        self.n, self.least = n, max(1, math.ceil(threshold * n - 1e-9))
+        self.any = threshold * n <= 1e-9  # then a group without an equal position will do
+        self.numbers: dict[str, int] = {WILDCARD: 0}
+        self.table = np.zeros((16, n), dtype=np.int64)
+        self.used = 0
+        self.index: list[dict[int, list[int]]] = [{} for _ in range(n)]
+        self.tokens: list[list[str]] = []
+
+    def coded(self, tokens) -> np.ndarray:
+        return np.fromiter((self.numbers.setdefault(t, len(self.numbers)) for t in tokens), dtype=np.int64, count=self.n)
+
+    def put(self, place: int, tokens) -> None:
+        """Sets the template of a group, a new one or one more general than before."""
+        row = self.coded(tokens)
+        if place == self.used:
+            if place == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            for at, code in enumerate(row.tolist()):
+                if code:
+                    self.index[at].setdefault(code, []).append(place)
+            self.used += 1
+            self.tokens.append(list(tokens))
+        self.table[place] = row
+        self.tokens[place] = list(tokens)
+
+    def match(self, tokens) -> tuple[int, list[str]]:
+        """(place that the line goes to, the group's template after it); nothing is changed."""
+        if not self.used:
+            return 0, list(tokens)
+        row = self.coded(tokens)
+        if self.any:
+            found = np.arange(self.used)
+        else:
+            lists = sorted((self.index[at].get(code, ()) for at, code in enumerate(row.tolist())), key=len)
+            near = [g for groups in lists[: self.n - self.least + 1] for g in groups]
+            if not near:
+                return self.used, list(tokens)
+            found = np.unique(near)
+        shared = ((self.table[found] == row) & (row != 0)).sum(axis=1)
+        best = int(shared.argmax())
+        if shared[best] < self.least and not self.any:
+            return self.used, list(tokens)
+        place = int(found[best])
+        old = self.tokens[place]
+        return place, [a if a == b else WILDCARD for a, b in zip(old, tokens)]
+
+    def feed(self, tokens) -> tuple[int, bool]:
+        """(place of the line's group, whether the groups changed)."""
+        place, template = self.match(tokens)
+        changed = place == self.used or template != self.tokens[place]
+        if changed:
+            self.put(place, template)
+        return place, changed
 
 
 def bucketed(lines: DataFrame) -> DataFrame:
@@ -98,36 +148,104 @@ def leaves(lines: DataFrame, known: DataFrame | None = None, most: int = CHILDRE
     return x.drop("_in", "k1", "k2")
 
 
-def placed(fed: DataFrame, known: DataFrame | None, threshold: float) -> DataFrame:
-    """Of each row (_leaf, _run, tokens, seq) its place among the run's groups; and the groups, as rows without seq."""
-    known = fed.sparkSession.createDataFrame([], KNOWN) if known is None else known
-    old = known.select(_leaf(), F.lit(0).cast("long").alias("_run"), "place", "tokens")
-    names = ["_leaf", "_run", "place", "tokens", "seq"]
+_ROWS = "_leaf string, _slice long, place int, tokens array<string>, seq long, kind string"
+_NAMES = ["_leaf", "_slice", "place", "tokens", "seq", "kind"]
 
-    def run(new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
-        new, old = new.sort_values("seq", kind="stable"), old.sort_values("place")
-        codes, tokens = numbered([*old["tokens"], *new["tokens"]])
-        place, groups = assign(codes[len(old) :], codes[: len(old)], threshold)
-        rows = pd.DataFrame({"place": place, "tokens": new["tokens"].to_numpy(), "seq": new["seq"].astype("Int64").to_numpy()})
-        made = pd.DataFrame({"place": np.arange(len(groups)), "tokens": [list(tokens[g]) for g in groups], "seq": pd.array([None] * len(groups), dtype="Int64")})
-        key = (new if len(new) else old)[["_leaf", "_run"]].iloc[0]
-        return pd.concat([x for x in (rows, made) if len(x)]).assign(_leaf=key["_leaf"], _run=key["_run"])[names]
 
-    return fed.groupBy("_leaf", "_run").cogroup(old.groupBy("_leaf", "_run")).applyInPandas(run, "_leaf string, _run long, place int, tokens array<string>, seq long")
+def _started(tokens, old: pd.DataFrame, threshold: float) -> Groups:
+    """The groups that are known before a run."""
+    groups = Groups(len(tokens), threshold)
+    for place, t in enumerate(old.sort_values("place")["tokens"]):
+        groups.put(place, list(t))
+    return groups
 
 
-def merged(groups: DataFrame, threshold: float) -> DataFrame:
-    """Final place and template of each run's groups (_leaf, _run, place, tokens): later runs' are mined as lines are."""
+def mined(fed: DataFrame, old: DataFrame, threshold: float, keep: str) -> DataFrame:
+    """Each (_leaf, _slice) of fed (_leaf, _slice, tokens, seq) in one run, after the leaf's known groups.
 
-    def merge(x: pd.DataFrame) -> pd.DataFrame:
-        x = x.sort_values(["_run", "place"])
-        codes, tokens = numbered(list(x["tokens"]))
-        first = int((x["_run"] == x["_run"].iloc[0]).sum())
-        where, table = assign(codes[first:], codes[:first], threshold)
-        at = np.concatenate([np.arange(first), where])
-        return x.assign(final=at, template=[list(tokens[table[i]]) for i in at])[["_leaf", "_run", "place", "final", "template"]]
+    keep 'rows': kind ``row`` with each row's place, and ``group`` with the final templates; 'changes': kind ``change``,
+    the rows that changed a group, with the template that they left.
+    """
+
+    def run(key: tuple, new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+        new = new.sort_values("seq", kind="stable")
+        groups = _started((new if len(new) else old)["tokens"].iloc[0], old, threshold)
+        out = []
+        for tokens, seq in zip(new["tokens"], new["seq"]):
+            place, changed = groups.feed(tokens)
+            if keep == "rows":
+                out.append((place, tokens, seq, "row"))
+            elif changed:
+                out.append((place, groups.tokens[place], seq, "change"))
+        if keep == "rows":
+            out += [(i, t, None, "group") for i, t in enumerate(groups.tokens)]
+        x = pd.DataFrame(out, columns=["place", "tokens", "seq", "kind"])
+        return x.assign(_leaf=key[0], _slice=key[1], seq=x["seq"].astype("Int64"))[_NAMES]
+
+    new = fed.select("_leaf", "_slice", "tokens", "seq")
+    return new.groupBy("_leaf", "_slice").cogroup(old.select("_leaf", "_slice", "place", "tokens").groupBy("_leaf", "_slice")).applyInPandas(run, _ROWS)
+
+
+def replayed(fed: DataFrame, history: DataFrame, old: DataFrame, threshold: float) -> DataFrame:
+    """Rows of fed held against the history (place, tokens, seq; of the same _slice) as of their arrival.
+
+    kind ``row``: the row's place; ``guess``: a row that isn't in the history and changes the groups. Guesses of a slice go
+    on in groups of their own, so that of rows like each other only the first is one; the others are ``open``.
+    """
 
-    return groups.select("_leaf", "_run", "place", "tokens").groupBy("_leaf").applyInPandas(merge, "_leaf string, _run long, place int, final int, template array<string>")
+    def run(key: tuple, new: pd.DataFrame, both: pd.DataFrame) -> pd.DataFrame:
+        known = both["seq"].isna()
+        if not len(new):
+            return pd.DataFrame({c: [] for c in _NAMES})
+        groups, own = _started(new["tokens"].iloc[0], both[known], threshold), None
+        events = both[~known].sort_values("seq")
+        new, times = new.sort_values("seq", kind="stable"), events["seq"].tolist()
+        places, templates, at, out = events["place"].tolist(), events["tokens"].tolist(), 0, []
+        for tokens, seq in zip(new["tokens"], new["seq"]):
+            while at < len(times) and times[at] < seq:
+                groups.put(int(places[at]), list(templates[at]))
+                at += 1
+            if at < len(times) and times[at] == seq:
+                out.append((int(places[at]), tokens, seq, "row"))
+                continue
+            place, template = groups.match(tokens)
+            if place < groups.used and template == groups.tokens[place]:
+                out.append((place, tokens, seq, "row"))
+            else:
+                own = own or Groups(len(tokens), threshold)
+                out.append((-1, tokens, seq, "guess" if own.feed(tokens)[1] else "open"))
+        x = pd.DataFrame(out, columns=["place", "tokens", "seq", "kind"])
+        return x.assign(_leaf=key[0], _slice=key[1])[_NAMES]
+
+    before = old.select("_leaf", "_slice", "place", "tokens", F.lit(None).cast("long").alias("seq")).unionByName(history.select("_leaf", "_slice", "place", "tokens", "seq"))
+    new = fed.select("_leaf", "_slice", "tokens", "seq")
+    return new.groupBy("_leaf", "_slice").cogroup(before.groupBy("_leaf", "_slice")).applyInPandas(run, _ROWS)
+
+
+def in_parts(fed: DataFrame, old: DataFrame, threshold: float, slices: int) -> DataFrame:
+    """As ``mined`` with rows, over leaves of several slices, none of which is taken by one task whole. Read once."""
+    at = lambda x: x.select("_leaf", "_slice").distinct()
+    of_leaf = lambda x, to: x.drop("_slice").join(to, "_leaf")
+    one = lambda x: x.withColumn("_slice", F.lit(0).cast("long"))
+    all_slices = cut(at(fed))
+    guesses, n = cut(mined(fed, of_leaf(old, all_slices), threshold, "changes")).select("_leaf", "_slice", "seq"), slices
+    rows = fed.select("_leaf", "tokens", "seq")
+    while n > 1:  # tokens of guesses are the rows' own
+        n = -(-n // FAN)
+        merged = rows.join(guesses, ["_leaf", "seq"]).withColumn("_slice", F.col("_slice") % n)
+        history = cut(mined(merged, of_leaf(old, cut(at(merged))), threshold, "changes"))
+        guesses = history.select("_leaf", "_slice", "seq")
+    while True:
+        found = cut(replayed(fed, of_leaf(history, all_slices), of_leaf(old, all_slices), threshold))
+        more = found.where("kind = 'guess'").select("_leaf", "seq")
+        if not more.limit(1).count():
+            break
+        guesses = history.select("_leaf", "seq").union(more)
+        history = cut(mined(one(rows.join(guesses, ["_leaf", "seq"])), one(old), threshold, "changes"))
+    last = history.groupBy("_leaf", "place").agg(F.max_by("tokens", "seq").alias("tokens"))
+    kept = old.select("_leaf", "place", "tokens").join(last.select("_leaf", "place"), ["_leaf", "place"], "left_anti")
+    groups = kept.unionByName(last).select("_leaf", F.lit(0).cast("long").alias("_slice"), "place", "tokens", F.lit(None).cast("long").alias("seq"), F.lit("group").alias("kind"))
+    return found.unionByName(groups)
 
 
 def _leaf() -> Column:
@@ -135,33 +253,43 @@ def _leaf() -> Column:
     return F.to_json(F.struct(*LEAF), {"ignoreNullFields": "false"}).alias("_leaf")
 
 
-def resolved(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: DataFrame | None = None, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
-    """(_leaf, tokens, seq, template of each row that was fed; _leaf, place, template of all groups)."""
+def resolved(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: DataFrame | None = None, rows_a_slice: int = SLICE) -> tuple[DataFrame, DataFrame]:
+    """(_leaf, tokens, seq, template of each row that was fed; _leaf, place, tokens of all groups)."""
     fed = lines.select("service", "tokens", "seq")
     fed = cut(fed if exact else fed.groupBy("service", "tokens").agg(F.min("seq").alias("seq")))  # read several times
     fed = leaves(fed, known, most).select("tokens", "seq", _leaf())
-    order = Window.partitionBy("_leaf").orderBy("seq")
-    fed = fed.withColumn("_run", F.floor((F.row_number().over(order) - 1) / chunk))
-    found = cut(placed(fed, known, threshold))
-    groups = found.where("seq is null")
-    if groups.where("_run > 0").limit(1).count():
-        final = merged(groups, threshold)
+    old = (fed.sparkSession.createDataFrame([], KNOWN) if known is None else known).select(_leaf(), F.lit(0).cast("long").alias("_slice"), "place", "tokens")
+    sizes = fed.groupBy("_leaf").agg(F.count(F.lit(1)).alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= rows_a_slice:
+        found = cut(mined(fed.withColumn("_slice", F.lit(0).cast("long")), old, threshold, "rows"))
     else:
-        final = groups.select("_leaf", "_run", "place", F.col("place").alias("final"), F.col("tokens").alias("template"))
-    rows = found.where("seq is not null").join(final, ["_leaf", "_run", "place"]).select("_leaf", "tokens", "seq", F.array_join("template", " ").alias("template"))
-    return rows, final.select("_leaf", F.col("final").alias("place"), F.col("template").alias("tokens")).distinct()
+        large = cut(sizes.where(F.col("n") > rows_a_slice).select("_leaf", F.ceil(F.col("n") / rows_a_slice).alias("_slices")))
+        slices = large.agg(F.max("_slices")).first()[0]
+        dealt = cut(fed.join(large, "_leaf", "left").withColumn("_slice", F.coalesce(F.pmod(F.xxhash64("seq"), F.col("_slices")), F.lit(0))))
+        few, many = dealt.where("_slices is null"), dealt.where("_slices is not null")
+        hot = old.join(large, "_leaf", "left_semi")
+        found = cut(mined(few, old.join(large, "_leaf", "left_anti"), threshold, "rows").unionByName(in_parts(many, hot, threshold, slices)))
+    groups = found.where("kind = 'group'").select("_leaf", "place", "tokens")
+    templates = groups.select("_leaf", "place", F.array_join("tokens", " ").alias("template"))
+    rows = found.where("kind = 'row'").join(_few(templates), ["_leaf", "place"]).select("_leaf", "tokens", "seq", "template")
+    return rows, groups
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """df for a join: broadcast if its counted rows are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def grown(lines: DataFrame, known: DataFrame | None = None, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+def grown(lines: DataFrame, known: DataFrame | None = None, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, rows_a_slice: int = SLICE) -> tuple[DataFrame, DataFrame]:
     """(lines with template and template_id; KNOWN after them): the groups of a stream's batches go on in the next one."""
-    rows, groups = resolved(lines, exact, threshold, most, known, chunk)
+    rows, groups = resolved(lines, exact, threshold, most, known, rows_a_slice)
     rows = rows.withColumn("service", F.get_json_object("_leaf", "$.service"))
     on = ["service", "seq"] if exact else ["service", "tokens"]
-    joined = lines.join(rows.select(*on, "template"), on)
+    joined = lines.join(rows.select(*on, "template") if exact else _few(rows.select(*on, "template")), on)
     of = F.from_json("_leaf", "service string, n_tokens int, b1 string, b2 string")
     return joined.withColumn("template_id", template_hash(F.col("service"), F.col("template"))), groups.select(of.alias("l"), "place", "tokens").select("l.*", "place", "tokens")
 
 
-def mine(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: DataFrame | None = None, chunk: int = CHUNK) -> DataFrame:
+def mine(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: DataFrame | None = None, rows_a_slice: int = SLICE) -> DataFrame:
     """lines (seq, service, tokens, ...) with template (the final one of the line's group) and template_id."""
-    return grown(lines, known, exact, threshold, most, chunk)[0]
+    return grown(lines, known, exact, threshold, most, rows_a_slice)[0]

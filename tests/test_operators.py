@@ -97,10 +97,33 @@ def test_batches_are_mined_like_one_run(spark):
     assert {r["template"] for r in lines.collect()} <= whole
 
 
-def test_large_leaves_are_mined_in_runs(spark):
-    rows = [(i, "s", "INFO", f"user {w} opened page {v} of book") for i, (w, v) in enumerate((w, v) for w in "abcdefghij" for v in "klmnopqrst")]
-    x = reduce.prepare(logs(spark, rows)).select("seq", "service", "tokens")
-    assert {r["template"] for r in miner.mine(x, chunk=3, most=5).collect()} == {r["template"] for r in miner.mine(x, most=5).collect()}
+def test_slices_of_a_leaf_give_one_runs_result(spark):
+    import random
+
+    rng = random.Random(3)
+    text = random_lines(2, 200) + [f"user {rng.choice('abcdef')} opened page {rng.choice('klmnop')} of {rng.choice('uvw')} book" for _ in range(200)]
+    x = reduce.prepare(logs(spark, [(i, "s", "INFO", t) for i, t in enumerate(text)])).select("seq", "service", "tokens")
+    tokens = [r["tokens"] for r in x.orderBy("seq").collect()]
+    for exact, size in ((True, 7), (False, 3)):
+        got = [r["template"] for r in miner.mine(x, exact=exact, rows_a_slice=size).orderBy("seq").collect()]
+        once = list(dict.fromkeys(map(tuple, tokens)))
+        want = slow_templates(tokens) if exact else [dict(zip(once, slow_templates(once)))[tuple(t)] for t in tokens]
+        assert got == want
+    _, known = miner.grown(x.where("seq < 150"), exact=True, rows_a_slice=7)
+    lines, known = miner.grown(x.where("seq >= 150"), known, exact=True, rows_a_slice=11)
+    whole = slow_templates(tokens)
+    assert {" ".join(r["tokens"]) for r in known.collect()} == set(whole)
+    assert [r["template"] for r in lines.orderBy("seq").collect()] == whole[150:]
+
+
+def test_a_leaf_of_many_distinct_lines(spark):
+    """More rows than a slice takes by default, in one leaf, against one run over all of them."""
+    n = 60_000
+    x = spark.range(n).selectExpr("id AS seq", "'s' AS service", "array('get', 'item', concat('a', id % 211), concat('b', id div 211), concat('c', xxhash64(id) % 40), concat('d', xxhash64(id, 1) % 40)) AS tokens")
+    rows = {r["seq"]: r for r in miner.mine(x).select("seq", "tokens", "template").collect()}
+    groups = miner.Groups(6, miner.THRESHOLD)
+    place = [groups.feed(rows[i]["tokens"])[0] for i in range(n)]
+    assert len(rows) == n and all(rows[i]["template"] == " ".join(groups.tokens[place[i]]) for i in range(n))
 
 
 def test_crowded_nodes_share_the_wildcard(spark):
