@@ -30,8 +30,8 @@ from .common import WORD, cut
 
 LENGTH, SHARD, MOST, ROUNDS, SEED = 256, 4096, 3, 16, 17
 WEIGHTS = (1, 2, 3)
-#: Documents of a source, or shards, that one task adds up.
-PART = 65_536
+#: Shards, and documents of a source, whose sums one task adds up.
+PART, DOCS = 65_536, 2_048
 BROADCAST_ROWS = 50_000
 
 
@@ -94,7 +94,7 @@ def running(df: DataFrame, keys: list[str], part: str, order: list, value: str,
     return x.withColumn(out, F.col("_i") + F.col("_b")).drop("_i", "_b")
 
 
-def pieces(docs: DataFrame, length: int = LENGTH, part: int = PART) -> DataFrame:
+def pieces(docs: DataFrame, length: int = LENGTH, part: int = DOCS) -> DataFrame:
     """docs (sid, n_docs, doc_id, size, _h) in a source's order, cut by blocks: sid, at, doc_id, size, block, off, start, n.
 
     at: words of the source before the document, which names it there; off: the piece's place in its block; start: in the
