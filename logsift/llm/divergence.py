@@ -32,7 +32,7 @@ from .common import cut, small_batches
 
 LEAST_DOCS, TOP, SCALE = 3, 200, 1_000_000_000
 #: Distinct (lang, source, term) that a task holds before it hands their counts on.
-HELD = 200_000
+HELD = 500_000
 #: Rows of counts that a shard of the second pass gets on average, at most.
 SHARD_ROWS = 50_000
 #: Groups up to so many are broadcast.
