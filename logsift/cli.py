@@ -10,13 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import correlate, evaluate, judge, miner, reduce, route
+from .operators.cache import CACHE, answered, fresh, newest
 from .operators.estimate import estimate, question_tokens
 from .plans import sinks, triage, views
+from .plans.commits import Committed
 from .sources import logs as src
-from .sources.questions import BUILT_IN, checked, load_pack
+from .sources.questions import BUILT_IN, checked, load_pack, pack_frame
 from .sources.synthetic import synthetic_changes, synthetic_logs
 
 
+CONFIG = "YAML with the sections judge, cache, pack, reduce, router, known_issues, runbooks, correlate, narrate, pricing, sink"
+
+
 def session(name: str = "triage") -> SparkSession:
     return SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
@@ -25,6 +30,24 @@ def _clusters(spark: SparkSession, path: str) -> DataFrame:
     return reduce.clusters(miner.mine(reduce.prepare(src.read_logs(spark, path))))
 
 
+def config(path: str | None) -> triage.Config:
+    """From a YAML file; without one, the defaults."""
+    if not path:
+        return triage.Config()
+    import yaml
+
+    with open(path) as f:
+        return triage.Config.of(yaml.safe_load(f) or {})
+
+
+def cached_questions(found: DataFrame, cfg: triage.Config, pack: dict) -> DataFrame:
+    """template_id, question_key that the configured cache has fresh answers to."""
+    spark = found.sparkSession
+    store = fresh(Committed(spark, cfg.cache).read("answers", CACHE), F.current_timestamp(), cfg.ttl_days)
+    x = answered(found.select(F.col("template_id").alias("subject_id")), store, pack_frame(spark, pack), cfg.model)
+    return x.select(F.col("subject_id").alias("template_id"), F.col("key").alias("question_key"))
+
+
 def evaluation(golden: DataFrame, target_precision: float = 0.9) -> dict:
     """All metrics of a golden frame (``read_golden``) under the native judge and the default router."""
     rows = golden.withColumns({
@@ -60,16 +83,22 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--changes")
     c.add_argument("--out")
     c.add_argument("--database")
-    c.add_argument("--config", help="YAML with the sections judge, cache, pack, reduce, router, known_issues, runbooks, correlate, narrate, pricing, sink")
+    c.add_argument("--run-id")
+    c.add_argument("--config", help=CONFIG)
     c = sub.add_parser("stream")
     c.add_argument("folder")
     c.add_argument("out")
     c.add_argument("checkpoint")
+    c.add_argument("--format", choices=["parquet", "json", "text"], default="parquet")
+    c.add_argument("--window", default="60 seconds")
+    c.add_argument("--lag", default="15 seconds")
+    c.add_argument("--config", help=CONFIG)
     c.add_argument("--once", action="store_true")
     c.add_argument("--changes")
     c = sub.add_parser("estimate")
     c.add_argument("logs")
     c.add_argument("--pack")
+    c.add_argument("--config", help=CONFIG)
     c = sub.add_parser("eval")
     c.add_argument("golden")
     c.add_argument("--max-false-suppression", type=float)
@@ -87,17 +116,19 @@ def main(argv: list[str] | None = None) -> int:
         synthetic_logs(spark, a.minutes, a.scale).drop("seq").write.mode("overwrite").json(f"{a.out}/logs")
         synthetic_changes(spark).withColumnRenamed("change_id", "id").write.mode("overwrite").json(f"{a.out}/changes")
     elif a.command == "run":
-        options: dict = {}
-        if a.config:
-            import yaml
-
-            with open(a.config) as f:
-                options = yaml.safe_load(f) or {}
-        cfg = triage.Config.of(options)
-        r = triage.run(src.read_logs(spark, a.logs), src.read_changes(spark, a.changes) if a.changes else None, cfg)
+        cfg = config(a.config)
+        store = Committed(spark, cfg.cache) if cfg.cache else None
+        r = triage.run(src.read_logs(spark, a.logs), src.read_changes(spark, a.changes) if a.changes else None, cfg, a.run_id, cache=store.read("answers", CACHE) if store else None)
         sinks.triage_console(r.routed).show(truncate=False)
         r.summary.show(vertical=True, truncate=False)
         correlate.top_incidents(r.incidents, 5).show(truncate=False)
+        if r.judge_stats is not None:
+            r.judge_stats.show(vertical=True, truncate=False)
+        if store and r.new_answers is not None:
+            store.commit(r.run_id, {"answers": r.new_answers})
+            store.compact("answers", newest)
+        if cfg.sink:
+            sinks.write(r, cfg.sink, cfg.out, cfg.database)
         if a.out:
             sinks.write_files(r, a.out)
         if a.database:
@@ -107,9 +138,14 @@ def main(argv: list[str] | None = None) -> int:
 
         schema = "seq long, ts timestamp, service string, level string, body string, trace_id string"
         changes = src.read_changes(spark, a.changes) if a.changes else None
-        worker.start(worker.log_stream(spark, a.folder, schema), a.out, a.checkpoint, changes=changes, once=a.once).awaitTermination()
+        logs = worker.log_stream(spark, a.folder, schema, form=a.format)
+        worker.start(logs, a.out, a.checkpoint, config(a.config), changes, once=a.once, window=a.window, lag=a.lag).awaitTermination()
     elif a.command == "estimate":
-        estimate(_clusters(spark, a.logs), question_tokens(load_pack(a.pack) if a.pack else checked(BUILT_IN))).show(vertical=True)
+        cfg = config(a.config)
+        pack = load_pack(a.pack or cfg.pack) if a.pack or cfg.pack else checked(BUILT_IN)
+        found = _clusters(spark, a.logs)
+        cached = cached_questions(found, cfg, pack) if cfg.cache else None
+        estimate(found, question_tokens(pack), cached, cfg.usd_per_m, cfg.billing, cfg.concurrency, cfg.rpm).show(vertical=True)
     elif a.command == "eval":
         metrics = evaluation(src.read_golden(spark, a.golden))
         print(sinks.report(metrics))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["subject_id", "model_version", "question_fp"]
+CACHE = "subject_id string, model_version string, question_fp string, answer string, created_at timestamp, source string"
 
 
 def fingerprint(key: str, payload: dict) -> str:
@@ -31,9 +32,13 @@ def misses(asked: DataFrame, cache: DataFrame) -> DataFrame:
 
 def upsert(cache: DataFrame, new: DataFrame) -> DataFrame:
     """cache with the new answers; the latest of a key counts. Fallback and cached answers are not kept."""
-    take = new.where(~F.col("source").isin("fallback", "cache")).select(*cache.columns)
+    return newest(cache.unionByName(new.where(~F.col("source").isin("fallback", "cache")).select(*cache.columns)))
+
+
+def newest(cache: DataFrame) -> DataFrame:
+    """The latest row of each key."""
     w = Window.partitionBy(*KEY).orderBy(F.desc("created_at"), "answer")
-    return cache.unionByName(take).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    return cache.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
 def stats(asked: DataFrame, cache: DataFrame) -> DataFrame:
@@ -50,9 +55,15 @@ def stored(answers: DataFrame, fps: DataFrame, model: str) -> DataFrame:
 
 
 def answered(subjects: DataFrame, cache: DataFrame, fps: DataFrame, model: str) -> DataFrame:
-    """Long answers of the subjects (subject_id) that the cache has all of a pack's answers for, with source ``cache``."""
+    """Long answers of the subjects (subject_id) that the cache has, of a pack's questions, with source ``cache``."""
     asked = subjects.select("subject_id").distinct().crossJoin(F.broadcast(fps.select(F.col("fp").alias("question_fp")))).withColumn("model_version", F.lit(model))  # a pack is small
-    found = hits(asked, cache)
-    whole = found.groupBy("subject_id").agg(F.count_distinct("question_fp").alias("n")).where(F.col("n") == fps.count()).select("subject_id")
     kind = "key string, type string, value string, probabilities map<string,double>, confidence double"
-    return found.join(whole, "subject_id", "left_semi").select("subject_id", F.from_json("answer", kind).alias("a"), "source").select("subject_id", "a.*", "source")
+    return hits(asked, cache).select("subject_id", F.from_json("answer", kind).alias("a"), "source").select("subject_id", "a.*", "source")
+
+
+def missing(subjects: DataFrame, found: DataFrame, fps: DataFrame) -> DataFrame:
+    """subjects with ``questions``, the keys of a pack that found (long answers) lacks; none of those that it has whole."""
+    keys = F.array(*[F.lit(r["question_key"]) for r in fps.select("question_key").orderBy("question_key").collect()])  # a pack
+    have = found.groupBy("subject_id").agg(F.collect_set("key").alias("_have"))
+    x = subjects.join(have, "subject_id", "left").withColumn("questions", F.array_except(keys, F.coalesce("_have", F.array().cast("array<string>"))))
+    return x.where(F.size("questions") > 0).drop("_have")

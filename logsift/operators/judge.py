@@ -141,15 +141,19 @@ def runbook_choice(text: Column, runbooks: dict[str, str]) -> Column:
     return generic("choice", text, runbooks | {"none": "None of the listed runbooks fits."})
 
 
-def overlaid(judged: DataFrame, given: DataFrame, fallback: bool = True) -> DataFrame:
+def overlaid(judged: DataFrame, given: DataFrame, fallback: bool = True, failed: DataFrame | None = None) -> DataFrame:
     """judged with another judge's answers in place of the native ones, and fallback: whether it has none for a cluster.
 
     given: subject_id, key, type, value, probabilities (``remote.long_answers``). fallback: clusters without an answer keep
-    the native answers, else they have none. A run's questions are those of PACK; answers to others are left out.
+    the native answers, else they have none. failed: subject_id of clusters that were asked in vain; what a cache has of
+    their answers stands. A run's questions are those of PACK; answers to others are left out.
     """
     pick = lambda key, c: F.max(F.when(F.col("key") == key, F.col(c)))
     dist = lambda key: F.max(F.when(F.col("key") == key, F.to_json("probabilities")))
-    wide = given.groupBy(F.col("subject_id").alias("template_id")).agg(*[pick(k, "value").cast("double").alias(f"_p_{k}") for k in NOULS], *[dist(k).alias(f"_d_{k}") for k, t in PACK if t != "noul"], F.lit(True).alias("_has"))
+    if failed is not None:
+        rest = [F.lit(None).cast(t).alias(c) for c, t in given.dtypes if c not in ("subject_id", "key")]
+        given = given.unionByName(failed.select("subject_id", F.lit("").alias("key"), *rest))  # no question has this key
+    wide = given.groupBy(F.col("subject_id").alias("template_id")).agg(*[pick(k, "value").cast("double").alias(f"_p_{k}") for k in NOULS], *[dist(k).alias(f"_d_{k}") for k, t in PACK if t != "noul"], F.when(F.min("key") != "", F.lit(True)).alias("_has"))
     x = judged.join(wide, "template_id", "left").withColumn("_miss", F.col("_has").isNull())
     own = lambda c: F.when(F.col("_miss") & F.lit(fallback), F.col(c))
     held = lambda k: F.when(F.col(f"_p_{k}").isNotNull(), noul(F.col(f"_p_{k}")))

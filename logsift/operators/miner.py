@@ -25,6 +25,7 @@ stream resolves a line as one long run would. ``mine`` gives the lines, ``grown`
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,8 @@ THRESHOLD, CHILDREN, SLICE, FAN = 0.5, 100, 50_000, 16
 LEAF = ["service", "n_tokens", "b1", "b2"]
 #: Groups that a stream keeps: leaf, place in it, and the template's tokens.
 KNOWN = "service string, n_tokens int, b1 string, b2 string, place int, tokens array<string>"
+#: A frame of such groups, or a function from the rows that are fed (service, tokens, seq) to one.
+Known = DataFrame | Callable[[DataFrame], DataFrame] | None
 #: Templates up to so many are broadcast to the lines.
 BROADCAST_ROWS = 50_000
 
@@ -253,10 +256,11 @@ def _leaf() -> Column:
     return F.to_json(F.struct(*LEAF), {"ignoreNullFields": "false"}).alias("_leaf")
 
 
-def resolved(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: DataFrame | None = None, rows_a_slice: int = SLICE) -> tuple[DataFrame, DataFrame]:
-    """(_leaf, tokens, seq, template of each row that was fed; _leaf, place, tokens of all groups)."""
+def resolved(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: Known = None, rows_a_slice: int = SLICE) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(_leaf, tokens, seq, template of each row that was fed; _leaf, place, tokens of all groups; known)."""
     fed = lines.select("service", "tokens", "seq")
     fed = cut(fed if exact else fed.groupBy("service", "tokens").agg(F.min("seq").alias("seq")))  # read several times
+    known = cut(known(fed)) if callable(known) else known
     fed = leaves(fed, known, most).select("tokens", "seq", _leaf())
     old = (fed.sparkSession.createDataFrame([], KNOWN) if known is None else known).select(_leaf(), F.lit(0).cast("long").alias("_slice"), "place", "tokens")
     sizes = fed.groupBy("_leaf").agg(F.count(F.lit(1)).alias("n"))
@@ -272,7 +276,7 @@ def resolved(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD
     groups = found.where("kind = 'group'").select("_leaf", "place", "tokens")
     templates = groups.select("_leaf", "place", F.array_join("tokens", " ").alias("template"))
     rows = found.where("kind = 'row'").join(_few(templates), ["_leaf", "place"]).select("_leaf", "tokens", "seq", "template")
-    return rows, groups
+    return rows, groups, known
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -280,16 +284,26 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def grown(lines: DataFrame, known: DataFrame | None = None, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, rows_a_slice: int = SLICE) -> tuple[DataFrame, DataFrame]:
+def grown(lines: DataFrame, known: Known = None, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, rows_a_slice: int = SLICE) -> tuple[DataFrame, DataFrame]:
     """(lines with template and template_id; KNOWN after them): the groups of a stream's batches go on in the next one."""
-    rows, groups = resolved(lines, exact, threshold, most, known, rows_a_slice)
-    rows = rows.withColumn("service", F.get_json_object("_leaf", "$.service"))
-    on = ["service", "seq"] if exact else ["service", "tokens"]
-    joined = lines.join(rows.select(*on, "template") if exact else _few(rows.select(*on, "template")), on)
+    return kept(lines, known, exact, threshold, most, rows_a_slice)[:2]
+
+
+def kept(lines: DataFrame, known: Known = None, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, rows_a_slice: int = SLICE) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """``grown``, and the known groups as they were, which a function may choose by the rows that are fed."""
+    rows, groups, known = resolved(lines, exact, threshold, most, known, rows_a_slice)
+    if exact:
+        joined = lines.join(rows.select("seq", "template"), "seq")
+    else:
+        # by a hash that is exploded: Catalyst follows a join's key down to the scan, through every column it is made of, and
+        # expands it on the way (for runtime filters), which takes forever behind the scrub; it doesn't look behind an explode
+        key = lambda service: F.explode(F.array(F.sha1(F.concat(F.coalesce(service, F.lit("")), F.lit("\0"), F.array_join("tokens", "\0")))))
+        few = _few(rows.select(key(F.get_json_object("_leaf", "$.service")).alias("_key"), "template"))
+        joined = lines.withColumn("_key", key(F.col("service"))).join(few, "_key").drop("_key")
     of = F.from_json("_leaf", "service string, n_tokens int, b1 string, b2 string")
-    return joined.withColumn("template_id", template_hash(F.col("service"), F.col("template"))), groups.select(of.alias("l"), "place", "tokens").select("l.*", "place", "tokens")
+    return joined.withColumn("template_id", template_hash(F.col("service"), F.col("template"))), groups.select(of.alias("l"), "place", "tokens").select("l.*", "place", "tokens"), known
 
 
-def mine(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: DataFrame | None = None, rows_a_slice: int = SLICE) -> DataFrame:
+def mine(lines: DataFrame, exact: bool = False, threshold: float = THRESHOLD, most: int = CHILDREN, known: Known = None, rows_a_slice: int = SLICE) -> DataFrame:
     """lines (seq, service, tokens, ...) with template (the final one of the line's group) and template_id."""
     return grown(lines, known, exact, threshold, most, rows_a_slice)[0]

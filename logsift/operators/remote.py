@@ -6,6 +6,7 @@ share of the rate. The transport is a plain callable, so no client library is ne
 
 from __future__ import annotations
 
+import inspect
 import json
 import random
 import time
@@ -62,32 +63,40 @@ def parse_answer(key: str, kind: str, raw) -> dict:
 def http_judge(transport: Callable[[dict], tuple[int, str]], model: str, questions: list[dict]) -> Callable[[str], tuple[list[dict], int]]:
     """A judge over ``transport`` (request to status and body): state text to (answers, input tokens)."""
 
-    def ask(state: str) -> tuple[list[dict], int]:
-        status, body = transport({"model": model, "state": json.loads(state), "questions": {q["key"]: q["payload"] for q in questions}})
+    def ask(state: str, keys: list[str] | None = None) -> tuple[list[dict], int]:
+        wanted = [q for q in questions if keys is None or q["key"] in keys]
+        status, body = transport({"model": model, "state": json.loads(state), "questions": {q["key"]: q["payload"] for q in wanted}})
         if status >= 400:
             raise status_error(status, body)
         got = json.loads(body)
         found = got.get("answers", got.get("results", {}))
-        return [parse_answer(q["key"], q["payload"]["type"], found.get(q["key"])) for q in questions], int((got.get("usage") or {}).get("input_tokens", 0))
+        return [parse_answer(q["key"], q["payload"]["type"], found.get(q["key"])) for q in wanted], int((got.get("usage") or {}).get("input_tokens", 0))
 
     return ask
 
 
 def ask_all(subjects: DataFrame, make_judge: Callable[[], Callable[[str], tuple[list[dict], int]]], concurrency: int = 32, rpm: float = 1200, retries: int = 3, base_s: float = 0.25) -> DataFrame:
-    """subjects (subject_id, state), one row a subject, to CALLS: answers as JSON, or null with the error (a dead letter)."""
+    """subjects (subject_id, state), one row a subject, to CALLS: answers as JSON, or null with the error (a dead letter).
+
+    With a column ``questions`` (keys), a judge that takes two arguments is asked for these only; of another one's answers
+    these are kept.
+    """
+    some = "questions" in subjects.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # as many partitions run at once as the cluster has slots for, at most all of them; each has its share of the rate
         ask, bucket = make_judge(), TokenBucket(rpm / max(1, min(concurrency, slots)))
+        by_key = some and len(inspect.signature(ask).parameters) > 1
         for x in batches:
             rows = []
-            for subject, state in zip(x["subject_id"], x["state"]):
+            for subject, state, keys in zip(x["subject_id"], x["state"], x["questions"] if some else [None] * len(x)):
                 began, tries = time.monotonic(), 0
                 while True:
                     tries += 1
                     bucket.take()
                     try:
-                        answers, tokens = ask(state)
+                        answers, tokens = ask(state, list(keys)) if by_key else ask(state)
+                        answers = [a for a in answers if a["key"] in keys] if some else answers
                         rows.append((subject, json.dumps(answers), tries, (time.monotonic() - began) * 1000, tokens, None))
                         break
                     except Exception as e:  # any judge's failure is a dead letter in the end
@@ -98,7 +107,7 @@ def ask_all(subjects: DataFrame, make_judge: Callable[[], Callable[[str], tuple[
             yield pd.DataFrame(rows, columns=["subject_id", "answers", "attempts", "latency_ms", "input_tokens", "error"])
 
     slots = subjects.sparkSession.sparkContext.defaultParallelism
-    once = subjects.groupBy("subject_id").agg(F.first("state").alias("state"))
+    once = subjects.groupBy("subject_id").agg(*[F.first(c).alias(c) for c in ("state", "questions") if c in subjects.columns])
     return once.repartition(concurrency).mapInPandas(run, CALLS)
 
 

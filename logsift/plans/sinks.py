@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.levels import SEVERITY_NUMBER
 from ..operators.judge import MODEL, judgments
+from .commits import Committed
 from .triage import Run
-from .views import PARTITION
+from .views import PARTITION, create_tables
 
 
 def observed(clusters: DataFrame) -> DataFrame:
@@ -64,6 +65,23 @@ def write_files(r: Run, folder: str, form: str = "json") -> None:
     ranked.coalesce(1).select(F.concat(F.col("narrative"), F.lit("\n"))).write.mode("overwrite").text(f"{folder}/{r.run_id}/incidents.md")
 
 
+def write_commit(r: Run, folder: str) -> None:
+    """The four relations below ``folder`` in one commit: a run that dies before its end leaves what was there, and one that
+    is written again replaces its own rows."""
+    Committed(r.routed.sparkSession, folder).commit(r.run_id, relations(r))
+
+
+def write(r: Run, kind: str, folder: str, database: str) -> None:
+    """By the settings of ``sink``."""
+    if kind == "tables":
+        create_tables(r.routed.sparkSession, database)
+        write_tables(r, database)
+    elif kind == "commits":
+        write_commit(r, folder)
+    else:
+        write_files(r, folder, {"jsonl": "json"}.get(kind, kind))
+
+
 def write_tables(r: Run, database: str) -> None:
     """Writes to the tables of ``create_tables``; a run that is written again replaces its own partitions.
 
@@ -78,8 +96,21 @@ def write_tables(r: Run, database: str) -> None:
 
 
 def write_jdbc(r: Run, url: str, properties: dict[str, str] | None = None) -> None:
-    """Appends to an external database; arrays and maps go as JSON text."""
+    """Appends to an external database; arrays and maps go as JSON text. Rows of the run that are there are deleted first,
+    each table's in one statement, so a run that is written again doesn't stand twice."""
+    jvm = r.routed.sparkSession.sparkContext._jvm
+    options = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        options.setProperty(k, v)
     for name, df in relations(r).items():
+        con = jvm.java.sql.DriverManager.getConnection(url, options)
+        try:
+            if con.getMetaData().getTables(None, None, name, None).next():
+                gone = con.prepareStatement(f"DELETE FROM {name} WHERE run_id = ?")
+                gone.setString(1, r.run_id)
+                gone.executeUpdate()
+        finally:
+            con.close()
         flat = df.select(*[F.to_json(c).alias(c) if t.startswith(("array", "map")) else F.col(c) for c, t in df.dtypes])
         flat.write.jdbc(url, name, mode="append", properties=properties or {})
 

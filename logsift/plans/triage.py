@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import time
 from dataclasses import dataclass, field
 
@@ -24,6 +25,7 @@ class Config:
     sim_threshold: float = 0.5
     backend: str = "heuristic"  # or "remote": the judge that ``run`` is given
     model: str = ju.MODEL
+    factory: str | None = None  # of judges, as module:function
     fallback: str | None = "heuristic"
     concurrency: int = 32
     max_retries: int = 3
@@ -43,9 +45,9 @@ class Config:
     top_k: int = 3
     usd_per_m: float = 0.042
     billing: str = "per_question"
-    sink: str = "jsonl"
+    sink: str | None = None  # of SINKS
     out: str = "out"
-    database: str | None = None
+    database: str = "triage"
 
     @staticmethod
     def merged(*layers: dict) -> dict:
@@ -83,13 +85,22 @@ class Config:
             flat["router"] = route.RouterConfig(**lists)
         if flat.get("backend", "heuristic") not in BACKENDS:
             flat["backend"] = "remote"
+        for name, f in Config.__dataclass_fields__.items():  # YAML reads 1e9 as text
+            if isinstance(flat.get(name), str) and isinstance(f.default, (int, float)):
+                flat[name] = type(f.default)(float(flat[name]))
+        for name, known in (("sink", (None, *SINKS)), ("billing", BILLING), ("mining", MINING)):
+            if flat.get(name, known[0]) not in known:
+                raise ValueError(f"{name} is one of {', '.join(map(str, known))}, not {flat[name]}")
         return Config(**flat)
 
 
 BACKENDS = ("heuristic", "remote")
+#: Where the command line puts a run: a folder of JSON or Parquet files, one commit (``commits.py``), or tables of a database.
+SINKS = ("jsonl", "parquet", "commits", "tables")
+BILLING, MINING = ("per_question", "per_request"), ("distinct", "exact", "none")
 #: Settings of each section: their fields, or None for those that have no part here.
 SECTIONS: dict[str, dict] = {
-    "judge": {"backend": "backend", "model": "model", "fallback": "fallback", "concurrency": "concurrency", "max_retries": "max_retries", "rpm": "rpm", "endpoint": None, "timeout_s": None},
+    "judge": {"backend": "backend", "model": "model", "factory": "factory", "fallback": "fallback", "concurrency": "concurrency", "max_retries": "max_retries", "rpm": "rpm", "endpoint": None, "timeout_s": None},
     "cache": {"path": "cache", "ttl_days": "ttl_days"}, "pack": {None: "pack"}, "runbooks": {}, "reduce": {"sim_threshold": "sim_threshold", "redact_ips": "redact_ips", "extra_patterns": "extra_patterns", "mining": "mining"},
     "correlate": {"enabled": "correlate", "same_issue_threshold": "same_issue_threshold", "max_gap_s": "max_gap_s", "max_pairs": "max_pairs", "change_lookback_s": "change_lookback_s", "change_threshold": "change_threshold", "topology": "topology"},
     "narrate": {"top_k": "top_k", "kind": None, "model": None, "effort": None}, "pricing": {"usd_per_m_input": "usd_per_m", "billing": "billing"}, "sink": {"kind": "sink", "out_dir": "out", "clickhouse_database": "database"},
@@ -114,51 +125,61 @@ class Run:
     timeline: DataFrame
     narratives: DataFrame
     cache: DataFrame | None = None  # to be kept for the next run
+    new_answers: DataFrame | None = None  # those that weren't in the cache
     dead_letters: DataFrame | None = None
     judge_stats: DataFrame | None = None
     groups: DataFrame | None = None  # the miner's, for the next batch
+    known: DataFrame | None = None  # those that it began with
 
 
 def topology_frame(spark: SparkSession, topology: dict[str, list[str]] | None) -> DataFrame | None:
     return None if topology is None else spark.createDataFrame([(a, b) for a, bs in topology.items() for b in bs], "src string, dst string")
 
 
+def factory(name: str | None):
+    """The function that ``module:function`` names."""
+    if not name or ":" not in name:
+        raise ValueError("the backend remote needs judge.factory, as module:function")
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def judged_by(found: DataFrame, cfg: Config, ask=None, cache: DataFrame | None = None) -> tuple[DataFrame, dict]:
     """(clusters with answers; cache, dead_letters and judge_stats of the run).
 
-    ask: a factory of judges (``remote.ask_all``) for the backend ``remote``. Clusters that the cache has all answers of are
-    not asked again; those that fail get the native answers, marked as fallback, or none if there is no fallback.
+    ask: a factory of judges (``remote.ask_all``) for the backend ``remote``; by default the one that ``judge.factory`` names
+    (``module:function``). Questions that the cache has fresh answers to aren't asked again; clusters that fail get the
+    native answers, marked as fallback, or none if there is no fallback.
     """
     spark, native = found.sparkSession, ju.judge(found)
     if cfg.backend == "heuristic":
         return ju.answers(native), {}
-    if ask is None:
-        raise ValueError("the backend remote needs a judge")
+    ask = ask or factory(cfg.factory)
     fps = pack_frame(spark, load_pack(cfg.pack) if cfg.pack else checked(BUILT_IN))
     subjects = native.select(F.col("template_id").alias("subject_id"), "state")
     old = None if cache is None else ch.fresh(cache, F.current_timestamp(), cfg.ttl_days)
     kept = None if old is None else cut(ch.answered(subjects, old, fps, cfg.model))
-    missing = subjects if kept is None else subjects.join(kept.select("subject_id").distinct(), "subject_id", "left_anti")
-    calls = cut(remote.ask_all(missing, ask, cfg.concurrency, cfg.rpm, cfg.max_retries))
+    asked = subjects if kept is None else ch.missing(subjects, kept, fps)
+    calls = cut(remote.ask_all(asked, ask, cfg.concurrency, cfg.rpm, cfg.max_retries))
     new = remote.long_answers(calls, "remote")
     rows = ch.stored(new, fps, cfg.model)
     given = new if kept is None else new.unionByName(kept)
-    extra = {"cache": rows if old is None else ch.upsert(cache, rows), "dead_letters": remote.dead_letters(calls), "judge_stats": remote.run_stats(calls, subjects, cfg.fallback is not None, cfg.usd_per_m)}
-    return ju.answers(ju.overlaid(native, given, cfg.fallback is not None)), extra
+    extra = {"cache": rows if old is None else ch.upsert(cache, rows), "new_answers": rows, "dead_letters": remote.dead_letters(calls), "judge_stats": remote.run_stats(calls, subjects, cfg.fallback is not None, cfg.usd_per_m)}
+    return ju.answers(ju.overlaid(native, given, cfg.fallback is not None, extra["dead_letters"])), extra
 
 
-def run(logs: DataFrame, changes: DataFrame | None = None, config: Config | None = None, run_id: str | None = None, narrator: narrate.Narrator | None = None, ask=None, cache: DataFrame | None = None, known: DataFrame | None = None) -> Run:
+def run(logs: DataFrame, changes: DataFrame | None = None, config: Config | None = None, run_id: str | None = None, narrator: narrate.Narrator | None = None, ask=None, cache: DataFrame | None = None, known: miner.Known = None) -> Run:
     """logs: seq, ts, service, level, body, trace_id. Clusters are materialised once, as all later layers read them.
 
     ask, cache: see ``judged_by``. known: the miner's groups of earlier batches (``miner.grown``).
     """
     cfg, spark = config or Config(), logs.sparkSession
     lines = reduce.prepare(logs, cfg.redact_ips, cfg.extra_patterns)
-    groups = None
+    groups = before = None
     if cfg.mining == "none":
         lines = reduce.with_templates(lines)
     else:
-        lines, groups = miner.grown(lines, known, cfg.mining == "exact", cfg.sim_threshold)
+        lines, groups, before = miner.kept(lines, known, cfg.mining == "exact", cfg.sim_threshold)
     found = cut(reduce.clusters(lines))
     judged, extra = judged_by(found, cfg, ask, cache)
     if cfg.runbooks:
@@ -183,5 +204,5 @@ def run(logs: DataFrame, changes: DataFrame | None = None, config: Config | None
         run_id or f"run-{int(time.time())}", cfg.model, lines, found, judged, routed, route.window_summary(routed), inside, kept, ranked, links, scored, events,
         (narrator or narrate.TemplateNarrator()).narrate(bundle), **extra,
     )
-    out.groups = groups
+    out.groups, out.known = groups, before
     return out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from logsift.operators import cache, correlate, evaluate, judge, miner, reduce, remote, route
 from logsift.operators.graph import components
+from logsift.plans.commits import Committed
 from logsift.plans import sinks, triage, views
 from logsift.sources.synthetic import synthetic_changes, synthetic_logs
 
@@ -278,7 +279,7 @@ def test_stream_equals_batch(spark, scenario, tmp_path):
     x = worker.log_stream(spark, str(tmp_path / "in"), source.schema)
     for _ in range(2):  # the second start finds nothing new
         worker.start(x, str(tmp_path / "out"), str(tmp_path / "state"), triage.Config(mining="none"), once=True).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out/routing_decisions"))
+    got = Committed(spark, str(tmp_path / "out")).read("routing_decisions")
     want = triage.run(spark.read.parquet(str(tmp_path / "in")), config=triage.Config(mining="none")).routed
     key = lambda df: sorted((r["template_id"], r["decision"], r["count"]) for r in df.select("template_id", "decision", "count").collect())
     assert key(got) == key(want)
@@ -393,5 +394,5 @@ def test_groups_go_from_batch_to_batch(spark, tmp_path):
         frame.where(f"seq = {i}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         x = worker.log_stream(spark, str(tmp_path / "in"), frame.schema)
         worker.start(x, str(tmp_path / "out"), str(tmp_path / "state"), once=True).awaitTermination()
-    got = {r["template"] for r in spark.read.parquet(str(tmp_path / "out/log_clusters")).collect()}
+    got = {r["template"] for r in Committed(spark, str(tmp_path / "out")).read("log_clusters").collect()}
     assert got == {text[0], "job alpha step <*> done with code fine"}
