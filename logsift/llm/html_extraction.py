@@ -11,8 +11,9 @@ have no ratio and no part in the result. Names that only hint at it (``related``
 ratio of their lines, and the clusters decide: prose stays, short lines go. ``article`` and ``main`` tags choose nothing;
 they only end an element above them that was never closed.
 
-Defined results. Null or empty html, or a page without text: empty text, n_chars 0. Broken markup is read as far as the
-parser can. Pages are read whole, in time linear in their length however deep they nest. Rows with equal or null keys are
+Defined results. Null or empty html, or a page without text: empty text, n_chars 0. A tag or comment that never ends takes
+the rest of the page, as it does in browsers; other broken markup is read as far as the parser can. Pages are read whole, in
+time linear in their length however deep they nest or how often something begins that never ends. Rows with equal or null keys are
 read one by one. Empty table: no rows. Columns named like a result column are replaced.
 """
 
@@ -169,9 +170,32 @@ def region(reader: Reader, lines: list[Line], content: np.ndarray) -> int:
     return 0 if reader.tag[best] in ROOTS else best
 
 
+#: What the parser reads on from to its own end: comments, CDATA sections, and elements that hold plain text.
+_SPAN = re.compile(r"<!--|<!\[CDATA\[|<(script|style|textarea|title)\b", re.I)
+_TAG = re.compile(r"<[a-zA-Z/!?]")
+
+
+def ended(html: str) -> str:
+    """The page up to the first tag, comment or section that never ends. The parser would take each of them for text only
+    after a search to the end of the page; here such a search fails once."""
+    at = 0
+    while found := _SPAN.search(html, at):
+        if found[1]:
+            end = re.compile(f"</{found[1]}", re.I).search(html, found.end())
+            if not end:
+                return html  # all of the rest is its text
+        elif not (end := re.compile("--!?>" if found[0] == "<!--" else r"\]\]>").search(html, found.start() + 2)):
+            html = html[: found.start()]
+            break
+        at = end.end()
+    last = html.rfind(">") + 1
+    open_ = _TAG.search(html, last)
+    return html[: open_.start()] if open_ else html
+
+
 def main_text(html: str | None) -> str:
     reader = Reader()
-    reader.feed(html or "")
+    reader.feed(ended(html or ""))
     reader.close()
     reader.flush()
     lines = [x for x in reader.lines if x.text or x.tags]
@@ -192,6 +216,10 @@ def main_text(html: str | None) -> str:
         doubtful = hinted & ~content if not reader.hinted[top] else np.zeros(len(lines), dtype=bool)
         take = kept & ~doubtful & inside[[x.node for x in lines]]
         take |= kept & np.array([reader.tag[x.node] in HEADINGS and reader.tag[reader.parent[x.node]] == "header" for x in lines]) & inside[[x.node for x in lines]]
+        above = int(np.flatnonzero(inside[[x.node for x in lines]])[0])
+        while above > 0 and (lines[above - 1].heading or not lines[above - 1].text):  # a heading beside the region, right above it
+            above -= 1
+            take[above] = kept[above] and not hinted[above] and reader.parent[lines[above].node] == reader.parent[top]
     else:
         near = np.flatnonzero(content)
         first, last = int(near[0]), int(near[-1])

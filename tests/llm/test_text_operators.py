@@ -553,3 +553,26 @@ def test_toxicity_of_long_and_repeated_texts(spark):
     more = spark.createDataFrame([(1000, long, "en", "", ""), (1000, long, "en", "", ""), (None, "scoundrel", "en", "", "")], SCHEMA)
     out = tx.toxicity(docs.unionByName(more), labels).where("doc_id = 1000 OR doc_id IS NULL").collect()
     assert len(out) == 4 and len({r["score"] for r in out if r["doc_id"] == 1000}) == 1
+
+
+@pytest.mark.parametrize("part", ["<a ", "x <!-- ", "<![CDATA[ x > ", "</p ", "<? ", '<a b="', "<p><b>", "<script>", "<title>x"])
+def test_html_that_never_ends_takes_linear_time(part):
+    import time
+
+    from logsift.llm.html_extraction import main_text
+
+    prose = "<body><p>" + "Plain words of an article that goes on for a while. " * 5 + "</p>"
+    at = time.perf_counter()
+    got = main_text(prose + part * (1_000_000 // len(part)))
+    assert time.perf_counter() - at < 6 and got.startswith("Plain words of an article")
+    assert "never" not in main_text(prose + part + "never" if part in ("<a ", "x <!-- ", "</p ") else prose)
+
+
+def test_html_heading_beside_the_region():
+    from logsift.llm.html_extraction import main_text
+
+    prose = "".join(f"<p>{'Some prose that is long enough to be an article. ' * 4}</p>" for _ in range(3))
+    assert main_text(f"<body><h1>Big Title</h1><div class=post>{prose}</div></body>").startswith("Big Title Some prose")
+    assert main_text(f"<body><div class=top><h2>Site</h2></div><div class=post>{prose}</div></body>").startswith("Some prose")
+    assert main_text(f"<body><header><h1>Site</h1></header><div class=post>{prose}</div></body>").startswith("Some prose")
+    assert "Some prose" in main_text(f"<script>if (a <!-- b) x</script><div>{prose}</div>")
