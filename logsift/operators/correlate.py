@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import best_option, iso, word_tokens
-from .graph import components
+from .graph import components, cut
 from .judge import change_related, event_type, hypothesis_supported, milestone, same_issue
 from .route import SURFACED
 
@@ -107,23 +107,66 @@ def root_causes(members: DataFrame, bonus: float = 0.5) -> DataFrame:
     return x.withColumn("score", F.round(F.coalesce("p_root_cause", F.lit(0.5)) * (1 + bonus / (1 + F.col("rank"))), 4))
 
 
+def least_shared(threshold: float) -> int | None:
+    """How many words a change and a template on different services must share to reach the threshold within half an hour,
+    where the score is highest; None if no number does, 0 if none need be shared. Later the score is 0.38 at most."""
+    for n in range(4):
+        if round(0.08 + 0.25 + min(0.2, 0.07 * n), 4) >= threshold:
+            return n
+    return None
+
+
+def _by_words(m: DataFrame, c: DataFrame, least: int, lookback_us: int) -> DataFrame:
+    """Pairs (_m, _c) of members and changes within the lookback that share ``least`` words or more, each once.
+
+    A pair that shares so many has one of them among all but the ``least`` - 1 commonest words of either side, so only
+    these meet, by word and time bucket; the pairs that met are then held against all their words.
+    """
+    words = lambda x, id_, us: x.select(id_, us, "_words", F.explode("_words").alias("w"))
+    a, b = words(m, "_m", "_um"), words(c, "_c", "_uc")
+    often = a.select("w").unionByName(b.select("w")).groupBy("w").agg(F.count(F.lit(1)).alias("_n"))
+
+    def rare(x: DataFrame, id_: str, us: str) -> DataFrame:
+        ranked = x.join(often, "w").groupBy(id_, us).agg(F.array_sort(F.collect_list(F.struct("_n", "w"))).alias("r"))
+        return ranked.select(id_, us, F.explode(F.slice("r", 1, F.greatest(F.size("r") - (least - 1), F.lit(0)))).alias("e")).select(id_, us, F.col("e.w").alias("w"))
+
+    left = rare(a, "_m", "_um").withColumn("_b", F.floor(F.col("_um") / lookback_us))
+    right = rare(b, "_c", "_uc").withColumn("_k", F.floor(F.col("_uc") / lookback_us)).select("_c", "_uc", "w", F.explode(F.array("_k", F.col("_k") + 1)).alias("_b"))
+    delta = F.col("_um") - F.col("_uc")
+    return left.join(right, ["w", "_b"]).where((delta >= 0) & (delta <= lookback_us)).select("_m", "_c").distinct()
+
+
 def change_links(members: DataFrame, changes: DataFrame, lookback_s: int = LOOKBACK_S, threshold: float = CHANGE_RELATED) -> DataFrame:
     """incident_id, change_key, change columns, template_id, p_related: for each incident and change the likeliest member.
 
-    An interval join by buckets of the lookback's width: a change meets its own bucket and the next.
+    The score bounds the join. On the change's own service all members within the lookback may reach the threshold; they
+    meet by service and time bucket. On other services the score needs shared words at all usual thresholds
+    (``least_shared``), and then members and changes meet by their rarer words. Only where nothing need be shared do they
+    meet by time bucket alone. The best member is taken by partial aggregates, so a crowded hour is never sorted.
     """
     width = lookback_s * 1_000_000
-    m = members.where(F.col("first_seen").isNotNull()).withColumn("_um", micros(F.col("first_seen"))).withColumn("_b", F.floor(F.col("_um") / width))
-    m = m.select("incident_id", "template_id", "service", "template", "first_seen", "priority", "_um", "_b")
-    c = changes.withColumn("_uc", micros(F.col("ts"))).withColumn("_k", F.floor(F.col("_uc") / width))
-    c = c.select(F.col("change_id"), F.col("ts").alias("change_ts"), F.col("service").alias("change_service"), "summary", "_uc", F.explode(F.array("_k", F.col("_k") + 1)).alias("_b"))
+    m = members.where(F.col("first_seen").isNotNull()).withColumn("_um", micros(F.col("first_seen")))
+    m = m.select("incident_id", "template_id", "service", "template", "priority", "_um", F.xxhash64("incident_id", "template_id").alias("_m"), word_tokens(F.col("template")).alias("_words"))
+    c = changes.withColumn("change_key", F.coalesce(F.nullif("change_id", F.lit("")), F.col("summary")))
+    c = c.select("change_id", "change_key", F.col("ts").alias("change_ts"), F.col("service").alias("change_service"), "summary", micros(F.col("ts")).alias("_uc"), word_tokens(F.col("summary")).alias("_words"))
+    c = c.withColumn("_c", F.xxhash64("change_id", "summary", "change_service", "_uc"))
+    m, c = cut(m), cut(c)  # read by both joins
     delta = F.col("_um") - F.col("_uc")
-    x = m.join(c, "_b").where((delta >= 0) & (delta <= width))
-    overlap = F.size(F.array_intersect(word_tokens(F.col("summary")), word_tokens(F.col("template"))))
-    x = x.withColumn("p_related", change_related(F.col("change_service") == F.col("service"), F.round(delta / 60_000_000, 1), overlap)).where(F.col("p_related") >= threshold)
-    x = x.withColumn("change_key", F.coalesce(F.nullif("change_id", F.lit("")), F.col("summary")))
-    w = Window.partitionBy("incident_id", "change_key").orderBy(F.desc("p_related"), F.desc("priority"), "template_id", "change_ts")
-    return x.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("incident_id", "change_key", "change_id", "change_ts", "change_service", "summary", "template_id", "p_related")
+    cm, cc = m.withColumn("_b", F.floor(F.col("_um") / width)).drop("_words"), c.withColumn("_k", F.floor(F.col("_uc") / width)).withColumn("_b", F.explode(F.array("_k", F.col("_k") + 1))).drop("_k", "_words")
+    shared = F.size(F.array_intersect(word_tokens(F.col("summary")), word_tokens(F.col("template"))))
+    least = least_shared(threshold)
+    if least == 0:
+        x = cm.join(cc, "_b").where((delta >= 0) & (delta <= width))
+    else:
+        x = cm.join(cc, (cm["_b"] == cc["_b"]) & (cm["service"] == cc["change_service"])).where((delta >= 0) & (delta <= width)).drop("_b")
+        if least is not None:
+            pairs = _by_words(m.select("_m", "_um", "_words"), c.select("_c", "_uc", "_words"), least, width if threshold <= 0.38 else min(width, 1_803_000_000))
+            near = pairs.join(m.drop("_words"), "_m").join(c.drop("_words"), "_c").where(F.coalesce(F.col("service") != F.col("change_service"), F.lit(True)))
+            x = x.unionByName(near.where((delta >= 0) & (delta <= width)).select(*x.columns))
+    x = x.withColumn("p_related", change_related(F.coalesce(F.col("change_service") == F.col("service"), F.lit(False)), F.round(delta / 60_000_000, 1), shared)).where(F.col("p_related") >= threshold)
+    order = F.struct((-F.col("p_related")).alias("p"), (-F.col("priority")).alias("q"), "template_id", "change_ts")
+    best = x.groupBy("incident_id", "change_key").agg(F.min_by(F.struct("change_id", "change_ts", "change_service", "summary", "template_id", "p_related"), order).alias("r"))
+    return best.select("incident_id", "change_key", "r.change_id", "r.change_ts", "r.change_service", "r.summary", "r.template_id", "r.p_related")
 
 
 def evidence(members: DataFrame, found: DataFrame, links: DataFrame) -> DataFrame:

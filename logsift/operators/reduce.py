@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.levels import level_name, level_rank, normalize_level
 from ..functions.scrub import scrub
 from ..functions.text import template_hash, tokens
+from .graph import cut
 
 EXAMPLES, TRACES = 3, 5
 
@@ -86,7 +89,20 @@ _FACTS = "array<struct<kind:string,value:string,n:bigint>>"
 
 def ordered(found: DataFrame) -> DataFrame:
     """Highest level first, then most lines, then first seen."""
-    return found.orderBy(F.desc(level_rank(F.col("level"))), F.desc("count"), "first_seq", "template_id")
+    return found.orderBy(*cluster_order())
+
+
+def cluster_order() -> list[Column]:
+    return [F.desc(level_rank(F.col("level"))), F.desc("count"), F.col("first_seq").asc(), F.col("template_id").asc()]
+
+
+def ranked(df: DataFrame, order: Callable[[], list[Column]]) -> DataFrame:
+    """df in an order, with rank (from 1): sorted by ranges, ranked within each, and moved by the rows of those before."""
+    x = cut(df.orderBy(*order()).withColumn("_p", F.spark_partition_id()))
+    sizes = x.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.withColumn("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")  # a row a range
+    x = x.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order()))).join(F.broadcast(before), "_p")
+    return x.withColumn("rank", F.col("_r") + F.col("_b")).drop("_p", "_r", "_b").orderBy("rank")
 
 
 def reduce_stats(lines: DataFrame, found: DataFrame) -> DataFrame:

@@ -102,7 +102,11 @@ def route(judged: DataFrame, cfg: RouterConfig | None = None, known: DataFrame |
 
 def by_priority(routed: DataFrame) -> DataFrame:
     """Highest priority first; equals in the order of clusters."""
-    return routed.orderBy(F.desc("priority"), F.desc(level_rank(F.col("level"))), F.desc("count"), "template_id")
+    return routed.orderBy(*priority_order())
+
+
+def priority_order() -> list[Column]:
+    return [F.desc("priority"), F.desc(level_rank(F.col("level"))), F.desc("count"), F.col("template_id").asc()]
 
 
 def noisy_or(p: Column) -> Column:

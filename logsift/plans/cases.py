@@ -7,14 +7,17 @@ written out in the second.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scrub as sc
 from ..operators import correlate, evaluate, judge, miner, reduce, remote, route
+from ..operators.graph import shared_folder
 from ..sources import logs as src
 from ..sources.questions import BUILT_IN, checked, pack_frame
+from ..streaming import worker
 from . import oracle as o
 from . import queries as q
 from . import sinks
@@ -106,7 +109,7 @@ def window_scan(spark, d):
     return found.select("event_id", "ts", "event_type")
 
 
-ORACLE["cluster_order"] = o.WITH + f"SELECT template_id, {o._name} AS level, count(*) AS count, min(seq) AS first_seq FROM lines GROUP BY template_id"
+ORACLE["cluster_order"] = o.WITH + f"SELECT template_id, {o._name} AS level, count(*) AS count, min(seq) AS first_seq, row_number() OVER (ORDER BY max(rnk) DESC, count(*) DESC, min(seq), template_id) AS rank FROM lines GROUP BY template_id"
 
 
 @case(o.WITH + "SELECT 'g' || seq AS id, service, level, template, scrubbed AS example, CAST(seq % 5 AS BIGINT) AS count, CASE WHEN seq % 2 = 0 THEN 'true' ELSE 'false' END AS actionable FROM lines")
@@ -146,6 +149,43 @@ def drain_batches(spark, d):
     return both.groupBy("service", "template", "template_id").agg(F.count(F.lit(1)).alias("lines"))
 
 
+@case(ORACLE["drain_generalised"])
+def drain_sliced(spark, d):
+    """The leaves dealt to many slices, which are mined and replayed in parallel."""
+    x = spark.sql(_opened.format(w=_word.format(t="STRING"), e="{e}"), e=q.table(spark, d, "events")).withColumns({"level": F.lit("INFO"), "trace_id": F.lit(None).cast("string"), "ts": F.lit(None).cast("timestamp")})
+    return miner.mine(reduce.prepare(x), rows_a_slice=100).groupBy("service", "template", "template_id").agg(F.count(F.lit(1)).alias("lines"))
+
+
+# streams -------------------------------------------------------------------------------------------------------------
+
+
+@case(f"WITH l AS ({o._logs}), m AS (SELECT max(ts) - INTERVAL 15 SECOND AS mark FROM l WHERE seq % 3 <> 0) SELECT date_trunc('hour', ts) AS window_start, service, count(*) AS lines, count(*) FILTER (WHERE seq % 3 = 0 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark) AS late_lines FROM l, m GROUP BY ALL")
+def late_rows(spark, d):
+    """Two thirds of the lines come in a first batch, the others in a second one, most of them behind the watermark."""
+    base = f"{shared_folder(spark)}/late-{uuid.uuid4().hex}"
+    x = q.logs(spark, d)
+    for part in (F.col("seq") % 3 != 0, F.col("seq") % 3 == 0):
+        x.where(part).write.mode("append").parquet(f"{base}/in")
+        logs = worker.log_stream(spark, f"{base}/in", x.schema, files_per_trigger=1_000_000)
+        worker.audit(logs, f"{base}/out", f"{base}/state", "1 hour", once=True).awaitTermination()
+    found = worker.window_counts(spark, f"{base}/out").groupBy("window_start", "service").agg(F.sum("lines").alias("lines"), F.sum("late_lines").alias("late_lines"))
+    return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+_shared = "len(list_intersect(list_distinct(regexp_extract_all(lower(summary), '[a-z][a-z0-9_]+')), list_distinct(regexp_extract_all(lower(template), '[a-z][a-z0-9_]+'))))"
+
+
+@case(o.WITH + f", c AS ({o._changes}), j AS (SELECT c.change_id, l.seq, c.service = l.service AS same, round((epoch_us(l.ts) - epoch_us(c.ts)) / 6e7, 1) AS minutes, {_shared} AS shared FROM c JOIN lines l ON l.ts >= c.ts AND l.ts <= c.ts + INTERVAL 1 HOUR WHERE l.level = 'ERROR'), p AS (SELECT change_id, seq, round(least(greatest(8e-2 + CASE WHEN same THEN 45e-2 ELSE 0 END + CASE WHEN minutes <= 30 THEN 25e-2 WHEN minutes <= 120 THEN 1e-1 ELSE -5e-2 END + least(2e-1, 7e-2 * shared), 1e-2), 99e-2), 4) AS p FROM j) SELECT change_id, seq, round(p, 3) AS p_related FROM p WHERE p >= 5e-1")
+def stream_changes(spark, d):
+    """Error lines and changes as two streams over ``events``, joined by time with watermarks on both."""
+    events = lambda: worker.log_stream(spark, f"{d}/events.parquet*", q.table(spark, d, "events").schema)
+    lines = reduce.with_templates(reduce.prepare(spark.sql(q.LOGS.replace("{text}", "STRING"), events=events()).where("level = 'ERROR'")))
+    base = f"{shared_folder(spark)}/changes-{uuid.uuid4().hex}"
+    x = worker.changes_near(lines, q.changes_of(events()), lag="400 days")
+    x.writeStream.format("parquet").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("change_id", "seq", F.round("p_related", 3).alias("p_related"))
+
+
 # judge and calls -----------------------------------------------------------------------------------------------------
 
 
@@ -207,9 +247,10 @@ _guard = "CASE WHEN p_benign >= 95e-2 AND p_actionable <= 1e-1 AND decision <> '
 ORACLE["route_decision"] = o.JUDGED + f"SELECT tid AS template_id, decision, {_guard} || {_last} AS reasons, flags FROM routed"
 
 
-@case(o.JUDGED + "SELECT tid AS template_id, round(priority, 3) AS priority FROM routed")
+@case(o.JUDGED + "SELECT tid AS template_id, round(priority, 3) AS priority, row_number() OVER (ORDER BY round(priority, 9) DESC, rnk DESC, count DESC, tid) AS rank FROM routed")
 def priority_order(spark, d):
-    return route.by_priority(q.routed(spark, d)).select("template_id", F.round("priority", 3).alias("priority"))
+    x = q.routed(spark, d).withColumn("priority", F.round("priority", 9))
+    return reduce.ranked(x, route.priority_order).select("template_id", F.round("priority", 3).alias("priority"), "rank")
 
 
 @case(o.JUDGED + f"SELECT tid AS template_id, CASE WHEN service = 'edge' THEN 'known_issue' ELSE decision END AS decision, CASE WHEN service = 'edge' THEN 'known issue: TICKET-' || substr(tid, 1, 4) ELSE {_guard} || {_last} END AS reasons FROM routed")

@@ -14,7 +14,6 @@ from ..operators import cache, correlate, estimate, evaluate, judge, miner, narr
 from ..operators.graph import cut, shared_folder
 from ..sources import logs as src
 from ..sources.questions import BUILT_IN, checked
-from ..sources.synthetic import synthetic_changes, synthetic_logs
 from ..streaming import worker
 from . import sinks, triage, views
 
@@ -65,10 +64,14 @@ def routed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def changes(spark: SparkSession, d: str) -> DataFrame:
-    return spark.sql(
+    return changes_of(table(spark, d, "events"))
+
+
+def changes_of(events: DataFrame) -> DataFrame:
+    return events.sparkSession.sql(
         """SELECT CAST(event_id AS STRING) AS change_id, ts, CASE user_id % 5 WHEN 0 THEN 'edge' WHEN 1 THEN 'cart' WHEN 2 THEN 'billing' WHEN 3 THEN 'login' ELSE 'stock' END AS service,
         concat('deploy of release ', event_id, ' for upstream call') AS summary FROM {events} WHERE event_type = 'signup' AND event_id % 50 = 0""",
-        events=table(spark, d, "events"),
+        events=events,
     )
 
 
@@ -149,10 +152,6 @@ def parse_ts(spark, d):
     return logs(spark, d).select("seq", value.alias("v")).select("seq", src.parse_ts(F.col("v")).cast("timestamp_ntz").alias("ts"))
 
 
-def synth_logs(spark, d):
-    return synthetic_logs(spark, scale=0.2).groupBy("service", "level").agg(F.count(F.lit(1)).alias("lines"))
-
-
 # scrub and mask ------------------------------------------------------------------------------------------------------
 
 
@@ -236,8 +235,7 @@ def sensitive_hits(spark, d):
 
 
 def cluster_order(spark, d):
-    x = reduce.ordered(reduce.cluster_agg(lines(spark, d))).select("template_id", "level", "count", "first_seq")
-    return x
+    return reduce.ranked(reduce.cluster_agg(lines(spark, d)), reduce.cluster_order).select("template_id", "level", "count", "first_seq", "rank")
 
 
 def reduction_ratio(spark, d):
@@ -577,7 +575,7 @@ def lines_by_category(spark, d):
 
 
 def triage_board(spark, d):
-    x = _decisions(spark, d)
+    x = cut(_decisions(spark, d))  # read twice
     c = x.groupBy("run_id", "template_id").agg(F.min("template").alias("template"))
     return views.analytics(spark, "triage_board", decisions=x, clusters=c).select("decision", "service", "level", "lines", "category", "template", "flags")
 
@@ -599,11 +597,6 @@ def incident_count(spark, d):
 # end to end and streaming --------------------------------------------------------------------------------------------
 
 
-def scenario_decisions(spark, d):
-    r = triage.run(synthetic_logs(spark, minutes=90, scale=0.2), synthetic_changes(spark), run_id="scenario")
-    return r.routed.groupBy("decision").agg(F.count(F.lit(1)).alias("clusters"), F.sum("count").alias("lines"))
-
-
 def stream_once(spark, d):
     """Counts of closed hourly windows by a stream over ``events``, run until its input is used up."""
     x = worker.log_stream(spark, f"{d}/events.parquet*", table(spark, d, "events").schema)
@@ -619,7 +612,7 @@ def stream_once(spark, d):
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "service", "template", "lines")
 
 
-NAMES = """scan_jsonl scan_plaintext key_synonyms guess_level normalize_level parse_ts synth_logs scrub_email scrub_card scrub_ipv4
+NAMES = """scan_jsonl scan_plaintext key_synonyms guess_level normalize_level parse_ts scrub_email scrub_card scrub_ipv4
 scrub_all scrub_stats mask tokenize template_hash word_tokens drain_bucket token_similarity drain_templates cluster_agg level_counts first_examples first_traces
 sensitive_hits cluster_order reduction_ratio tumbling_window keyword_features state_text p_nouls category_choice expected_severity judgment_long runbook_choice
 cache_hits cache_misses cache_upsert cache_stats nearest_rank_percentile judge_stats dead_letters answer_pivot route_decision route_flags rules_check
@@ -627,7 +620,7 @@ priority noisy_or window_summary category_counts surfaced topology_adjacent cand
 incident_rollup topk_incidents root_cause_rank change_interval_join change_best_link hypotheses timeline incident_bundle narrative binary_metrics
 brier reliability ece best_threshold choice_accuracy confusions score_metrics routing_quality estimate_cost export_golden decision_rows otlp_payload triage_console
 template_labels triage_view reduction_per_day fallback_share drillback_traces suppressed_lines escalated_count fallback_rate decision_timeseries lines_by_category
-triage_board incident_list incident_count scenario_decisions stream_once""".split()
+triage_board incident_list incident_count stream_once""".split()
 QUERIES = {name: globals()[name] for name in NAMES}
 
 

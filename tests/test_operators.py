@@ -396,3 +396,30 @@ def test_groups_go_from_batch_to_batch(spark, tmp_path):
         worker.start(x, str(tmp_path / "out"), str(tmp_path / "state"), once=True).awaitTermination()
     got = {r["template"] for r in Committed(spark, str(tmp_path / "out")).read("log_clusters").collect()}
     assert got == {text[0], "job alpha step <*> done with code fine"}
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.35, 0.42, 0.5, 0.7])
+def test_change_links_equal_all_pairs(spark, threshold):
+    import random
+
+    rng = random.Random(4)
+    words = "deploy release gateway pool config cache timeout orders".split()
+    text = lambda: " ".join(rng.sample(words, rng.randint(1, 6)))
+    at = lambda: T0 + dt.timedelta(seconds=rng.randint(0, 9000))
+    found = [(f"i{k % 7}", f"t{k}", rng.choice(["a", "b", None]), text(), at(), float(rng.randint(0, 3))) for k in range(70)]
+    made = [(rng.choice([f"c{k}", ""]), at(), rng.choice(["a", "b", "c", None]), text()) for k in range(40)]
+    want = {}
+    for i, t, s, template, seen, p in found:
+        for c, ts, cs, summary in made:
+            d = (seen - ts).total_seconds()
+            if 0 <= d <= 3600:
+                n = len(set(template.split()) & set(summary.split()))
+                minutes = round(d / 60 + 1e-9, 1)
+                score = round(min(0.99, max(0.01, 0.08 + (0.45 if s and s == cs else 0) + (0.25 if minutes <= 30 else 0.1) + min(0.2, 0.07 * n))), 4)
+                key, row = (i, c or summary), (-score, -p, t, ts)
+                if score >= threshold:
+                    want[key] = min(want.get(key, row), row)
+    m = spark.createDataFrame(found, "incident_id string, template_id string, service string, template string, first_seen timestamp, priority double")
+    c = spark.createDataFrame(made, "change_id string, ts timestamp, service string, summary string")
+    got = {(r["incident_id"], r["change_key"]): (-r["p_related"], r["template_id"]) for r in correlate.change_links(m, c, threshold=threshold).collect()}
+    assert got == {k: (v[0], v[2]) for k, v in want.items()}
