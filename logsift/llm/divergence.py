@@ -56,11 +56,10 @@ def terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         held = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            for g, own in n.items():
-                own[b""] += 0
-                names = pa.array(own.keys(), pa.binary()).cast(pa.string())
-                same = [pa.array([v] * len(own), pa.string()) for v in g]
-                yield pa.RecordBatch.from_arrays([*same, names, pa.array(own.values(), pa.int64()), pa.array([d[g][t] for t in own], pa.int64())], schema=_COUNTS)
+            for g, own in n.items():  # both counters met their terms in the same order
+                names = pa.array([*own, b""], pa.binary()).cast(pa.string())
+                same = [pa.repeat(pa.scalar(v, pa.string()), len(names)) for v in g]
+                yield pa.RecordBatch.from_arrays([*same, names, pa.array([*own.values(), 0], pa.int64()), pa.array([*d[g].values(), 0], pa.int64())], schema=_COUNTS)
 
         for b in batches:
             for g, t in zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist()), b.column(2).cast(pa.binary()).to_pylist()):
