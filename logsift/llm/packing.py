@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import cut, small_batches
 
 END = 2
 LENGTH = 1024
@@ -139,4 +139,5 @@ def best_fit_packing(docs: DataFrame, path: str, length: int = LENGTH, end: int
     """One row a piece: key, piece, start, length, ids_crc32, sequence_id, offset."""
     small_batches(docs)
     groups = max(1, -(-docs.count() // group))
-    return pack(pieces(docs, path, length, end, key, text), length, groups, key)
+    # written down, so that a task that is run again after a loss numbers, and so deals, the same rows
+    return pack(cut(pieces(docs, path, length, end, key, text)), length, groups, key)
