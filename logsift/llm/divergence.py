@@ -20,9 +20,11 @@ come again are documents of their own. Empty table: no rows. Extra columns are n
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +35,8 @@ from .common import cut, small_batches
 LEAST_DOCS, TOP, SCALE = 3, 200, 1_000_000_000
 #: Distinct (lang, source, term) that a task holds before it hands their counts on.
 HELD = 500_000
+#: Shards of the first pass for each of Spark's shuffle partitions, which take several, so that they are even.
+SHARDS = 4
 #: Rows of counts that a shard of the second pass gets on average, at most.
 SHARD_ROWS = 50_000
 #: Groups up to so many are broadcast.
@@ -43,10 +47,12 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 
 
-def terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """lang, source, term, n, docs: occurrences and documents, counted in each task; and an empty term for each group.
+def terms(docs: DataFrame, shards: int, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """shard, rows: occurrences and documents of terms, counted in each task, and an empty term for each group. rows: a record
+    batch of lang, source, term, n, docs whose languages and terms have the shard's hash.
 
-    Bytes from 0x80 on belong to code points that are no ASCII, all of which are parts of terms.
+    So Spark shuffles a row a shard, not one a term. Bytes from 0x80 on belong to code points that are no ASCII, all of
+    which are parts of terms.
     """
     small_batches(docs)
 
@@ -56,10 +62,22 @@ def terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         held = 0
 
         def out() -> Iterator[pa.RecordBatch]:
+            parts, at = [], []
             for g, own in n.items():  # both counters met their terms in the same order
-                names = pa.array([*own, b""], pa.binary()).cast(pa.string())
+                names, salt = [*own, b""], zlib.crc32(g[0].encode())
                 same = [pa.repeat(pa.scalar(v, pa.string()), len(names)) for v in g]
-                yield pa.RecordBatch.from_arrays([*same, names, pa.array([*own.values(), 0], pa.int64()), pa.array([*d[g].values(), 0], pa.int64())], schema=_COUNTS)
+                parts.append(pa.RecordBatch.from_arrays([*same, pa.array(names, pa.binary()).cast(pa.string()), pa.array([*own.values(), 0], pa.int64()), pa.array([*d[g].values(), 0], pa.int64())], schema=_COUNTS))
+                at += [zlib.crc32(t, salt) % shards for t in names]
+            if not at:
+                return
+            order = np.argsort(np.array(at), kind="stable")
+            own_shard = np.array(at)[order]
+            rows = pa.Table.from_batches(parts).take(pa.array(order)).combine_chunks().to_batches()[0]
+            ends = [*np.flatnonzero(np.diff(own_shard)) + 1, len(order)]
+            starts = [0, *ends[:-1]]
+            blobs = [rows.slice(i, j - i).serialize().to_pybytes() for i, j in zip(starts, ends)]
+            for i in range(0, len(blobs), 256):
+                yield pa.RecordBatch.from_arrays([pa.array(own_shard[starts[i : i + 256]], pa.int32()), pa.array(blobs[i : i + 256], pa.binary())], names=["shard", "rows"])
 
         for b in batches:
             for g, t in zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist()), b.column(2).cast(pa.binary()).to_pylist()):
@@ -77,7 +95,7 @@ def terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         yield from out()
 
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return docs.select(empty(lang), empty(source), empty(text)).mapInArrow(count, "lang string, source string, term string, n long, docs long")
+    return docs.select(empty(lang), empty(source), empty(text)).mapInArrow(count, "shard int, rows binary")
 
 
 def _duck(batches: Iterator[pa.RecordBatch], sql: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -99,14 +117,20 @@ def _duck(batches: Iterator[pa.RecordBatch], sql: str, schema: pa.Schema) -> Ite
     yield from rows.to_batches(max_chunksize=10_000)
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for rows in b.column("rows"):
+            yield pa.ipc.read_record_batch(rows.as_buffer(), _COUNTS)
+
+
 def kept_counts(counted: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """lang, source, term, n, lang_n: rows of kept terms with the language's own count; n is 0 for a group's empty term."""
+    """Of ``terms``: lang, source, term, n, lang_n: rows of kept terms with the language's own count; n is 0 for a group's empty term."""
     sql = f"""
 WITH s AS (SELECT lang, source, term, sum(n)::BIGINT AS n, sum(docs)::BIGINT AS docs FROM t GROUP BY ALL),
 l AS (SELECT *, sum(n) OVER w AS lang_n, sum(docs) OVER w AS lang_docs FROM s WINDOW w AS (PARTITION BY lang, term))
 SELECT lang, source, term, n, lang_n::BIGINT AS lang_n FROM l WHERE term = '' OR lang_docs >= {least_docs}"""
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("lang_n", pa.int64())])
-    return counted.repartition(F.col("lang"), F.col("term")).mapInArrow(lambda b: _duck(b, sql, schema), "lang string, source string, term string, n long, lang_n long")
+    return counted.repartition("shard").mapInArrow(lambda b: _duck(_unpacked(b), sql, schema), "lang string, source string, term string, n long, lang_n long")
 
 
 def share(n: Column, total: Column, v: Column) -> Column:
@@ -159,13 +183,13 @@ def ranked(x: DataFrame, part: str, top: int | None = None) -> DataFrame:
 
 def source_divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", least_docs: int = LEAST_DOCS, top: int = TOP, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """lang, source, part ('pair' or 'term'), item, value, rank."""
-    kept = cut(kept_counts(terms(docs, text, lang, source), least_docs))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = cut(kept_counts(terms(docs, SHARDS * least, text, lang, source), least_docs))
     of = cut(groups(kept))
     small = F.broadcast(of) if of.count() <= BROADCAST_ROWS else of
     rows = kept.where("term <> ''").join(small, ["lang", "source"])
     rows = rows.select("lang", "source", "term", once(share(F.col("n"), F.col("total"), F.col("v"))).alias("p"), "p0", once(share(F.col("lang_n"), F.col("lang_total"), F.col("v"))).alias("q"))
     rows = cut(rows)  # read by the shards and for the terms of each source
-    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = cut(shard_sums(rows, max(least, -(-rows.count() // shard_rows)), top))
     pairs = of.select("lang", "source", "v", "p0").join(of.select("lang", F.col("source").alias("item"), F.col("p0").alias("i0")), "lang").where("source <> item")
     base = pairs.select("lang", "source", "item", F.coalesce(F.col("v").cast("decimal(38,0)") * gap(F.col("p0"), F.col("i0")), F.lit(0)).cast("decimal(38,0)").alias("value"))
