@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 ORACLE, QUERIES = entry.oracle_sql(), entry.queries()
 
 TABLES = "/root/testdata/sf0.001"
-CHOSEN = ["scan_jsonl", "cluster_agg", "first_examples", "keyword_features", "p_nouls", "expected_severity", "route_flags", "window_summary", "incident_rollup", "change_best_link", "reliability", "triage_board", "best_threshold"]
+CHOSEN = ["scan_jsonl", "cluster_agg", "first_examples", "keyword_features", "p_nouls", "expected_severity", "route_flags", "window_summary", "incident_rollup", "change_best_link", "reliability", "triage_board", "best_threshold", "cluster_order", "drain_sliced", "late_rows", "stream_changes"]
 
 
 def test_names():

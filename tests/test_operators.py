@@ -241,14 +241,14 @@ def test_rate_limit():
 
 @pytest.fixture(scope="module")
 def scenario(spark):
-    cfg = triage.Config(topology={"api-gateway": ["checkout"], "checkout": ["payments", "inventory"]})
+    cfg = triage.Config(topology={"front": ["basket"], "basket": ["ledger", "stock"]})
     return triage.run(synthetic_logs(spark, minutes=90), synthetic_changes(spark), cfg, "r1")
 
 
 def test_scenario(spark, scenario):
     rows = {r["template"]: r for r in scenario.routed.collect()}
     assert len(rows) < 30 and sum(r["count"] for r in rows.values()) > 1000
-    pool = next(r for t, r in rows.items() if t.startswith("db pool exhausted"))
+    pool = next(r for t, r in rows.items() if t.startswith("connection pool exhausted"))
     assert pool["decision"] == "escalate" and next(r for t, r in rows.items() if "healthz" in t)["decision"] == "suppress"
     assert not any(r["decision"] == "suppress" and r["level"] in ("ERROR", "FATAL") for r in rows.values())
     top = scenario.incidents.orderBy(F.desc("priority")).first()
@@ -256,9 +256,9 @@ def test_scenario(spark, scenario):
     first = scenario.root_causes.where(F.col("incident_id") == top["incident_id"]).orderBy(F.desc("score")).first()
     assert "pool exhausted" in first["template"]
     link = scenario.links.where(F.col("incident_id") == top["incident_id"]).orderBy(F.desc("p_related")).first()
-    assert "max_connections" in link["summary"]
+    assert "four slots" in link["summary"]
     story = {r["incident_id"]: r["narrative"] for r in scenario.narratives.collect()}[top["incident_id"]]
-    assert story.startswith("### inc-") and "Probable start: db pool exhausted" in story and "Change that fits: payments" in story and "Explanations to check:\n1. " in story
+    assert story.startswith("### inc-") and "Probable start: connection pool exhausted" in story and "Change that fits: connection pool of the ledger lowered to four slots on ledger" in story and "Explanations to check:\n1. " in story
 
 
 def test_sinks(spark, scenario, tmp_path):
