@@ -68,6 +68,8 @@ def terms(docs: DataFrame, shards: int, text: str = "text", lang: str = "lang",
                 same = [pa.repeat(pa.scalar(v, pa.string()), len(names)) for v in g]
                 parts.append(pa.RecordBatch.from_arrays([*same, pa.array(names, pa.binary()).cast(pa.string()), pa.array([*own.values(), 0], pa.int64()), pa.array([*d[g].values(), 0], pa.int64())], schema=_COUNTS))
                 at += [zlib.crc32(t, salt) % shards for t in names]
+            n.clear()  # before the rows are copied in the order of shards
+            d.clear()
             if not at:
                 return
             order = np.argsort(np.array(at), kind="stable")
@@ -89,8 +91,6 @@ def terms(docs: DataFrame, shards: int, text: str = "text", lang: str = "lang",
                 held += len(all_n) - before
                 if held > HELD:
                     yield from out()
-                    n.clear()
-                    d.clear()
                     held = 0
         yield from out()
 
