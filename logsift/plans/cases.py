@@ -183,7 +183,7 @@ def stream_changes(spark, d):
     base = f"{shared_folder(spark)}/changes-{uuid.uuid4().hex}"
     x = worker.changes_near(lines, q.changes_of(events()), lag="400 days")
     x.writeStream.format("parquet").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/out").awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("change_id", "seq", F.round("p_related", 3).alias("p_related"))
+    return spark.read.schema(x.schema).parquet(f"{base}/out").select("change_id", "seq", F.round("p_related", 3).alias("p_related"))
 
 
 # judge and calls -----------------------------------------------------------------------------------------------------
