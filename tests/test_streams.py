@@ -2,7 +2,8 @@
 
 import datetime as dt
 import json
-import os
+import tempfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,12 +118,16 @@ def test_changes_of_a_stream(spark, tmp_path, order):
     assert key(spark.read.parquet(str(tmp_path / "out"))) == key(want) and len(key(want)) > 20
 
 
+#: Workers import this module and write here, in the same local folder as the test.
+ASKED = Path(tempfile.gettempdir()) / "questions-asked-by-a-test"
+
+
 def counting_judge():
     """Answers all questions that it is asked; writes down which."""
 
     def ask(state, keys=None):
         wanted = [(k, t) for k, t in judge.PACK if keys is None or k in keys]
-        with open(os.environ["ASKED"], "a") as f:
+        with open(ASKED, "a") as f:
             f.write(json.dumps(sorted(k for k, _ in wanted)) + "\n")
         values = {"noul": (0.3, {"yes": 0.3, "no": 0.7}), "choice": ("x", {"x": 1.0}), "score": (1, {"1": 1.0})}
         return [{"key": k, "type": t, "value": values[t][0], "probabilities": values[t][1], "confidence": None} for k, t in wanted], 10
@@ -130,13 +135,13 @@ def counting_judge():
     return ask
 
 
-def test_a_second_run_asks_nothing(spark, tmp_path, monkeypatch):
-    monkeypatch.setenv("ASKED", str(tmp_path / "asked"))
+def test_a_second_run_asks_nothing(spark, tmp_path):
+    ASKED.unlink(missing_ok=True)
     t = str(tmp_path)
     rows = [{"ts": "2024-01-01T00:00:00Z", "service": s, "level": "INFO", "body": f"request completed in {i} ms"} for s in "ab" for i in range(5)]
     (tmp_path / "logs.jsonl").write_text("\n".join(map(json.dumps, rows)))
     (tmp_path / "c.yaml").write_text(f"judge: {{backend: remote, factory: 'test_streams:counting_judge', concurrency: 2, rpm: 1.0e9}}\ncache: {{path: {t}/cache}}\nsink: {{kind: commits, out_dir: {t}/out}}\n")
-    asked = lambda: (tmp_path / "asked").read_text().splitlines() if (tmp_path / "asked").exists() else []
+    asked = lambda: ASKED.read_text().splitlines() if ASKED.exists() else []
     assert cli.main(["run", f"{t}/logs.jsonl", "--config", f"{t}/c.yaml", "--run-id", "r1"]) == 0
     assert len(asked()) == 2 and len(json.loads(asked()[0])) == len(judge.PACK)
     assert cli.main(["run", f"{t}/logs.jsonl", "--config", f"{t}/c.yaml", "--run-id", "r2"]) == 0
