@@ -76,6 +76,37 @@ def scrub_luhn(spark, d):
 _cards = r"regexp_extract_all(text, '(?:^|[^\w-])(\d(?:[ -]?\d){12,18})\b', 1)"
 _valid = f"len(list_filter(list_transform({_cards}, lambda c: regexp_replace(c, '[ -]', '', 'g')), lambda c: {_luhn.format(c='c')}))"
 ORACLE["scrub_card"] = f"SELECT doc_id, CAST(n AS BIGINT) AS n_card FROM (SELECT doc_id, {_valid} AS n FROM documents) WHERE n > 0"
+
+
+def _before_ips() -> str:
+    """SQL of documents (doc_id, t): texts as the chain leaves them to IPV4, alike in all that it looks at.
+
+    RE2 knows ASCII words only and looks neither ahead nor behind. So z and Z become q and Q, which no kind names, and z then
+    stands for a letter, mark or digit outside ASCII; a value that may not follow a secret's name begins with chr(1); a digit
+    before a hyphen gets a z behind it; and what stands before a number is taken along and put back.
+    """
+    sub = lambda t, p, to: "regexp_replace(" + t + ", '" + p.replace("'", "''") + "', " + (to if to.startswith("chr") else f"'{to}'") + ", 'g')"
+    t = sub("translate(text, 'zZ', 'qQ')", r"[\x0b\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]", "\t")
+    t = sub(sub(t, r"[^\x00-\x7F\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200C}\x{200D}\x{24B6}-\x{24E9}]", "!"), r"[^\x00-\x7F]", "z")
+    for kind, p in (
+        ("PRIVATE_KEY", r"(?s)-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----"), ("JWT", r"\beyJ[A-Za-y0-9_-]{8,}\.[A-Za-y0-9_-]{8,}\.[A-Za-y0-9_-]{8,}\b"),
+        ("AWS_KEY", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"), ("API_KEY", r"\b(?:sk|pk|rk|ghp|gho|xox[abp])[-_][A-Za-y0-9_-]{16,}\b"), ("BEARER", r"\b[Bb][Ee][Aa][Rr][Ee][Rr]\s+[A-Za-y0-9._~+/=-]{12,}"),
+    ):
+        t = sub(t, p, f"<{kind}>")
+    t = sub(t, "<([A-Za-y_]+>)", r"chr(1) || '\1'")
+    t = sub(t, r"""(?i)\b(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b(\s*[=:]\s*)("[^"]*"|'[^']*'|[^\s,;"\x01][^\s,;"]*)""", r"\1\2<SECRET>")
+    t = sub(t, r"\b[A-Za-y0-9._%+-]+@[A-Za-y0-9.-]+\.[A-Za-y]{2,}\b", "<EMAIL>")
+    first = sub(f"replace({t}, 'z', 'x')", "([0-9])-", r"\1z-")
+    card = r"'(^|[^\w-])(\d(?:(?: |z-)?\d){12,18})\b'"
+    whole = f"list_zip(string_split_regex(t, {card}), regexp_extract_all(t, {card}, 1), regexp_extract_all(t, {card}, 2))"
+    digits = "regexp_replace(m[3], '[^0-9]', '', 'g')"
+    put = f"array_to_string(list_transform({whole}, lambda m: m[1] || CASE WHEN m[3] IS NULL THEN '' WHEN {_luhn.format(c=digits)} THEN m[2] || '<CARD>' ELSE m[2] || m[3] END), '')"
+    t = sub(sub(f"replace({put}, 'z', '')", r"\b\d{3}-\d{2}-\d{4}\b", "<SSN>"), r"(^|[^\w.])\+?\d{1,2}[ .-]?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}\b", r"\1<PHONE>")
+    return f"SELECT doc_id, {t} AS t FROM (SELECT doc_id, {first} AS t FROM documents)"
+
+
+# The addresses that are left when the kinds before them are taken out: a card number may take an address's first octet along.
+ORACLE["scrub_ipv4"] = f"SELECT doc_id, CAST(n AS BIGINT) AS n_ipv4 FROM (SELECT doc_id, len(regexp_extract_all(t, '{o.IPV4}')) AS n FROM ({_before_ips()})) WHERE n > 0"
 _secrets = r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b\s*[=:]\s*(?:\"[^\"]*\"|''[^'']*''|[^\s,;\"]+)"
 _phones = r"(?:^|[^\w.])\+?\d{1,2}[ .-]?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}\b"
 ORACLE["scrub_stats"] = (

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from logsift.functions import levels, text
 from logsift.functions.scrub import is_dirty, scrub
 from logsift.sources import logs as src
@@ -100,3 +101,19 @@ def test_pack(spark):
     for bad in ({}, {"a": {"type": "odd"}}, {"a": {"type": "choice", "criteria": {"x": "y"}}}, {"a": {"type": "score", "criteria": ["x"]}}):
         with pytest.raises(ValueError):
             checked(bad)
+
+
+def test_addresses_equal_the_sql_where_other_kinds_take_part_of_them(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    texts = [
+        "the the 4495589438270767 42.73.240.87 the", "at 71.114.27.133 4423095895158098 les", "4111 1111 1111 1111 10.0.0.1", "41111111111111110.0.0.1", "4111111111111111,4111111111111111 10.0.0.1", "4111-1111-1111-1111- 10.0.0.1",
+        "4111 1111 1111 1111-22222222 1.2.3.4", "password=10.0.0.1 token: <A_B>10.0.0.2 secret = '10.0.0.3 and 10.0.0.4' pwd=<a>10.0.0.5", "bearer 10.0.0.1.10.0.0.2 x", "a@10.0.0.1.com é10.0.0.1 10.0.0.2é ébob@10.0.0.3.org", "+1 555 123 4567.10.0.0.1",
+        "1 555.123.4567 10.0.0.256 110.0.0.1.2 1.2.3.4.5.6.7.8", "-----BEGIN PRIVATE KEY-----\n10.0.0.1\n-----END PRIVATE KEY----- 10.0.0.2", "zip z10.0.0.1 Z 10.0.0.2 _10.0.0.3", "token: 10.0.0.1  password　=　10.0.0.2", "", None,
+    ]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = dict(con.sql(entry.oracle_sql()["scrub_ipv4"]).fetchall())
+    got = {r["doc_id"]: r["n_ipv4"] for r in entry.queries()["scrub_ipv4"](spark, str(tmp_path)).collect()}
+    assert got == want and 0 not in got and got[1] == 1 and len(got) > 9
