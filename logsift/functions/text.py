@@ -5,27 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Masks in the order of application.
+# Masks in the order of application, with what a line must hold for them to match at all. A look ahead for the
+# first character comes before tests of what stands around it, which cost more.
 MASKS = [
-    (r"(?iU)\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b", "<UUID>"),
-    (r"(?U)\b(?:\d{1,3}\.){3}\d{1,3}(?::\d+)?\b", "<IP>"),
-    (r"(?iU)\b0x[0-9a-f]+\b|\b[0-9a-f]{16,}\b", "<HEX>"),
-    (r"(?iU)\b\d+(?:\.\d+)?(?:ms|s|us|µs|ns|m|h|kb|mb|gb|b)\b", "<DUR>"),
-    (r"(?U)(?<![A-Za-z<])[-+]?\d+(?:\.\d+)?(?![A-Za-z>])", "<NUM>"),
+    (r"(?iU)(?=[0-9a-f])\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b", "<UUID>", lambda v: F.contains(v, F.lit("-"))),
+    (r"(?U)(?=\d)\b(?:\d{1,3}\.){3}\d{1,3}(?::\d+)?\b", "<IP>", lambda v: F.contains(v, F.lit("."))),
+    (r"(?iU)\b0x[0-9a-f]+\b|\b[0-9a-f]{16,}\b", "<HEX>", lambda v: F.regexp_like(v, F.lit("0[xX]|[0-9a-fA-F]{16}"))),
+    (r"(?iU)(?=\d)\b\d+(?:\.\d+)?(?:ms|s|us|µs|ns|m|h|kb|mb|gb|b)\b", "<DUR>", lambda v: F.regexp_like(v, F.lit(r"(?U)\d\p{L}"))),
+    (r"(?U)(?=[-+\d])(?<![A-Za-z<])[-+]?\d+(?:\.\d+)?(?![A-Za-z>])", "<NUM>", None),
 ]
 WILDCARD = "<*>"
 
 
 def mask(line: Column) -> Column:
-    for pattern, token in MASKS:
-        line = F.regexp_replace(line, pattern, token)
+    for m in MASKS:
+        line = _masked(line, *m)
     return line
 
 
+def _masked(line: Column, pattern: str, token: str, may) -> Column:
+    put = lambda v: F.regexp_replace(v, pattern, token)
+    return _let(line, lambda v: F.when(may(v), put(v)).otherwise(v)) if may else put(line)
+
+
 def tokens(line: Column) -> Column:
     """Tokens of the masked line; ``<EMPTY>`` alone if there are none."""
-    parts = F.filter(F.split(mask(F.regexp_replace(F.coalesce(line, F.lit("")), r"(?U)^\s+|\s+$", "")), r"(?U)\s+"), lambda t: t != "")
-    return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit("<EMPTY>")))
+    parts = F.filter(F.split(mask(F.coalesce(line, F.lit(""))), r"(?U)\s+"), lambda t: t != "")
+    return _let(parts, lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(F.lit("<EMPTY>"))))  # masked once
 
 
 def template_hash(service: Column, template: Column) -> Column:

@@ -13,6 +13,8 @@ from ..functions.text import template_hash, tokens
 from .graph import cut
 
 EXAMPLES, TRACES = 3, 5
+#: Clusters up to which each line is held against its cluster's bounds, which are broadcast.
+BOUNDED = 200_000
 
 
 def prepare(logs: DataFrame, redact_ips: bool = False, extra: dict[str, str] | None = None) -> DataFrame:
@@ -59,15 +61,23 @@ def sensitive_hits(lines: DataFrame, keys: tuple[str, ...] = ("template_id",)) -
 def clusters(lines: DataFrame, keys: tuple[str, ...] = ("template_id", "service", "template")) -> DataFrame:
     """Clusters with examples, trace_ids, level_counts and sensitive_hits, which are bounded by EXAMPLES, TRACES and kinds.
 
-    One pass: each line gives a row for its level, its text, its trace and each kind of hit, these are summed by value
-    before they are shuffled, and all columns of a cluster come from the sums. Distinct texts and traces are ranked by
+    The lines are written down once and read twice: for the bounds of each cluster (``_bounds``), and for a row of each
+    line's level and each kind of hit, and of its text and its trace where they come within the bounds. These are summed by
+    value before they are shuffled, and all columns of a cluster come from the sums. Distinct texts and traces are ranked by
     first arrival within a salt and then over the few that are left, so no task holds those of a hot cluster.
     """
     c, ids = F.col, [k for k in keys if k not in ("service", "template")]
+    lines = cut(lines.select(*keys, "rank", "ts", "seq", "level", "scrubbed", "trace_id", "hits"))
+    bounds = cut(_bounds(lines, ids))
+    if bounds.limit(BOUNDED + 1).count() <= BOUNDED:
+        lines = lines.join(F.broadcast(bounds), ids, "left")
+    else:
+        lines = lines.withColumns({"_text": F.lit(None).cast("long"), "_trace": F.lit(None).cast("long")})
+    early = lambda bound: ~F.coalesce(c("seq") > c(bound), F.lit(False))
     fact = lambda kind, value, n: F.struct(F.lit(kind).alias("kind"), value.alias("value"), n.cast("long").alias("n"))
     one, full = F.lit(1), lambda v: v.isNotNull() & (v != "")
     hits = F.transform(F.map_entries("hits"), lambda e: fact("hit", e.key, e.value))
-    facts = F.concat(F.array(fact("level", normalize_level(c("level")), one)), F.when(full(c("scrubbed")), F.array(fact("text", c("scrubbed"), one))).otherwise(F.array().cast(_FACTS)), F.when(full(c("trace_id")), F.array(fact("trace", c("trace_id"), one))).otherwise(F.array().cast(_FACTS)), hits)
+    facts = F.concat(F.array(fact("level", normalize_level(c("level")), one)), F.when(full(c("scrubbed")) & early("_text"), F.array(fact("text", c("scrubbed"), one))).otherwise(F.array().cast(_FACTS)), F.when(full(c("trace_id")) & early("_trace"), F.array(fact("trace", c("trace_id"), one))).otherwise(F.array().cast(_FACTS)), hits)
     x = lines.select(*keys, "rank", "ts", "seq", F.explode(facts).alias("f")).groupBy(*keys, "f.kind", "f.value").agg(
         F.sum("f.n").alias("n"), F.max("rank").alias("rank"), F.min("ts").alias("first"), F.max("ts").alias("last"), F.min("seq").alias("seq"),
     )
@@ -84,6 +94,19 @@ def clusters(lines: DataFrame, keys: tuple[str, ...] = ("template_id", "service"
     return out.select(*keys, "count", "first_seen", "last_seen", "first_seq", "level", "examples", "trace_ids", "level_counts", "sensitive_hits")
 
 
+def _bounds(lines: DataFrame, ids: list[str]) -> DataFrame:
+    """ids, _text, _trace: a seq at which as many distinct texts (traces) have come as are kept, so none that comes first
+    later is kept; null if that can't be told.
+
+    Values are dealt to a few slots by hash; the first arrivals in different slots are those of different values.
+    """
+    slot = lambda kind, v: F.struct(F.lit(kind).alias("kind"), F.when(v.isNotNull() & (v != ""), F.pmod(F.xxhash64(v), F.lit(8))).alias("slot"))
+    x = lines.select(*ids, "seq", F.explode(F.array(slot("_text", F.col("scrubbed")), slot("_trace", F.col("trace_id")))).alias("e")).select(*ids, "seq", "e.*")
+    x = x.where("slot IS NOT NULL").groupBy(*ids, "kind", "slot").agg(F.min("seq").alias("seq"))
+    nth = lambda kind, n: F.get(F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("seq")))), F.lit(n - 1)).alias(kind)
+    return x.groupBy(*ids).agg(nth("_text", EXAMPLES), nth("_trace", TRACES))
+
+
 _FACTS = "array<struct<kind:string,value:string,n:bigint>>"
 
 

@@ -423,3 +423,31 @@ def test_change_links_equal_all_pairs(spark, threshold):
     c = spark.createDataFrame(made, "change_id string, ts timestamp, service string, summary string")
     got = {(r["incident_id"], r["change_key"]): (-r["p_related"], r["template_id"]) for r in correlate.change_links(m, c, threshold=threshold).collect()}
     assert got == {k: (v[0], v[2]) for k, v in want.items()}
+
+
+def test_lines_are_masked_once(spark):
+    plan = reduce.with_templates(reduce.prepare(logs(spark, [(0, "a", "INFO", "x")])))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<UUID>") == 1
+
+
+@pytest.mark.parametrize("most", [reduce.BOUNDED, 0])
+def test_first_texts_and_traces_by_brute_force(spark, monkeypatch, most, seed=3):
+    import random
+
+    monkeypatch.setattr(reduce, "BOUNDED", most)
+    r = random.Random(seed)
+    value = lambda n: r.choice([None, ""] + [f"v{r.randrange(n)}" for _ in range(8)])
+    rows = [(f"t{i % 5}", "s", "x", 2, T0, r.randrange(400), "INFO", value((1, 2, 4, 40, 4000)[i % 5]), value((4000, 40, 4, 2, 1)[i % 5]), {}) for i in range(1500)]
+    lines = spark.createDataFrame(rows, "template_id string, service string, template string, rank int, ts timestamp, seq long, level string, scrubbed string, trace_id string, hits map<string,bigint>")
+
+    def first(key, at, n):
+        seen = {}
+        for row in rows:
+            if row[0] == key and row[at]:
+                seen[row[at]] = min(row[5], seen.get(row[at], row[5]))
+        return sorted(seen, key=lambda v: (seen[v], v))[:n]
+
+    got = {c["template_id"]: (c["examples"], c["trace_ids"], c["count"], c["level_counts"]) for c in reduce.clusters(lines).collect()}
+    assert got == {k: (first(k, 7, 3), first(k, 8, 5), 300, {"INFO": 300}) for k in ("t0", "t1", "t2", "t3", "t4")}
+    bounds = {b["template_id"]: (b["_text"], b["_trace"]) for b in reduce._bounds(lines, ["template_id"]).collect()}
+    assert bounds["t0"][0] is None and 0 <= bounds["t0"][1] < 40 and 0 <= bounds["t4"][0] < 40 and bounds["t4"][1] is None
