@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.text import once as guarded
 from ..functions.text import word_tokens
 from ..operators.cache import CACHE, newest
 from ..operators.correlate import CHANGE_RELATED, LOOKBACK_S
@@ -68,12 +69,12 @@ def changes_near(logs: DataFrame, changes: DataFrame, lookback_s: int = LOOKBACK
     """
     width = lookback_s * 1_000_000
     bucket = lambda c: F.floor(F.unix_micros(c) / width)
-    a = logs.withWatermark("ts", lag).select("seq", "ts", "service", "template_id", "template").withColumn("_b", bucket(F.col("ts")))
+    a = logs.withWatermark("ts", lag).select("seq", "ts", "service", "template_id", "template").withColumns({"_b": bucket(F.col("ts")), "_said": guarded(word_tokens(F.col("template")))})
     b = changes.select("change_id", F.col("ts").cast("timestamp").alias("change_ts"), F.col("service").alias("change_service"), "summary").withWatermark("change_ts", lag)
-    b = b.withColumn("_c", F.explode(F.array(bucket(F.col("change_ts")), bucket(F.col("change_ts")) + 1)))
+    b = b.withColumn("_words", guarded(word_tokens(F.col("summary")))).withColumn("_c", F.explode(F.array(bucket(F.col("change_ts")), bucket(F.col("change_ts")) + 1)))
     x = a.join(b, F.expr(f"_b = _c AND ts >= change_ts AND ts <= change_ts + INTERVAL {lookback_s} SECONDS"))
     minutes = F.round((F.unix_micros("ts") - F.unix_micros("change_ts")) / 60_000_000, 1)
-    shared = F.size(F.array_intersect(word_tokens(F.col("summary")), word_tokens(F.col("template"))))
+    shared = F.size(F.array_intersect("_words", "_said"))  # words of a row, taken once and not for each pair
     x = x.withColumn("p_related", change_related(F.col("change_service") == F.col("service"), minutes, shared)).where(F.col("p_related") >= threshold)
     return x.select("change_id", "change_ts", "change_service", "summary", "seq", "ts", "service", "template_id", "template", "p_related")
 

@@ -171,3 +171,11 @@ def test_lines_of_text_as_a_stream(spark, tmp_path):
     worker.start(x, str(tmp_path / "out"), str(tmp_path / "state"), triage.Config(mining="none"), once=True).awaitTermination()
     got = {(r["service"], r["template"]) for r in Committed(spark, str(tmp_path / "out")).read("log_clusters").collect()}
     assert got == {("unknown", "ERROR disk full on node"), ("x", "disk full on node")}
+
+
+def test_words_are_taken_before_lines_and_changes_meet(spark):
+    lines = spark.createDataFrame([], "seq long, ts timestamp, service string, template_id string, template string")
+    changes = spark.createDataFrame([], "change_id string, ts timestamp, service string, summary string")
+    plan = worker.changes_near(lines, changes)._jdf.queryExecution().analyzed().toString()
+    above, below = plan.split("Join Inner", 1)
+    assert "a-z0-9_" not in above and below.count("a-z0-9_") == 2
