@@ -1,15 +1,16 @@
 """SentencePiece encoding and decoding as relations.
 
-Texts become units: a run of U+2581 with the letters, or with the other characters, that follow it (whole words, where a
-piece of the table mixes the two, so that no piece ever lies across a cut). Distinct units are exploded into substrings no
+Texts become units: a run of U+2581 with the letters, or with the other characters, that follow it. Where a letter meets
+another character they stay together if some piece of the table holds that very pair, so that no piece ever lies across a
+cut; where such pairs are more than ``MOST_PAIRS`` or one to a hundred pieces, whole words are the units. Distinct units are exploded into substrings no
 longer than the longest piece, these are joined to the piece table, edges are grouped by unit, and a fold with
 ``aggregate`` finds the path of the largest sum of scores (Viterbi; of equal paths the one whose last pieces start first).
 A character that is no piece costs 10 more than the worst piece and becomes the pieces of its UTF-8 bytes.
 
 How units return to their texts: the commonest units of a bounded sample (``HEAD`` of ``SAMPLE`` rows) are encoded first
 and broadcast, which only decides where a unit is looked up. Blocks of rows are then written as numbers of these units and
-lists of the rest, and shuffled once by block; the rest are encoded by the same lattice and shuffled to their blocks. So
-neither texts nor occurrences of words are shuffled. The piece table has at most ``MOST_PIECES`` rows and is broadcast.
+lists of the rest, and shuffled once by block; the rest are encoded by the same lattice and shuffled to their blocks, those
+of a task and block as one record. So neither texts nor occurrences of words are shuffled. The piece table has at most ``MOST_PIECES`` rows and is broadcast.
 
 Scores: ``piece_rows`` gives a model file's own. A BPE model's are ranks of merges, which are no log probabilities;
 ``by_rank`` gives such a table the scores of Zipf's law, ``-ln(1 + rank)`` in steps of 1/64, so that sums are exact.
@@ -45,7 +46,12 @@ HEAD, SAMPLE = 400_000, 20_000
 #: Tasks of the lattice for each shuffle partition: a unit has some twenty edges, which are sorted before they are grouped.
 TASKS = 4
 _KINDS = "id int, piece string, score double, kind string"
-_APART = re.compile(f"{SPACE}*(?:[^\\W\\d_]+|(?:[\\d_]|[^\\w{SPACE}])+)|{SPACE}+")
+#: Pairs of a letter and another character inside pieces at which units are held together, at most.
+MOST_PAIRS = 64
+#: Encoded units that a task packs into records of their blocks at once.
+PACKED = 200_000
+_RUN = f"(?:[^\\W\\d_]+|(?:[\\d_]|[^\\w{SPACE}])+)"
+_APART = re.compile(f"{SPACE}*{_RUN}|{SPACE}+")
 _TOGETHER = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _MIXED = re.compile(f"[^\\W\\d_](?:[\\d_]|[^\\w{SPACE}])|(?:[\\d_]|[^\\w{SPACE}])[^\\W\\d_]")
 
@@ -75,7 +81,11 @@ def piece_table(spark: SparkSession, rows: Pieces) -> DataFrame:
 
 
 def splitter(pieces: Pieces) -> re.Pattern:
-    return _TOGETHER if any(_MIXED.search(p) for _, p, _, k in pieces if k == "normal") else _APART
+    pairs = sorted({a + b for _, p, _, k in pieces if k == "normal" for a, b in zip(p, p[1:]) if _MIXED.match(a + b)})
+    if not pairs or len(pairs) > min(MOST_PAIRS, len(pieces) // 100):
+        return _TOGETHER if pairs else _APART
+    held = "|".join(f"(?<={re.escape(a)})(?={re.escape(b)})" for a, b in pairs)
+    return re.compile(f"{SPACE}*{_RUN}(?:(?:{held}){_RUN})*|{SPACE}+")
 
 
 def units_of(text: str | None, pattern: re.Pattern) -> list[str]:
@@ -105,10 +115,10 @@ def viterbi(unit: Column, edges: Column) -> Column:
 
 
 def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """_w, _first (smallest _at), _ids of the distinct units of rows (_w, _at).
+    """_w, _first (smallest _at, a number), _ids of the distinct units of rows (_w, _at) that ``by_unit`` has dealt.
 
-    One shuffle, by unit (the explosion, the join and the grouping keep its partitioning), which a join of the same rows
-    with the result has in common with it.
+    The explosion, the join and the grouping keep that partitioning, so nothing else is shuffled, and a join of the same
+    rows with the result has the shuffle in common with it.
     """
     table = piece_table(units.sparkSession, pieces).where("kind = 'normal'").select("piece", "id", "score")
     normal = [(p, s) for _, p, s, k in pieces if k == "normal"]
@@ -118,7 +128,7 @@ def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
 
     n = F.length("_w")
     # rows of a unit are sorted by its hash, a number, before they meet
-    once = by_unit(units).groupBy("_w").agg(F.min("_at").alias("_first"))
+    once = units.groupBy("_w").agg(F.min("_at").alias("_first"))
     starts = once.select("_w", "_first", F.xxhash64("_w").alias("_h"), F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
     spans = starts.select("_w", "_first", "_h", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("len"))
     spans = spans.select("*", F.substring("_w", F.col("start") + 1, F.col("len")).alias("piece"))
@@ -138,7 +148,7 @@ def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
 
 
 def by_unit(units: DataFrame) -> DataFrame:
-    return units.select("_w", "_at").repartition(TASKS * int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_w")
+    return units.repartition(TASKS * int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_w")
 
 
 def common_units(df: DataFrame, pattern: re.Pattern, text: str) -> DataFrame:
@@ -161,28 +171,25 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids")
     small_batches(df)
     spark, pattern = df.sparkSession, splitter(pieces)
     names = [c for c in df.columns if c not in (text, out)]
-    head = lattice(common_units(df, pattern, text).select("_w", (-F.col("n")).alias("_at")), pieces).orderBy("_first", "_w").toArrow()  # small numbers for common units
+    head = lattice(by_unit(common_units(df, pattern, text).select("_w", (-F.col("n")).alias("_at"))), pieces).toArrow().sort_by([("_first", "ascending"), ("_w", "ascending")])  # small numbers for common units
     listed = head.column("_ids").combine_chunks()
     shared = spark.sparkContext.broadcast((head.column("_w").to_pylist(), listed.flatten().to_numpy().astype(np.int32), listed.offsets.to_numpy().astype(np.int64)))
     rows = df.select(*[F.col(f"`{c}`") for c in names], F.col(text).cast("string").alias("_t"))
     carried = rows.drop("_t").schema
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = {w: i for i, w in enumerate(shared.value[0])}
+        at = _Numbers((w, i) for i, w in enumerate(shared.value[0]))
         part, i = TaskContext.get().partitionId(), 0
         for x in batches:
-            rest: dict[str, int] = {}
             sizes, found = np.empty(len(x), dtype=np.int64), []
             for j, t in enumerate(x.column("_t").to_pylist()):
                 us = units_of(t, pattern)
                 sizes[j] = len(us)
-                numbers = [at.get(u, -1) for u in us]
-                if -1 in numbers:
-                    numbers = [n if n >= 0 else -1 - rest.setdefault(u, len(rest)) for n, u in zip(numbers, us)]
-                found.append(np.array(numbers, dtype=np.int32))
+                found.append(np.fromiter(map(at.__getitem__, us), np.int32, len(us)))
+            rest = at.taken()
             kept = [c for c in x.schema.names if c != "_t"]
             body = pa.RecordBatch.from_arrays([*(x.column(c) for c in kept), pa.array(sizes)], names=[*kept, "_n"])
-            blob = _packed(pa.RecordBatch.from_arrays([pa.array(list(rest), pa.string())], names=["w"]), body, np.concatenate([*found, np.zeros(0, np.int32)]))
+            blob = _packed(pa.RecordBatch.from_arrays([pa.array(rest, pa.string())], names=["w"]), body, np.concatenate([*found, np.zeros(0, np.int32)]))
             yield pa.RecordBatch.from_arrays([pa.array([part << 32 | i], pa.int64()), pa.array([blob], pa.binary())], names=["_block", "_rows"])
             i += 1
 
@@ -196,12 +203,9 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids")
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         _, flat, ends = shared.value
-        k = right.column("_k").to_numpy()
-        ids = right.column("_ids").combine_chunks()
+        k, sizes, own = (np.concatenate(x) for x in zip((np.zeros(0, np.int32),) * 3, *map(_units, right.column("_units").to_pylist())))
         order = np.argsort(k)
-        lengths = np.diff(ids.offsets.to_numpy())[order] if len(k) else np.zeros(0, np.int64)
-        own = ids.flatten().to_numpy(zero_copy_only=False)
-        first = ids.offsets.to_numpy()[:-1][order] - (ids.offsets[0].as_py() if len(k) else 0) if len(k) else np.zeros(0, np.int64)
+        lengths, first = sizes[order].astype(np.int64), (np.cumsum(sizes, dtype=np.int64) - sizes)[order]
         tables = []
         for blob in left.column("_rows").to_pylist():
             body, n = _body(blob)
@@ -219,22 +223,85 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids")
         return pa.concat_tables(tables)
 
     found = rows.mapInArrow(blocks, "_block long, _rows binary").repartition("_block")
-    rest = found.mapInArrow(rest_of, "_block long, _k int, _w string").select("_w", F.struct("_block", "_k").alias("_at"))
-    coded = by_unit(rest).join(lattice(rest, pieces), "_w").where("_at >= _first").select("_at._block", "_at._k", "_ids")
-    return found.groupBy("_block").cogroup(coded.groupBy("_block")).applyInArrow(joined, kind)
+    rest = by_unit(found.mapInArrow(rest_of, "_block long, _k int, _w string"))
+    at = F.xxhash64("_block", "_k")  # holds for any row; it reads the columns that the join needs, so both have one shuffle
+    coded = rest.join(lattice(rest.select("_w", at.alias("_at")), pieces), "_w").where(at >= F.col("_first")).select("_block", "_k", "_ids")
+    sent = coded.mapInArrow(_by_block, "_block long, _units binary")
+    return found.groupBy("_block").cogroup(sent.groupBy("_block")).applyInArrow(joined, kind)
+
+
+class _Numbers(dict):
+    """Numbers of units; one that has none gets the next of -1, -2, ... until those are taken back."""
+
+    def __init__(self, known):
+        super().__init__(known)
+        self.rest: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self.rest.append(unit)
+        self[unit] = n = -len(self.rest)
+        return n
+
+    def taken(self) -> list[str]:
+        rest, self.rest = self.rest, []
+        for u in rest:
+            del self[u]
+        return rest
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_block, _units: the encoded units (_block, _k, _ids) of a task, packed by block."""
+    held: list[pa.RecordBatch] = []
+
+    def packed() -> pa.RecordBatch:
+        x = pa.Table.from_batches(held)
+        block, k, ids = x.column("_block").to_numpy(), x.column("_k").to_numpy(), x.column("_ids").combine_chunks()
+        flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy().astype(np.int64)
+        order = np.lexsort((k, block))
+        block, k, size, start = block[order], k[order], np.diff(ends)[order], ends[:-1][order]
+        total = np.concatenate([[0], np.cumsum(size)])
+        flat = flat[np.repeat(start - total[:-1], size) + np.arange(total[-1])]
+        cuts = np.concatenate([np.flatnonzero(np.diff(block, prepend=block[0] - 1)), [len(block)]])
+        blobs = [_packed_units(k[a:b], size[a:b], flat[total[a] : total[b]]) for a, b in zip(cuts[:-1], cuts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(block[cuts[:-1]], pa.int64()), pa.array(blobs, pa.binary())], names=["_block", "_units"])
+
+    for x in batches:
+        if len(x):
+            held.append(x)
+        if sum(map(len, held)) >= PACKED:
+            yield packed()
+            held.clear()
+    if held:
+        yield packed()
+
+
+def _planes(*numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits by bytes of equal rank, which compress to two thirds of what whole numbers do."""
+    parts = [np.ascontiguousarray(v.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes() for v in numbers]
+    return pa.compress(b"".join(parts), codec="zstd", asbytes=True)
+
+
+def _units(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers (ascending), counts of ids, and all ids of a record of units."""
+    n, m = struct.unpack_from("<ii", blob)
+    raw = np.frombuffer(pa.decompress(blob[8:], decompressed_size=4 * (2 * n + m), codec="zstd", asbytes=True), dtype=np.uint8)
+    parts = [np.ascontiguousarray(raw[4 * a : 4 * b].reshape(4, -1).T).view("<i4").ravel() for a, b in ((0, n), (n, 2 * n), (2 * n, 2 * n + m))]
+    return np.cumsum(parts[0], dtype=np.int32), parts[1], parts[2]
+
+
+def _packed_units(k: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> bytes:
+    return struct.pack("<ii", len(k), len(ids)) + _planes(np.diff(k, prepend=0), sizes, ids)
 
 
 def _packed(rest: pa.RecordBatch, body: pa.RecordBatch, numbers: np.ndarray) -> bytes:
-    """A block: the other units, the rows with their counts of units, and all numbers of units by bytes of equal rank,
-    which compress to two thirds of what whole numbers do."""
+    """A block: the other units, the rows with their counts of units, and the planes of all numbers of units."""
     parts = []
     for batch in (rest, body):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             writer.write_batch(batch)
         parts.append(sink.getvalue().to_pybytes())
-    planes = np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
-    return struct.pack("<qqq", len(parts[0]), len(parts[1]), len(planes)) + b"".join(parts) + pa.compress(planes, codec="zstd", asbytes=True)
+    return struct.pack("<qqq", len(parts[0]), len(parts[1]), 4 * len(numbers)) + b"".join(parts) + _planes(numbers)
 
 
 def _rest(blob: bytes) -> pa.Table:
@@ -252,13 +319,19 @@ def decode(df: DataFrame, pieces: Pieces, ids: str = "ids", out: str = "decoded"
     """df with ``out``, the text of the ids; the table of the pieces' bytes, a vocabulary, is broadcast."""
     small_batches(df)
     spelt = {i: bytes.fromhex(p[3:5]) if k == "byte" else p.replace(SPACE, " ").encode("utf-8") for i, p, _, k in pieces if k != "other"}
-    shared = df.sparkSession.sparkContext.broadcast(spelt)
+    last = max(spelt, default=-1) + 1
+    shared = df.sparkSession.sparkContext.broadcast([spelt.get(i, b"") for i in range(last)] + [b""])  # the last for ids outside
 
     @F.pandas_udf("string")
     def joined(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        get = shared.value.get
+        table = pa.array(shared.value, pa.large_binary())
         for x in batches:
-            yield pd.Series([b"".join([get(i, b"") for i in ([] if v is None else v.tolist())]).decode("utf-8", "replace").removeprefix(" ") for v in x], dtype=object)
+            flat = np.concatenate([np.zeros(0, np.int32), *x])
+            taken = table.take(pa.array(np.where((flat >= 0) & (flat < last), flat, last).astype(np.int64)))
+            _, offsets, data = taken.buffers()
+            ends = np.frombuffer(offsets, np.int64)[np.cumsum([0, *map(len, x)])] if len(flat) else np.zeros(len(x) + 1, np.int64)
+            raw = memoryview(data) if data else memoryview(b"")
+            yield pd.Series([str(raw[a:b], "utf-8", "replace").removeprefix(" ") for a, b in zip(ends[:-1], ends[1:])], dtype=object)
 
     names = [F.col(f"`{c}`") for c in df.columns if c != out]
     return df.select(*names, joined(F.coalesce(ids, F.array().cast("array<int>"))).alias(out))

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from logsift.llm import ann, packing, queries
@@ -348,6 +349,33 @@ def test_units_lie_within_no_piece_and_make_up_the_text():
     assert all(len(pattern.findall(p)) == 1 for _, p, _, k in pieces if k == "normal" and not p.endswith("▁"))
 
 
+def test_units_end_at_letters_but_for_pairs_that_a_piece_holds(spark, monkeypatch):
+    pieces = sp.by_rank(sp.piece_rows(queries.model_path()))
+    pattern = sp.splitter(pieces)
+    assert sp.units_of("One.\nTwo, a1", pattern) == ["▁One", ".\n", "Two", ",", "▁a", "1"]
+    assert sp.units_of("5 km².x", pattern) == ["▁5", "▁km².", "x"]  # the table has the piece "²."
+    monkeypatch.setattr(sp, "HEAD", 5)
+    monkeypatch.setattr(sp, "PACKED", 3)  # several records a block and task
+    lib = unigram_library(queries.model_path(), pieces)
+    texts = [*TEXTS, "5 km².x ². ²² a².", "One.\nTwo,three...4²."]
+    out = sp.encode(spark.createDataFrame(list(enumerate(texts)), "k int, text string"), pieces).collect()
+    assert {r["k"]: r["ids"] for r in out} == {i: lib.encode(t or "") for i, t in enumerate(texts)}
+
+
+def test_packed_units_come_back():
+    batch = pa.record_batch({"_block": [7, 5, 7, 5], "_k": pa.array([300, 2, 70000, 0], pa.int32()), "_ids": pa.array([[1, 31999], [], [70], [5, 6, 7]], pa.list_(pa.int32()))})
+    rows = [r for x in sp._by_block(iter([batch.slice(1, 0), batch, batch.slice(1)])) for r in x.to_pylist()]
+    assert [r["_block"] for r in rows] == [5, 7]
+    assert [[v.tolist() for v in sp._units(r["_units"])] for r in rows] == [[[0, 0, 2, 2], [3, 3, 0, 0], [5, 6, 7, 5, 6, 7]], [[300, 70000, 70000], [2, 1, 1], [1, 31999, 70, 70]]]
+
+
+def test_decoding_leaves_out_ids_outside_the_table(spark):
+    pieces = [(0, "<unk>", 0.0, "other"), (1, "▁a", -1.0, "normal"), (2, "<0xC3>", 0.0, "byte"), (3, "<0xA9>", 0.0, "byte"), (5, "é", -2.0, "normal")]
+    rows = [(0, None), (1, []), (2, [0, -1, 4, 99999999]), (3, [1, 1, 2, 3, 5]), (4, [None, 5, 2])]
+    out = sp.decode(spark.createDataFrame(rows, "k int, ids array<int>"), pieces).collect()
+    assert {r["k"]: r["decoded"] for r in out} == {0: "", 1: "", 2: "", 3: "a aéé", 4: "é\ufffd"}
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     import corpus_pipeline as cp
 
