@@ -61,13 +61,14 @@ def sensitive_hits(lines: DataFrame, keys: tuple[str, ...] = ("template_id",)) -
 def clusters(lines: DataFrame, keys: tuple[str, ...] = ("template_id", "service", "template")) -> DataFrame:
     """Clusters with examples, trace_ids, level_counts and sensitive_hits, which are bounded by EXAMPLES, TRACES and kinds.
 
-    The lines are written down once and read twice: for the bounds of each cluster (``_bounds``), and for a row of each
-    line's level and each kind of hit, and of its text and its trace where they come within the bounds. These are summed by
-    value before they are shuffled, and all columns of a cluster come from the sums. Distinct texts and traces are ranked by
+    The lines are written down once and read three times: for the bounds of each cluster (``_bounds``), for sums by level,
+    and for a row of each kind of hit, and of the text and the trace where they come within the bounds. Most lines have none
+    of these, and only the others are exploded. Rows are summed by value before they are shuffled, and all columns of a
+    cluster come from the sums. Distinct texts and traces are ranked by
     first arrival within a salt and then over the few that are left, so no task holds those of a hot cluster.
     """
     c, ids = F.col, [k for k in keys if k not in ("service", "template")]
-    lines = cut(lines.select(*keys, "rank", "ts", "seq", "level", "scrubbed", "trace_id", "hits"))
+    lines = every = cut(lines.select(*keys, "rank", "ts", "seq", "level", "scrubbed", "trace_id", "hits"))
     bounds = cut(_bounds(lines, ids))
     if bounds.limit(BOUNDED + 1).count() <= BOUNDED:
         lines = lines.join(F.broadcast(bounds), ids, "left")
@@ -75,12 +76,14 @@ def clusters(lines: DataFrame, keys: tuple[str, ...] = ("template_id", "service"
         lines = lines.withColumns({"_text": F.lit(None).cast("long"), "_trace": F.lit(None).cast("long")})
     early = lambda bound: ~F.coalesce(c("seq") > c(bound), F.lit(False))
     fact = lambda kind, value, n: F.struct(F.lit(kind).alias("kind"), value.alias("value"), n.cast("long").alias("n"))
-    one, full = F.lit(1), lambda v: v.isNotNull() & (v != "")
+    full = lambda v, bound: v.isNotNull() & (v != "") & early(bound)
+    text, trace, none = full(c("scrubbed"), "_text"), full(c("trace_id"), "_trace"), F.array().cast(_FACTS)
     hits = F.transform(F.map_entries("hits"), lambda e: fact("hit", e.key, e.value))
-    facts = F.concat(F.array(fact("level", normalize_level(c("level")), one)), F.when(full(c("scrubbed")) & early("_text"), F.array(fact("text", c("scrubbed"), one))).otherwise(F.array().cast(_FACTS)), F.when(full(c("trace_id")) & early("_trace"), F.array(fact("trace", c("trace_id"), one))).otherwise(F.array().cast(_FACTS)), hits)
-    x = lines.select(*keys, "rank", "ts", "seq", F.explode(facts).alias("f")).groupBy(*keys, "f.kind", "f.value").agg(
-        F.sum("f.n").alias("n"), F.max("rank").alias("rank"), F.min("ts").alias("first"), F.max("ts").alias("last"), F.min("seq").alias("seq"),
-    )
+    facts = F.concat(F.when(text, F.array(fact("text", c("scrubbed"), F.lit(1)))).otherwise(none), F.when(trace, F.array(fact("trace", c("trace_id"), F.lit(1)))).otherwise(none), hits)
+    sums = lambda rows, n: rows.agg(n.alias("n"), F.max("rank").alias("rank"), F.min("ts").alias("first"), F.max("ts").alias("last"), F.min("seq").alias("seq"))
+    some = lines.where(text | trace | (F.size("hits") > 0)).select(*keys, "rank", "ts", "seq", F.explode(facts).alias("f"))
+    x = sums(every.groupBy(*keys, F.lit("level").alias("kind"), normalize_level(c("level")).alias("value")), F.count(F.lit(1)))
+    x = x.unionByName(sums(some.groupBy(*keys, "f.kind", "f.value"), F.sum("f.n")))
     most = F.when(c("kind") == "text", EXAMPLES).when(c("kind") == "trace", TRACES).otherwise(F.lit(1 << 30))
     for part in ([*ids, "kind", F.pmod(F.xxhash64("value"), F.lit(32))], [*ids, "kind"]):
         x = x.withColumn("at", F.row_number().over(Window.partitionBy(*part).orderBy("seq", "value"))).where(c("at") <= most)

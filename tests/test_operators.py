@@ -451,3 +451,17 @@ def test_first_texts_and_traces_by_brute_force(spark, monkeypatch, most, seed=3)
     assert got == {k: (first(k, 7, 3), first(k, 8, 5), 300, {"INFO": 300}) for k in ("t0", "t1", "t2", "t3", "t4")}
     bounds = {b["template_id"]: (b["_text"], b["_trace"]) for b in reduce._bounds(lines, ["template_id"]).collect()}
     assert bounds["t0"][0] is None and 0 <= bounds["t0"][1] < 40 and 0 <= bounds["t4"][0] < 40 and bounds["t4"][1] is None
+
+
+def test_lines_without_text_trace_or_hit_are_summed_but_not_exploded(spark, monkeypatch):
+    rows = [("t", "s", "x", i % 6, T0 + dt.timedelta(seconds=i), i, ("info", "WARN", None)[i % 3], "a" if i < 2 else None, "", {"EMAIL": 2} if i == 5 else {}) for i in range(60)]
+    lines = spark.createDataFrame(rows, "template_id string, service string, template string, rank int, ts timestamp, seq long, level string, scrubbed string, trace_id string, hits map<string,bigint>")
+    exploded = []
+    explode = F.explode
+    monkeypatch.setattr(reduce.F, "explode", lambda c: exploded.append(str(c)) or explode(c))
+    r, = reduce.clusters(lines).collect()
+    assert not any("level" in e for e in exploded)
+    assert (r["count"], r["first_seq"], r["first_seen"], r["last_seen"]) == (60, 0, T0, T0 + dt.timedelta(seconds=59))
+    assert (r["examples"], r["trace_ids"], r["sensitive_hits"], sum(r["level_counts"].values())) == (["a"], [], {"EMAIL": 2}, 60)
+    none, = reduce.clusters(lines.where("seq > 5")).collect()
+    assert (none["count"], none["examples"], none["sensitive_hits"], none["first_seq"]) == (54, [], {}, 6)
