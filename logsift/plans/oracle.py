@@ -182,7 +182,7 @@ ORACLE: dict[str, str] = {
     "incident_rollup": MEMBERS + "SELECT incident_id, min(first_seen) AS start, max(last_seen) AS \"end\", string_agg(DISTINCT service, ',' ORDER BY service) AS services, CAST(count(*) AS INTEGER) AS members, CAST(sum(count) AS BIGINT) AS lines, round(round(sum(priority), 4), 2) AS priority FROM mem GROUP BY 1",
     "topk_incidents": MEMBERS + "SELECT incident_id, CAST(sum(count) AS BIGINT) AS lines FROM mem GROUP BY 1 ORDER BY round(sum(priority), 4) DESC, incident_id LIMIT 3",
     "root_cause_rank": MEMBERS + ", k AS (SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY first_seen, priority DESC, tid) - 1 AS rk FROM mem) SELECT incident_id, tid AS template_id, CAST(rk AS INTEGER) AS rank, round(round(p_root_cause * (1 + 5e-1 / (1 + rk)), 4), 3) AS score FROM k",
-    "change_interval_join": LINKS + "SELECT incident_id, count(DISTINCT change_id) AS changes FROM sc GROUP BY 1",
+    "change_interval_join": ALL_LINKS + "SELECT incident_id, count(DISTINCT change_id) AS changes FROM sc GROUP BY 1",
     "change_best_link": ALL_LINKS + "SELECT incident_id, change_id, tid AS template_id, round(p, 3) AS p_related FROM sc WHERE p >= 5e-1 QUALIFY row_number() OVER (PARTITION BY incident_id, change_id ORDER BY p DESC, priority DESC, tid) = 1",
     "binary_metrics": f"WITH {_golden}, c AS (SELECT count(*) AS n, count(*) FILTER (y) AS positives, count(*) FILTER (y AND p >= 5e-1) AS tp, count(*) FILTER (NOT y AND p >= 5e-1) AS fp, count(*) FILTER (y AND p < 5e-1) AS fn, count(*) FILTER (NOT y AND p < 5e-1) AS tn FROM g) SELECT *, round(tp / CAST(tp + fp AS DOUBLE), 4) AS precision, round(tp / CAST(tp + fn AS DOUBLE), 4) AS recall, round(2e0 * tp / (2 * tp + fp + fn), 4) AS f1 FROM c",
     "brier": f"WITH {_golden} SELECT round(avg(pow(p - CAST(y AS DOUBLE), 2)), 4) AS brier FROM g",

@@ -43,3 +43,7 @@ def test_best_links_of_all_bursts(spark, bursts):
     got = sorted(tuple(r) for r in q.change_best_link(spark, "").collect())
     # 0.08, the own service, half an hour, two shared words; of equals the smallest id
     assert got == sorted((incident(b), f"c{b}", burst(b)[0], 0.92) for b in range(BURSTS + 1))
+
+
+def test_changes_near_all_bursts(spark, bursts):
+    assert sorted(tuple(r) for r in q.change_interval_join(spark, "").collect()) == sorted((incident(b), 1) for b in range(BURSTS + 1))
