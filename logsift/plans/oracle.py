@@ -209,7 +209,7 @@ ORACLE: dict[str, str] = {
     "decision_timeseries": DEC + "SELECT time_bucket(INTERVAL '6 hours', window_start, TIMESTAMP '1970-01-01') AS time, decision, CAST(sum(count) AS BIGINT) AS lines FROM dec GROUP BY 1, 2",
     "lines_by_category": DEC + "SELECT category, CAST(sum(count) AS BIGINT) AS lines FROM dec WHERE decision IN ('escalate', 'triage', 'review') GROUP BY 1",
     "triage_board": DEC + "SELECT decision, service, level, CAST(sum(count) AS BIGINT) AS lines, min(category) AS category, min(template) AS template, min(flags) AS flags FROM dec WHERE decision <> 'suppress' GROUP BY decision, service, level, template_id",
-    "incident_list": MEMBERS + "SELECT incident_id, string_agg(DISTINCT service, ',' ORDER BY service) AS services, CAST(sum(count) AS BIGINT) AS lines FROM mem GROUP BY 1 ORDER BY round(sum(priority), 4) DESC, incident_id LIMIT 50",
+    "incident_list": ALL_MEMBERS + "SELECT incident_id, string_agg(DISTINCT service, ',' ORDER BY service) AS services, CAST(sum(count) AS BIGINT) AS lines FROM mem GROUP BY 1 ORDER BY round(sum(priority), 4) DESC, incident_id LIMIT 50",
     "incident_count": MEMBERS + "SELECT count(DISTINCT incident_id) AS n FROM mem",
     "stream_once": WITH + ", c AS (SELECT date_trunc('hour', ts) AS window_start, service, template, count(*) AS lines FROM lines GROUP BY 1, 2, 3) SELECT * FROM c WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 15 SECOND FROM lines)",
 }

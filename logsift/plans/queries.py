@@ -581,8 +581,8 @@ def triage_board(spark, d):
     return views.analytics(spark, "triage_board", decisions=x, clusters=c).select("decision", "service", "level", "lines", "category", "template", "flags")
 
 
-def _incidents(spark, d):
-    x = correlate.incidents(members(spark, d, correlate.MAX_PAIRS))
+def _incidents(spark, d, limit=None):
+    x = correlate.incidents(members(spark, d, limit))
     none = F.array().cast("array<string>")
     return x.withColumns({"linked_changes": none, "top_hypothesis": F.lit("")})
 
@@ -592,7 +592,7 @@ def incident_list(spark, d):
 
 
 def incident_count(spark, d):
-    return views.analytics(spark, "incident_count", incidents=_incidents(spark, d))
+    return views.analytics(spark, "incident_count", incidents=_incidents(spark, d, correlate.MAX_PAIRS))
 
 
 # end to end and streaming --------------------------------------------------------------------------------------------

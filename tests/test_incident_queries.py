@@ -47,3 +47,9 @@ def test_best_links_of_all_bursts(spark, bursts):
 
 def test_changes_near_all_bursts(spark, bursts):
     assert sorted(tuple(r) for r in q.change_interval_join(spark, "").collect()) == sorted((incident(b), 1) for b in range(BURSTS + 1))
+
+
+def test_list_of_incidents_of_all_bursts(spark, bursts):
+    others = sorted(incident(b) for b in range(BURSTS))
+    want = [(incident(BURSTS), "cart,edge", LARGE), *[(i, "cart,edge", SIZE) for i in others]][:50]
+    assert [tuple(r) for r in q.incident_list(spark, "").collect()] == want
