@@ -429,7 +429,7 @@ def change_best_link(spark, d):
 
 def _story(spark, d):
     """members, incidents, origins, links, hypotheses with scores, events of the three incidents of the most lines."""
-    m = cut(members(spark, d, correlate.MAX_PAIRS))
+    m = cut(members(spark, d))
     top = cut(correlate.incidents(m).orderBy(F.desc("lines"), "incident_id").limit(3))
     m = cut(m.join(top.select("incident_id"), "incident_id", "left_semi"))
     links, ranked = cut(correlate.change_links(m, changes(spark, d))), correlate.root_causes(m)
@@ -442,7 +442,9 @@ def hypotheses(spark, d):
 
 
 def timeline(spark, d):
-    return _story(spark, d)[5].select("incident_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "label", "kind", "event_type", "p_milestone")
+    """Milestones of every incident, whether it is told (``_story``) or not."""
+    m = cut(members(spark, d))
+    return correlate.timeline(m, correlate.change_links(m, changes(spark, d))).select("incident_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "label", "kind", "event_type", "p_milestone")
 
 
 def incident_bundle(spark, d):

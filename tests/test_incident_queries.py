@@ -53,3 +53,11 @@ def test_list_of_incidents_of_all_bursts(spark, bursts):
     others = sorted(incident(b) for b in range(BURSTS))
     want = [(incident(BURSTS), "cart,edge", LARGE), *[(i, "cart,edge", SIZE) for i in others]][:50]
     assert [tuple(r) for r in q.incident_list(spark, "").collect()] == want
+
+
+def test_timeline_of_all_bursts(spark, bursts):
+    want = []
+    for b in range(BURSTS + 1):
+        want.append((incident(b), begun(b) - dt.timedelta(seconds=60), f"[edge] change: {SUMMARY}", "change"))
+        want += [(incident(b), begun(b) + dt.timedelta(seconds=k), f"[{('edge', 'cart')[k % 2]}] ERROR: {TEXT}", "log") for k in range(len(burst(b)))]
+    assert sorted(tuple(r) for r in q.timeline(spark, "").select("incident_id", "ts", "label", "kind").collect()) == sorted(want)
