@@ -180,7 +180,7 @@ ORACLE: dict[str, str] = {
     "same_issue_edges": PAIRS + "SELECT ai AS a_template_id, bi AS b_template_id, round(p_same, 4) AS p_same FROM top2000 WHERE p_same >= 6e-1",
     "incident_components": MEMBERS + "SELECT tid AS template_id, group_id FROM mem",
     "incident_rollup": MEMBERS + "SELECT incident_id, min(first_seen) AS start, max(last_seen) AS \"end\", string_agg(DISTINCT service, ',' ORDER BY service) AS services, CAST(count(*) AS INTEGER) AS members, CAST(sum(count) AS BIGINT) AS lines, round(round(sum(priority), 4), 2) AS priority FROM mem GROUP BY 1",
-    "topk_incidents": MEMBERS + "SELECT incident_id, CAST(sum(count) AS BIGINT) AS lines FROM mem GROUP BY 1 ORDER BY round(sum(priority), 4) DESC, incident_id LIMIT 3",
+    "topk_incidents": ALL_MEMBERS + "SELECT incident_id, CAST(sum(count) AS BIGINT) AS lines FROM mem GROUP BY 1 ORDER BY round(sum(priority), 4) DESC, incident_id LIMIT 3",
     "root_cause_rank": MEMBERS + ", k AS (SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY first_seen, priority DESC, tid) - 1 AS rk FROM mem) SELECT incident_id, tid AS template_id, CAST(rk AS INTEGER) AS rank, round(round(p_root_cause * (1 + 5e-1 / (1 + rk)), 4), 3) AS score FROM k",
     "change_interval_join": ALL_LINKS + "SELECT incident_id, count(DISTINCT change_id) AS changes FROM sc GROUP BY 1",
     "change_best_link": ALL_LINKS + "SELECT incident_id, change_id, tid AS template_id, round(p, 3) AS p_related FROM sc WHERE p >= 5e-1 QUALIFY row_number() OVER (PARTITION BY incident_id, change_id ORDER BY p DESC, priority DESC, tid) = 1",

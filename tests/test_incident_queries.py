@@ -61,3 +61,8 @@ def test_timeline_of_all_bursts(spark, bursts):
         want.append((incident(b), begun(b) - dt.timedelta(seconds=60), f"[edge] change: {SUMMARY}", "change"))
         want += [(incident(b), begun(b) + dt.timedelta(seconds=k), f"[{('edge', 'cart')[k % 2]}] ERROR: {TEXT}", "log") for k in range(len(burst(b)))]
     assert sorted(tuple(r) for r in q.timeline(spark, "").select("incident_id", "ts", "label", "kind").collect()) == sorted(want)
+
+
+def test_top_incidents_of_all_bursts(spark, bursts):
+    others = sorted(incident(b) for b in range(BURSTS))
+    assert [tuple(r) for r in q.topk_incidents(spark, "").collect()] == [(incident(BURSTS), LARGE), *[(i, SIZE) for i in others[:2]]]
